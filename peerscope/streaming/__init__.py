@@ -1,0 +1,7 @@
+"""Streaming.
+
+The source analyses read whole files once; none of them keeps state over an
+unbounded input, so this package holds no operators.  Every plan in
+``peerscope.plans`` is a batch DataFrame plan and can be run per micro-batch
+through ``foreachBatch`` if files arrive over time.
+"""
