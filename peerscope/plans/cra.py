@@ -15,7 +15,7 @@ from peerscope.operators.geo import process_map, pull_peers, relabel_entity, rol
 from peerscope.operators.metrics import deflate, per_capita
 from peerscope.plans.sba import HOME, MERGED_PAIR
 from peerscope.sources.fixed_width import Layout, parse_layouts, read_fixed_width
-from peerscope.sources.files import list_files
+from peerscope.sources.files import list_entries
 
 # fixed values: record layouts, (name, first byte, last byte, type), 1-based inclusive
 OLD_LAYOUT = Layout.of(
@@ -61,7 +61,7 @@ N_OLD_FILES = 4
 
 def read_by_file_order(spark: SparkSession, path: str, n_old: int = N_OLD_FILES) -> DataFrame:
     """The first ``n_old`` files (name order) use the old layout, the rest the new."""
-    files = list_files(spark, path)
+    files = list_entries(spark, path)
     old, new = files[:n_old], files[n_old:]
     frames = [read_fixed_width(spark, p, lay) for p, lay in ((old, OLD_LAYOUT), (new, NEW_LAYOUT)) if p]
     out = frames[0]

@@ -133,8 +133,8 @@ tx0 AS (SELECT CAST(l_orderkey * 10 + l_linenumber AS DOUBLE) AS transactionid,
 tx1 AS (SELECT *, TRY_CAST(split_part(dateclosed, '-', 1) AS INTEGER) AS day, split_part(dateclosed, '-', 2) AS month,
         TRY_CAST(split_part(dateclosed, '-', 3) AS INTEGER) AS yy FROM tx0),
 tx2 AS (SELECT *, CASE WHEN yy >= 84 THEN yy + 1900 WHEN yy < 84 THEN yy + 2000 END AS year FROM tx1),
-tx3 AS (SELECT *, lpad(NULLIF(p00, 'NONE'), greatest(length(NULLIF(p00, 'NONE')), 11), '0') AS t00,
-        lpad(NULLIF(p10, 'NONE'), greatest(length(NULLIF(p10, 'NONE')), 11), '0') AS t10 FROM tx2 WHERE year >= 1997),
+tx3 AS (SELECT *, lpad(NULLIF(p00, 'NONE'), CAST(greatest(length(NULLIF(p00, 'NONE')), 11) AS INTEGER), '0') AS t00,
+        lpad(NULLIF(p10, 'NONE'), CAST(greatest(length(NULLIF(p10, 'NONE')), 11) AS INTEGER), '0') AS t10 FROM tx2 WHERE year >= 1997),
 tx AS (SELECT transactionid, originalamount, coalesce(substr(t10, 1, 5), substr(t00, 1, 5)) AS FIPS, t10 AS tract_10, t00 AS tract_00,
        day, month, year, CASE purpose0 {_recode} ELSE purpose0 END AS purpose FROM tx3
        WHERE coalesce(substr(t10, 1, 5), substr(t00, 1, 5)) IN (SELECT FIPS FROM msa_counties WHERE MSA IN (SELECT MSA FROM peer_msa)))"""
@@ -349,7 +349,7 @@ SELECT p_partkey,
        regexp_replace(upper(concat_ws(' ', p_type, p_name, 'ST.', p_brand)), 'ST.', 'SAINT') AS wildcard,
        regexp_replace(upper(concat_ws(' ', p_type, p_name, 'ST.', p_brand)), 'ST\\.', 'SAINT') AS literal,
        regexp_replace(concat_ws('.', p_type, CAST(p_size AS VARCHAR), p_brand), '\\.', '') AS undotted,
-       lpad(CAST(p_partkey AS VARCHAR), greatest(length(CAST(p_partkey AS VARCHAR)), 3), '0') AS padded
+       lpad(CAST(p_partkey AS VARCHAR), CAST(greatest(length(CAST(p_partkey AS VARCHAR)), 3) AS INTEGER), '0') AS padded
 FROM part"""
 SQL["q25_strict_vs_skipping_sum"] = f"""
 WITH j AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, l_linenumber,

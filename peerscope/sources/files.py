@@ -11,12 +11,30 @@ from pyspark.sql import functions as F
 from peerscope.functions.columns import keep_existing, rename_if_present
 
 
-def list_files(spark: SparkSession, path: str, glob: str = "*") -> list[str]:
+def list_files(spark: SparkSession, path: str, glob: str = "*", recursive: bool = False) -> list[str]:
     """Sorted file paths under ``path`` (names only; contents are not read)."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    listing = reader.load(path).select("path")
     return sorted(r.path for r in listing.collect())
 
 
+def list_entries(spark: SparkSession, path: str, glob: str = "*") -> list[str]:
+    """Sorted direct children of ``path`` that hold matching files.
+
+    A child is a file, or a folder of part files (as Spark writes a dataset).
+    """
+    root = path.rstrip("/")
+    bare = root.split(":", 1)[1] if root.startswith("file:") else root
+    out = set()
+    for f in list_files(spark, root, glob, recursive=True):
+        i = f.find(bare)
+        rel = f[i + len(bare):].lstrip("/") if i >= 0 else f.rsplit("/", 1)[-1]
+        out.add(f"{root}/{rel.split('/', 1)[0]}")
+    return sorted(out)
+
+
 def read_yearly(
     spark: SparkSession,
     path: str,
@@ -27,9 +45,10 @@ def read_yearly(
     types: Mapping[str, str] | None = None,
     glob: str = "*.csv",
 ) -> DataFrame:
-    """Read one delimited file per year and stack them by column name.
+    """Read one delimited file (or folder of part files) per year and stack
+    them by column name.
 
-    * the year of a file comes from ``years`` (file name -> year) when given,
+    * the year of an entry comes from ``years`` (name -> year) when given,
       else from its position in name order counted from ``start_year``;
     * ``renames`` fixes drifting names (e.g. lower-case variants) per file;
     * only the ``wanted`` columns that a file has are kept; columns a file
@@ -40,7 +59,7 @@ def read_yearly(
     Each file is a separate distributed scan; only the listing runs on the
     driver.
     """
-    files = list_files(spark, path, glob)
+    files = list_entries(spark, path, glob)
     types = dict(types or {})
     frames = []
     for i, f in enumerate(files):
