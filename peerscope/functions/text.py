@@ -67,7 +67,8 @@ def recode(c, mapping: Mapping[str, str]) -> Column:
 
 def recode_by_position(c, labels: Sequence[str]) -> Column:
     """1 -> labels[0], 2 -> labels[1], ...; out of range gives null."""
-    return F.try_element_at(F.array(*[F.lit(x) for x in labels]), _c(c).cast("int"))
+    i = _c(c).cast("int")
+    return F.when(i >= 1, F.try_element_at(F.array(*[F.lit(x) for x in labels]), i))
 
 
 def two_digit_year(c, pivot: int = 84) -> Column:

@@ -2,33 +2,29 @@
 
 A dimension is broadcast only after its row count has been measured and found
 under ``max_rows``; beyond that the join is left to the planner (shuffle join,
-AQE may still switch it at run time).  Counts are cached per DataFrame object
-so a dimension reused by many joins is counted once.
+AQE may still switch it at run time).  Counts are cached by the semantic hash
+of the plan, so a dimension (or the same projection of it) is counted once per
+session however many joins use it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from weakref import WeakKeyDictionary
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
-_ROWS: WeakKeyDictionary = WeakKeyDictionary()
+_ROWS: dict[tuple[int, int], int] = {}
 
 
 def row_count(df: DataFrame) -> int:
-    try:
-        return _ROWS[df]
-    except (KeyError, TypeError):
-        n = df.count()
-        try:
-            _ROWS[df] = n
-        except TypeError:  # pragma: no cover - non-weakrefable object
-            pass
-        return n
+    """Row count, measured once per distinct plan in a session."""
+    key = (id(df.sparkSession), df.semanticHash())
+    n = _ROWS.get(key)
+    if n is None:
+        n = _ROWS[key] = df.count()
+    return n
 
 
 def bounded(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

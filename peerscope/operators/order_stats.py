@@ -93,11 +93,19 @@ def rank_within(
     value: str,
     out: str = "rank",
     descending: bool = True,
+    checkpoint_input: bool = True,
 ) -> DataFrame:
     """SQL ``RANK()`` of ``value`` inside each group (ties share the lowest
     rank, gaps follow).  Rows with a null value get a null rank.
+
+    The input is read twice (value counts, then the join back); with
+    ``checkpoint_input`` it is written once to the checkpoint folder so the
+    plan that produced it (typically a large aggregation) runs only once.
     """
     groups = list(groups)
+    if checkpoint_input:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     ranks = prefix_counts(df, groups, value, descending).select(
         *groups, value, (F.col(_BEFORE) + 1).cast("int").alias(out)
     )

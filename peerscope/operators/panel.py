@@ -134,8 +134,10 @@ def rank_by(
 ) -> DataFrame:
     """Rank several metrics within each group; ``<metric><suffix>`` columns."""
     out = df
-    for m in metrics:
-        out = rank_within(out, list(groups), m, out=f"{m}{suffix}" if suffix else f"{m}__rank", descending=descending)
+    for i, m in enumerate(metrics):
+        out = rank_within(
+            out, list(groups), m, out=f"{m}{suffix}" if suffix else f"{m}__rank", descending=descending, checkpoint_input=i == 0
+        )
     if not suffix:
         out = out.drop(*metrics).withColumnsRenamed({f"{m}__rank": m for m in metrics})
     return out

@@ -46,7 +46,18 @@ def code(c, width: int = 5) -> Column:
     return F.lpad(c.cast("string"), width, "0")
 
 
+_DIMS: dict[tuple[int, str], Dimensions] = {}
+
+
 def dimensions(spark: SparkSession, d: str) -> Dimensions:
+    """Stand-in dimension tables (built once per session and folder)."""
+    key = (id(spark), d)
+    if key not in _DIMS:
+        _DIMS[key] = _build_dimensions(spark, d)
+    return _DIMS[key]
+
+
+def _build_dimensions(spark: SparkSession, d: str) -> Dimensions:
     nation = table(spark, d, "nation")
     region = table(spark, d, "region")
     customer = table(spark, d, "customer")
@@ -243,10 +254,21 @@ def cra_records(spark: SparkSession, d: str) -> DataFrame:
     return j.select(F.when(year < LAYOUT_SWITCH_YEAR, line(4, 6, 8)).otherwise(line(5, 10, 10)).alias("value"))
 
 
+_WRITTEN: dict[tuple[int, str, str], str] = {}
+
+
+def _once(spark: SparkSession, d: str, kind: str, write) -> str:
+    """Write a derived input once per session and folder; reuse the path."""
+    key = (id(spark), d, kind)
+    if key not in _WRITTEN:
+        path = scratch_path(spark, kind)
+        write(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
 def write_cra_files(spark: SparkSession, d: str) -> str:
-    path = scratch_path(spark, "cra")
-    cra_records(spark, d).write.mode("overwrite").text(path)
-    return path
+    return _once(spark, d, "cra", lambda path: cra_records(spark, d).write.mode("overwrite").text(path))
 
 
 def giving_records(spark: SparkSession, d: str, year: int | None = None) -> DataFrame:
@@ -287,14 +309,16 @@ def giving_columns(year: int) -> list[str]:
 
 def write_giving_files(spark: SparkSession, d: str) -> str:
     """One folder per year (``giving_<year>``), each with its own header."""
-    path = scratch_path(spark, "giving")
+    return _once(spark, d, "giving", lambda path: _write_giving(spark, d, path))
+
+
+def _write_giving(spark: SparkSession, d: str, path: str) -> None:
     years = table(spark, d, "orders").select(F.year("o_orderdate").alias("y")).distinct().collect()
     for y in sorted(r.y for r in years):
         recs = giving_records(spark, d, year=y)
         cols = giving_columns(y)
         sel = [F.col(c).alias("mars1" if (c == "MARS1" and y % 2 == 1) else c) for c in cols]
         recs.filter(F.col("year") == y).select(*sel).write.mode("overwrite").option("header", True).csv(f"{path}/giving_{y}")
-    return path
 
 
 def spending_records(spark: SparkSession, d: str) -> DataFrame:
@@ -315,6 +339,4 @@ def spending_records(spark: SparkSession, d: str) -> DataFrame:
 
 
 def write_spending_file(spark: SparkSession, d: str) -> str:
-    path = scratch_path(spark, "spending")
-    spending_records(spark, d).write.mode("overwrite").option("header", True).csv(path)
-    return path
+    return _once(spark, d, "spending", lambda path: spending_records(spark, d).write.mode("overwrite").option("header", True).csv(path))
