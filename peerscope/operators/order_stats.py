@@ -45,12 +45,14 @@ def prefix_counts(
     value: str,
     descending: bool = False,
     partitions: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Distinct ``(groups, value)`` with ``__n`` (rows with that value),
     ``__before`` (rows of the group strictly earlier in the order) and
     ``__total`` (non-null rows of the group).
 
-    Null values are left out.
+    Null values are left out.  ``weight`` names a column holding how many
+    rows each input row stands for (input already collapsed by value).
     """
     groups = list(groups)
     spark = df.sparkSession
@@ -59,7 +61,7 @@ def prefix_counts(
     distinct = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*groups, value)
-        .agg(F.count(F.lit(1)).alias(_N))
+        .agg((F.sum(weight) if weight else F.count(F.lit(1))).cast("long").alias(_N))
     )
     ranged = (
         distinct.repartitionByRange(parts, *[F.col(g) for g in groups], _order(value, descending))
@@ -119,13 +121,15 @@ def rank_all(df: DataFrame, value: str, out: str = "rank", descending: bool = Tr
     return ranked.drop(key)
 
 
-def exact_median(df: DataFrame, groups: Sequence[str], value: str, out: str = "median") -> DataFrame:
+def exact_median(
+    df: DataFrame, groups: Sequence[str], value: str, out: str = "median", weight: str | None = None
+) -> DataFrame:
     """Exact median per group, nulls skipped: the middle value, or the mean of
     the two middle values for an even count.  Groups whose values are all
     null are absent from the result (join back with ``how='left'``).
     """
     groups = list(groups)
-    pc = prefix_counts(df, groups, value)
+    pc = prefix_counts(df, groups, value, weight=weight)
     lo = F.floor((F.col(_TOTAL) + 1) / 2)
     hi = F.floor(F.col(_TOTAL) / 2) + 1
     hit = lambda k: (F.col(_BEFORE) < k) & (k <= F.col(_BEFORE) + F.col(_N))

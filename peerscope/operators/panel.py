@@ -9,15 +9,27 @@ from pyspark.sql import functions as F
 
 from peerscope.functions.nulls import exact, ratio, strict_sum
 from peerscope.operators.order_stats import rank_all, rank_within
+from peerscope.session import ensure_checkpoint_dir
 
 
-def complete_panel(df: DataFrame, entity: str, time: str = "year", fill: Mapping[str, object] | None = None) -> DataFrame:
+def complete_panel(
+    df: DataFrame,
+    entity: str,
+    time: str = "year",
+    fill: Mapping[str, object] | None = None,
+    checkpoint: bool = True,
+) -> DataFrame:
     """One row for every (entity, time) seen anywhere in ``df``.
 
     The set of times is one small array computed as a scalar subquery; each
     entity is expanded over it (no join of two large tables).  ``fill``
-    replaces missing and null measure values.
+    replaces missing and null measure values.  The panel is read three times
+    (entities, times, values), so it is checkpointed first: the plan that
+    built it runs once.
     """
+    if checkpoint:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     times = df.select(F.array_sort(F.collect_set(time))).scalar()
     grid = df.select(entity).distinct().select(entity, F.explode(times).alias(time))
     out = grid.join(df, on=[entity, time], how="left")
@@ -26,13 +38,28 @@ def complete_panel(df: DataFrame, entity: str, time: str = "year", fill: Mapping
     return out
 
 
-def group_total(df: DataFrame, keys: Sequence[str], measure: str, out: str, exact_scale: int | None = None) -> DataFrame:
+def group_total(
+    df: DataFrame,
+    keys: Sequence[str],
+    measure: str,
+    out: str,
+    exact_scale: int | None = None,
+    bounded_groups: bool = False,
+) -> DataFrame:
     """Attach the (strict) group sum of ``measure`` to every row.
 
-    Aggregates first (map-side combine) and joins the totals back, so a
-    large group never sits in one window partition.
+    By default the sums are aggregated first (map-side combine) and joined
+    back, so a large group never sits in one window partition.  When every
+    group is small by construction (``bounded_groups``, e.g. the brackets of
+    one place-year) a window does it in one pass over ``df``.
     """
     keys = list(keys)
+    if bounded_groups:
+        w = Window.partitionBy(*keys)
+        x = F.col(measure)
+        total = F.sum(exact(x, exact_scale)).over(w)
+        total = total.cast("double") if exact_scale is not None else total
+        return df.withColumn(out, F.when(F.count(x).over(w) == F.count(F.lit(1)).over(w), total))
     totals = df.groupBy(*keys).agg(strict_sum(measure, exact_scale).alias(out))
     return df.join(totals, on=keys, how="left")
 

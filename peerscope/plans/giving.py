@@ -81,7 +81,8 @@ def giving_panel(
     if current_only:
         df = df.filter(F.col("current") == 1)
     panel = df.groupBy("FIPS", "year", "agi").agg(*[strict_sum(m, 4).alias(m) for m in MEASURES])
-    panel = group_total(panel, ["FIPS", "year"], "total_returns", "total_returns_city", exact_scale=4)
+    # a place-year holds one row per bracket: a bounded window, one pass
+    panel = group_total(panel, ["FIPS", "year"], "total_returns", "total_returns_city", exact_scale=4, bounded_groups=True)
     filer = ratio("dollars_donated", "total_returns")
     avg_agi = ratio("agi_amt", "total_returns")
     avg_income = ratio("income_amt", "income_num")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.dims import Dimensions
-from peerscope.functions.nulls import ratio, sum0
+from peerscope.functions.nulls import ratio
+from peerscope.session import ensure_checkpoint_dir
 from peerscope.operators.geo import pull_peers
 from peerscope.operators.joins import join_dim
 from peerscope.operators.metrics import deflate, per_capita, per_n, scale_to_home
@@ -34,21 +35,28 @@ def deals_by_msa(deals: DataFrame, dims: Dimensions, base_year: int = 2018, exac
     ``Deal Size`` is in millions and may be missing: counts include every
     deal, money statistics skip missing sizes (0 dollars when all are missing).
     """
+    ensure_checkpoint_dir(deals.sparkSession)
     df = deals.select(
         F.col("Company Name").alias("name"),
         F.col("Company Post Code").alias("zip"),
         F.substring(F.col("Deal Date").cast("string"), 1, 4).try_cast("int").alias("year"),
         F.col("Deal Size").cast("double").alias("amount"),
     )
-    df = join_dim(df, dims.msa_zips.select("zip", "MSA"), "zip", how="left")
-    stats = df.groupBy("MSA", "year").agg(
-        F.count(F.lit(1)).alias("deals"),
-        F.count("amount").alias("deals_amount"),
-        (sum0("amount", exact_scale) * 1000000).alias("total_dollars"),
+    df = join_dim(df, dims.msa_zips.select("zip", "MSA"), "zip", how="left").filter(F.col("MSA").isNotNull())
+    # one pass over the deals: rows collapsed to (metro, year, size, n), written
+    # once; counts, sums and the exact median all read that table
+    sizes = df.groupBy("MSA", "year", "amount").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.checkpoint(eager=True)
+    amount = F.col("amount").cast(f"decimal({18 + exact_scale},{exact_scale})")
+    stats = sizes.groupBy("MSA", "year").agg(
+        F.sum("n").alias("deals"),
+        F.sum(F.when(F.col("amount").isNotNull(), F.col("n"))).alias("deals_amount"),
+        (F.coalesce(F.sum(amount * F.col("n")).cast("double"), F.lit(0.0)) * 1000000).alias("total_dollars"),
     )
+    stats = stats.withColumn("deals_amount", F.coalesce("deals_amount", F.lit(0)))
     stats = stats.withColumn("avg_deal", ratio("total_dollars", "deals_amount"))
-    medians = exact_median(df.filter(F.col("MSA").isNotNull()), ["MSA", "year"], "amount", "median_deal")
-    stats = stats.filter(F.col("MSA").isNotNull()).join(medians, ["MSA", "year"], "left")
+    medians = exact_median(sizes, ["MSA", "year"], "amount", "median_deal", weight="n")
+    stats = stats.join(medians, ["MSA", "year"], "left")
     stats = stats.withColumn("median_deal", F.col("median_deal") * 1000000)
     stats = deflate(stats, ["total_dollars", "avg_deal", "median_deal"], dims.cpi, base_year)
     stats = join_dim(stats, dims.pop_latest("MSA"), "MSA", how="left")

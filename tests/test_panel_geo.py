@@ -31,6 +31,11 @@ def test_group_share_sums_to_one(spark):
     assert all(math.isclose(r.s, 1.0) for r in out)
     tot = {r.x: r.t for r in group_total(df, ["e", "year"], "x", "t").collect()}
     assert tot[1.0] == 4.0
+    win = {r.x: r.t for r in group_total(df, ["e", "year"], "x", "t", exact_scale=4, bounded_groups=True).collect()}
+    assert win == {1.0: 4.0, 3.0: 4.0, 5.0: 5.0}
+    with_null = df.unionByName(spark.createDataFrame([("b", 1, None)], "e string, year int, x double"))
+    strict = {(r.e, r.x): r.t for r in group_total(with_null, ["e", "year"], "x", "t", bounded_groups=True).collect()}
+    assert strict[("b", 5.0)] is None and strict[("a", 1.0)] == 4.0
 
 
 def test_rolling_mean_needs_full_window(spark):
