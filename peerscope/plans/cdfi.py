@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerscope.dims import Dimensions
@@ -13,6 +13,7 @@ from peerscope.operators.joins import join_dim
 from peerscope.operators.metrics import deflate, per_capita
 from peerscope.operators.panel import complete_panel
 from peerscope.plans.sba import HOME, MERGED_PAIR
+from peerscope.sources.delimited import read_delimited
 
 # fixed values: transaction purpose codes and their labels
 PURPOSE_RECODE = {
@@ -46,6 +47,22 @@ TRANSACTION_COLUMNS = [
 ]
 
 
+# fixed values: institution file kept columns (org id, type, year, zip, then
+# 28 origination counts and amounts), padded with skips to 203 columns
+INSTITUTION_TYPES = "ncnn" + "_" * (21 + 5 + 19 + 11 + 18 + 21) + "n" * 28
+INSTITUTION_WIDTH = 203
+
+
+def read_institutions(spark: SparkSession, path: str) -> DataFrame:
+    """Institution-level file: 32 of 203 columns parsed, the rest never converted."""
+    return read_delimited(spark, path, INSTITUTION_TYPES.ljust(INSTITUTION_WIDTH, "_"))
+
+
+def read_transactions(spark: SparkSession, path: str) -> DataFrame:
+    """Transaction files (a folder read as one scan): 8 of 50 columns parsed."""
+    return read_delimited(spark, path, TRANSACTION_TYPES)
+
+
 def clean_transactions(raw: DataFrame, dims: Dimensions, min_year: int = 2000, pivot: int = 84) -> DataFrame:
     """Dates split into parts, two-digit years expanded, tract codes padded,
     county from the 2010 tract else the 2000 tract, purposes labelled, and

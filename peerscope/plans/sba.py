@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerscope.dims import Dimensions
@@ -14,12 +14,27 @@ from peerscope.operators.geo import pull_peers, relabel_entity
 from peerscope.operators.joins import bind_panels, join_dim, semi_filter
 from peerscope.operators.metrics import deflate, per_capita
 from peerscope.operators.panel import complete_panel
+from peerscope.sources.delimited import read_delimited
 
 # fixed values: home county and the county pair reported as one entity
 HOME = "21111"
 MERGED_PAIR = ("29189", "29510")
 
 
+# fixed values: loan export columns kept (borrower block, two amounts, the
+# approval date, county and state), one letter per column of the 36
+LOAN_TYPES_7A = "__" + "ccccc" + "_" * 5 + "dd" + "D" + "_" * 10 + "cc" + "_" * 9
+
+
+def read_loans(spark: SparkSession, path: str, col_types: str = LOAN_TYPES_7A) -> DataFrame:
+    """Loan records exported from the program workbooks as delimited text.
+
+    Only the typed columns are parsed; names come from the header.  (The
+    504 export is read with its own type string.)
+    """
+    return read_delimited(spark, path, col_types)
+
+
 def county_join_table(counties: DataFrame, literal_dot: bool = False) -> DataFrame:
     """County names as written in loan files: upper case, ``ST.`` spelled ``SAINT``.
 

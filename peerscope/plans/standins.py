@@ -152,9 +152,16 @@ def _orders_customers(spark: SparkSession, d: str, with_nation: bool = True) ->
 
 
 def _lines(spark: SparkSession, d: str, cols: list[str]) -> DataFrame:
+    """lineitem x (orders x customer x nation).
+
+    Both sides grow with the data, so this is a sort-merge join on the order
+    key (never a broadcast of either side); without cost statistics Spark
+    would otherwise estimate the joined side as a product of its inputs and
+    broadcast ``lineitem`` itself at small scale.
+    """
     li = table(spark, d, "lineitem").select("l_orderkey", *cols)
     oc = _orders_customers(spark, d)
-    return li.join(oc, li.l_orderkey == oc.o_orderkey)
+    return li.join(oc.hint("merge"), li.l_orderkey == oc.o_orderkey)
 
 
 def sba_7a_raw(spark: SparkSession, d: str) -> DataFrame:
@@ -175,7 +182,7 @@ def sba_504_raw(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem").filter(F.col("l_quantity") >= 49).select("l_orderkey", "l_partkey", "l_extendedprice")
     li = join_dim(li, part, "l_partkey", how="left_semi")
     oc = _orders_customers(spark, d)
-    j = li.join(oc, li.l_orderkey == oc.o_orderkey)
+    j = li.join(oc.hint("merge"), li.l_orderkey == oc.o_orderkey)
     return j.select(
         code(F.col("c_custkey") % 97).alias("BorrZip"),
         F.col("l_extendedprice").alias("GrossApproval"),

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerscope.dims import Dimensions
 from peerscope.functions.nulls import ratio
 from peerscope.session import ensure_checkpoint_dir
+from peerscope.sources.delimited import drop_title_rows, read_delimited
 from peerscope.operators.geo import pull_peers
 from peerscope.operators.joins import join_dim
 from peerscope.operators.metrics import deflate, per_capita, per_n, scale_to_home
@@ -17,6 +18,31 @@ from peerscope.operators.order_stats import exact_median
 HOME_MSA = "31140"
 
 
+# fixed values: deal export column types (name, ids, post code, deal date, size, ...)
+DEAL_TYPES = "ccccDdcc"
+
+
+def read_export(spark: SparkSession, path: str, col_types: str, required: list[str]) -> DataFrame:
+    """A data-provider export with title lines above the header.
+
+    Read as delimited text with the header line among the data; the title
+    and header lines fail the typed parse of ``required`` and are dropped.
+    """
+    names = header_row_names(spark, path)
+    df = read_delimited(spark, path, col_types, names=names, header=False)
+    return drop_title_rows(df, required)
+
+
+def header_row_names(spark: SparkSession, path: str, peek: int = 50) -> list[str]:
+    """Column names of an export: among its first ``peek`` lines (title lines
+    and the header), the line with the most fields.  Reads only those lines."""
+    import csv
+
+    first = [r.value for r in spark.read.text(path).take(peek)]
+    rows = [next(csv.reader([line])) for line in first if line.strip()]
+    return [c.strip() for c in max(rows, key=len)]
+
+
 def headquarters_by_msa(companies: DataFrame, dims: Dimensions, home: str = HOME_MSA) -> DataFrame:
     """Company count per peer metro, per resident and scaled to the home population."""
     df = companies.select(

@@ -113,3 +113,33 @@ def test_read_yearly_drift(spark, tmp_dir):
     assert rows[2010].MARS1 == 1.0 and rows[2010].MARS4 is None and rows[2011].MARS4 == 3.0
     assert rows[2010].STATEFIPS == "21" and rows[2010].COUNTYFIPS == "111"
     assert "mars1" not in df.columns
+
+
+def test_export_with_title_lines(spark, tmp_dir):
+    from peerscope.plans.venture import read_export
+
+    p = os.path.join(tmp_dir, "deals.csv")
+    with open(p, "w") as f:
+        f.write("Deal export\nGenerated for peers\n\n")
+        f.write("Company Name,Deal ID,Company ID,Company Post Code,Deal Date,Deal Size,Type,Note\n")
+        f.write("Acme,1,2,40202,2018-03-01,1.5,VC,x\nBeta,3,4,40203,2019-05-02,,VC,y\n")
+    df = read_export(spark, p, "ccccDdcc", ["Deal Date"])
+    rows = {r["Company Name"]: r for r in df.collect()}
+    assert set(rows) == {"Acme", "Beta"}
+    assert rows["Acme"]["Deal Size"] == 1.5 and rows["Beta"]["Deal Size"] is None
+    assert str(rows["Beta"]["Deal Date"]) == "2019-05-02"
+
+
+def test_institution_and_transaction_readers(spark, tmp_dir):
+    from peerscope.plans import cdfi
+
+    p = os.path.join(tmp_dir, "tx.csv")
+    names = cdfi.TRANSACTION_COLUMNS + [f"other{i}" for i in range(42)]
+    with open(p, "w") as f:
+        f.write(",".join(names) + "\n")
+        f.write(",".join(["7", "8", "\"$1,000\"", "NONE", "21111000100", "X", "01-JAN-15", "MICRO"] + ["z"] * 42) + "\n")
+    tx = cdfi.read_transactions(spark, p)
+    assert tx.columns == cdfi.TRANSACTION_COLUMNS
+    r = tx.collect()[0]
+    assert r.originalamount == 1000.0 and r.projectfipscode_2010 == "21111000100"
+    assert len(cdfi.INSTITUTION_TYPES.ljust(cdfi.INSTITUTION_WIDTH, "_")) == 203
