@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
+LOCAL_ROWS = 10_000
 
 _ROWS: dict[tuple[int, int], int] = {}
+_LOCAL: dict[tuple[int, int], DataFrame] = {}
 
 
 def row_count(df: DataFrame) -> int:
@@ -27,8 +29,35 @@ def row_count(df: DataFrame) -> int:
     return n
 
 
+def _tiny(dim: DataFrame) -> DataFrame | None:
+    """A local copy of ``dim`` if it has at most ``LOCAL_ROWS`` rows, else None.
+
+    Reads at most ``LOCAL_ROWS + 1`` rows (one bounded job, once per plan per
+    session).  Broadcasting a local relation needs no further Spark job; the
+    rows are the ones a broadcast would ship through the driver anyway.
+    """
+    key = (id(dim.sparkSession), dim.semanticHash())
+    if key in _LOCAL:
+        return _LOCAL[key]
+    if key in _ROWS and _ROWS[key] > LOCAL_ROWS:
+        return None
+    rows = dim.take(LOCAL_ROWS + 1)
+    if len(rows) > LOCAL_ROWS:
+        return None
+    _ROWS[key] = len(rows)
+    local = dim.sparkSession.createDataFrame(rows, dim.schema)
+    _LOCAL[key] = local
+    return local
+
+
 def bounded(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(dim)`` if it holds at most ``max_rows`` rows, else ``dim``."""
+    """``broadcast(dim)`` if it holds at most ``max_rows`` rows, else ``dim``.
+
+    Tiny dimensions are broadcast from a local copy.
+    """
+    local = _tiny(dim)
+    if local is not None:
+        return F.broadcast(local)
     return F.broadcast(dim) if row_count(dim) <= max_rows else dim
 
 
