@@ -13,16 +13,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peerscope.session import session_key
+
 DEFAULT_BROADCAST_ROWS = 2_000_000
 LOCAL_ROWS = 10_000
 
-_ROWS: dict[tuple[int, int], int] = {}
-_LOCAL: dict[tuple[int, int], DataFrame] = {}
+_ROWS: dict[tuple[str, int], int] = {}
+_LOCAL: dict[tuple[str, int], DataFrame] = {}
 
 
 def row_count(df: DataFrame) -> int:
     """Row count, measured once per distinct plan in a session."""
-    key = (id(df.sparkSession), df.semanticHash())
+    key = (session_key(df.sparkSession), df.semanticHash())
     n = _ROWS.get(key)
     if n is None:
         n = _ROWS[key] = df.count()
@@ -36,7 +38,7 @@ def _tiny(dim: DataFrame) -> DataFrame | None:
     session).  Broadcasting a local relation needs no further Spark job; the
     rows are the ones a broadcast would ship through the driver anyway.
     """
-    key = (id(dim.sparkSession), dim.semanticHash())
+    key = (session_key(dim.sparkSession), dim.semanticHash())
     if key in _LOCAL:
         return _LOCAL[key]
     if key in _ROWS and _ROWS[key] > LOCAL_ROWS:

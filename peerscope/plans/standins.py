@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from peerscope.dims import Dimensions
 from peerscope.operators.joins import join_dim
 from peerscope.plans import cdfi
-from peerscope.session import scratch_path
+from peerscope.session import scratch_path, session_key
 from peerscope.sources.layout import spread
 
 HOME = "00011"
@@ -38,7 +38,7 @@ FIRST_YEAR = 1995
 CALENDAR = (1990, 2030)
 
 
-_TABLES: dict[tuple[int, str, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str, str], DataFrame] = {}
 FACT_TABLES = ("lineitem", "orders")
 
 
@@ -50,7 +50,7 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     pruning and filter pushdown because projections and filters still reach
     the Parquet reader below the round-robin exchange.
     """
-    key = (id(spark), d, name)
+    key = (session_key(spark), d, name)
     if key not in _TABLES:
         df = spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
         _TABLES[key] = spread(df) if name in FACT_TABLES else df
@@ -62,12 +62,12 @@ def code(c, width: int = 5) -> Column:
     return F.lpad(c.cast("string"), width, "0")
 
 
-_DIMS: dict[tuple[int, str], Dimensions] = {}
+_DIMS: dict[tuple[str, str], Dimensions] = {}
 
 
 def dimensions(spark: SparkSession, d: str) -> Dimensions:
     """Stand-in dimension tables (built once per session and folder)."""
-    key = (id(spark), d)
+    key = (session_key(spark), d)
     if key not in _DIMS:
         _DIMS[key] = _build_dimensions(spark, d)
     return _DIMS[key]
@@ -274,12 +274,12 @@ def cra_records(spark: SparkSession, d: str) -> DataFrame:
     return j.select(F.when(year < LAYOUT_SWITCH_YEAR, line(4, 6, 8)).otherwise(line(5, 10, 10)).alias("value"))
 
 
-_WRITTEN: dict[tuple[int, str, str], str] = {}
+_WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
 def _once(spark: SparkSession, d: str, kind: str, write) -> str:
     """Write a derived input once per session and folder; reuse the path."""
-    key = (id(spark), d, kind)
+    key = (session_key(spark), d, kind)
     if key not in _WRITTEN:
         path = scratch_path(spark, kind)
         write(path)

@@ -52,6 +52,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/peerscope/{name}-{uuid.uuid4().hex}"
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identity of a running application (unlike ``id(spark)``, never reused
+    by a later session in the same Python process)."""
+    return spark.sparkContext.applicationId
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     try:
         return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
