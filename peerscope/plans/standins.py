@@ -39,21 +39,23 @@ CALENDAR = (1990, 2030)
 
 
 _TABLES: dict[tuple[str, str, str], DataFrame] = {}
-FACT_TABLES = ("lineitem", "orders")
+# fact tables and the key they are joined on (see ``spread``)
+FACT_TABLES = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     """The driver's table (file listing and footers read once per session).
 
     The fact tables are spread over the cluster's cores when stored in too
-    few splits (see ``sources.layout.spread``); the scan keeps its column
-    pruning and filter pushdown because projections and filters still reach
-    the Parquet reader below the round-robin exchange.
+    few splits (see ``sources.layout.spread``), hash-partitioned on the order
+    key so the lineitem-orders join needs no further shuffle; the scan keeps
+    its column pruning and filter pushdown (projections and filters reach
+    the Parquet reader below the exchange).
     """
     key = (session_key(spark), d, name)
     if key not in _TABLES:
         df = spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
-        _TABLES[key] = spread(df) if name in FACT_TABLES else df
+        _TABLES[key] = spread(df, keys=[FACT_TABLES[name]]) if name in FACT_TABLES else df
     return _TABLES[key]
 
 

@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan over ``min_partitions`` tasks when it has fewer splits.
+def spread(df: DataFrame, min_partitions: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """Spread a scan over ``min_partitions`` tasks when it has fewer splits.
 
     A source stored as one unsplittable file (one Parquet row group) is read
     by a single task, and every narrow operator after it (filters, broadcast
     joins, partial aggregation) stays on that task.  Sources with enough
     splits - the normal case for large inputs - are returned unchanged, so
     no shuffle is added at scale.
+
+    With ``keys`` the rows are hash-partitioned on them (instead of
+    round-robin), so a later join or aggregation on those keys reuses this
+    partitioning rather than shuffling again.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    return df.repartition(target, *keys) if keys else df.repartition(target)
