@@ -42,3 +42,22 @@ def test_exact_median_even_odd_and_null_groups(spark):
     for g, s in pdf.groupby("g")["v"]:
         assert got[g] == float(np.median(s.dropna().values))
     assert got["even"] == 2.5 and got["odd"] == 2.0 and "empty" not in got
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.one_of(st.none(), st.integers(-5, 5))), min_size=1, max_size=40))
+def test_rank_and_median_properties(spark, rows):
+    df = spark.createDataFrame([(g, None if v is None else float(v)) for g, v in rows], "g string, v double")
+    pdf = pd.DataFrame(rows, columns=["g", "v"]).astype({"v": "float64"})
+    got = rank_within(df, ["g"], "v", "rank", checkpoint_input=False).toPandas()
+    exp = pdf.assign(rank=pdf.groupby("g")["v"].rank(method="min", ascending=False))
+    key = lambda f: sorted(zip(f["g"], f["v"].fillna(1e9), f["rank"].fillna(-1)))
+    assert key(got) == key(exp)
+    med = {r.g: r.median for r in exact_median(df, ["g"], "v").collect()}
+    for g, s in pdf.groupby("g")["v"]:
+        vals = s.dropna()
+        assert (g not in med) if vals.empty else med[g] == float(np.median(vals))
