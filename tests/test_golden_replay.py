@@ -61,3 +61,24 @@ def test_published_panel_replays(spark):
         assert math.isclose(p, pp, rel_tol=1e-9, abs_tol=1e-12)
     # population implied for 2017 is a whole number of residents
     assert round(HOME_PANEL[-1][1] / HOME_PANEL[-1][2]) == 771158
+
+
+# fixed values: published 2017 lender investment per resident, all 21 peer entities
+PER_RESIDENT_2017 = [
+    ("01073", 2.6836829954194625), ("12031", 7.494097338829599), ("18097", 12.53759941354913),
+    ("21111", 0.34700460379889275), ("26081", 5.743644267557932), ("29095", 72.43507487530891),
+    ("31055", 3.0818264296704836), ("37081", 18.382069510237248), ("37119", 19.223415732872535),
+    ("37183", 12.450779340530822), ("39049", 6.218448862007792), ("39061", 32.73128599089861),
+    ("39113", 3.9358763898775093), ("40109", 6.193082456475394), ("40143", 2.8756552155504984),
+    ("45045", 12.386248595239861), ("47037", 49.46227661946138), ("47093", 17.581112548631307),
+    ("47157", 116.85047472715601), ("51760", 63.4798182871832), ("MERGED", 22.566939681361994),
+]
+
+
+def test_home_ranks_last_in_2017(spark):
+    from peerscope.operators.panel import rank_table
+
+    df = spark.createDataFrame([(f, 2017, v) for f, v in PER_RESIDENT_2017] + [("21111", 2016, 99.0)], "FIPS string, year int, cdfi_pp double")
+    ranks = {r.FIPS: r.rank for r in rank_table(df, "FIPS", "cdfi_pp").collect()}  # latest year by default
+    assert len(ranks) == 21 and ranks["21111"] == 21 and ranks["47157"] == 1
+    assert sorted(ranks.values()) == list(range(1, 22))
