@@ -7,8 +7,30 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from peerscope.functions.columns import keep_existing, rename_if_present
+from peerscope.session import session_key
+
+_HEADERS: dict[tuple[str, str], list[str]] = {}
+
+
+def header_of(spark: SparkSession, path: str) -> list[str]:
+    """Column names from the header line of a delimited file or folder.
+
+    Discovered once per path per application (one small job reading the
+    first line); later reads use an explicit schema and launch no job.
+    """
+    key = (session_key(spark), path)
+    if key not in _HEADERS:
+        _HEADERS[key] = spark.read.option("header", True).csv(path).columns
+    return _HEADERS[key]
+
+
+def read_with_header(spark: SparkSession, path: str) -> DataFrame:
+    """All columns as text, named by the file's own header line."""
+    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in header_of(spark, path)])
+    return spark.read.schema(schema).option("header", True).csv(path)
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*", recursive: bool = False) -> list[str]:
@@ -65,7 +87,7 @@ def read_yearly(
     for i, f in enumerate(files):
         name = f.rsplit("/", 1)[-1]
         year = years[name] if years is not None else start_year + i
-        df = spark.read.option("header", True).csv(f)
+        df = read_with_header(spark, f)
         df = rename_if_present(df, renames or {})
         df = keep_existing(df, wanted)
         df = df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items() if c in df.columns})
