@@ -144,6 +144,15 @@ def q10_fixed_width(spark: SparkSession, d: str) -> DataFrame:
     return _cra(spark, d).select("FIPS", "tract", "year", "income_group", "geog_level", *CRA_MEASURES)
 
 
+def q10_fixed_width_by_file_order(spark: SparkSession, d: str) -> DataFrame:
+    """Layout chosen by file position: the first folders (years before the
+    switch) are read with the old layout, the rest with the new."""
+    path = S.write_cra_files_by_year(spark, d)
+    n_old = S.LAYOUT_SWITCH_YEAR - S.FIRST_YEAR
+    lines = cra.read_by_file_order(spark, path, n_old=n_old)
+    return cra.normalize(lines).select("FIPS", "tract", "year", "income_group", "geog_level", *CRA_MEASURES)
+
+
 def q11_cra_county(spark: SparkSession, d: str) -> DataFrame:
     p = cra.county_panel(_cra(spark, d), S.dimensions(spark, d), S.BASE_YEAR, S.MERGED_PAIR)
     return p.select("FIPS", "year", *CRA_MEASURES, *[f"{m}_pp" for m in CRA_MEASURES])

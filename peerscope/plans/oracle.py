@@ -243,6 +243,7 @@ SELECT c.MSA, c.year, c.cdfi * f.factor AS cdfi, (c.cdfi * f.factor) / NULLIF(p.
 FROM c LEFT JOIN fac f ON c.year = f.year LEFT JOIN pop_msa p ON c.MSA = p.MSA AND c.year = p.year"""
 SQL["q09_crosswalk_sum"] = w(DIMS, TX, CDFI_LAYERS) + "\nSELECT layer, area, year, cdfi, cdfi_pp FROM cl"
 SQL["q10_fixed_width"] = w(DIMS, CRA) + f"\nSELECT FIPS, tract, year, income_group, geog_level, {', '.join(CRA_ALL)} FROM cra"
+SQL["q10_fixed_width_by_file_order"] = SQL["q10_fixed_width"]
 SQL["q11_cra_county"] = w(DIMS, CRA) + "," + _cra_panel(
     "FIPS", f"SELECT {relabel()} AS FIPS, year, {', '.join(CRA_ALL)} FROM cra WHERE geog_level = 200 AND FIPS IN (SELECT FIPS FROM peers)", "pop_fips"
 )
