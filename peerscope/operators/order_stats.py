@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from peerscope.session import ensure_checkpoint_dir, shuffle_partitions
+from peerscope.session import ensure_checkpoint_dir
 
 _PID = "__pid"
 _N = "__n"
@@ -57,14 +57,16 @@ def prefix_counts(
     groups = list(groups)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    parts = partitions or shuffle_partitions(spark)
     distinct = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*groups, value)
         .agg((F.sum(weight) if weight else F.count(F.lit(1))).cast("long").alias(_N))
     )
+    # without an explicit count AQE may merge adjacent (small) ranges; merged
+    # partitions are still contiguous ranges, so partition order = value order
+    order = [*[F.col(g) for g in groups], _order(value, descending)]
     ranged = (
-        distinct.repartitionByRange(parts, *[F.col(g) for g in groups], _order(value, descending))
+        (distinct.repartitionByRange(partitions, *order) if partitions else distinct.repartitionByRange(*order))
         .withColumn(_PID, F.spark_partition_id())
         .checkpoint(eager=True)
     )
