@@ -18,6 +18,8 @@ Mapping (all ids are text, zero padded):
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -352,11 +354,16 @@ def _write_giving(spark: SparkSession, d: str, path: str) -> None:
     giving_records(spark, d).write.mode("overwrite").partitionBy("year").parquet(stage)
     staged = spark.read.parquet(stage)
     years = [r.year for r in staged.select("year").distinct().collect()]  # partition values: listing only
-    for y in sorted(years):
+
+    def write_year(y: int) -> None:
         cols = giving_columns(y)
         sel = [F.col(c).alias("mars1" if (c == "MARS1" and y % 2 == 1) else c) for c in cols]
         staged.filter(F.col("year") == y).select(*sel).write.mode("overwrite").option("header", True).csv(f"{path}/giving_{y}")
 
+    # independent jobs: submitted together so they share the cluster
+    with ThreadPoolExecutor(max_workers=min(8, max(1, len(years)))) as pool:
+        list(pool.map(write_year, sorted(years)))
+
 
 def spending_records(spark: SparkSession, d: str) -> DataFrame:
     """A spending sheet: blank-header label column, unpadded code, amounts as

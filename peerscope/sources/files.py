@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,6 +83,9 @@ def read_yearly(
     driver.
     """
     files = list_entries(spark, path, glob)
+    # header discovery is one small job per entry: run them together
+    with ThreadPoolExecutor(max_workers=min(8, max(1, len(files)))) as pool:
+        list(pool.map(lambda f: header_of(spark, f), files))
     types = dict(types or {})
     frames = []
     for i, f in enumerate(files):
