@@ -1,7 +1,6 @@
 import math
 import os
 
-from pyspark.sql import functions as F
 
 from peerscope.plans import cra, spending
 from peerscope.sources.delimited import drop_title_rows, read_delimited
