@@ -61,3 +61,11 @@ def test_rank_and_median_properties(spark, rows):
     for g, s in pdf.groupby("g")["v"]:
         vals = s.dropna()
         assert (g not in med) if vals.empty else med[g] == float(np.median(vals))
+
+
+def test_null_group_is_a_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), (None, 2.0), ("a", 5.0)], "g string, v double")
+    ranks = sorted((r.g, r.v, r.rank) for r in rank_within(df, ["g"], "v", "rank").collect() if r.g is None)
+    assert ranks == [(None, 1.0, 3), (None, 2.0, 2), (None, 3.0, 1)]
+    med = {r.g: r.median for r in exact_median(df, ["g"], "v").collect()}
+    assert med == {None: 2.0, "a": 5.0}
