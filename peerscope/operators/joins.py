@@ -81,6 +81,33 @@ def semi_filter(df: DataFrame, keys: DataFrame, on: str | Sequence[str], anti: b
     return join_dim(df, keys.select(*on).distinct(), on, how="left_anti" if anti else "left_semi")
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where null keys match each other (a null group is
+    a group, as in the source's grouping).  Output columns follow ``USING``:
+    keys, then the other left columns, then the other right columns.  Both
+    sides are aliased, so it also works when one side derives from the other.
+    Planned as a hash or sort-merge join like any equi-join.
+    """
+    keys = list(keys)
+    lft, rgt = left.alias("__l"), right.alias("__r")
+    cond = None
+    for k in keys:
+        c = F.col(f"__l.`{k}`").eqNullSafe(F.col(f"__r.`{k}`"))
+        cond = c if cond is None else cond & c
+    joined = lft.join(rgt, on=cond, how=how)
+    if how in ("left_semi", "semi", "left_anti", "anti"):
+        return joined
+    if how in ("inner", "left", "left_outer"):
+        key_cols = [F.col(f"__l.`{k}`").alias(k) for k in keys]
+    else:
+        key_cols = [F.coalesce(F.col(f"__l.`{k}`"), F.col(f"__r.`{k}`")).alias(k) for k in keys]
+    return joined.select(
+        *key_cols,
+        *[F.col(f"__l.`{c}`").alias(c) for c in left.columns if c not in keys],
+        *[F.col(f"__r.`{c}`").alias(c) for c in right.columns if c not in keys],
+    )
+
+
 def bind_panels(a: DataFrame, b: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """Full outer join of two metric panels.
 

@@ -26,6 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from peerscope.operators.joins import join_null_safe
 from peerscope.session import ensure_checkpoint_dir
 
 _PID = "__pid"
@@ -39,15 +40,6 @@ def _order(c: str, descending: bool) -> Column:
     return F.col(c).desc() if descending else F.col(c).asc()
 
 
-def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Equi-join where null keys match each other (a null group is a group)."""
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return left.join(right, on=cond, how=how).drop(*[right[k] for k in keys])
-
-
 def prefix_counts(
     df: DataFrame,
     groups: Sequence[str],
@@ -94,7 +86,7 @@ def prefix_counts(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        _join_keys(ranged, offsets, [*groups, _PID], "inner")
+        join_null_safe(ranged, offsets, [*groups, _PID], "inner")
         .withColumn(_BEFORE, F.col(_OFF) + F.coalesce(F.sum(_N).over(w_part), F.lit(0)))
         .drop(_OFF, _PID)
     )
@@ -122,7 +114,7 @@ def rank_within(
     ranks = prefix_counts(df, groups, value, descending).select(
         *groups, value, (F.col(_BEFORE) + 1).cast("int").alias(out)
     )
-    return _join_keys(df, ranks, [*groups, value], "left")
+    return join_null_safe(df, ranks, [*groups, value], "left")
 
 
 def rank_all(df: DataFrame, value: str, out: str = "rank", descending: bool = True) -> DataFrame:

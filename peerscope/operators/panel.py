@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from peerscope.functions.nulls import exact, ratio, strict_sum
+from peerscope.operators.joins import join_null_safe
 from peerscope.operators.order_stats import rank_all, rank_within
 from peerscope.session import ensure_checkpoint_dir
 
@@ -32,7 +33,7 @@ def complete_panel(
         df = df.checkpoint(eager=True)
     times = df.select(F.array_sort(F.collect_set(time))).scalar()
     grid = df.select(entity).distinct().select(entity, F.explode(times).alias(time))
-    out = grid.join(df, on=[entity, time], how="left")
+    out = join_null_safe(grid, df, [entity, time], how="left")
     if fill:
         out = out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fill.items()})
     return out
@@ -61,7 +62,7 @@ def group_total(
         total = total.cast("double") if exact_scale is not None else total
         return df.withColumn(out, F.when(F.count(x).over(w) == F.count(F.lit(1)).over(w), total))
     totals = df.groupBy(*keys).agg(strict_sum(measure, exact_scale).alias(out))
-    return df.join(totals, on=keys, how="left")
+    return join_null_safe(df, totals, keys, how="left")
 
 
 def share_of_group(df: DataFrame, keys: Sequence[str], measure: str, out: str, exact_scale: int | None = None) -> DataFrame:

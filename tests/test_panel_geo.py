@@ -25,6 +25,12 @@ def test_complete_panel_grid_and_fill(spark):
     assert vals[("a", 2000)] == 1.0 and vals[("a", 2002)] == 0.0 and vals[("b", 2000)] == 0.0
 
 
+def test_complete_panel_keeps_null_entity(spark):
+    df = spark.createDataFrame([(None, 2000, 1.0), ("a", 2001, 2.0)], "e string, year int, x double")
+    out = {(r.e, r.year): r.x for r in complete_panel(df, "e", "year", {"x": 0.0}).collect()}
+    assert out == {(None, 2000): 1.0, (None, 2001): 0.0, ("a", 2000): 0.0, ("a", 2001): 2.0}
+
+
 def test_group_share_sums_to_one(spark):
     df = spark.createDataFrame([("a", 1, 1.0), ("a", 1, 3.0), ("b", 1, 5.0)], "e string, year int, x double")
     out = share_of_group(df, ["e", "year"], "x", "share").groupBy("e").agg(F.sum("share").alias("s")).collect()
