@@ -82,6 +82,10 @@ def q03_sparse_panel_complete(spark: SparkSession, d: str) -> DataFrame:
     return _county_504(spark, d).select("FIPS", "year", "total_504", "total_504_pp")
 
 
+def q04_zip_504_panel(spark: SparkSession, d: str) -> DataFrame:
+    return _zip_504(spark, d).select("zip", "year", "total_504", "total_504_pp")
+
+
 def q05_bind_panels(spark: SparkSession, d: str) -> DataFrame:
     dims = S.dimensions(spark, d)
     both = bind_panels(_county_7a(spark, d, dims), _county_504(spark, d, dims), ["FIPS", "year"])

@@ -223,6 +223,7 @@ SQL: dict[str, str] = {}
 SQL["q01_county_panel"] = w(DIMS, LOANS, COUNTY_7A) + "\nSELECT FIPS, year, sba_loan, total_loan, sba_loan_pp, total_loan_pp FROM c7"
 SQL["q02_zip_panel"] = w(DIMS, LOANS, ZIP_7A) + "\nSELECT zip, year, sba_loan, total_loan, sba_loan_pp, total_loan_pp FROM z7"
 SQL["q03_sparse_panel_complete"] = w(DIMS, LOANS, COUNTY_504) + "\nSELECT FIPS, year, total_504, total_504_pp FROM c5"
+SQL["q04_zip_504_panel"] = w(DIMS, LOANS, ZIP_504) + "\nSELECT zip, year, total_504, total_504_pp FROM z5"
 SQL["q05_bind_panels"] = w(DIMS, LOANS, COUNTY_7A, COUNTY_504) + """
 SELECT FIPS, year, sba_loan, total_loan, total_504, sba_loan_pp, total_loan_pp, total_504_pp FROM c7 FULL OUTER JOIN c5 USING (FIPS, year)"""
 SQL["q05_bind_inferred_keys"] = w(DIMS, LOANS, ZIP_7A, ZIP_504) + """

@@ -142,3 +142,18 @@ def test_institution_and_transaction_readers(spark, tmp_dir):
     r = tx.collect()[0]
     assert r.originalamount == 1000.0 and r.projectfipscode_2010 == "21111000100"
     assert len(cdfi.INSTITUTION_TYPES.ljust(cdfi.INSTITUTION_WIDTH, "_")) == 203
+
+
+def test_write_many_and_na_roundtrip(spark, tmp_dir):
+    from pyspark.sql import types as T
+
+    from peerscope.sources.sinks import read_csv_na, write_many
+
+    a = spark.createDataFrame([("t1", 2017, 1.5), ("t2", 2017, None)], "tract string, year int, v double")
+    b = spark.createDataFrame([("A", 2017, None)], "neighborhood string, year int, v double")
+    write_many({"x_tract": a, "x_nh": b}, tmp_dir)
+    back = read_csv_na(spark, os.path.join(tmp_dir, "x_tract"), T.StructType(
+        [T.StructField("tract", T.StringType()), T.StructField("year", T.IntegerType()), T.StructField("v", T.DoubleType())]))
+    assert sorted((r.tract, r.v) for r in back.collect()) == [("t1", 1.5), ("t2", None)]
+    raw = "".join(open(os.path.join(tmp_dir, "x_nh", f)).read() for f in os.listdir(os.path.join(tmp_dir, "x_nh")) if f.endswith(".csv"))
+    assert "A,2017,NA" in raw
