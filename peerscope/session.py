@@ -36,16 +36,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     when it is unset (local tests) a private folder is created and set.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if not base and sc is not None:
+        base = sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="peerscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
     return base
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session (None for a remote session)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no local context
+        return None
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return shuffle_partitions(spark)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -55,7 +71,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def session_key(spark: SparkSession) -> str:
     """Identity of a running application (unlike ``id(spark)``, never reused
     by a later session in the same Python process)."""
-    return spark.sparkContext.applicationId
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", None) or f"session-{spark.sessionId if hasattr(spark, 'sessionId') else id(spark)}"
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

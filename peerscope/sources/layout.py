@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from peerscope.session import default_parallelism
+
 
 def spread(df: DataFrame, min_partitions: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
     """Spread a scan over ``min_partitions`` tasks when it has fewer splits.
@@ -20,7 +22,11 @@ def spread(df: DataFrame, min_partitions: int | None = None, keys: Sequence[str]
     round-robin), so a later join or aggregation on those keys reuses this
     partitioning rather than shuffling again.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    target = min_partitions or default_parallelism(df.sparkSession)
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (remote session): leave the scan as is
+        return df
+    if splits >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
