@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from peerscope.dims import Dimensions
 from peerscope.functions.nulls import exact, strict_mean, strict_sum
 from peerscope.operators.joins import bounded, join_dim, semi_filter
-from peerscope.session import ensure_checkpoint_dir
+from peerscope.operators.materialize import materialize
 
 
 def pull_peers(
@@ -107,8 +107,7 @@ def process_map(
     """
     keys, measures = list(keys), list(measures)
     # the tract panel feeds the tract layer and every area layer: write it once
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.select(unit, *keys, *measures).checkpoint(eager=True)
+    df = materialize(df.select(unit, *keys, *measures))
     xw = crosswalk.select(unit, "layer", "neighborhood", "population")
     tract_pop = xw.groupBy(unit).agg(F.max("population").alias("__pop"))
     area_pop = xw.groupBy("layer", "neighborhood").agg(F.sum("population").alias("__pop"))

@@ -13,13 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peerscope.operators.materialize import LOCAL_ROWS, local_copy
 from peerscope.session import session_key
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
-LOCAL_ROWS = 10_000
 
 _ROWS: dict[tuple[str, int], int] = {}
-_LOCAL: dict[tuple[str, int], DataFrame] = {}
 
 
 def row_count(df: DataFrame) -> int:
@@ -32,24 +31,11 @@ def row_count(df: DataFrame) -> int:
 
 
 def _tiny(dim: DataFrame) -> DataFrame | None:
-    """A local copy of ``dim`` if it has at most ``LOCAL_ROWS`` rows, else None.
-
-    Reads at most ``LOCAL_ROWS + 1`` rows (one bounded job, once per plan per
-    session).  Broadcasting a local relation needs no further Spark job; the
-    rows are the ones a broadcast would ship through the driver anyway.
-    """
-    key = (session_key(dim.sparkSession), dim.semanticHash())
-    if key in _LOCAL:
-        return _LOCAL[key]
-    if key in _ROWS and _ROWS[key] > LOCAL_ROWS:
-        return None
-    rows = dim.take(LOCAL_ROWS + 1)
-    if len(rows) > LOCAL_ROWS:
-        return None
-    _ROWS[key] = len(rows)
-    local = dim.sparkSession.createDataFrame(rows, dim.schema)
-    _LOCAL[key] = local
-    return local
+    """A local copy of a dimension with at most ``LOCAL_ROWS`` rows (else None),
+    remembered per plan for the application.  Broadcasting a local relation
+    needs no further Spark job; the rows are those a broadcast would ship
+    through the driver anyway."""
+    return local_copy(dim, LOCAL_ROWS, cache=True)
 
 
 def bounded(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from peerscope.functions.nulls import exact, ratio, strict_sum
 from peerscope.operators.joins import join_null_safe
 from peerscope.operators.order_stats import rank_all, rank_within
-from peerscope.session import ensure_checkpoint_dir
+from peerscope.operators.materialize import materialize
 
 
 def complete_panel(
@@ -29,8 +29,7 @@ def complete_panel(
     built it runs once.
     """
     if checkpoint:
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        df = materialize(df)
     times = df.select(F.array_sort(F.collect_set(time))).scalar()
     grid = df.select(entity).distinct().select(entity, F.explode(times).alias(time))
     out = join_null_safe(grid, df, [entity, time], how="left")

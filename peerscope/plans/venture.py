@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from peerscope.dims import Dimensions
 from peerscope.functions.nulls import ratio
+from peerscope.operators.materialize import materialize
 from peerscope.session import ensure_checkpoint_dir
 from peerscope.sources.delimited import drop_title_rows, read_delimited
 from peerscope.operators.geo import pull_peers
@@ -72,7 +73,7 @@ def deals_by_msa(deals: DataFrame, dims: Dimensions, base_year: int = 2018, exac
     # one pass over the deals: rows collapsed to (metro, year, size, n), written
     # once; counts, sums and the exact median all read that table
     sizes = df.groupBy("MSA", "year", "amount").agg(F.count(F.lit(1)).alias("n"))
-    sizes = sizes.checkpoint(eager=True)
+    sizes = materialize(sizes)
     amount = F.col("amount").cast(f"decimal({18 + exact_scale},{exact_scale})")
     stats = sizes.groupBy("MSA", "year").agg(
         F.sum("n").alias("deals"),

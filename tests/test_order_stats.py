@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from peerscope.operators.order_stats import exact_median, rank_all, rank_within
 
@@ -16,9 +17,13 @@ def _skewed_frame(spark, seed=7):
     return spark.createDataFrame(rows, "g string, v double"), pd.DataFrame(rows, columns=["g", "v"])
 
 
-def test_rank_within_matches_min_rank(spark):
+PATHS = pytest.mark.parametrize("local_rows", [0, 10_000], ids=["distributed", "local"])
+
+
+@PATHS
+def test_rank_within_matches_min_rank(spark, local_rows):
     df, pdf = _skewed_frame(spark)
-    got = rank_within(df, ["g"], "v", "rank").toPandas()
+    got = rank_within(df, ["g"], "v", "rank", local_rows=local_rows).toPandas()
     exp = pdf.copy()
     exp["rank"] = exp.groupby("g")["v"].rank(method="min", ascending=False)
     a = got.sort_values(["g", "v"], na_position="last").reset_index(drop=True)
@@ -29,16 +34,19 @@ def test_rank_within_matches_min_rank(spark):
     assert (a.loc[m, "rank"].astype(int).values == b.loc[m, "rank"].astype(int).values).all()
 
 
-def test_rank_all_ascending(spark):
-    df = spark.createDataFrame([(1, 5.0), (2, 3.0), (3, 5.0), (4, 1.0)], "k int, v double")
-    got = {r.k: r.rank for r in rank_all(df, "v", descending=False, out="rank").collect()}
+@PATHS
+def test_rank_all_ascending(spark, local_rows):
+    df = spark.createDataFrame([(1, 5.0), (2, 3.0), (3, 5.0), (4, 1.0), (5, None)], "k int, v double")
+    got = {r.k: r.rank for r in rank_all(df, "v", descending=False, out="rank", local_rows=local_rows).collect()}
+    assert got.pop(5) is None
     assert got == {4: 1, 2: 2, 1: 3, 3: 3}
 
 
-def test_exact_median_even_odd_and_null_groups(spark):
+@PATHS
+def test_exact_median_even_odd_and_null_groups(spark, local_rows):
     df, pdf = _skewed_frame(spark, seed=3)
     extra = spark.createDataFrame([("empty", None), ("even", 1.0), ("even", 4.0), ("odd", 2.0)], "g string, v double")
-    got = {r.g: r.median for r in exact_median(df.unionByName(extra), ["g"], "v").collect()}
+    got = {r.g: r.median for r in exact_median(df.unionByName(extra), ["g"], "v", local_rows=local_rows).collect()}
     for g, s in pdf.groupby("g")["v"]:
         assert got[g] == float(np.median(s.dropna().values))
     assert got["even"] == 2.5 and got["odd"] == 2.0 and "empty" not in got
@@ -53,19 +61,20 @@ from hypothesis import strategies as st
 def test_rank_and_median_properties(spark, rows):
     df = spark.createDataFrame([(g, None if v is None else float(v)) for g, v in rows], "g string, v double")
     pdf = pd.DataFrame(rows, columns=["g", "v"]).astype({"v": "float64"})
-    got = rank_within(df, ["g"], "v", "rank", checkpoint_input=False).toPandas()
+    got = rank_within(df, ["g"], "v", "rank", checkpoint_input=False, local_rows=0).toPandas()
     exp = pdf.assign(rank=pdf.groupby("g")["v"].rank(method="min", ascending=False))
     key = lambda f: sorted(zip(f["g"], f["v"].fillna(1e9), f["rank"].fillna(-1)))
     assert key(got) == key(exp)
-    med = {r.g: r.median for r in exact_median(df, ["g"], "v").collect()}
+    med = {r.g: r.median for r in exact_median(df, ["g"], "v", local_rows=0).collect()}
     for g, s in pdf.groupby("g")["v"]:
         vals = s.dropna()
         assert (g not in med) if vals.empty else med[g] == float(np.median(vals))
 
 
-def test_null_group_is_a_group(spark):
+@PATHS
+def test_null_group_is_a_group(spark, local_rows):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), (None, 2.0), ("a", 5.0)], "g string, v double")
-    ranks = sorted((r.g, r.v, r.rank) for r in rank_within(df, ["g"], "v", "rank").collect() if r.g is None)
+    ranks = sorted((r.g, r.v, r.rank) for r in rank_within(df, ["g"], "v", "rank", local_rows=local_rows).collect() if r.g is None)
     assert ranks == [(None, 1.0, 3), (None, 2.0, 2), (None, 3.0, 1)]
-    med = {r.g: r.median for r in exact_median(df, ["g"], "v").collect()}
+    med = {r.g: r.median for r in exact_median(df, ["g"], "v", local_rows=local_rows).collect()}
     assert med == {None: 2.0, "a": 5.0}
