@@ -291,19 +291,16 @@ def _once(spark: SparkSession, d: str, kind: str, write) -> str:
     return _WRITTEN[key]
 
 
-def write_cra_files_by_year(spark: SparkSession, d: str) -> str:
-    """The same records, one folder per year (``year=YYYY``): in name order
-    the first folders hold the old layout, the rest the new."""
+def write_cra_files(spark: SparkSession, d: str) -> str:
+    """Fixed-width records, one folder per year (``year=YYYY``): in name order
+    the first folders hold the old layout, the rest the new.  Read whole (a
+    per-line layout selector) or folder by folder (layout by position)."""
 
     def write(path: str) -> None:
         recs = cra_records(spark, d).withColumn("year", F.substring("value", 6, 4))
         recs.write.mode("overwrite").partitionBy("year").text(path)
 
-    return _once(spark, d, "cra_by_year", write)
-
-
-def write_cra_files(spark: SparkSession, d: str) -> str:
-    return _once(spark, d, "cra", lambda path: cra_records(spark, d).write.mode("overwrite").text(path))
+    return _once(spark, d, "cra", write)
 
 
 def giving_records(spark: SparkSession, d: str) -> DataFrame:
