@@ -40,8 +40,9 @@ BRACKETS = [
     "$200,000 or more",
 ]
 
-# fixed values: rank-chart labels and highlight colours
+# fixed values: rank-chart labels, the highlighted home city and colours
 METRIC_LABELS = {"donating_pct": "Percent of Residents Donating", "giving_pct_income": "Percent of Income Donated"}
+HOME_CITY = "Louisville"
 HOME_COLOR, OTHER_COLOR = "#00a9b7", "black"
 
 MEASURES = ["total_returns", "dollars_donated", "num_giving", "agi_amt", "number_itemized", "income_num", "income_amt"]
@@ -103,7 +104,7 @@ def giving_panel(
     )
 
 
-def ranks_long(panel: DataFrame, dims: Dimensions, agi: int = 7, home_city: str = "Louisville") -> DataFrame:
+def ranks_long(panel: DataFrame, dims: Dimensions, agi: int = 7, home_city: str = HOME_CITY) -> DataFrame:
     """Ranks on participation and on share of income given, one row per
     (city, year, metric), with the home city highlighted."""
     metrics = list(METRIC_LABELS)
