@@ -1,10 +1,10 @@
 """Cutting lineage: a bounded local copy, or a reliable checkpoint.
 
-A small result that is read several times (a panel of places x years, the
-distinct values of a rank) is cheapest as a local relation: one bounded
-``take`` (at most ``LOCAL_ROWS`` rows - the same rows a broadcast would ship
-through the driver), after which Spark plans it without further jobs.
-Anything larger is checkpointed to ``spark.checkpoint.dir`` instead.
+A result that is read several times (a panel of places x years, the
+distinct values of a rank) is checkpointed to ``spark.checkpoint.dir`` once;
+when small it is then taken as a local relation (one bounded ``take`` of at
+most ``LOCAL_ROWS`` rows from the checkpoint - the same rows a broadcast would
+ship through the driver), after which Spark plans it without further jobs.
 """
 
 from __future__ import annotations
@@ -45,11 +45,15 @@ def local_copy(df: DataFrame, max_rows: int = LOCAL_ROWS, cache: bool = False) -
 
 
 def materialize(df: DataFrame, max_rows: int = LOCAL_ROWS) -> DataFrame:
-    """Evaluate ``df`` once: a local copy when small, else a reliable checkpoint.
+    """Evaluate ``df`` exactly once: a reliable checkpoint, then - when it
+    holds at most ``max_rows`` rows - a local copy read from the checkpoint.
 
-    ``max_rows=0`` always checkpoints."""
-    local = local_copy(df, max_rows) if max_rows else None
-    if local is not None:
-        return local
+    Checkpointing first keeps a single evaluation of the upstream plan even
+    when the result turns out large (probing an aggregate with ``take`` would
+    run its whole shuffle, and the checkpoint would run it again).
+    ``max_rows=0`` returns the checkpoint.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    ck = df.checkpoint(eager=True)
+    local = local_copy(ck, max_rows) if max_rows else None
+    return local if local is not None else ck

@@ -14,8 +14,10 @@ ordering work is split across tasks instead:
 4. a window over ``(g, partition)`` - bounded by one range partition -
    adds the offset of earlier values inside the partition.
 
-When the distinct table is small (checked: at most ``LOCAL_ROWS`` rows), it is
-taken as a local relation and plain group windows do the same work.
+When the input is small (checked: at most ``LOCAL_ROWS`` rows, by a bounded
+``take`` of the input - pass inputs that end in an aggregation materialized,
+as ``rank_within`` does), it is taken as a local relation and plain group
+windows do the same work.
 
 The result is, for every distinct value, the number of rows of its group that
 come strictly before it in the chosen order.  Ranks and medians follow from
@@ -64,18 +66,21 @@ def prefix_counts(
     groups = list(groups)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    # probe the input (a scan or an already materialized frame, so the probe
+    # reads a few partitions): when it is small, so is its distinct table
+    small_input = local_copy(df, local_rows) if local_rows else None
+    source = small_input if small_input is not None else df
     distinct = (
-        df.filter(F.col(value).isNotNull())
+        source.filter(F.col(value).isNotNull())
         .groupBy(*groups, value)
         .agg((F.sum(weight) if weight else F.count(F.lit(1))).cast("long").alias(_N))
     )
-    small = local_copy(distinct, local_rows) if local_rows else None
-    if small is not None:
-        # checked bound: at most LOCAL_ROWS distinct values in all groups
-        # together, so group windows over the local copy are small
+    if small_input is not None:
+        # checked bound: at most LOCAL_ROWS input rows in all groups together,
+        # so group windows over them are small
         w_all = Window.partitionBy(*groups)
         w_before = w_all.orderBy(_order(value, descending)).rowsBetween(Window.unboundedPreceding, -1)
-        return small.withColumns(
+        return distinct.withColumns(
             {_BEFORE: F.coalesce(F.sum(_N).over(w_before), F.lit(0)), _TOTAL: F.sum(_N).over(w_all)}
         )
     # without an explicit count AQE may merge adjacent (small) ranges; merged
