@@ -157,3 +157,16 @@ def test_write_many_and_na_roundtrip(spark, tmp_dir):
     assert sorted((r.tract, r.v) for r in back.collect()) == [("t1", 1.5), ("t2", None)]
     raw = "".join(open(os.path.join(tmp_dir, "x_nh", f)).read() for f in os.listdir(os.path.join(tmp_dir, "x_nh")) if f.endswith(".csv"))
     assert "A,2017,NA" in raw
+
+
+def test_layout_by_record_length(spark, tmp_dir):
+    from peerscope.sources.fixed_width import layout_by_length
+
+    rec = {"table": "A1-1", "year": 2011, "FIPS": "21111", "MSA": "3114", "tract": "0001.00", "income_group": "001",
+           "geog_level": 200, "num_under_100k": 1, "amount_under_100k": 2, "num_100k_250k": 3, "amount_100k_250k": 4,
+           "num_250k_1m": 5, "amount_250k_1m": 6, "num_business_1m": 7, "amount_business_1m": 8}
+    p = os.path.join(tmp_dir, "mixed.dat")
+    with open(p, "w") as f:
+        f.write(_fw(rec, cra.OLD_LAYOUT) + "\n" + _fw(dict(rec, year=2016, MSA="31140"), cra.NEW_LAYOUT) + "\n")
+    out = cra.read_by_selector(spark, p, layout_by_length({91: "old", 116: "new"})).orderBy("year").collect()
+    assert [(r.year, r.MSA, r.amount_business_1m) for r in out] == [(2011.0, "3114", 8.0), (2016.0, "31140", 8.0)]
