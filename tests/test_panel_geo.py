@@ -120,3 +120,20 @@ def test_process_map_totals_and_weighted_mean(spark):
     wm = process_map(tracts, dims.crosswalk, ["v"], "x", method="mean")
     m = {(r.neighborhood, r.year): r.v for r in wm["x_nh"].collect()}
     assert m[("A", 2017)] == (10 * 1.0 + 30 * 3.0) / 40 and m[("B", 2017)] is None
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "x", "y"]), st.integers(2000, 2004), st.integers(0, 9)), min_size=1, max_size=25, unique_by=lambda t: (t[0], t[1])))
+def test_panel_invariants(spark, rows):
+    df = spark.createDataFrame([(e, y, float(v)) for e, y, v in rows], "e string, year int, x double")
+    full = complete_panel(df, "e", "year", {"x": 0.0}).collect()
+    ents, years = {r[0] for r in rows}, {r[1] for r in rows}
+    assert len(full) == len(ents) * len(years)  # panel size = entities x years
+    assert sum(r.x for r in full) == sum(v for _, _, v in rows)  # filling adds zeros only
+    merged = merge_entities(df, "e", ["x", "y"], ["x"]).collect()
+    assert sum(r.x for r in merged) == sum(v for _, _, v in rows)  # merge preserves totals
+    assert len({(r.e, r.year) for r in merged}) == len(merged)  # still one row per key
