@@ -1,3 +1,32 @@
 """DuckDB statements of the operators' queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_url_rules": """
+WITH cut AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut
+), rules AS (
+  SELECT * FROM (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')) r(h, p, v)
+), fits AS (
+  SELECT host, path, h || p AS rule, v, row_number() OVER (PARTITION BY host, path ORDER BY length(h || p) DESC) AS k
+  FROM (SELECT DISTINCT host, path FROM parts) u JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict
+FROM parts LEFT JOIN (SELECT * FROM fits WHERE k = 1) f USING (host, path)
+""",
+    "op9_warc": """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f
+""",
+}

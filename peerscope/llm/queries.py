@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.llm import bpe, secret_scan
+from peerscope.llm import bpe, secret_scan, url_filter, warc_archive
 from peerscope.llm.common import table
+from peerscope.session import scratch_path
+
+
+# fixed values: the url rules of the contract
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+
+
+def op1_url_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Host, path, longest fitting rule and verdict of every page."""
+    rules = url_filter.rules_frame(spark, URL_RULES)
+    return url_filter.filter_urls(table(spark, d, "pages").select("page_id", "url"), rules).drop("url")
 
 
 def op2_bpe(spark: SparkSession, d: str) -> DataFrame:
@@ -29,7 +40,17 @@ def op8_secrets(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_der", "n_jwt")
 
 
+def op9_warc(spark: SparkSession, d: str) -> DataFrame:
+    """Every page archived, read back and described by its reconstructed record."""
+    path = scratch_path(spark, "warc")
+    warc_archive.write_archive(table(spark, d, "pages"), path)
+    records = warc_archive.read_archive(spark, path)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_rules": op1_url_rules,
     "op2_bpe": op2_bpe,
     "op8_secrets": op8_secrets,
+    "op9_warc": op9_warc,
 }
