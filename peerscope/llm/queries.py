@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.llm import bpe, secret_scan, url_filter, warc_archive
+from peerscope.llm import bpe, quality_rules, secret_scan, url_filter, warc_archive
 from peerscope.llm.common import table
 from peerscope.session import scratch_path
 
@@ -34,6 +34,11 @@ def op2_bpe(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, d: str) -> DataFrame:
+    """Base statistics, likelihood-ratio score and verdict of every whole text."""
+    return quality_rules.judge(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 def op8_secrets(spark: SparkSession, d: str) -> DataFrame:
     """Counts, base digest and all spans of every whole text."""
     found = secret_scan.scan_secrets(table(spark, d, "documents"))
@@ -51,6 +56,7 @@ def op9_warc(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_bpe": op2_bpe,
+    "op5_quality": op5_quality,
     "op8_secrets": op8_secrets,
     "op9_warc": op9_warc,
 }
