@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.llm import bpe, quality_rules, secret_scan, url_filter, warc_archive
+from peerscope.llm import bpe, quality_rules, secret_scan, toxicity, url_filter, warc_archive
 from peerscope.llm.common import table
 from peerscope.session import scratch_path
 
@@ -53,10 +53,17 @@ def op9_warc(spark: SparkSession, d: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    """Expected severity and grade of every whole text."""
+    docs = table(spark, d, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, d, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_bpe": op2_bpe,
     "op5_quality": op5_quality,
     "op8_secrets": op8_secrets,
     "op9_warc": op9_warc,
+    "op10_toxicity": op10_toxicity,
 }
