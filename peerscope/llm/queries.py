@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.llm import bpe, quality_rules, secret_scan, toxicity, url_filter, warc_archive
+from peerscope.llm import bpe, ngram_jaccard, quality_rules, secret_scan, toxicity, url_filter, warc_archive
 from peerscope.llm.common import table
 from peerscope.session import scratch_path
 
@@ -34,6 +34,12 @@ def op2_bpe(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op3_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    """Shingle set size and link component of every whole text (3 words, similarity 0.9)."""
+    found = ngram_jaccard.link_components(table(spark, d, "documents"), ngram_jaccard.Threshold(90, 100, 3))
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op5_quality(spark: SparkSession, d: str) -> DataFrame:
     """Base statistics, likelihood-ratio score and verdict of every whole text."""
     return quality_rules.judge(table(spark, d, "documents"), table(spark, d, "labels"))
@@ -62,6 +68,7 @@ def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_bpe": op2_bpe,
+    "op3_jaccard": op3_jaccard,
     "op5_quality": op5_quality,
     "op8_secrets": op8_secrets,
     "op9_warc": op9_warc,
