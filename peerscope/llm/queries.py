@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.llm import bpe, ngram_jaccard, quality_rules, secret_scan, toxicity, url_filter, warc_archive
+from peerscope.llm import bpe, ngram_jaccard, quality_rules, secret_scan, substring_dedup, toxicity, url_filter, warc_archive
 from peerscope.llm.common import table
 from peerscope.session import scratch_path
 
@@ -45,6 +45,11 @@ def op5_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.judge(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+def op6_substrings(spark: SparkSession, d: str) -> DataFrame:
+    """Spans of every text that repeat an earlier ranked occurrence (runs of 20 words or more)."""
+    return substring_dedup.repeated_spans(table(spark, d, "documents"))
+
+
 def op8_secrets(spark: SparkSession, d: str) -> DataFrame:
     """Counts, base digest and all spans of every whole text."""
     found = secret_scan.scan_secrets(table(spark, d, "documents"))
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_jaccard": op3_jaccard,
     "op5_quality": op5_quality,
+    "op6_substrings": op6_substrings,
     "op8_secrets": op8_secrets,
     "op9_warc": op9_warc,
     "op10_toxicity": op10_toxicity,
