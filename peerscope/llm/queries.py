@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.llm import bpe, ngram_jaccard, quality_rules, secret_scan, substring_dedup, toxicity, url_filter, warc_archive
+from peerscope.llm import bpe, decontaminate, ngram_jaccard, quality_rules, secret_scan, substring_dedup, toxicity, url_filter, warc_archive
 from peerscope.llm.common import table
 from peerscope.session import scratch_path
 
@@ -40,6 +40,11 @@ def op3_jaccard(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
+def op4_leaks(spark: SparkSession, d: str) -> DataFrame:
+    """Every (document, benchmark item) leak with its span and kind."""
+    return decontaminate.find_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def op5_quality(spark: SparkSession, d: str) -> DataFrame:
     """Base statistics, likelihood-ratio score and verdict of every whole text."""
     return quality_rules.judge(table(spark, d, "documents"), table(spark, d, "labels"))
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_bpe": op2_bpe,
     "op3_jaccard": op3_jaccard,
+    "op4_leaks": op4_leaks,
     "op5_quality": op5_quality,
     "op6_substrings": op6_substrings,
     "op8_secrets": op8_secrets,
