@@ -2,18 +2,20 @@
 
 Texts link when num * |union| <= den * |intersection| of their shingle sets.
 
-1. Sketch.  In a size band whose pairs differ in at most d shingles, each
-   shingle flips one bit of a sketch of m > d 64-bit words.  Every shingle in
-   which two sets differ changes at most one bit, so the Hamming distance of
-   two sketches is no more than the symmetric difference.
-2. Pigeonhole.  At most d words differ, so at least m - d are equal: sets are
-   joined on (band, position, word).  m - d is one more than the zero words
-   that a set may leave out, so the many equal zero words need no join.
+1. Sketch.  In a size band whose pairs differ in at most d shingles, every
+   shingle belongs to one of m > d positions.  A set's sketch holds the parity
+   of its shingles at each of some bits, and at each position the XOR of its
+   shingles' hashes.  A shingle in which two sets differ changes at most one
+   bit and one position, so the Hamming distance of the bits, and the number
+   of unequal positions, are no more than the symmetric difference.
+2. Pigeonhole.  At most d positions differ, so at least m - d are equal: sets
+   are joined on (band, position, XOR).  m - d is one more than the empty
+   positions that a set may leave out, so those many equal ones need no join.
 3. Bands overlap: band k holds the sizes that a pair with its smaller set in
    [start_k, start_k+1) can have, so each linked pair shares a band.
 4. Pairs of a bucket that pass the size and Hamming bounds are candidates; of
-   a pair's common words only the first reports it (sets of over
-   ``FULL_WORDS`` words carry a folded sketch instead, and are made distinct).
+   a pair's common positions only the first reports it (sets of over
+   ``FULL_WORDS`` positions do not carry them; their pairs are made distinct).
 5. Candidates are verified on the whole texts' shingle sets, and components
    are contracted over the links of class representatives.
 
@@ -33,6 +35,7 @@ different members; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -45,10 +48,11 @@ from pyspark.sql import functions as F
 from peerscope.llm.common import saved
 from peerscope.llm.components import components
 from peerscope.llm.shingles import digest, shingle_set
+from peerscope.llm.streams import cells, shared_buckets, sorted_groups
 
 GROWTH = 1.25  # of band starts
 BLOCK = 2048  # sets of a bucket that are compared at once
-FULL_WORDS = 64
+FULL_WORDS = 64  # most positions, and most parity words, that a bucket row carries
 BROADCAST_IDS = 1_000_000
 SALT_PAIRS = 500  # candidates of one set that are verified in one group
 
@@ -70,44 +74,38 @@ class Threshold:
         return (a + b) * (self.den - self.num) // (self.den + self.num)
 
 
-@lru_cache(maxsize=64)
-def _band(t: Threshold, k: int) -> tuple[int, int, int, int]:
-    """(start, next start, words, zero words that may be left out) of band k."""
+@lru_cache(maxsize=256)
+def _band(t: Threshold, k: int) -> tuple[int, int, int, int, int]:
+    """(start, next start, positions, empty positions that may be left out, parity words) of band k."""
     start = 1 if k == 0 else _band(t, k - 1)[1]
     after = max(start + 1, int(start * GROWTH))
     d = t.apart(after - 1, t.partner(after - 1))
-    spare = 1 + d // 40
-    return start, after, d + 1 + spare if d else 0, spare
+    empty = 1.1 * (d + 1) * math.exp(-start / (1.1 * (d + 1)))  # as many as the smallest sets are likely to have
+    spare = math.ceil(empty + 4 * empty**0.5) + 1
+    return start, after, d + 1 + spare if d else 0, spare, min(FULL_WORDS, max(4, -(-after // 48)))
 
 
-def bands_of(t: Threshold, n: int) -> list[tuple[int, int, int]]:
-    """(band, words, spare) of each band with a place for sets of size n; bands whose pairs are equal sets have none."""
+def bands_of(t: Threshold, n: int) -> list[tuple[int, int, int, int]]:
+    """(band, positions, spare, parity words) of each band with a place for sets of size n; bands whose pairs are equal sets have none."""
     out, k = [], 0
     while n and (b := _band(t, k))[0] <= n:
         if b[2] and n <= t.partner(b[1] - 1):
-            out.append((k, b[2], b[3]))
+            out.append((k, *b[2:]))
         k += 1
     return out
 
 
-def sketch(hashes: np.ndarray, m: int) -> np.ndarray:
-    """Parity of the shingles at each of 64 m bits, as m words."""
-    place = ((hashes >> np.uint64(32)) % np.uint64(m)).astype(np.int64) * 64 + (hashes & np.uint64(63)).astype(np.int64)
-    odd = (np.bincount(place, minlength=64 * m) & 1).astype(np.uint8)
-    return np.packbits(odd, bitorder="little").view("<u8")
+def sketch(hashes: np.ndarray, m: int, parity_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """XOR of the hashes at each of m positions, and the shingles' parity at each of 64 parity_words bits."""
+    xors = np.zeros(m, np.uint64)
+    np.bitwise_xor.at(xors, ((hashes >> np.uint64(32)) % np.uint64(m)).astype(np.int64), hashes)
+    bits = 64 * parity_words
+    odd = (np.bincount((hashes % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
+    return xors, np.packbits(odd, bitorder="little").view("<u8")
 
 
-def folded(words: np.ndarray) -> np.ndarray:
-    """The sketch of FULL_WORDS words that longer ones give by XOR."""
-    if len(words) <= FULL_WORDS:
-        return words
-    padded = np.zeros(-(-len(words) // FULL_WORDS) * FULL_WORDS, np.uint64)
-    padded[: len(words)] = words
-    return np.bitwise_xor.reduce(padded.reshape(-1, FULL_WORDS), axis=0)
-
-
-_SETS = "doc_id long, n long, d1 long, d2 long, bands array<struct<band:int,spare_zeros:boolean,words:array<bigint>,fold:array<bigint>>>"
-_BANDS = pa.list_(pa.struct([("band", pa.int32()), ("spare_zeros", pa.bool_()), ("words", pa.list_(pa.int64())), ("fold", pa.list_(pa.int64()))]))
+_SETS = "doc_id long, n long, d1 long, d2 long, bands array<struct<band:int,spare_zeros:boolean,words:array<bigint>,parity:array<bigint>>>"
+_BANDS = pa.list_(pa.struct([("band", pa.int32()), ("spare_zeros", pa.bool_()), ("words", pa.list_(pa.int64())), ("parity", pa.list_(pa.int64()))]))
 
 
 def _sets(t: Threshold) -> Callable:
@@ -124,9 +122,9 @@ def _sets(t: Threshold) -> Callable:
                     if len(h) and d not in seen:
                         seen.add(d)
                         bands = []
-                        for k, m, spare in bands_of(t, len(h)):
-                            w = sketch(h, m)
-                            bands.append({"band": k, "spare_zeros": int((w == 0).sum()) <= spare, "words": w.view(np.int64), "fold": folded(w).view(np.int64)})
+                        for k, m, spare, bits in bands_of(t, len(h)):
+                            w, parity = sketch(h, m, bits)
+                            bands.append({"band": k, "spare_zeros": int((w == 0).sum()) <= spare, "words": w.view(np.int64), "parity": parity.view(np.int64)})
                     for column, x in zip(rows, (len(h), *d, bands)):
                         column.append(x)
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, pa.int64()) for x in rows[:3]), pa.array(rows[3], _BANDS)], names=["doc_id", "n", "d1", "d2", "bands"])
@@ -134,82 +132,37 @@ def _sets(t: Threshold) -> Callable:
     return run
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of buckets with two sets or more, with their block; rows come sorted by key."""
-    last, count, held = None, 0, None  # the open bucket: its key, its rows so far, its only row if there is one
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key, rid, at = (batch.column(i).to_numpy() for i in range(3))
-        starts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
-        lengths = np.diff(np.append(starts, len(key)))
-        before = np.zeros(len(starts), np.int64)
-        if key[0] == last:
-            before[0] = count
-        total = lengths + before
-        which = np.repeat(np.arange(len(starts)), lengths)
-        place = np.arange(len(key)) - starts[which] + before[which]
-        mask = total[which] >= 2
-        out = [key[mask], rid[mask], at[mask], place[mask] // BLOCK]
-        if key[0] == last and held is not None:
-            out = [np.concatenate([[h], o]) for h, o in zip((*held, 0), out)]
-        last, count = key[-1], int(total[-1])
-        held = (key[-1], rid[-1], at[-1]) if count == 1 else None
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int32())], names=["key", "rid", "at", "block"])
-
-
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Tables of the rows that agree in ``keys``, from batches sorted by them; the caller bounds their size."""
-    rest: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rest.append(batch)
-        table = pa.Table.from_batches(rest).combine_chunks()
-        change = np.zeros(table.num_rows, bool)
-        for k in keys:
-            x = table.column(k).to_numpy()
-            change[1:] |= x[1:] != x[:-1]
-        cuts = np.concatenate([[0], np.flatnonzero(change)])
-        for a, b in zip(cuts, cuts[1:]):
-            yield table.slice(a, b - a)
-        rest = table.slice(cuts[-1]).to_batches()
-    if rest:
-        yield pa.Table.from_batches(rest)
-
-
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     lists = column.combine_chunks()
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-    return lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(lists), -1)
+    flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    return flat.reshape(len(lists), len(flat) // len(lists))
 
 
 def _near(t: Threshold) -> Callable:
     """Candidate pairs (a < b) of each cell: rows of one block, or of one block against those of another."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in _groups(batches, ["key", "i", "j"]):
+        for g in sorted_groups(batches, ["key", "i", "j"]):
             i, j, at = g["i"][0].as_py(), g["j"][0].as_py(), g["at"][0].as_py() & 0xFFFFF
             block, rid, n = g["block"].to_numpy(), g["rid"].to_numpy(), g["n"].to_numpy()
-            words, m, spare = _matrix(g["fold"]), g["m"].to_numpy()[0], g["spare_zeros"].to_numpy()
+            words, parity, spare = _matrix(g["words"]), _matrix(g["parity"]), g["spare_zeros"].to_numpy()
             left = np.flatnonzero(block == i)
             right = left if i == j else np.flatnonzero(block == j)
-            full = m == words.shape[1]
             out: list[np.ndarray] = []
             for x in left:
                 y = right[right > x] if i == j else right
                 y = y[(t.partner(np.minimum(n[x], n[y])) >= np.maximum(n[x], n[y])) & (rid[y] != rid[x])]
                 if not len(y):
                     continue
-                differ = words[y] ^ words[x]
-                y_near = np.bitwise_count(differ).sum(1) <= t.apart(n[x], n[y])
-                if full and y_near.any():
-                    equal = differ[y_near] == 0
-                    equal &= (words[x] != 0) | (~spare[x] & ~spare[y[y_near]])[:, None]
-                    keep = equal.argmax(1) == at
-                    y_near[np.flatnonzero(y_near)[~keep]] = False
-                if y_near.any():
-                    z = rid[y[y_near]]
+                y = y[np.bitwise_count(parity[y] ^ parity[x]).sum(1) <= t.apart(n[x], n[y])]
+                if len(y) and words.shape[1]:
+                    equal = words[y] == words[x]
+                    differ = words.shape[1] - equal.sum(1)
+                    equal &= (words[x] != 0) | (~spare[x] & ~spare[y])[:, None]
+                    y = y[(equal.argmax(1) == at) & (differ <= t.apart(n[x], n[y]))]
+                if len(y):
+                    z = rid[y]
                     out.append(np.stack([np.minimum(z, rid[x]), np.maximum(z, rid[x])], 1))
             if out:
                 p = np.concatenate(out)
@@ -281,15 +234,12 @@ def candidate_pairs(sets: DataFrame, t: Threshold) -> DataFrame:
     by_band = leaders.select("rid", F.explode("bands").alias("s"))
     by_word = by_band.select("rid", F.col("s.band").alias("band"), F.col("s.spare_zeros").alias("spare_zeros"), F.posexplode("s.words").alias("place", "word"))
     rows = by_word.filter("word <> 0 or not spare_zeros").select(F.xxhash64("band", "place", "word").alias("key"), "rid", F.expr("shiftleft(band, 20) | place").alias("at"))
-    met = rows.repartition("key").sortWithinPartitions("key", "rid").mapInArrow(_buckets, "key long, rid long, at int, block int")
+    met = rows.repartition("key").sortWithinPartitions("key", "rid").mapInArrow(shared_buckets(BLOCK), "key long, rid long, at int, block int")
     met = saved(met, "jaccard-buckets")
-    most = met.filter("block > 0").groupBy("key").agg(F.max("block").alias("most"))
-    cells = met.join(most, "key", "left").withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("most", F.lit(0)))))
-    cells = cells.select("key", "rid", "at", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     folds = _chosen(sets.filter("bands is not null").select("rid", "n", "bands"), saved(met.select("rid").distinct(), "jaccard-met"), ["rid"])
-    folds = folds.select("rid", "n", F.explode("bands").alias("s")).select("rid", "n", F.col("s.band").alias("band"), "s.spare_zeros", F.size("s.words").alias("m"), "s.fold")
-    rich = cells.withColumn("band", F.expr("shiftright(at, 20)")).join(folds, ["rid", "band"])
-    rich = rich.select("key", "i", "j", "block", "at", "rid", "n", "m", "spare_zeros", "fold").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    folds = folds.select("rid", "n", F.explode("bands").alias("s")).select("rid", "n", F.col("s.band").alias("band"), "s.spare_zeros", F.when(F.size("s.words") <= FULL_WORDS, F.col("s.words")).otherwise(F.array().cast("array<bigint>")).alias("words"), "s.parity")
+    rich = cells(met).withColumn("band", F.expr("shiftright(at, 20)")).join(folds, ["rid", "band"])
+    rich = rich.select("key", "i", "j", "block", "at", "rid", "n", "spare_zeros", "words", "parity").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return saved(rich.mapInArrow(_near(t), "a long, b long").distinct(), "jaccard-candidates")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.llm import bpe, decontaminate, ngram_jaccard, quality_rules, secret_scan, substring_dedup, toxicity, url_filter, warc_archive
+from peerscope.llm import bpe, decontaminate, line_dedup, ngram_jaccard, quality_rules, secret_scan, substring_dedup, toxicity, url_filter, warc_archive
 from peerscope.llm.common import table
 from peerscope.session import scratch_path
 
@@ -55,6 +55,13 @@ def op6_substrings(spark: SparkSession, d: str) -> DataFrame:
     return substring_dedup.repeated_spans(table(spark, d, "documents"))
 
 
+def op7_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of every text that repeat an earlier ranked line, exactly or within two edits."""
+    found = line_dedup.repeated_lines(table(spark, d, "documents"))
+    span = lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["stop"].cast("string"))
+    return found.select("doc_id", "n_lines", "n_exact", "n_near", F.array_join(F.transform("removed", span), ",").alias("removed"))
+
+
 def op8_secrets(spark: SparkSession, d: str) -> DataFrame:
     """Counts, base digest and all spans of every whole text."""
     found = secret_scan.scan_secrets(table(spark, d, "documents"))
@@ -82,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_leaks": op4_leaks,
     "op5_quality": op5_quality,
     "op6_substrings": op6_substrings,
+    "op7_lines": op7_lines,
     "op8_secrets": op8_secrets,
     "op9_warc": op9_warc,
     "op10_toxicity": op10_toxicity,
