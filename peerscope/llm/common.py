@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from peerscope.session import scratch_path
 
@@ -21,3 +22,22 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Most key rows (a few longs each, so some tens of MB) that are broadcast; beyond it the join is shuffled.
+BROADCAST_KEYS = 1_000_000
+
+
+def small_enough(keys: DataFrame) -> DataFrame:
+    """``keys`` (narrow rows, already written) with a broadcast hint if they are at most BROADCAST_KEYS."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
+def keyed_rows(docs: DataFrame, keys: DataFrame, *, keep: bool, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` whose id (and ``text_hash``, if ``keys`` has it) is among ``keys``, or is not."""
+    names = {c: f"_key_{c}" for c in ("doc_id", "text_hash") if c in keys.columns}
+    k = small_enough(saved(keys.select(*(F.col(c).alias(n) for c, n in names.items())).distinct(), "keys"))
+    on = docs[id_col].cast("long").eqNullSafe(k["_key_doc_id"])
+    if "text_hash" in names:
+        on = on & F.xxhash64(docs[text_col].cast("string")).eqNullSafe(k["_key_text_hash"])
+    return docs.join(k, on, "left_semi" if keep else "left_anti")

@@ -236,9 +236,9 @@ def _find(items_of, coverage: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(items_of.value)
         for batch in batches:
-            rows = [(doc.as_py(), *x) for doc, text in zip(batch.column(0), batch.column(1)) for x in leaks(text.as_py(), items, coverage)]
-            names = ["doc_id", "item_id", "start", "stop", "coverage", "kind"]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.string()]
+            rows = [(doc, text_hash, *x) for doc, text, text_hash in zip(*(c.to_pylist() for c in batch.columns)) for x in leaks(text, items, coverage)]
+            names = ["doc_id", "text_hash", "item_id", "start", "stop", "coverage", "kind"]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
     return run
@@ -261,13 +261,18 @@ def item_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str =
         yield block
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, *, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, item_id, start, stop, coverage, kind) of every leak; spans in code points, end exclusive."""
+def find_leaks(docs: DataFrame, benchmark: DataFrame, *, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text", with_hash: bool = False) -> DataFrame:
+    """(doc_id, item_id, start, stop, coverage, kind) of every leak; spans in code points, end exclusive.
+
+    ``with_hash`` adds ``text_hash`` (xxhash64 of the text), which tells rows that share an id apart.
+    """
     spark = docs.sparkSession
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    schema = "doc_id long, item_id long, start long, stop long, coverage double, kind string"
+    text = docs[text_col].cast("string")
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    schema = "doc_id long, text_hash long, item_id long, start long, stop long, coverage double, kind string"
     found = None
     for block in item_blocks(benchmark):
         part = rows.mapInArrow(_find(spark.sparkContext.broadcast(block), coverage), schema)
         found = part if found is None else found.unionByName(part)
-    return found if found is not None else spark.createDataFrame([], schema)
+    found = found if found is not None else spark.createDataFrame([], schema)
+    return found if with_hash else found.drop("text_hash")

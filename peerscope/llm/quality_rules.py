@@ -46,9 +46,10 @@ def _repeated_words(windows: Column) -> Column:
 
 
 def base_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed)."""
+    """(doc_id, text_hash, words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
     rows = rows.withColumn("words", words(F.col("text")))
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.regexp_like(x, F.lit("[^\\x20\\x09-\\x0D]")))
     rows = rows.withColumns({"lines": lines, "n": F.size("words")})
@@ -61,6 +62,7 @@ def base_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeated = F.when(F.size(F.array_distinct("windows")) == F.size("windows"), F.lit(0).cast("long")).otherwise(_repeated_words(F.col("windows")))
     rows = rows.select(
         "doc_id",
+        "text_hash",
         "words",
         F.col("n").cast("long").alias("n_words"),
         F.aggregate("words", F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("word_chars"),
@@ -102,12 +104,15 @@ def likelihood_model(docs: DataFrame, labels: DataFrame, *, buckets: int, truste
 
 
 def judge(
-    docs: DataFrame, labels: DataFrame, *, buckets: int = 65_536, trusted_docs: int = 20_000, prior: float = 20.0, threshold: float = -0.1, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, labels: DataFrame, *, buckets: int = 65_536, trusted_docs: int = 20_000, prior: float = 20.0, threshold: float = -0.1, id_col: str = "doc_id", text_col: str = "text", with_hash: bool = False
 ) -> DataFrame:
-    """One row per row of ``docs``: the base statistics, ``score`` (millionths per n-gram) and ``kept``."""
+    """One row per row of ``docs``: the base statistics, ``score`` (millionths per n-gram) and ``kept``.
+
+    ``with_hash`` adds ``text_hash`` (xxhash64 of the text), which tells rows that share an id apart.
+    """
     model = saved(likelihood_model(docs, labels, buckets=buckets, trusted_docs=trusted_docs, prior=prior, id_col=id_col, text_col=text_col), "quality-model")
     stats = base_statistics(docs, id_col, text_col)
-    keys = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    keys = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", *["text_hash"] * with_hash]
     stats = stats.withColumns({"n": F.col("n_words").cast("int"), "row": F.monotonically_increasing_id()})  # within this one job
     rows = stats.select(
         *keys, "row", F.explode_outer(ngram_buckets(F.col("words"), F.col("n"), buckets)).alias("bucket")
