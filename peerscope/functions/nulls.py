@@ -26,11 +26,18 @@ def _c(c: ColumnOrName) -> Column:
 
 
 def exact(c: ColumnOrName, scale: int | None) -> Column:
-    """Cast to a decimal of the given scale (None keeps the type)."""
+    """Cast to a decimal of the given scale (None keeps the type).
+
+    The scale is the caller's: a value keeps ``scale`` decimals and up to
+    ``28 - scale`` digits before the point, which leaves a sum ten more; a
+    larger one raises.  Without a scale, doubles of any size are summed.
+    """
     c = _c(c)
     if scale is None:
         return c
-    return c.cast(f"decimal({min(18 + scale, 38)},{scale})")
+    if not 0 <= scale <= 18:
+        raise ValueError("scale must be within 0 and 18")
+    return c.cast(f"decimal(28,{scale})")
 
 
 def _sum(c: Column, scale: int | None) -> Column:

@@ -26,7 +26,7 @@ def replace_first(c, pattern: str, replacement: str, literal: bool = False) -> C
     instead of ``ST`` followed by any character.
     """
     pat = _java_quote(pattern) if literal else pattern
-    return F.regexp_replace(_c(c), f"^(.*?){pat}", "$1" + _repl_escape(replacement))
+    return F.regexp_replace(_c(c), f"(?s)^(.*?)(?:{pat})", "$1" + _repl_escape(replacement))
 
 
 def remove_first(c, pattern: str, literal: bool = False) -> Column:
@@ -49,9 +49,12 @@ def split_into(c, sep: str, n: int, cast: str | None = None) -> list[Column]:
 
 
 def parse_number(c) -> Column:
-    """Lenient number parse: first number in the text, grouping commas dropped."""
-    num = F.regexp_extract(_c(c).cast("string"), r"-?[0-9][0-9,]*\.?[0-9]*", 0)
-    return F.replace(num, F.lit(","), F.lit("")).try_cast("double")
+    """Lenient number parse: the text as a number (with sign, leading point or
+    exponent) or else the first number in it, grouping commas dropped."""
+    text = F.trim(_c(c).cast("string"))
+    plain = F.when(text.rlike(r"^[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?$"), text.try_cast("double"))
+    num = F.regexp_extract(text, r"[-+]?(?:[0-9][0-9,]*\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?", 0)
+    return F.coalesce(plain, F.replace(num, F.lit(","), F.lit("")).try_cast("double"))
 
 
 def null_if(c, sentinel: str) -> Column:
@@ -76,6 +79,3 @@ def two_digit_year(c, pivot: int = 84) -> Column:
     y = _c(c)
     return if_else(y >= pivot, y + 1900, y + 2000)
 
-
-def fips_from_tract(tract, width: int = 5) -> Column:
-    return F.substring(_c(tract), 1, width)

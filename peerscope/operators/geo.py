@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from peerscope.dims import Dimensions
 from peerscope.functions.nulls import exact, strict_mean, strict_sum
-from peerscope.operators.joins import bounded, join_dim, semi_filter
+from peerscope.operators.joins import join_dim, semi_filter
 from peerscope.operators.materialize import materialize
 
 
@@ -94,11 +94,16 @@ def process_map(
     pop_adjust: bool = True,
     layers: Sequence[str] = ("nh", "muw"),
     exact_scale: int | None = None,
+    weight_scale: int = 6,
 ) -> dict[str, DataFrame]:
     """Tract panel to the tract layer and each neighborhood layer.
 
     * ``sum``: area value = sum of its tracts (strict).
-    * ``mean``: population-weighted mean of the tracts with a value.
+    * ``mean``: population-weighted mean of the tracts with a value; weights
+      and weighted values are both summed at ``weight_scale`` decimals (as
+      doubles if ``exact_scale`` is None).
+    * tracts that a layer of the crosswalk lacks make up its area null, so
+      every layer adds up to the tracts.
     * ``pop_adjust``: adds ``<measure>_pp`` = value / area population, where
       the area population is that of all its tracts in the crosswalk.
 
@@ -112,18 +117,15 @@ def process_map(
     tract_pop = xw.groupBy(unit).agg(F.max("population").alias("__pop"))
     area_pop = xw.groupBy("layer", "neighborhood").agg(F.sum("population").alias("__pop"))
 
-    joined = df.select(unit, *keys, *measures).join(bounded(xw), on=unit, how="inner")
+    by_layer = df.withColumn("layer", F.explode(F.array(*[F.lit(x) for x in layers])))
+    joined = by_layer.join(xw, on=[unit, "layer"], how="left")
     if method == "sum":
         aggs = [strict_sum(m, exact_scale).alias(m) for m in measures]
     elif method == "mean":
         w = F.col("population")
-        aggs = [
-            F.try_divide(
-                F.sum(exact(w, 0) * exact(F.col(m), exact_scale)).cast("double"),
-                F.sum(F.when(F.col(m).isNotNull(), w)).cast("double"),
-            ).alias(m)
-            for m in measures
-        ]
+        scale = None if exact_scale is None else weight_scale
+        total = lambda x: F.sum(exact(x, scale)).cast("double")
+        aggs = [F.try_divide(total(w * F.col(m)), total(F.when(F.col(m).isNotNull(), w))).alias(m) for m in measures]
     else:
         raise ValueError(f"unknown method {method!r}")
     areas = joined.groupBy("layer", "neighborhood", *keys).agg(*aggs)

@@ -1,64 +1,23 @@
-"""Joins against dimension tables, with a checked broadcast.
+"""Joins against dimension tables, unions of panels, null-safe joins.
 
-A dimension is broadcast only after its row count has been measured and found
-under ``max_rows``; beyond that the join is left to the planner (shuffle join,
-AQE may still switch it at run time).  Counts are cached by the semantic hash
-of the plan, so a dimension (or the same projection of it) is counted once per
-session however many joins use it.
+How a join runs is left to the planner and to AQE, which broadcast a side only
+below their byte thresholds (estimated, then measured) and split skewed
+partitions otherwise.  Nothing is remembered between calls, so a dimension
+that was overwritten is read anew.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.operators.materialize import LOCAL_ROWS, local_copy
-from peerscope.session import session_key
-
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-_ROWS: dict[tuple[str, int], int] = {}
-
-
-def row_count(df: DataFrame) -> int:
-    """Row count, measured once per distinct plan in a session."""
-    key = (session_key(df.sparkSession), df.semanticHash())
-    n = _ROWS.get(key)
-    if n is None:
-        n = _ROWS[key] = df.count()
-    return n
-
-
-def _tiny(dim: DataFrame) -> DataFrame | None:
-    """A local copy of a dimension with at most ``LOCAL_ROWS`` rows (else None),
-    remembered per plan for the application.  Broadcasting a local relation
-    needs no further Spark job; the rows are those a broadcast would ship
-    through the driver anyway."""
-    return local_copy(dim, LOCAL_ROWS, cache=True)
 
-
-def bounded(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(dim)`` if it holds at most ``max_rows`` rows, else ``dim``.
-
-    Tiny dimensions are broadcast from a local copy.
-    """
-    local = _tiny(dim)
-    if local is not None:
-        return F.broadcast(local)
-    return F.broadcast(dim) if row_count(dim) <= max_rows else dim
-
-
-def join_dim(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: str | Sequence[str],
-    how: str = "left",
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
+def join_dim(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
     """Join a fact table to a dimension on equal keys (USING semantics)."""
     on = [on] if isinstance(on, str) else list(on)
-    return fact.join(bounded(dim, max_rows), on=on, how=how)
+    return fact.join(dim, on=on, how=how)
 
 
 def semi_filter(df: DataFrame, keys: DataFrame, on: str | Sequence[str], anti: bool = False) -> DataFrame:
@@ -106,9 +65,3 @@ def bind_panels(a: DataFrame, b: DataFrame, keys: Sequence[str] | None = None) -
             raise ValueError("panels share no columns to join on")
     return a.join(b, on=list(keys), how="full")
 
-
-def attach_scalar(df: DataFrame, value_df: DataFrame, name: str) -> DataFrame:
-    """Add a one-value aggregate as a constant column (scalar subquery, no join)."""
-    if len(value_df.columns) != 1:
-        raise ValueError("value_df must have exactly one column")
-    return df.withColumn(name, value_df.scalar())

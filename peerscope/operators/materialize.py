@@ -1,59 +1,18 @@
-"""Cutting lineage: a bounded local copy, or a reliable checkpoint.
-
-A result that is read several times (a panel of places x years, the
-distinct values of a rank) is checkpointed to ``spark.checkpoint.dir`` once;
-when small it is then taken as a local relation (one bounded ``take`` of at
-most ``LOCAL_ROWS`` rows from the checkpoint - the same rows a broadcast would
-ship through the driver), after which Spark plans it without further jobs.
-"""
+"""Cutting lineage with a reliable checkpoint."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from peerscope.session import ensure_checkpoint_dir, session_key
-
-LOCAL_ROWS = 10_000
-
-_ROWS: dict[tuple[str, int], int] = {}
-_LOCAL: dict[tuple[str, int], DataFrame] = {}
-
-
-def local_copy(df: DataFrame, max_rows: int = LOCAL_ROWS, cache: bool = False) -> DataFrame | None:
-    """``df`` as a local relation if it has at most ``max_rows`` rows, else None.
-
-    Reads at most ``max_rows + 1`` rows.  With ``cache`` the copy (or the
-    fact that the frame is larger) is remembered per plan for the
-    application - used for dimension tables.
-    """
-    key = (session_key(df.sparkSession), df.semanticHash()) if cache else None
-    if key is not None:
-        if key in _LOCAL:
-            return _LOCAL[key]
-        if _ROWS.get(key, 0) > max_rows:
-            return None
-    rows = df.take(max_rows + 1)
-    if len(rows) > max_rows:
-        if key is not None:
-            _ROWS[key] = len(rows)
-        return None
-    local = df.sparkSession.createDataFrame(rows, df.schema)
-    if key is not None:
-        _ROWS[key] = len(rows)
-        _LOCAL[key] = local
-    return local
+from peerscope.session import ensure_checkpoint_dir
 
 
-def materialize(df: DataFrame, max_rows: int = LOCAL_ROWS) -> DataFrame:
-    """Evaluate ``df`` exactly once: a reliable checkpoint, then - when it
-    holds at most ``max_rows`` rows - a local copy read from the checkpoint.
+def materialize(df: DataFrame) -> DataFrame:
+    """Evaluate ``df`` once, into ``spark.checkpoint.dir``.
 
-    Checkpointing first keeps a single evaluation of the upstream plan even
-    when the result turns out large (probing an aggregate with ``take`` would
-    run its whole shuffle, and the checkpoint would run it again).
-    ``max_rows=0`` returns the checkpoint.
+    For a result that is read several times (a panel of places x years, the
+    distinct values of a rank): the plan that built it runs once, and a lost
+    executor costs a read of shared files.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    ck = df.checkpoint(eager=True)
-    local = local_copy(ck, max_rows) if max_rows else None
-    return local if local is not None else ck
+    return df.checkpoint(eager=True)

@@ -15,7 +15,7 @@ from peerscope.operators.panel import cond_mean
 def price_factors(cpi: DataFrame, base_year: int, time: str = "year") -> DataFrame:
     """``(year, factor)`` with factor = cpi[base_year] / cpi[year]."""
     base = cpi.filter(F.col(time) == base_year).select(F.max("cpi")).scalar()
-    return cpi.select(time, (base / F.col("cpi")).alias("__factor"))
+    return cpi.select(time, F.try_divide(base, F.col("cpi")).alias("__factor"))
 
 
 def deflate(df: DataFrame, cols: Sequence[str], cpi: DataFrame, base_year: int = 2018, time: str = "year") -> DataFrame:
@@ -48,9 +48,11 @@ def per_n(col: str, pop: str, n: float = 100000.0):
     return ratio(col, pop) * n
 
 
-def scale_to_home(df: DataFrame, col: str, entity: str, home: str, out: str, pop: str = "population") -> DataFrame:
-    """``col * population of the home entity`` (a scalar subquery on ``df``)."""
-    home_pop = df.filter(F.col(entity) == home).select(F.max(pop)).scalar()
+def scale_to_home(
+    df: DataFrame, col: str, entity: str, home: str, out: str, population: DataFrame, pop: str = "population"
+) -> DataFrame:
+    """``col * population of the home entity``, a scalar looked up in the ``population`` dimension."""
+    home_pop = population.filter(F.col(entity) == home).select(F.max(pop)).scalar()
     return df.withColumn(out, F.col(col) * home_pop)
 
 

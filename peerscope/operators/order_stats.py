@@ -14,11 +14,6 @@ ordering work is split across tasks instead:
 4. a window over ``(g, partition)`` - bounded by one range partition -
    adds the offset of earlier values inside the partition.
 
-When the input is small (checked: at most ``LOCAL_ROWS`` rows, by a bounded
-``take`` of the input - pass inputs that end in an aggregation materialized,
-as ``rank_within`` does), it is taken as a local relation and plain group
-windows do the same work.
-
 The result is, for every distinct value, the number of rows of its group that
 come strictly before it in the chosen order.  Ranks and medians follow from
 that without ever holding a whole group in one task.
@@ -32,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from peerscope.operators.joins import join_null_safe
-from peerscope.operators.materialize import LOCAL_ROWS, local_copy, materialize
+from peerscope.operators.materialize import materialize
 from peerscope.session import ensure_checkpoint_dir
 
 _PID = "__pid"
@@ -53,7 +48,6 @@ def prefix_counts(
     descending: bool = False,
     partitions: int | None = None,
     weight: str | None = None,
-    local_rows: int = LOCAL_ROWS,
 ) -> DataFrame:
     """Distinct ``(groups, value)`` with ``__n`` (rows with that value),
     ``__before`` (rows of the group strictly earlier in the order) and
@@ -61,28 +55,15 @@ def prefix_counts(
 
     Null values are left out.  ``weight`` names a column holding how many
     rows each input row stands for (input already collapsed by value).
-    ``local_rows`` bounds the small (local) path; 0 always distributes.
     """
     groups = list(groups)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    # probe the input (a scan or an already materialized frame, so the probe
-    # reads a few partitions): when it is small, so is its distinct table
-    small_input = local_copy(df, local_rows) if local_rows else None
-    source = small_input if small_input is not None else df
     distinct = (
-        source.filter(F.col(value).isNotNull())
+        df.filter(F.col(value).isNotNull())
         .groupBy(*groups, value)
         .agg((F.sum(weight) if weight else F.count(F.lit(1))).cast("long").alias(_N))
     )
-    if small_input is not None:
-        # checked bound: at most LOCAL_ROWS input rows in all groups together,
-        # so group windows over them are small
-        w_all = Window.partitionBy(*groups)
-        w_before = w_all.orderBy(_order(value, descending)).rowsBetween(Window.unboundedPreceding, -1)
-        return distinct.withColumns(
-            {_BEFORE: F.coalesce(F.sum(_N).over(w_before), F.lit(0)), _TOTAL: F.sum(_N).over(w_all)}
-        )
     # without an explicit count AQE may merge adjacent (small) ranges; merged
     # partitions are still contiguous ranges, so partition order = value order
     order = [*[F.col(g) for g in groups], _order(value, descending)]
@@ -119,31 +100,29 @@ def rank_within(
     out: str = "rank",
     descending: bool = True,
     checkpoint_input: bool = True,
-    local_rows: int = LOCAL_ROWS,
 ) -> DataFrame:
     """SQL ``RANK()`` of ``value`` inside each group (ties share the lowest
     rank, gaps follow).  Rows with a null value get a null rank.
 
     The input is read twice (value counts, then the join back); with
-    ``checkpoint_input`` it is evaluated once (``materialize``: a local copy
-    when small, else a checkpoint) so the plan that produced it - typically
-    a large aggregation - runs only once.
+    ``checkpoint_input`` it is checkpointed, so the plan that produced it -
+    typically a large aggregation - runs only once.
     """
     groups = list(groups)
     if checkpoint_input:
-        df = materialize(df, local_rows)
-    ranks = prefix_counts(df, groups, value, descending, local_rows=local_rows).select(
+        df = materialize(df)
+    ranks = prefix_counts(df, groups, value, descending).select(
         *groups, value, (F.col(_BEFORE) + 1).cast("int").alias(out)
     )
     return join_null_safe(df, ranks, [*groups, value], "left")
 
 
 def rank_all(
-    df: DataFrame, value: str, out: str = "rank", descending: bool = True, local_rows: int = LOCAL_ROWS
+    df: DataFrame, value: str, out: str = "rank", descending: bool = True, checkpoint_input: bool = True
 ) -> DataFrame:
     """Rank over the whole frame (no grouping) without a single-task window."""
     key = "__all"
-    ranked = rank_within(df.withColumn(key, F.lit(0)), [key], value, out, descending, local_rows=local_rows)
+    ranked = rank_within(df.withColumn(key, F.lit(0)), [key], value, out, descending, checkpoint_input)
     return ranked.drop(key)
 
 
@@ -153,14 +132,13 @@ def exact_median(
     value: str,
     out: str = "median",
     weight: str | None = None,
-    local_rows: int = LOCAL_ROWS,
 ) -> DataFrame:
     """Exact median per group, nulls skipped: the middle value, or the mean of
     the two middle values for an even count.  Groups whose values are all
     null are absent from the result (join back with ``how='left'``).
     """
     groups = list(groups)
-    pc = prefix_counts(df, groups, value, weight=weight, local_rows=local_rows)
+    pc = prefix_counts(df, groups, value, weight=weight)
     lo = F.floor((F.col(_TOTAL) + 1) / 2)
     hi = F.floor(F.col(_TOTAL) / 2) + 1
     hit = lambda k: (F.col(_BEFORE) < k) & (k <= F.col(_BEFORE) + F.col(_N))

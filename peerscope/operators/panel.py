@@ -22,6 +22,7 @@ def complete_panel(
 ) -> DataFrame:
     """One row for every (entity, time) seen anywhere in ``df``.
 
+    A null time is a time (and a null entity an entity), so no row is lost.
     The set of times is one small array computed as a scalar subquery; each
     entity is expanded over it (no join of two large tables).  ``fill``
     replaces missing and null measure values.  The panel is read three times
@@ -30,8 +31,8 @@ def complete_panel(
     """
     if checkpoint:
         df = materialize(df)
-    times = df.select(F.array_sort(F.collect_set(time))).scalar()
-    grid = df.select(entity).distinct().select(entity, F.explode(times).alias(time))
+    times = df.select(F.collect_set(F.struct(F.col(time).alias("t")))).scalar()  # a struct is kept when its field is null
+    grid = df.select(entity).distinct().select(entity, F.explode(times).alias("__t")).select(entity, F.col("__t.t").alias(time))
     out = join_null_safe(grid, df, [entity, time], how="left")
     if fill:
         out = out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fill.items()})
@@ -72,13 +73,13 @@ def share_of_group(df: DataFrame, keys: Sequence[str], measure: str, out: str, e
 def rolling_mean(
     df: DataFrame, entity: str, measure: str, n: int = 3, time: str = "year", align: str = "right", out: str | None = None
 ) -> DataFrame:
-    """Mean of ``n`` consecutive rows per entity; null unless all ``n`` exist.
+    """Mean over ``n`` consecutive years per entity; null unless all ``n`` have a value.
 
     ``align`` is "right" (trailing, default), "center" or "left".  The window
     holds one entity's years, so its size is bounded by the calendar.
     """
     lo, hi = {"right": (-(n - 1), 0), "center": (-(n // 2), n - 1 - n // 2), "left": (0, n - 1)}[align]
-    w = Window.partitionBy(entity).orderBy(time).rowsBetween(lo, hi)
+    w = Window.partitionBy(entity).orderBy(F.col(time).cast("long")).rangeBetween(lo, hi)
     value = F.when(F.count(measure).over(w) == n, F.avg(measure).over(w))
     return df.withColumn(out or measure, value)
 
@@ -152,8 +153,11 @@ def rank_table(
 
         avg = df.filter(F.col(time).isin(list(years))).groupBy(entity).agg(strict_mean(metric).alias(metric))
         return rank_all(avg, metric, out, descending)
-    y = F.lit(year) if year is not None else df.select(F.max(time)).scalar()
-    return rank_all(df.filter(F.col(time) == y), metric, out, descending)
+    if year is not None:
+        return rank_all(df.filter(F.col(time) == year), metric, out, descending)
+    df = materialize(df)  # read for its latest year and for its rows: evaluated once
+    latest = df.select(F.max(time)).scalar()
+    return rank_all(df.filter(F.col(time) == latest), metric, out, descending, checkpoint_input=False)
 
 
 def rank_by(

@@ -9,6 +9,7 @@ floating-point sum differs between engines in the last bit).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +26,9 @@ from peerscope.plans import cdfi, cra, giving, sba, spending, venture
 from peerscope.plans import standins as S
 from peerscope.plans.reports import map_layers, real_series
 from peerscope.session import scratch_path
-from peerscope.sources.delimited import drop_title_rows, read_delimited
+from peerscope.sources.delimited import read_delimited
 from peerscope.sources.fixed_width import layout_by_year
-from peerscope.sources.sinks import read_csv_na, write_csv_na, write_table
+from peerscope.sources.sinks import read_csv_na, read_table, write_csv_na, write_many, write_table
 
 MIN_YEAR = 1996
 TX_MIN_YEAR = 1997
@@ -98,6 +99,31 @@ def q05_bind_inferred_keys(spark: SparkSession, d: str) -> DataFrame:
     return both.select("zip", "year", "sba_loan", "total_loan", "total_504", "sba_loan_pp", "total_loan_pp", "total_504_pp")
 
 
+def _sba_results(spark, d):
+    """Both programs' panels under the published names, through ``sba.combine``."""
+    dims = S.dimensions(spark, d)
+    both = {"sba_loan_7a": "SBAGuaranteedApproval", "total_loan_7a": "GrossApproval"}
+    one = {"total_loan_504": "GrossApproval"}
+    a = sba.clean_loans(S.sba_7a_raw(spark, d), dims, both, min_year=MIN_YEAR)
+    b = sba.clean_loans(S.sba_504_raw(spark, d), dims, one, min_year=MIN_YEAR)
+    return sba.combine(
+        sba.county_panel(a, dims, list(both), S.BASE_YEAR, S.MERGED_PAIR),
+        sba.county_panel(b, dims, list(one), S.BASE_YEAR, S.MERGED_PAIR, complete=True),
+        sba.zip_panel(a, dims, list(both), S.HOME, S.BASE_YEAR),
+        sba.zip_panel(b, dims, list(one), S.HOME, S.BASE_YEAR),
+    )
+
+
+def q05_combined_results(spark: SparkSession, d: str) -> DataFrame:
+    """The loan analysis end to end: both result sets written under their names and read back."""
+    path = scratch_path(spark, "sba_results")
+    results = _sba_results(spark, d)
+    write_many(results, path, fmt="parquet")
+    county = read_table(spark, f"{path}/sba_county").withColumnRenamed("FIPS", "place").withColumn("result", F.lit("sba_county"))
+    zips = read_table(spark, f"{path}/sba_zip").withColumnRenamed("zip", "place").withColumn("result", F.lit("sba_zip"))
+    return county.unionByName(zips)
+
+
 # ------------------------------------------------------------ lenders
 
 
@@ -323,34 +349,57 @@ def q26_csv_na_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q26_table_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    path = scratch_path(spark, "table")
-    write_table(q01_county_panel(spark, d), path=path, partition_by=["year"])
-    return spark.read.parquet(path).select("FIPS", "year", "sba_loan", "total_loan", "sba_loan_pp", "total_loan_pp")
+    name = f"peerscope_county_{uuid.uuid4().hex}"
+    write_table(q01_county_panel(spark, d), name=name, partition_by=["year"])
+    return read_table(spark, name=name).select("FIPS", "year", "sba_loan", "total_loan", "sba_loan_pp", "total_loan_pp")
+
+
+def _sheet_columns() -> list:
+    return [
+        F.col("l_orderkey").cast("string").alias("l_orderkey"),
+        F.col("l_linenumber").cast("string").alias("l_linenumber"),
+        F.col("l_quantity").cast("string").alias("l_quantity"),
+        F.concat(F.lit("$"), F.format_number("l_extendedprice", 2)).alias("price"),
+        F.col("l_returnflag"),
+        F.col("l_linestatus"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate"),
+        F.col("l_tax").cast("string").alias("l_tax"),
+        F.col("l_discount").cast("string").alias("l_discount"),
+        F.col("l_suppkey").cast("string").alias("l_suppkey"),
+    ]
 
 
 def q27_delimited_pruned_scan(spark: SparkSession, d: str) -> DataFrame:
-    """A spreadsheet-style export (title lines, header line, formatted money)
-    read with a compact type string; skipped columns are never parsed."""
-    li = S.table(spark, d, "lineitem")
-    names = ["l_orderkey", "l_linenumber", "l_quantity", "price", "l_returnflag", "l_linestatus", "l_shipdate", "l_tax", "l_discount", "l_suppkey"]
-    data = li.select(
-        F.col("l_orderkey").cast("string"),
-        F.col("l_linenumber").cast("string"),
-        F.col("l_quantity").cast("string"),
-        F.concat(F.lit("$"), F.format_number("l_extendedprice", 2)),
-        "l_returnflag",
-        "l_linestatus",
-        F.date_format("l_shipdate", "yyyy-MM-dd"),
-        F.col("l_tax").cast("string"),
-        F.col("l_discount").cast("string"),
-        F.col("l_suppkey").cast("string"),
-    ).toDF(*names)
-    titles = spark.createDataFrame([("Line item export",), ("All amounts in dollars",)], ["l_orderkey"])
-    header = spark.createDataFrame([tuple(names)], names)
-    sheet = titles.unionByName(header, allowMissingColumns=True).unionByName(data, allowMissingColumns=True)
-    path = S._once(spark, d, "sheet", lambda p: sheet.write.mode("overwrite").option("header", False).csv(p))
-    back = read_delimited(spark, path, "nidnc_D___", names=names, header=False)
-    return drop_title_rows(back, ["l_orderkey", "l_linenumber"])
+    """Files with a header line and formatted money, read with a compact type
+    string; skipped columns are never parsed."""
+    data = S.table(spark, d, "lineitem").select(*_sheet_columns())
+    path = S._once(spark, d, "sheet", lambda p: data.write.mode("overwrite").option("header", True).csv(p))
+    return read_delimited(spark, path, "nidnc_D___")
+
+
+def q27_export_keeps_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Exports with two title lines above the header (one file for each line
+    number), US dates, missing dates, ``NA`` codes and numbers with exponents:
+    every data line is a row."""
+    li = S.table(spark, d, "lineitem").withColumn("k", F.col("l_linenumber"))
+    row = F.struct(
+        F.col("l_orderkey").cast("string").alias("a"),
+        F.col("l_linenumber").cast("string").alias("b"),
+        F.when(F.col("l_linenumber") == 3, F.lit("")).otherwise(F.date_format("l_shipdate", "MM/dd/yyyy")).alias("c"),
+        F.when(F.col("l_suppkey") % 5 == 0, F.lit("NA")).otherwise(F.col("l_suppkey").cast("string")).alias("d"),
+        F.when(F.col("l_linenumber") == 2, F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit("E6"))).otherwise(F.concat(F.lit("."), F.col("l_quantity").cast("int").cast("string"))).alias("e"),
+    )
+    data = li.select("k", F.lit(3).alias("place"), F.to_csv(row).alias("value"))
+    tops = F.explode(F.array(*[F.struct(F.lit(i).alias("place"), F.lit(t).alias("value")) for i, t in enumerate(["Line items", "All amounts in dollars", "order,line,shipped,supplier,amount"])]))
+    top = li.select("k").distinct().select("k", tops.alias("t")).select("k", "t.place", "t.value")
+
+    def write(path: str) -> None:
+        sheet = data.unionByName(top).repartition("k").sortWithinPartitions("k", "place")
+        sheet.select("k", "value").write.mode("overwrite").partitionBy("k").text(path)
+
+    path = S._once(spark, d, "exports", write)
+    back = read_delimited(spark, path, "niDcn", skip=2, date_format="MM/dd/yyyy")
+    return back.select("order", "line", "shipped", "supplier", "amount")
 
 
 def q28_label_text(spark: SparkSession, d: str) -> DataFrame:

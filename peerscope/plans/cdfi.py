@@ -72,21 +72,8 @@ def clean_transactions(raw: DataFrame, dims: Dimensions, min_year: int = 2000, p
     df = df.filter(F.col("year") >= min_year)
     t00 = pad_left(null_if("projectfipscode_2000", "NONE"), 11)
     t10 = pad_left(null_if("projectfipscode_2010", "NONE"), 11)
-    df = df.withColumns({"projectfipscode_2000": t00, "projectfipscode_2010": t10})
-    df = df.withColumns(
-        {
-            "FIPS_00": F.substring("projectfipscode_2000", 1, 5),
-            "FIPS_10": F.substring("projectfipscode_2010", 1, 5),
-        }
-    )
-    df = df.withColumns(
-        {
-            "FIPS": F.coalesce("FIPS_10", "FIPS_00"),
-            "tract_10": F.col("projectfipscode_2010"),
-            "tract_00": F.col("projectfipscode_2000"),
-            "purpose": recode("purpose", PURPOSE_RECODE),
-        }
-    )
+    county = F.substring(F.coalesce(t10, t00), 1, 5)
+    df = df.withColumns({"FIPS": county, "tract_10": t10, "tract_00": t00, "purpose": recode("purpose", PURPOSE_RECODE)})
     return pull_peers(df, dims, geog="MSA", entity="FIPS")
 
 

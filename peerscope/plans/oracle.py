@@ -51,14 +51,14 @@ def code(x: str, w: int = 5) -> str:
 HOME, MERGED = "'00011'", "('00007', '00018')"
 
 DIMS = f"""
-cpi AS (SELECT CAST(range AS INTEGER) AS year, CAST(100 + 2.5 * (range - 1995) AS DOUBLE) AS cpi FROM range(1990, 2031)),
+cpi AS (SELECT CAST(range AS INTEGER) AS year, CAST(100 + 2.5 * (range - 1995) AS DOUBLE) AS cpi FROM range(1960, 2201)),
 fac AS (SELECT year, (SELECT cpi FROM cpi WHERE year = 2000) / cpi AS factor FROM cpi),
 pop_n AS (SELECT {code('n_nationkey')} AS FIPS, {code('n_regionkey')} AS MSA, CAST(y.range AS INTEGER) AS year,
-          CAST(100000 + 1000 * n_nationkey + 250 * (y.range - 1995) AS DOUBLE) AS population FROM nation, range(1990, 2031) y),
+          CAST(100000 + 1000 * n_nationkey + 250 * (y.range - 1995) AS DOUBLE) AS population FROM nation, range(1960, 2201) y),
 pop_fips AS (SELECT FIPS, year, population FROM pop_n
              UNION ALL SELECT 'MERGED', year, sum(population) FROM pop_n WHERE FIPS IN {MERGED} GROUP BY year),
 pop_msa AS (SELECT MSA, year, sum(population) AS population FROM pop_n GROUP BY MSA, year),
-pop_msa_latest AS (SELECT MSA, population FROM pop_msa WHERE year = 2030),
+pop_msa_latest AS (SELECT MSA, population FROM pop_msa WHERE year = 2200),
 peers AS (SELECT {code('n_nationkey')} AS FIPS, 'CITY_' || CAST(n_nationkey AS VARCHAR) AS city, CAST(n_nationkey % 2 AS INTEGER) AS current
           FROM nation WHERE n_nationkey % 4 <> 1 UNION ALL SELECT 'MERGED', 'CITY_MERGED', 1),
 peer_msa AS (SELECT {code('r_regionkey')} AS MSA FROM region WHERE r_regionkey <> 3),
@@ -254,10 +254,7 @@ SQL["q12_cra_msa"] = w(DIMS, CRA) + "," + _cra_panel(
     "WHERE cra.geog_level = 200 AND cra.FIPS IN (SELECT FIPS FROM msa_counties WHERE MSA IN (SELECT MSA FROM peer_msa))",
     "pop_msa",
 )
-_wm = lambda m: (
-    f"CAST(sum(CAST(x.population AS DECIMAL(18,0)) * CAST(t.{m} AS DECIMAL(22,4))) AS DOUBLE) "
-    f"/ NULLIF(sum(CASE WHEN t.{m} IS NOT NULL THEN x.population END), 0) AS {m}"
-)
+_wm = lambda m: f"sum(x.population * t.{m}) / nullif(sum(CASE WHEN t.{m} IS NOT NULL THEN x.population END), 0) AS {m}"
 SQL["q13_crosswalk_weighted_mean"] = w(DIMS, CRA, f"""
 t AS (SELECT '00011' || replace(tract, '.', '') AS tract, year, {ssum('amount_business_1m')} AS amount_business_1m, {ssum('all_sb_loans')} AS all_sb_loans
       FROM cra WHERE geog_level IS NULL AND FIPS = {HOME} AND year >= 1996 GROUP BY 1, year),
@@ -283,7 +280,7 @@ dl AS (SELECT mz.MSA, CAST(year(o_orderdate) AS INTEGER) AS year,
        CASE WHEN o_orderkey % 10 = 0 OR (year(o_orderdate) = 2001 AND c_nationkey % 5 = 4) THEN NULL ELSE o_totalprice END AS amount
        FROM oc LEFT JOIN msa_zips mz ON lpad(CAST(c_custkey % 97 AS VARCHAR), 5, '0') = mz.zip),
 st AS (SELECT MSA, year, count(*) AS deals, count(amount) AS deals_amount,
-       coalesce(CAST(sum(CAST(amount AS DECIMAL(22,4))) AS DOUBLE), 0.0) * 1000000 AS total_dollars
+       coalesce(CAST(sum(CAST(amount * 1000000 AS DECIMAL(28,4))) AS DOUBLE), 0.0) AS total_dollars
        FROM dl WHERE MSA IS NOT NULL GROUP BY MSA, year),
 rk AS (SELECT MSA, year, amount, row_number() OVER (PARTITION BY MSA, year ORDER BY amount) AS rn,
        count(*) OVER (PARTITION BY MSA, year) AS n FROM dl WHERE MSA IS NOT NULL AND amount IS NOT NULL),
@@ -373,3 +370,15 @@ r AS (SELECT FIPS, total_loan_pp, {rank_desc('total_loan_pp')} AS rank FROM c7 W
 s AS (SELECT r.FIPS, p.city, r.rank, {_sig} AS sig, r.total_loan_pp FROM r LEFT JOIN peers p ON r.FIPS = p.FIPS)
 SELECT FIPS, city, rank, sig AS value_sig4, {dollar_text('sig', 1)} AS value_text, {pct_text('total_loan_pp / 10')} AS pct_text,
        concat_ws(' - ', city, CAST(rank AS VARCHAR)) AS label FROM s"""
+
+SQL["q27_export_keeps_rows"] = """
+SELECT CAST(l_orderkey AS DOUBLE) AS "order", CAST(l_linenumber AS INTEGER) AS line,
+       CASE WHEN l_linenumber = 3 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS shipped,
+       CASE WHEN l_suppkey % 5 = 0 THEN NULL ELSE CAST(l_suppkey AS VARCHAR) END AS supplier,
+       CASE WHEN l_linenumber = 2 THEN CAST(l_quantity AS INTEGER) * 1000000.0
+            ELSE CAST('0.' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS DOUBLE) END AS amount
+FROM lineitem"""
+_named = "sba_loan AS sba_loan_7a, total_loan AS total_loan_7a, total_504 AS total_loan_504, sba_loan_pp AS sba_loan_7a_pp, total_loan_pp AS total_loan_7a_pp, total_504_pp AS total_loan_504_pp"
+SQL["q05_combined_results"] = f"""
+SELECT 'sba_county' AS result, FIPS AS place, year, {_named} FROM ({SQL["q05_bind_panels"]})
+UNION ALL SELECT 'sba_zip' AS result, zip AS place, year, {_named} FROM ({SQL["q05_bind_inferred_keys"]})"""

@@ -1,4 +1,4 @@
-"""Report tables: ranks, trends, real-dollar series and binned map layers."""
+"""Report tables: real-dollar series and binned map layers."""
 
 from __future__ import annotations
 
@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.functions.format import bin_values
-from peerscope.operators.joins import join_dim
+from peerscope.operators.joins import join_dim, join_null_safe
 from peerscope.operators.metrics import price_factors
-from peerscope.operators.panel import rank_table, trend  # noqa: F401  (re-exported)
 
 # fixed values: map class edges for per-resident dollars
 MAP_BINS = [0, 50, 100, 250, 500, 1000, 3500]
@@ -37,7 +36,7 @@ def map_layers(
     frames = []
     for layer, df in layers.items():
         vals = df.filter(F.col("year") == year).select("area", metric)
-        out = join_dim(areas[layer].select("area"), vals, "area", how="left")
+        out = join_null_safe(areas[layer].select("area"), vals, ["area"], how="left")
         frames.append(out.withColumn("layer", F.lit(layer)).withColumn("bin", bin_values(F.col(metric), edges)))
     res = frames[0]
     for f in frames[1:]:

@@ -14,7 +14,7 @@ from peerscope.operators.geo import pull_peers, relabel_entity
 from peerscope.operators.joins import bind_panels, join_dim, semi_filter
 from peerscope.operators.metrics import deflate, per_capita
 from peerscope.operators.panel import complete_panel
-from peerscope.sources.delimited import read_delimited
+from peerscope.sources.delimited import header_names, read_delimited
 
 # fixed values: home county and the county pair reported as one entity
 HOME = "21111"
@@ -26,13 +26,22 @@ MERGED_PAIR = ("29189", "29510")
 LOAN_TYPES_7A = "__" + "ccccc" + "_" * 5 + "dd" + "D" + "_" * 10 + "cc" + "_" * 9
 
 
-def read_loans(spark: SparkSession, path: str, col_types: str = LOAN_TYPES_7A) -> DataFrame:
+def read_loans(spark: SparkSession, path: str, col_types: str = LOAN_TYPES_7A, date_format: str | None = None) -> DataFrame:
     """Loan records exported from the program workbooks as delimited text.
 
-    Only the typed columns are parsed; names come from the header.  (The
-    504 export is read with its own type string.)
+    Only the typed columns are parsed; names come from the header.
     """
-    return read_delimited(spark, path, col_types)
+    return read_delimited(spark, path, col_types, date_format=date_format)
+
+
+# fixed values: the columns of the 504 export that the analysis uses, and their types
+COLUMNS_504 = {"BorrZip": "c", "GrossApproval": "n", "ApprovalDate": "D", "ProjectCounty": "c", "ProjectState": "c"}
+
+
+def read_loans_504(spark: SparkSession, path: str, date_format: str | None = None) -> DataFrame:
+    """The 504 export, its columns chosen by header name wherever they stand."""
+    types = "".join(COLUMNS_504.get(c, "_") for c in header_names(spark, path))
+    return read_delimited(spark, path, types, date_format=date_format).select(*COLUMNS_504)
 
 
 def county_join_table(counties: DataFrame, literal_dot: bool = False) -> DataFrame:

@@ -9,7 +9,8 @@ same tables into the shared checkpoint folder and read back.
 Mapping (all ids are text, zero padded):
 
 * county ``FIPS`` = nation key (5 digits); metro ``MSA`` = region key;
-* zip = customer key mod 97; tract = home county + customer key mod 10^6;
+* zip = customer key mod 97; tract = home county + the last six digits of the
+  customer key (customers that share them share a tract);
 * year = year of the order date; home county 00011, merged pair 00007+00018;
 * peers: nations with key mod 4 <> 1 plus ``MERGED``; current = key mod 2;
 * population = 100000 + 1000 * nation + 250 * (year - 1995); price index
@@ -27,7 +28,6 @@ from peerscope.dims import Dimensions
 from peerscope.operators.joins import join_dim
 from peerscope.plans import cdfi
 from peerscope.session import scratch_path, session_key
-from peerscope.sources.layout import spread
 
 HOME = "00011"
 MERGED_PAIR = ("00007", "00018")
@@ -37,27 +37,18 @@ BASE_YEAR = 2000
 LAYOUT_SWITCH_YEAR = 1998
 BRACKET_SPLIT_YEAR = 1998
 FIRST_YEAR = 1995
-CALENDAR = (1990, 2030)
+CALENDAR = (1960, 2200)  # years of the stand-in population and price tables
 
 
 _TABLES: dict[tuple[str, str, str], DataFrame] = {}
-# fact tables and the key they are joined on (see ``spread``)
-FACT_TABLES = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """The driver's table (file listing and footers read once per session).
-
-    The fact tables are spread over the cluster's cores when stored in too
-    few splits (see ``sources.layout.spread``), hash-partitioned on the order
-    key so the lineitem-orders join needs no further shuffle; the scan keeps
-    its column pruning and filter pushdown (projections and filters reach
-    the Parquet reader below the exchange).
-    """
+    """The driver's table (file listing and footers read once per session)."""
     key = (session_key(spark), d, name)
     if key not in _TABLES:
         df = spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
-        _TABLES[key] = spread(df, keys=[FACT_TABLES[name]]) if name in FACT_TABLES else df
+        _TABLES[key] = df
     return _TABLES[key]
 
 

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerscope.dims import Dimensions
-from peerscope.functions.nulls import ratio
+from peerscope.functions.nulls import exact, ratio
 from peerscope.operators.materialize import materialize
 from peerscope.session import ensure_checkpoint_dir
-from peerscope.sources.delimited import drop_title_rows, read_delimited
+from peerscope.sources.delimited import read_delimited
 from peerscope.operators.geo import pull_peers
 from peerscope.operators.joins import join_dim
 from peerscope.operators.metrics import deflate, per_capita, per_n, scale_to_home
@@ -23,25 +23,13 @@ HOME_MSA = "31140"
 DEAL_TYPES = "ccccDdcc"
 
 
-def read_export(spark: SparkSession, path: str, col_types: str, required: list[str]) -> DataFrame:
-    """A data-provider export with title lines above the header.
+# fixed value: title lines above the header of an export
+EXPORT_SKIP = 7
 
-    Read as delimited text with the header line among the data; the title
-    and header lines fail the typed parse of ``required`` and are dropped.
-    """
-    names = header_row_names(spark, path)
-    df = read_delimited(spark, path, col_types, names=names, header=False)
-    return drop_title_rows(df, required)
-
-
-def header_row_names(spark: SparkSession, path: str, peek: int = 50) -> list[str]:
-    """Column names of an export: among its first ``peek`` lines (title lines
-    and the header), the line with the most fields.  Reads only those lines."""
-    import csv
 
-    first = [r.value for r in spark.read.text(path).take(peek)]
-    rows = [next(csv.reader([line])) for line in first if line.strip()]
-    return [c.strip() for c in max(rows, key=len)]
+def read_export(spark: SparkSession, path: str, col_types: str = DEAL_TYPES, skip: int = EXPORT_SKIP, date_format: str | None = None) -> DataFrame:
+    """A data-provider export with ``skip`` title lines above the header; every data line is a row."""
+    return read_delimited(spark, path, col_types, skip=skip, date_format=date_format)
 
 
 def headquarters_by_msa(companies: DataFrame, dims: Dimensions, home: str = HOME_MSA) -> DataFrame:
@@ -53,7 +41,7 @@ def headquarters_by_msa(companies: DataFrame, dims: Dimensions, home: str = HOME
     counts = df.groupBy("MSA").agg(F.count(F.lit(1)).alias("fortune_1000"))
     counts = per_capita(counts, ["fortune_1000"], dims.pop_latest("MSA"), "MSA", time=None, keep_pop=True)
     counts = pull_peers(counts, dims, "MSA")
-    return scale_to_home(counts, "fortune_1000_pp", "MSA", home, "fortune_1000_per_lou")
+    return scale_to_home(counts, "fortune_1000_pp", "MSA", home, "fortune_1000_per_lou", dims.pop_latest("MSA"))
 
 
 def deals_by_msa(deals: DataFrame, dims: Dimensions, base_year: int = 2018, exact_scale: int = 4) -> DataFrame:
@@ -61,6 +49,7 @@ def deals_by_msa(deals: DataFrame, dims: Dimensions, base_year: int = 2018, exac
 
     ``Deal Size`` is in millions and may be missing: counts include every
     deal, money statistics skip missing sizes (0 dollars when all are missing).
+    Sizes become dollars before they are rounded to ``exact_scale`` decimals.
     """
     ensure_checkpoint_dir(deals.sparkSession)
     df = deals.select(
@@ -74,11 +63,11 @@ def deals_by_msa(deals: DataFrame, dims: Dimensions, base_year: int = 2018, exac
     # once; counts, sums and the exact median all read that table
     sizes = df.groupBy("MSA", "year", "amount").agg(F.count(F.lit(1)).alias("n"))
     sizes = materialize(sizes)
-    amount = F.col("amount").cast(f"decimal({18 + exact_scale},{exact_scale})")
+    dollars = exact(F.col("amount") * 1000000, exact_scale)
     stats = sizes.groupBy("MSA", "year").agg(
         F.sum("n").alias("deals"),
         F.sum(F.when(F.col("amount").isNotNull(), F.col("n"))).alias("deals_amount"),
-        (F.coalesce(F.sum(amount * F.col("n")).cast("double"), F.lit(0.0)) * 1000000).alias("total_dollars"),
+        F.coalesce(F.sum(dollars * F.col("n").cast("decimal(10,0)")).cast("double"), F.lit(0.0)).alias("total_dollars"),
     )
     stats = stats.withColumn("deals_amount", F.coalesce("deals_amount", F.lit(0)))
     stats = stats.withColumn("avg_deal", ratio("total_dollars", "deals_amount"))

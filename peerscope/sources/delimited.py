@@ -7,30 +7,25 @@ A type string assigns one letter per column, in file order:
 ``_`` or ``-`` skip.
 
 Every column is declared (no inference pass over the data).  Skipped columns
-are never selected, so the CSV parser does not convert them.
+are never selected, so the CSV parser does not convert them.  The texts in
+``null_values`` are missing values in every column, and a value that does not
+parse is null; no row is dropped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peerscope.functions.text import parse_number
 
-_TYPES = {
-    "c": T.StringType(),
-    "n": T.StringType(),  # parsed after the scan
-    "d": T.DoubleType(),
-    "i": T.IntegerType(),
-    "D": T.DateType(),
-    "T": T.TimestampType(),
-    "l": T.BooleanType(),
-    "_": T.StringType(),
-    "-": T.StringType(),
-}
+#: Texts that stand for a missing value.
+NULL_VALUES = ("", "NA")
+
+_CASTS = {"d": "double", "i": "int", "D": "date", "T": "timestamp", "l": "boolean"}
 
 
 def header_names(spark: SparkSession, path: str | Sequence[str], sep: str = ",") -> list[str]:
@@ -38,6 +33,35 @@ def header_names(spark: SparkSession, path: str | Sequence[str], sep: str = ",")
     return spark.read.option("header", True).option("sep", sep).csv(path).columns
 
 
+def null_texts(c: Column, null_values: Sequence[str] = NULL_VALUES) -> Column:
+    return F.when(~F.trim(c).isin(list(null_values)), c)
+
+
+def _typed(name: str, kind: str, null_values: Sequence[str], date_format: str | None) -> Column:
+    text = null_texts(F.col(f"`{name}`"), null_values)
+    if kind == "c":
+        return text
+    if kind == "n":
+        return parse_number(text)
+    if date_format and kind in "DT":
+        return F.try_to_timestamp(F.trim(text), F.lit(date_format)).cast(_CASTS[kind])
+    return F.trim(text).try_cast(_CASTS[kind])
+
+
+def _all_names(col_types: str, names: Sequence[str]) -> tuple[str, list[str]]:
+    """The type string and one name per column; names may be given for the kept columns only."""
+    names = list(names)
+    if len(col_types) < len(names):
+        col_types += "_" * (len(names) - len(col_types))
+    if len(col_types) != len(names):
+        kept = [t for t in col_types if t not in "_-"]
+        if len(names) != len(kept):
+            raise ValueError(f"{len(col_types)} types for {len(names)} columns")
+        it = iter(names)
+        names = [next(it) if t not in "_-" else f"_skip{i}" for i, t in enumerate(col_types)]
+    return col_types, names
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -45,42 +69,57 @@ def read_delimited(
     names: Sequence[str] | None = None,
     header: bool = True,
     sep: str = ",",
-    null_value: str | None = None,
-    pad: bool = True,
+    null_values: Sequence[str] = NULL_VALUES,
+    skip: int = 0,
+    date_format: str | None = None,
 ) -> DataFrame:
     """Read delimited files with a compact type string.
 
-    ``names`` supplies the names of all columns (otherwise the header's).
-    With ``pad`` a type string shorter than the number of columns is padded
-    with skips, as readr does.
+    ``names`` supplies the names of all columns, or of the kept ones (otherwise
+    the header's).  A type string shorter than the number of columns is padded
+    with skips.  ``skip`` lines at the top of each file (titles above the
+    header) are passed over by their position; ``date_format`` is the pattern
+    of date and time columns.  Names that come from the header are checked
+    against the header of every file.
     """
     col_types = col_types.replace(" ", "")
-    all_names = list(names) if names is not None else header_names(spark, path, sep)
-    if len(col_types) < len(all_names) and pad:
-        col_types = col_types + "_" * (len(all_names) - len(col_types))
-    if len(col_types) != len(all_names):
-        if names is not None and len(names) == len([t for t in col_types if t not in "_-"]):
-            # names given for the kept columns only
-            it = iter(names)
-            all_names = [next(it) if t not in "_-" else f"_skip{i}" for i, t in enumerate(col_types)]
-        else:
-            raise ValueError(f"{len(col_types)} types for {len(all_names)} columns")
-    schema = T.StructType([T.StructField(n, _TYPES[t], True) for n, t in zip(all_names, col_types)])
-    reader = spark.read.schema(schema).option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
-    if null_value is not None:
-        reader = reader.option("nullValue", null_value)
-    df = reader.csv(path)
+    if skip:
+        lines = lines_after(spark, path, skip + (1 if header else 0))
+        if names is None:
+            names = _header_after(spark, path, skip, sep)
+    own_header = names is None
+    col_types, all_names = _all_names(col_types, names if names is not None else header_names(spark, path, sep))
+    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in all_names])
+    if skip:
+        ddl = ", ".join(f"`{n}` string" for n in all_names)
+        df = lines.select(F.from_csv("value", ddl, {"sep": sep, "mode": "PERMISSIVE"}).alias("r")).select("r.*")
+    else:
+        reader = spark.read.schema(schema).option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+        df = reader.option("enforceSchema", not own_header).csv(path)
     kept = [(n, t) for n, t in zip(all_names, col_types) if t not in "_-"]
-    return df.select(*[(parse_number(n) if t == "n" else F.col(n)).alias(n) for n, t in kept])
+    return df.select(*[_typed(n, t, null_values, date_format).alias(n) for n, t in kept])
 
 
-def drop_title_rows(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    """Drop leading title/header lines of spreadsheet exports.
+def lines_after(spark: SparkSession, path: str | Sequence[str], n: int) -> DataFrame:
+    """The lines (``value``) of text files without the first ``n`` of each file.
 
-    Such lines fail the typed parse of the ``required`` columns and so hold
-    nulls there; data rows have them all.
+    A file's first lines stand in its first block, where row ids count up in
+    file order; ``n`` lines must be shorter than a block.  One value must not
+    span lines.
     """
-    cond = None
-    for c in required:
-        cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()
-    return df.filter(cond)
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id")
+    )
+    lines = lines.withColumn("value", F.regexp_replace("value", "\r$", ""))
+    first = lines.filter("block = 0").groupBy("file").agg(F.min("id").alias("first"))
+    rest = lines.join(first, "file", "left").filter((F.col("block") > 0) | (F.col("id") - F.col("first") >= n))
+    return rest.select("value").filter(F.col("value") != "")
+
+
+def _header_after(spark: SparkSession, path: str | Sequence[str], skip: int, sep: str) -> list[str]:
+    """Names in line ``skip`` (counted from 0) of the first file in name order."""
+    import csv
+
+    first = spark.read.text(path).select(F.min("_metadata.file_path").alias("f")).first()["f"]
+    lines = [r.value for r in spark.read.text(first).limit(skip + 1).collect()]
+    return [c.strip() for c in next(csv.reader([lines[skip]], delimiter=sep))]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from fnmatch import fnmatch
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,50 +12,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peerscope.functions.columns import keep_existing, rename_if_present
-from peerscope.session import session_key
-
-_HEADERS: dict[tuple[str, str], list[str]] = {}
-
+from peerscope.sources.delimited import null_texts
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the header line of a delimited file or folder.
-
-    Discovered once per path per application (one small job reading the
-    first line); later reads use an explicit schema and launch no job.
-    """
-    key = (session_key(spark), path)
-    if key not in _HEADERS:
-        _HEADERS[key] = spark.read.option("header", True).csv(path).columns
-    return _HEADERS[key]
-
-
-def read_with_header(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text, named by the file's own header line."""
-    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in header_of(spark, path)])
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Column names from the header line of a delimited file or folder (one small job reading the first line)."""
+    return spark.read.option("header", True).csv(path).columns
 
 
-def list_files(spark: SparkSession, path: str, glob: str = "*", recursive: bool = False) -> list[str]:
-    """Sorted file paths under ``path`` (names only; contents are not read)."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    listing = reader.load(path).select("path")
-    return sorted(r.path for r in listing.collect())
+def read_with_header(spark: SparkSession, path: str, names: Sequence[str] | None = None) -> DataFrame:
+    """All columns as text, named by the header line, which every file must share; ``NA`` and blanks are missing."""
+    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in (names or header_of(spark, path))])
+    df = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    return df.select(*[null_texts(F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
 def list_entries(spark: SparkSession, path: str, glob: str = "*") -> list[str]:
-    """Sorted direct children of ``path`` that hold matching files.
+    """Sorted direct children of ``path`` that match ``glob`` or are folders with files that do.
 
-    A child is a file, or a folder of part files (as Spark writes a dataset).
+    A child is a file, or a folder of part files (as Spark writes a dataset);
+    the listing asks the file system for children only, not for part files.
     """
-    root = path.rstrip("/")
-    bare = root.split(":", 1)[1] if root.startswith("file:") else root
-    out = set()
-    for f in list_files(spark, root, glob, recursive=True):
-        i = f.find(bare)
-        rel = f[i + len(bare):].lstrip("/") if i >= 0 else f.rsplit("/", 1)[-1]
-        out.add(f"{root}/{rel.split('/', 1)[0]}")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    out = []
+    for child in fs.listStatus(root):
+        name = child.getPath().getName()
+        if name[:1] in "._":
+            continue
+        where = child.getPath() if child.isFile() else jvm.org.apache.hadoop.fs.Path(child.getPath(), glob)
+        if fnmatch(name, glob) if child.isFile() else len(fs.globStatus(where)) > 0:
+            out.append(child.getPath().toString())
     return sorted(out)
 
 
@@ -85,13 +73,13 @@ def read_yearly(
     files = list_entries(spark, path, glob)
     # header discovery is one small job per entry: run them together
     with ThreadPoolExecutor(max_workers=min(8, max(1, len(files)))) as pool:
-        list(pool.map(lambda f: header_of(spark, f), files))
+        headers = list(pool.map(lambda f: header_of(spark, f), files))
     types = dict(types or {})
     frames = []
     for i, f in enumerate(files):
         name = f.rsplit("/", 1)[-1]
         year = years[name] if years is not None else start_year + i
-        df = read_with_header(spark, f)
+        df = read_with_header(spark, f, headers[i])
         df = rename_if_present(df, renames or {})
         df = keep_existing(df, wanted)
         df = df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items() if c in df.columns})

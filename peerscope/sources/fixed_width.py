@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerscope.functions.text import parse_number
+from peerscope.sources.delimited import null_texts
 
 
 @dataclass(frozen=True)
@@ -49,11 +50,11 @@ class Layout:
 
 
 def _parse(value: Column, f: Field) -> Column:
-    raw = F.nullif(F.trim(F.substring(value, f.start, f.end - f.start + 1)), F.lit(""))
+    raw = null_texts(F.trim(F.substring(value, f.start, f.end - f.start + 1)))
     if f.type == "c":
         return raw
     if f.type == "n":
-        return parse_number(raw)
+        return F.coalesce(raw.try_cast("double"), parse_number(raw))  # digits alone need no pattern
     return raw.try_cast({"i": "int", "d": "double", "l": "bigint"}[f.type])
 
 
@@ -71,13 +72,15 @@ def parse_layouts(lines: DataFrame, layouts: Mapping[str, Layout], choose: Colum
 
     ``choose`` is an expression over the line giving the layout key of each
     line (e.g. from a field that sits at the same bytes in every layout).
-    Fields missing from a layout are null for its lines.
+    Fields missing from a layout are null for its lines.  A line without a
+    layout stops the read: it must not become a row of nulls.
     """
     names: list[str] = []
     for lay in layouts.values():
         names += [n for n in lay.names if n not in names]
     v = F.col(value)
-    key = choose
+    lost = F.raise_error(F.concat(F.lit("no layout for the line: "), v)).cast("string")
+    key = F.when(choose.isin(list(layouts)), choose).otherwise(lost)
     cols = []
     for n in names:
         expr = None
@@ -96,16 +99,16 @@ def read_fixed_width_layouts(
     return parse_layouts(spark.read.text(paths), layouts, choose)
 
 
-def layout_by_year(start: int, length: int, switch_year: int, before: str = "old", after: str = "new") -> Column:
-    """Layout key from a year field found at the same bytes in every layout."""
+def layout_by_year(start: int, length: int, switch_year: int, before: str = "old", after: str = "new", otherwise: str | None = None) -> Column:
+    """Layout key from a year field found at the same bytes in every layout; ``otherwise`` for lines without a year."""
     year = F.substring(F.col("value"), start, length).try_cast("int")
-    return F.when(year < switch_year, F.lit(before)).when(year >= switch_year, F.lit(after))
+    return F.when(year < switch_year, F.lit(before)).when(year >= switch_year, F.lit(after)).otherwise(F.lit(otherwise).cast("string"))
 
 
 def layout_by_length(lengths: Mapping[int, str]) -> Column:
-    """Layout key from the record length."""
-    n = F.length(F.col("value"))
+    """Layout key from the record length without trailing blanks: the narrowest layout that holds the line."""
+    n = F.length(F.rtrim(F.col("value")))
     expr = None
-    for width, key in lengths.items():
-        expr = F.when(n == width, F.lit(key)) if expr is None else expr.when(n == width, F.lit(key))
+    for width, key in sorted(lengths.items()):
+        expr = F.when(n <= width, F.lit(key)) if expr is None else expr.when(n <= width, F.lit(key))
     return expr

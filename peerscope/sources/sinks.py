@@ -32,6 +32,11 @@ def write_table(df: DataFrame, path: str | None = None, name: str | None = None,
         w.parquet(path)
 
 
+def read_table(spark: SparkSession, path: str | None = None, name: str | None = None) -> DataFrame:
+    """Read a named dataset back: the catalog table ``name`` or the Parquet files at ``path``."""
+    return spark.table(name) if name else spark.read.parquet(path)
+
+
 def write_many(results: Mapping[str, DataFrame], base: str, fmt: str = "csv") -> None:
     """Publish several named results of one computation."""
     for name, df in results.items():

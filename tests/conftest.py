@@ -19,11 +19,11 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="peerscope-test-ckpt-"))
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="peerscope-test-wh-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="peerscope-test-ckpt-"))
     ensure_checkpoint_dir(s)
     yield s
 

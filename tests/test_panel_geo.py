@@ -105,7 +105,7 @@ def test_peers_deflate_per_capita(spark):
 
 def test_scale_to_home(spark):
     df = spark.createDataFrame([("h", 0.5, 200.0), ("p", 0.25, 400.0)], "MSA string, x_pp double, population double")
-    got = {r.MSA: r.scaled for r in scale_to_home(df, "x_pp", "MSA", "h", "scaled").collect()}
+    got = {r.MSA: r.scaled for r in scale_to_home(df, "x_pp", "MSA", "h", "scaled", df).collect()}
     assert got == {"h": 100.0, "p": 50.0}
 
 

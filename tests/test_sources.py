@@ -3,7 +3,7 @@ import os
 
 
 from peerscope.plans import cra, spending
-from peerscope.sources.delimited import drop_title_rows, read_delimited
+from peerscope.sources.delimited import read_delimited
 from peerscope.sources.files import list_entries, read_yearly
 from peerscope.sources.fixed_width import Field, Layout, layout_by_year, parse_layouts, read_fixed_width
 
@@ -89,8 +89,7 @@ def test_read_delimited_compact_types_and_titles(spark, tmp_dir):
     p = os.path.join(tmp_dir, "sheet.csv")
     with open(p, "w") as f:
         f.write("Report title\nid,amount,skip,when\n1,\"$1,200.50\",x,2020-01-02\n2,n/a,y,2020-02-03\n")
-    df = read_delimited(spark, p, "in_D", names=["id", "amount", "skip", "when"], header=False)
-    df = drop_title_rows(df, ["id"])
+    df = read_delimited(spark, p, "in_D", skip=1)
     assert df.columns == ["id", "amount", "when"]
     rows = df.orderBy("id").collect()
     assert [(r.id, r.amount) for r in rows] == [(1, 1200.5), (2, None)]
@@ -121,10 +120,10 @@ def test_export_with_title_lines(spark, tmp_dir):
     with open(p, "w") as f:
         f.write("Deal export\nGenerated for peers\n\n")
         f.write("Company Name,Deal ID,Company ID,Company Post Code,Deal Date,Deal Size,Type,Note\n")
-        f.write("Acme,1,2,40202,2018-03-01,1.5,VC,x\nBeta,3,4,40203,2019-05-02,,VC,y\n")
-    df = read_export(spark, p, "ccccDdcc", ["Deal Date"])
+        f.write("Acme,1,2,40202,2018-03-01,1.5,VC,x\nGamma,9,9,40204,,2,VC,z\nBeta,3,4,40203,2019-05-02,,VC,y\n")
+    df = read_export(spark, p, "ccccDdcc", skip=3)
     rows = {r["Company Name"]: r for r in df.collect()}
-    assert set(rows) == {"Acme", "Beta"}
+    assert set(rows) == {"Acme", "Beta", "Gamma"} and rows["Gamma"]["Deal Date"] is None
     assert rows["Acme"]["Deal Size"] == 1.5 and rows["Beta"]["Deal Size"] is None
     assert str(rows["Beta"]["Deal Date"]) == "2019-05-02"
 
