@@ -11,8 +11,9 @@ Each table is an ordinary DataFrame; the expected columns are:
 * ``cpi``           year, cpi
 * ``crosswalk``     tract, neighborhood, layer, population
 
-Geography and calendar bound the size of all of them; joins still check the
-row count before broadcasting (``operators.joins.bounded``).
+Geography and calendar bound the size of all of them; whether one is broadcast
+is left to the planner's and AQE's byte thresholds.  Keys are unique per table
+(``check_unique`` tells).
 """
 
 from __future__ import annotations
@@ -34,6 +35,14 @@ class Dimensions:
     cpi: DataFrame | None = None
     crosswalk: DataFrame | None = None
 
+    def check_unique(self) -> None:
+        """Raise if a dimension has two rows for a key (a join would repeat rows); one job per table."""
+        keys = [(self.counties, ["FIPS"]), (self.zips, ["zip", "FIPS"]), (self.msa_counties, ["FIPS"]), (self.msa_zips, ["zip"]), (self.cpi, ["year"]), (self.crosswalk, ["tract", "layer"])]
+        keys += [(t, [g]) for g, t in self.peers.items()] + [(t, [g, "year"]) for g, t in self.population.items()]
+        for t, k in keys:
+            if t is not None and (row := t.groupBy(*k).count().filter("count > 1").limit(1).collect()):
+                raise ValueError(f"key {k} is not unique: {row[0]}")
+
     def peers_for(self, geog: str) -> DataFrame:
         try:
             return self.peers[geog]

@@ -32,21 +32,28 @@ def get_session(master: str | None = None, app: str = "peerscope", conf: dict |
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is used as is.  Only
-    when it is unset (local tests) a private folder is created and set.
+    On a cluster this setting names shared storage and is used as is; it must
+    be set, since a folder of one machine would not be seen by the others.
+    Only a ``local`` master (tests) gets a private folder when it is unset.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
     if not base and sc is not None:
         base = sc.getCheckpointDir()
     if not base:
+        if sc is None or not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="peerscope-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     return base
 
 
+def is_local(master: str) -> bool:
+    """Driver and executors are one process (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
+
+
 def _context(spark: SparkSession):
     """The SparkContext of a classic session (None for a remote session)."""
     try:

@@ -1,0 +1,141 @@
+"""Inputs that once gave wrong answers."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from peerscope.functions.nulls import strict_sum
+from peerscope.functions.text import parse_number, replace_first
+from peerscope.operators.geo import process_map
+from peerscope.operators.joins import join_dim
+from peerscope.operators.panel import complete_panel, rolling_mean
+from peerscope.plans import cdfi, cra, sba, venture
+from peerscope.session import is_local
+from peerscope.sources.delimited import read_delimited
+from peerscope.sources.fixed_width import layout_by_length, layout_by_year
+from peerscope.sources.sinks import read_table, write_csv_na, write_table
+
+
+@pytest.mark.parametrize(
+    "text,number",
+    [("1.2345678E7", 1.2345678e7), ("1e5", 1e5), (".5", 0.5), ("-.5", -0.5), ("$1,234.50 (est.)", 1234.5), ("+7", 7.0), ("-3", -3.0), ("n/a", None), ("", None), ("1,000", 1000.0), ("12345678.0", 12345678.0)],
+)
+def test_parse_number(spark, text, number):
+    assert spark.createDataFrame([(text,)], "t string").select(parse_number("t")).first()[0] == number
+
+
+def test_written_numbers_read_back(spark, tmp_dir):
+    df = spark.createDataFrame([("a", 12345678.0), ("b", 0.00012), ("c", None)], "k string, v double")
+    write_csv_na(df, os.path.join(tmp_dir, "x"))
+    back = {r.k: r.v for r in read_delimited(spark, os.path.join(tmp_dir, "x"), "cn").collect()}
+    assert back == {"a": 12345678.0, "b": 0.00012, "c": None}
+
+
+def test_overwritten_dimension_is_read_anew(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "dim")
+    fact = spark.createDataFrame([("a",)], "k string")
+    for v in (1, 2):
+        spark.createDataFrame([("a", v)], "k string, v int").write.mode("overwrite").parquet(path)
+        assert join_dim(fact, spark.read.parquet(path), "k").first().v == v
+
+
+def test_export_keeps_rows_without_a_date_and_reads_date_formats(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "deals.csv")
+    with open(p, "w") as f:
+        f.write("\n".join(f"title {i}" for i in range(55)) + "\nname,when,size\nA,,1\nB,03/04/2019,2\nC,12/31/2020,NA\n1,2,3,\n")
+    rows = {r.name: r for r in read_delimited(spark, p, "cDn", skip=55, date_format="MM/dd/yyyy").collect()}
+    assert set(rows) == {"A", "B", "C", "1"}
+    assert rows["A"].when is None and str(rows["B"].when) == "2019-03-04" and rows["C"].size is None
+
+
+def test_small_deals_are_not_rounded_away(spark):
+    from peerscope.dims import Dimensions
+
+    dims = Dimensions(
+        msa_zips=spark.createDataFrame([("z", "m")], "zip string, MSA string"),
+        cpi=spark.createDataFrame([(2018, 1.0)], "year int, cpi double"),
+        population={"MSA": spark.createDataFrame([("m", 2018, 10.0)], "MSA string, year int, population double")},
+    )
+    deals = spark.createDataFrame([("a", "z", "2018-01-01", 0.00004), ("b", "z", "2018-02-01", 0.00004)], "`Company Name` string, `Company Post Code` string, `Deal Date` string, `Deal Size` double")
+    r = venture.deals_by_msa(deals, dims).first()
+    assert (r.total_dollars, r.avg_deal, r.median_deal) == pytest.approx((80, 40, 40))
+
+
+def test_crosswalk_weights_and_unmatched_tracts(spark):
+    xw = spark.createDataFrame([("t1", "nh", "A", 0.4), ("t2", "nh", "A", 1.6)], "tract string, layer string, neighborhood string, population double")
+    df = spark.createDataFrame([("t1", 2017, 10.0), ("t2", 2017, 20.0), ("t3", 2017, 5.0)], "tract string, year int, v double")
+    mean = process_map(df, xw, ["v"], "x", method="mean", layers=("nh",), exact_scale=4)["x_nh"]
+    assert {r.neighborhood: r.v for r in mean.collect()} == {"A": pytest.approx(18.0), None: None}
+    total = process_map(df, xw, ["v"], "x", layers=("nh",), exact_scale=4)["x_nh"]
+    assert sum(r.v for r in total.collect()) == 35.0
+
+
+def test_completion_keeps_null_times(spark):
+    df = spark.createDataFrame([("a", 2010, 1.0), ("a", None, 2.0), ("b", 2011, 3.0)], "e string, year int, v double")
+    got = {(r.e, r.year): r.v for r in complete_panel(df, "e", fill={"v": 0.0}).collect()}
+    assert got == {(e, y): {("a", 2010): 1.0, ("a", None): 2.0, ("b", 2011): 3.0}.get((e, y), 0.0) for e in "ab" for y in (2010, 2011, None)}
+
+
+def test_rolling_mean_counts_years(spark):
+    df = spark.createDataFrame([("a", y, 2.0) for y in (2010, 2012, 2013, 2014)], "e string, year int, v double")
+    assert {r.year: r.v for r in rolling_mean(df, "e", "v").collect()} == {2010: None, 2012: None, 2013: None, 2014: 2.0}
+
+
+def test_missing_tract_text(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "tx.csv")
+    with open(p, "w") as f:
+        f.write(",".join(cdfi.TRANSACTION_COLUMNS) + "\n7,8,1e5,21111000100,NA,X,01-JAN-15,MICRO\n")
+    r = cdfi.read_transactions(spark, p).first()
+    assert r.projectfipscode_2010 is None and r.originalamount == 1e5
+
+
+def test_layout_choice_loses_no_line(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "a.dat")
+    new = "A1-1 2016  21111" + "31140".ljust(5) + "0001.00" + "  " + "001" + "200"
+    with open(p, "w") as f:
+        f.write(new.ljust(116) + "\n" + new.replace("2016", "20x6").ljust(116) + " \n" + new.ljust(117) + "\n")
+    with pytest.raises(Exception, match="no layout"):
+        cra.read_by_selector(spark, p, layout_by_year(6, 4, 2016)).collect()
+    assert cra.read_by_selector(spark, p, layout_by_year(6, 4, 2016, otherwise="new")).count() == 3
+    assert cra.read_by_selector(spark, p, layout_by_length({91: "old", 116: "new"})).count() == 3
+
+
+def test_replace_first_groups_and_newlines(spark):
+    df = spark.createDataFrame([("xaybzb", "p\nq.r")], "a string, b string")
+    r = df.select(replace_first("a", "a|b", "Q").alias("a"), replace_first("b", "q", "Z").alias("b")).first()
+    assert (r.a, r.b) == ("xQybzb", "p\nZ.r")
+
+
+def test_large_sums(spark):
+    df = spark.createDataFrame([(1e19,), (1.0,)], "v double")
+    assert df.select(strict_sum("v", 4)).first()[0] == pytest.approx(1e19)
+    assert df.select(strict_sum(F.col("v") * 1e15)).first()[0] == pytest.approx(1e34)
+
+
+def test_header_is_checked_for_each_file(spark, tmp_dir):
+    for name, text in {"a.csv": "x,y\n1,2\n", "b.csv": "y,x\n3,4\n"}.items():
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(text)
+    with pytest.raises(Exception):
+        read_delimited(spark, tmp_dir, "nn").collect()
+
+
+def test_504_export_by_header_name(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "foia.csv")
+    with open(p, "w") as f:
+        f.write("Program,ApprovalDate,BorrZip,GrossApproval,ProjectCounty,ProjectState\n504,2015-02-03,40202,\"1,500\",JEFFERSON,KY\n")
+    r = sba.read_loans_504(spark, p).first()
+    assert (r.BorrZip, r.GrossApproval, str(r.ApprovalDate), r.ProjectCounty) == ("40202", 1500.0, "2015-02-03", "JEFFERSON")
+
+
+def test_named_table(spark):
+    write_table(spark.range(3), name="peerscope_named_table")
+    write_table(spark.range(2), name="peerscope_named_table")
+    assert read_table(spark, name="peerscope_named_table").count() == 2
+    spark.sql("DROP TABLE peerscope_named_table")
+
+
+def test_private_checkpoint_folder_is_for_local_masters_only():
+    assert is_local("local") and is_local("local[8]")
+    assert not is_local("local-cluster[3,2,1000]") and not is_local("spark://host:7077")
