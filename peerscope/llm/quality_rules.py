@@ -35,9 +35,17 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), _SPACE), lambda x: x != "")
 
 
-def _repeated_words(windows: Column) -> Column:
-    """Words covered by the 3-word windows that occur twice or more; ``windows`` is bound once."""
-    by_text = F.sort_array(F.transform(windows, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
+def _threes(f) -> Column:
+    """``f`` of the three words of each window of ``words``, of which there are ``n``."""
+    at = lambda k: F.slice("words", F.lit(k), F.greatest(F.col("n") - 2, F.lit(0)))
+    pairs = F.zip_with(at(1), at(2), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    return F.zip_with(pairs, at(3), lambda p, c: f(p["a"], p["b"], c))
+
+
+def _repeated_words() -> Column:
+    """Words covered by the 3-word windows that occur twice or more.  Sorted by hash and then by text, so equal ones are neighbours."""
+    windows = _threes(lambda a, b, c: F.concat(a, F.lit(" "), b, F.lit(" "), c))
+    by_text = F.sort_array(F.transform(windows, lambda x, i: F.struct(F.xxhash64(x).alias("h"), x.alias("x"), i.alias("i"))))
     again = lambda s: F.transform(s, lambda e, k: F.when((F.get(s, k - 1)["x"] == e["x"]) | (F.get(s, k + 1)["x"] == e["x"]), e["i"]))
     starts = F.transform(F.array(by_text), lambda s: F.sort_array(F.filter(again(s), lambda i: i.isNotNull())))[0]
     zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end"))
@@ -53,19 +61,15 @@ def base_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = rows.withColumn("words", words(F.col("text")))
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.regexp_like(x, F.lit("[^\\x20\\x09-\\x0D]")))
     rows = rows.withColumns({"lines": lines, "n": F.size("words")})
-    windows = F.zip_with(
-        F.zip_with(F.slice("words", F.lit(1), F.col("n") - 2), F.slice("words", F.lit(2), F.col("n") - 2), lambda a, b: F.concat(a, F.lit(" "), b)),
-        F.slice("words", F.lit(3), F.col("n") - 2),
-        lambda a, b: F.concat(a, F.lit(" "), b),
-    )
-    rows = rows.withColumn("windows", F.when(F.col("n") >= 3, windows).otherwise(F.array().cast("array<string>")))
-    repeated = F.when(F.size(F.array_distinct("windows")) == F.size("windows"), F.lit(0).cast("long")).otherwise(_repeated_words(F.col("windows")))
+    # windows with distinct hashes are distinct; only texts with equal hashes are looked at closely
+    rows = rows.withColumn("hashes", _threes(lambda a, b, c: F.xxhash64(a, b, c)))
+    repeated = F.when(F.size(F.array_distinct("hashes")) == F.size("hashes"), F.lit(0).cast("long")).otherwise(_repeated_words())
     rows = rows.select(
         "doc_id",
         "text_hash",
         "words",
         F.col("n").cast("long").alias("n_words"),
-        F.aggregate("words", F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("word_chars"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated.alias("n_repeat_words"),
@@ -73,11 +77,13 @@ def base_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
-def ngram_buckets(words_: Column, n: Column, buckets: int) -> Column:
-    """Buckets of all words and all pairs of neighbouring words."""
-    pairs = F.zip_with(F.slice(words_, F.lit(1), n - 1), F.slice(words_, F.lit(2), n - 1), lambda a, b: F.xxhash64(a, b))
-    hashes = F.concat(F.transform(words_, lambda x: F.xxhash64(x)), F.when(n >= 2, pairs).otherwise(F.array().cast("array<bigint>")))
-    return F.transform(hashes, lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+def bucket_pairs(rows: DataFrame, buckets: int) -> DataFrame:
+    """``rows`` by word: its bucket ``one``, and ``two``, that of it and the next word (null at the end); one null row without words."""
+    rows = rows.select(*(c for c in rows.columns if c != "words"), "words", F.posexplode_outer("words").alias("place", "word"))
+    bucket = lambda *c: F.pmod(F.xxhash64(*c), F.lit(buckets)).cast("int")
+    after = F.get("words", F.col("place") + 1)
+    out = {"one": F.when(F.col("word").isNotNull(), bucket("word")), "two": F.when(after.isNotNull(), bucket(F.col("word"), after))}
+    return rows.withColumns(out).drop("words", "place", "word")
 
 
 def trusted_ids(labels: DataFrame, trusted_docs: int) -> DataFrame:
@@ -90,8 +96,8 @@ def likelihood_model(docs: DataFrame, labels: DataFrame, *, buckets: int, truste
     """(bucket, ratio): log(target / raw) in millionths, one row for each bucket."""
     trusted = F.broadcast(trusted_ids(labels, trusted_docs).withColumn("trusted", F.lit(1)))  # bounded by trusted_docs
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), words(docs[text_col].cast("string")).alias("words"))
-    rows = rows.join(trusted, "doc_id", "left").withColumn("n", F.size("words"))
-    grams = rows.select(F.coalesce("trusted", F.lit(0)).alias("trusted"), F.explode(ngram_buckets(F.col("words"), F.col("n"), buckets)).alias("bucket"))
+    rows = bucket_pairs(rows.join(trusted, "doc_id", "left").select(F.coalesce("trusted", F.lit(0)).alias("trusted"), "words"), buckets)
+    grams = rows.select("trusted", F.explode(F.array("one", "two")).alias("bucket")).filter("bucket is not null")
     counts = saved(grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("target")), "quality-counts")
     totals = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("target"), F.lit(0)).alias("target")).first()
     spark = docs.sparkSession
@@ -113,12 +119,13 @@ def judge(
     model = saved(likelihood_model(docs, labels, buckets=buckets, trusted_docs=trusted_docs, prior=prior, id_col=id_col, text_col=text_col), "quality-model")
     stats = base_statistics(docs, id_col, text_col)
     keys = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", *["text_hash"] * with_hash]
-    stats = stats.withColumns({"n": F.col("n_words").cast("int"), "row": F.monotonically_increasing_id()})  # within this one job
-    rows = stats.select(
-        *keys, "row", F.explode_outer(ngram_buckets(F.col("words"), F.col("n"), buckets)).alias("bucket")
-    )
-    scored = rows.join(F.broadcast(model), "bucket", "left")  # the model has `buckets` rows
+    stats = stats.select(*keys, "words", F.monotonically_increasing_id().alias("row"))  # numbers rows within this one job
+    scored = bucket_pairs(stats, buckets)
+    for c in ("one", "two"):  # the model has `buckets` rows
+        of = F.broadcast(model.select(F.col("bucket").alias(c), F.col("ratio").alias(f"ratio_{c}")))
+        scored = scored.join(of, c, "left")
+    total = F.coalesce(F.sum(F.coalesce("ratio_one", F.lit(0)) + F.coalesce("ratio_two", F.lit(0))), F.lit(0))
     # the statistics are functions of the row, so they ride along as values and not as keys
-    out = scored.groupBy("row").agg(*(F.max(k).alias(k) for k in keys), F.coalesce(F.sum("ratio"), F.lit(0)).alias("total"), F.count("bucket").alias("n_grams"))
+    out = scored.groupBy("row").agg(*(F.max(k).alias(k) for k in keys), total.alias("total"), (F.count("one") + F.count("two")).alias("n_grams"))
     score = F.when(F.col("n_grams") > 0, F.col("total") / F.col("n_grams")).otherwise(F.lit(0.0))
     return out.withColumn("score", score).select(*keys, "score", (~F.col("base_failed") & (F.col("score") >= threshold * SCALE)).alias("kept"))
