@@ -203,16 +203,18 @@ def _added(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
 
 
 def encode(docs: DataFrame, text_col: str = "text", out: str = "ids", vocabulary: str | None = None) -> DataFrame:
-    """``docs`` with ``out``: the ids of ``text_col``, packed (see ``unpack``).  ``out`` must be a new name.
+    """``docs`` with ``out``: the ids of ``text_col``, packed (see ``unpack``).  A column of that name is replaced.
 
     ``vocabulary`` is a path that the workers can open; by default the public
     50k byte-level file that each of them has installed.
     """
+    docs = docs.drop(out)
     return docs.mapInArrow(_with(vocabulary, out, text_col, pa.binary(), lambda v: v.encode), _added(docs, out, T.BinaryType()))
 
 
 def decode(encoded: DataFrame, ids_col: str = "ids", out: str = "decoded", vocabulary: str | None = None) -> DataFrame:
-    """``encoded`` with ``out``: the text of the packed ids."""
+    """``encoded`` with ``out``: the text of the packed ids.  A column of that name is replaced."""
+    encoded = encoded.drop(out)
     return encoded.mapInArrow(_with(vocabulary, out, ids_col, pa.string(), lambda v: v.decode), _added(encoded, out, T.StringType()))
 
 

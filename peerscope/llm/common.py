@@ -24,6 +24,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """``base`` with as many underscores before it as make it a new column name."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base = "_" + base
+    return base
+
+
 #: Most key rows (a few longs each, so some tens of MB) that are broadcast; beyond it the join is shuffled.
 BROADCAST_KEYS = 1_000_000
 

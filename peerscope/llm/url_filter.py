@@ -116,12 +116,13 @@ def sweep(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str = "allow") -> DataFrame:
-    """``pages`` with ``host``, ``path``, ``rule`` (null where none fits) and ``verdict``; these names must be free."""
+    """``pages`` with ``host``, ``path``, ``rule`` (null where none fits) and ``verdict``; columns of these names are replaced."""
     host, path = split_url(pages[url_col].cast("string"))
-    judged = pages.withColumns({"host": host, "path": path})
+    kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
+    judged = pages.select(*kept, host.alias("host"), path.alias("path"))
     best = sweep(judged.select("host", "path").distinct(), rules)
     return judged.join(best, ["host", "path"], "left").select(
-        *(judged[c] for c in pages.columns),
+        *(judged[c] for c in kept),
         "host",
         "path",
         F.col("best.rule").alias("rule"),
