@@ -32,13 +32,13 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
-#: Most key rows (a few longs each, so some tens of MB) that are broadcast; beyond it the join is shuffled.
-BROADCAST_KEYS = 1_000_000
+#: Most keys (a few longs each, so some MB) that are broadcast; beyond it the join is shuffled.
+BROADCAST_KEYS = 500_000
 
 
-def small_enough(keys: DataFrame) -> DataFrame:
-    """``keys`` (narrow rows, already written) with a broadcast hint if they are at most BROADCAST_KEYS."""
-    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+def small_enough(keys: DataFrame, n: int | None = None) -> DataFrame:
+    """``keys`` (already written) with a broadcast hint if they are at most BROADCAST_KEYS; ``n`` counts them if rows hold lists."""
+    return F.broadcast(keys) if (keys.count() if n is None else n) <= BROADCAST_KEYS else keys
 
 
 def keyed_rows(docs: DataFrame, keys: DataFrame, *, keep: bool, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

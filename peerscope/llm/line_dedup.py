@@ -18,7 +18,7 @@ dealt out in blocks of at most ``BLOCK`` lines and compared block by block; a
 cell reports for each line only its earliest partner, so a group of mutual
 near copies yields one row a line and not all its pairs.  Bucket rows carry 63
 bits of the digest; the text is fetched only for lines that share a bucket.
-Ids that select texts are broadcast only up to ``BROADCAST_IDS`` rows.
+Keys that select texts are broadcast only up to ``common.BROADCAST_KEYS``.
 
 Defined results: a null or empty text has no lines; a null document id ranks
 after all others; rows that share an id are one rank (equal lines of theirs at
@@ -35,13 +35,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import saved
+from peerscope.llm.common import free_name, saved, small_enough
 from peerscope.llm.streams import cells, shared_buckets, sorted_groups
 
 EDITS = 2
 MIN_CHARS = 32
 BLOCK = 1024
-BROADCAST_IDS = 1_000_000
 
 
 def lines_of(text: str | None, min_chars: int) -> Iterator[tuple[int, int, str]]:
@@ -205,12 +204,6 @@ def _partners(edits: int) -> Callable:
     return run
 
 
-def _by_id(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["first_doc"]))
-
-
 def _text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = docs[text_col].cast("string")
     return docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
@@ -240,7 +233,8 @@ def repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_
     ids = met.select(F.expr("shiftright(rid, 1)").alias("rid")).distinct()
     wanted = classes.withColumn("rid", F.expr("shiftright(h1, 1)")).join(ids, "rid")
     wanted = saved(wanted, "line-wanted")
-    lines = _by_id(texts, saved(wanted.groupBy("first_doc").agg(F.collect_set("rid").alias("rids")), "line-documents")).select("text", "rids")
+    from_docs = small_enough(saved(wanted.groupBy("first_doc").agg(F.collect_set("rid").alias("rids")), "line-documents"), wanted.count())
+    lines = texts.join(from_docs, texts["doc_id"].eqNullSafe(from_docs["first_doc"])).select("text", "rids")
     lines = lines.mapInArrow(_texts(min_chars), "rid long, h1 long, h2 long, line string").dropDuplicates(["h1", "h2"])
     known = saved(wanted.drop("n").join(lines.drop("rid"), ["h1", "h2"]), "line-texts")
     rich = cells(met).withColumns({"own": F.expr("rid & 1 = 1"), "rid": F.expr("shiftright(rid, 1)")}).join(known, "rid").drop("at", "rid")
@@ -248,6 +242,7 @@ def repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_
     near = near.groupBy("h1", "h2").agg(F.min(F.struct(F.col("near_doc").isNull().alias("later_null"), "near_doc", "near_line"))["near_doc"].alias("near_doc"), F.lit(True).alias("near"))
 
     gone = classes.join(near, ["h1", "h2"], "left").filter("n > 1 or near").select("h1", "h2", "first_doc", "first_line", "near", "near_doc")
+    gone = saved(gone, "line-repeats")  # so that both sides of the join below are plain exchanges, which AQE may split
     hits = each.join(gone, ["h1", "h2"])
     first = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("number") == F.col("first_line"))
     hits = hits.withColumn("kind", F.when(~first, "exact").when(F.col("near"), "near")).filter("kind is not null")
@@ -277,7 +272,8 @@ def _cut(text_index: int, spans_index: int) -> Callable:
 def without_repeats(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the repeated lines cut from ``text_col``; rows whose lines have all gone are dropped."""
     spans = repeated_lines(docs, edits=edits, min_chars=min_chars, id_col=id_col, text_col=text_col).filter("size(removed) > 0")
-    spans = spans.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("removed").alias("_removed")).dropDuplicates(["_id", "_hash"])
-    joined = docs.join(spans, (F.xxhash64(docs[text_col].cast("string")) == F.col("_hash")) & docs[id_col].cast("long").eqNullSafe(F.col("_id")), "left")
-    joined = joined.select(*(docs[c] for c in docs.columns), "_removed")
+    name = free_name(docs, "removed")
+    spans = spans.select(F.col("doc_id").alias(f"{name}_id"), F.col("text_hash").alias(f"{name}_hash"), F.col("removed").alias(name)).dropDuplicates([f"{name}_id", f"{name}_hash"])
+    same = (F.xxhash64(docs[text_col].cast("string")) == spans[f"{name}_hash"]) & docs[id_col].cast("long").eqNullSafe(spans[f"{name}_id"])
+    joined = docs.join(spans, same, "left").select(*(docs[c] for c in docs.columns), spans[name])
     return joined.mapInArrow(_cut(docs.columns.index(text_col), len(docs.columns)), docs.schema)
