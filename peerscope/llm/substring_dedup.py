@@ -95,6 +95,7 @@ def repeated_spans(docs: DataFrame, *, min_words: int = 20, id_col: str = "doc_i
     split = saved(rows.mapInArrow(_split, _UNITS).withColumn("rid", F.monotonically_increasing_id()), "substring-units")
     each = split.select("rid", "doc_id", F.posexplode(F.arrays_zip("h1", "h2")).alias("no", "h")).select("rid", "doc_id", "no", "h.h1", "h.h2")
     again = each.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).filter("n > 1").drop("n")
+    again = saved(again, "substring-repeats")  # so that both sides of the join below are plain exchanges, which AQE may split
     marked = each.drop("doc_id").join(again, ["h1", "h2"])
     marked = marked.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("no", "first"))).alias("m"))
     marked = marked.select("rid", F.col("m.no").alias("again"), F.col("m.first").alias("firsts"))
