@@ -164,10 +164,7 @@ def _cra(spark, d):
     return cra.normalize(lines)
 
 
-CRA_MEASURES = [
-    "num_under_100k", "num_100k_250k", "num_250k_1m", "num_business_1m",
-    "amount_under_100k", "amount_100k_250k", "amount_250k_1m", "amount_business_1m", "all_sb_loans",
-]
+CRA_MEASURES = [n for part in ("num", "amount") for n in cra.NEW_LAYOUT.names if part in n] + ["all_sb_loans"]
 
 
 def q10_fixed_width(spark: SparkSession, d: str) -> DataFrame:
@@ -230,8 +227,7 @@ def q16_bracket_panel(spark: SparkSession, d: str) -> DataFrame:
 
 def q16_schema_drift_union(spark: SparkSession, d: str) -> DataFrame:
     rows = _giving_rows(spark, d)
-    cols = ["STATEFIPS", "COUNTYFIPS", "agi_stub", "N1", "A19700", "N19700", "A00100", "N04470", "N02650", "A02650", "MARS1", "MARS2", "MARS4", "NUMDEP", "year"]
-    return rows.select(*cols)
+    return rows.select(*[c for c in giving.GIVING_COLUMNS if c not in giving.GIVING_RENAMES], "year")
 
 
 def q17_rank_two_metrics_long(spark: SparkSession, d: str) -> DataFrame:

@@ -104,9 +104,12 @@ def giving_panel(
     )
 
 
-def ranks_long(panel: DataFrame, dims: Dimensions, agi: int = 7, home_city: str = HOME_CITY) -> DataFrame:
+def ranks_long(
+    panel: DataFrame, dims: Dimensions, agi: int = 7, home_city: str = HOME_CITY, label_parts: Sequence[str] = ("city", "rank")
+) -> DataFrame:
     """Ranks on participation and on share of income given, one row per
-    (city, year, metric), with the home city highlighted."""
+    (city, year, metric), with the home city highlighted.  The label joins
+    ``label_parts`` (the other chart puts the rank first)."""
     metrics = list(METRIC_LABELS)
     ranked = rank_by(panel.filter(F.col("agi") == agi), ["year"], metrics)
     ranked = pull_peers(ranked, dims, "FIPS", add_info=True).select("city", "year", *metrics)
@@ -120,7 +123,7 @@ def ranks_long(panel: DataFrame, dims: Dimensions, agi: int = 7, home_city: str
         "rank",
         if_else(is_home, HOME_COLOR, OTHER_COLOR).alias("color"),
         if_else(is_home, 1.0, 0.8).alias("alpha"),
-        label("city", "rank").alias("label"),
+        label(*label_parts).alias("label"),
     )
 
 

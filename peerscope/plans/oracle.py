@@ -8,7 +8,8 @@ same arithmetic order, so results can be compared value for value.
 from __future__ import annotations
 
 from peerscope.plans.cdfi import PURPOSE_RECODE
-from peerscope.plans.giving import BRACKETS
+from peerscope.plans.giving import BRACKETS, HOME_COLOR, METRIC_LABELS, OTHER_COLOR
+from peerscope.plans.reports import MAP_BINS
 
 
 def ssum(x: str) -> str:
@@ -294,13 +295,13 @@ FROM s2 LEFT JOIN pop_msa_latest p ON s2.MSA = p.MSA"""
 SQL["q16_bracket_panel"] = w(DIMS, GIVING) + "\nSELECT * FROM panel"
 SQL["q16_schema_drift_union"] = w(DIMS, GIVING) + """
 SELECT '00' AS STATEFIPS, substr(FIPS, 3, 3) AS COUNTYFIPS, agi_stub, N1, A19700, N19700, A00100, N04470, N02650, A02650, MARS1, MARS2, MARS4, NUMDEP, year FROM gv0"""
+_metric_rows = " UNION ALL ".join(f"SELECT city, year, '{v}' AS variable, {k} AS rank FROM rc" for k, v in METRIC_LABELS.items())
 SQL["q17_rank_two_metrics_long"] = w(DIMS, GIVING, f"""
 r AS (SELECT FIPS, year, {rank_desc('donating_pct', 'year')} AS donating_pct, {rank_desc('giving_pct_income', 'year')} AS giving_pct_income
       FROM panel WHERE agi = 4),
 rc AS (SELECT p.city, r.year, r.donating_pct, r.giving_pct_income FROM r JOIN peers p ON r.FIPS = p.FIPS),
-lg AS (SELECT city, year, 'Percent of Residents Donating' AS variable, donating_pct AS rank FROM rc
-       UNION ALL SELECT city, year, 'Percent of Income Donated', giving_pct_income FROM rc)""") + """
-SELECT city, year, variable, rank, CASE WHEN city = 'CITY_11' THEN '#00a9b7' ELSE 'black' END AS color,
+lg AS ({_metric_rows})""") + f"""
+SELECT city, year, variable, rank, CASE WHEN city = 'CITY_11' THEN '{HOME_COLOR}' ELSE '{OTHER_COLOR}' END AS color,
        CAST(CASE WHEN city = 'CITY_11' THEN 1.0 ELSE 0.8 END AS DOUBLE) AS alpha, concat_ws(' - ', city, CAST(rank AS VARCHAR)) AS label FROM lg"""
 SQL["q18_home_vs_peer_table"] = w(DIMS, GIVING, f"""
 t AS (SELECT agi, max(CASE WHEN FIPS = {HOME} THEN pct_itemized END) AS home_pct, {smean(f"FIPS <> {HOME}", 'pct_itemized')} AS peer_pct
@@ -334,7 +335,7 @@ SELECT year, round(max(CASE WHEN FIPS = {HOME} THEN v END), 9) AS home, round({s
 SQL["q22_rebase_series"] = w(DIMS, f"""
 s AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, {ssum('o_totalprice')} AS amount FROM orders GROUP BY 1)""") + """
 SELECT s.year, s.amount, s.amount * f.factor AS real_amount FROM s LEFT JOIN fac f ON s.year = f.year"""
-_bins = [0, 50, 100, 250, 500, 1000, 3500]
+_bins = MAP_BINS
 _bin = "CASE " + " ".join(
     f"WHEN v.cdfi_pp >= {lo} AND v.cdfi_pp {'<=' if i == len(_bins) - 2 else '<'} {hi} THEN {i}"
     for i, (lo, hi) in enumerate(zip(_bins, _bins[1:]))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from peerscope.dims import Dimensions
 from peerscope.operators.joins import join_dim
-from peerscope.plans import cdfi
+from peerscope.plans import cdfi, giving
 from peerscope.session import scratch_path, session_key
 
 HOME = "00011"
@@ -322,7 +322,7 @@ def giving_records(spark: SparkSession, d: str) -> DataFrame:
 def giving_columns(year: int) -> list[str]:
     """Per-year header: odd years spell ``mars1`` in lower case, 1996 has no
     ``MARS4`` and 1995 no ``NUMDEP`` (schema drift)."""
-    cols = ["STATEFIPS", "COUNTYFIPS", "agi_stub", "N1", "A19700", "N19700", "A00100", "N04470", "N02650", "A02650", "MARS1", "MARS2", "MARS4", "NUMDEP"]
+    cols = [giving.GIVING_RENAMES.get(c, c) for c in giving.GIVING_COLUMNS if c != "MARS1"]  # its renamed variant stands first
     if year == 1996:
         cols.remove("MARS4")
     if year == 1995:

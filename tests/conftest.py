@@ -20,6 +20,10 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="peerscope-test-ckpt-"))
+        .config("spark.eventLog.enabled", "true")
+        .config("spark.eventLog.dir", "file:" + tempfile.mkdtemp(prefix="peerscope-test-events-"))
+        .config("spark.eventLog.buffer.kb", "1k")
+        .config("spark.eventLog.compress", "false")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="peerscope-test-wh-"))
         .getOrCreate()
     )
