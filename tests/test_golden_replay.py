@@ -82,3 +82,59 @@ def test_home_ranks_last_in_2017(spark):
     ranks = {r.FIPS: r.rank for r in rank_table(df, "FIPS", "cdfi_pp").collect()}  # latest year by default
     assert len(ranks) == 21 and ranks["21111"] == 21 and ranks["47157"] == 1
     assert sorted(ranks.values()) == list(range(1, 22))
+
+
+# fixed values: published metro panel of one peer, and one neighborhood, (year, value in 2018 dollars, value per resident)
+METRO_PANEL = [
+    (2000, 32675.77263747039, 0.033290820547077646),
+    (2001, 545.5327039552537, 5.535421424466613e-4),
+    (2002, 0.0, 0.0),
+    (2003, 1120.4815783775423, 0.0011277650070113953),
+    (2004, 78650.02998792908, 0.07884341034682116),
+    (2005, 524979.1216499304, 0.5241651680247262),
+    (2006, 959624.411368331, 0.9415296902680356),
+    (2007, 800547.9546864461, 0.7712103420639899),
+    (2008, 2241941.0601742035, 2.1366328375117614),
+    (2009, 706828.9076256744, 0.6650911147213369),
+    (2010, 4753796.866071725, 4.476310385287738),
+]
+AREA = "Algonquin-Park Hill-Park Duvalle"
+AREA_PANEL = [(2014, 629716.65460444, 40.66098370274682), (2015, 1048.161477712904, 0.06827523955920427), (2016, 42328.196225558866, 2.6752746950801964)]
+
+
+def test_published_metro_panel_replays(spark):
+    raw = [("13820", y, float(round(v / FACTORS_2018[y]))) for y, v, _ in METRO_PANEL if v] + [("x", y, 1.0) for y, *_ in METRO_PANEL]
+    tx = spark.createDataFrame([(f"c{m}", y, v) for m, y, v in raw], "FIPS string, year int, originalamount double")
+    counties = spark.createDataFrame([("c13820", "13820"), ("cx", "x")], "FIPS string, MSA string")
+    pop = spark.createDataFrame([("13820", y, v / p if p else 1e6) for y, v, p in METRO_PANEL] + [("x", y, 1.0) for y, *_ in METRO_PANEL], "MSA string, year int, population double")
+    cpi = spark.createDataFrame([(y, 1.0 / f) for y, f in FACTORS_2018.items()], "year int, cpi double")
+    from peerscope.dims import Dimensions
+    from peerscope.plans import cdfi
+
+    panel = cdfi.msa_panel(tx, Dimensions(msa_counties=counties, population={"MSA": pop}, cpi=cpi))
+    got = {r.year: (r.cdfi, r.cdfi_pp) for r in panel.filter("MSA = '13820'").collect()}
+    for year, value, pp in METRO_PANEL:
+        assert math.isclose(got[year][0], value, rel_tol=1e-9, abs_tol=1e-9) and math.isclose(got[year][1], pp, rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_published_neighborhood_replays_and_layers_agree(spark):
+    from peerscope.dims import Dimensions
+    from peerscope.plans import cdfi
+
+    residents = AREA_PANEL[0][1] / AREA_PANEL[0][2]
+    tracts = [("21111000700", 0.25), ("21111001200", 0.75)]
+    tx = [(t, y, round(v / FACTORS_2018[y]) * part) for y, v, _ in AREA_PANEL for t, part in tracts]
+    tx += [("21111999900", y, 7.0) for y, *_ in AREA_PANEL]  # a tract that the crosswalk lacks
+    xw = [(t, layer, AREA, residents * part) for t, part in tracts for layer in ("nh", "muw")]
+    dims = Dimensions(
+        cpi=spark.createDataFrame([(y, 1.0 / f) for y, f in FACTORS_2018.items()], "year int, cpi double"),
+        crosswalk=spark.createDataFrame(xw, "tract string, layer string, neighborhood string, population double"),
+    )
+    layers = cdfi.map_layers(spark.createDataFrame(tx, "tract_10 string, year int, originalamount double"), dims)
+    got = {r.year: (r.cdfi, r.cdfi_pp) for r in layers["cdfi_nh"].filter("neighborhood is not null").collect()}
+    for year, value, pp in AREA_PANEL:
+        assert math.isclose(got[year][0], value, rel_tol=1e-9) and math.isclose(got[year][1], value / residents, rel_tol=1e-9)
+    assert math.isclose(got[2014][1], AREA_PANEL[0][2], rel_tol=1e-9)
+    totals = [{r.year: r.t for r in layers[f"cdfi_{k}"].groupBy("year").agg({"cdfi": "sum"}).toDF("year", "t").collect()} for k in ("tract", "nh", "muw")]
+    for year in totals[0]:  # as the published layers do, each adds up to the county
+        assert math.isclose(totals[0][year], totals[1][year], rel_tol=1e-9) and math.isclose(totals[0][year], totals[2][year], rel_tol=1e-9)
