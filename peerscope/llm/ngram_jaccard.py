@@ -13,18 +13,22 @@ Texts link when num * |union| <= den * |intersection| of their shingle sets.
    positions that a set may leave out, so those many equal ones need no join.
 3. Bands overlap: band k holds the sizes that a pair with its smaller set in
    [start_k, start_k+1) can have, so each linked pair shares a band.
-4. Pairs of a bucket that pass the size and Hamming bounds are candidates; of
-   a pair's common positions only the first reports it (sets of over
-   ``FULL_WORDS`` positions do not carry them; their pairs are made distinct).
-5. Candidates are verified on the whole texts' shingle sets, and components
-   are contracted over the links of class representatives.
+4. Sets of a bucket are compared by the size and Hamming bounds.  First only
+   stars are candidates: from the set with most neighbours down, a set is
+   joined to its neighbours that no star has yet, so a bucket of any number of
+   near copies gives fewer candidates than members.  They are verified on the
+   whole texts' shingle sets and contracted to components.
+5. Then the neighbours in different components are candidates, each pair at
+   its first common position only (sets of over ``FULL_WORDS`` positions do
+   not carry them; their pairs are made distinct), and are verified as well.
+   A linked pair is thus verified or already connected: no component is split.
 
 Equal sets are one class before step 1, so copies cost one row each.  Buckets
 are read as sorted streams and compared in blocks of at most ``BLOCK`` sets;
 longer ones are dealt out block by block, and a set with many candidates is
 verified in several salted groups.  Identities are 128-bit digests and shingle
-hashes are 64 bits wide.  Ids that select rows are broadcast only up to
-``BROADCAST_IDS`` (8 bytes each), else the join is shuffled.
+hashes are 64 bits wide.  Keys that select rows are broadcast only up to
+``common.BROADCAST_KEYS`` rows, else the join is shuffled.
 
 Defined results: a null or empty text, or one without words, has an empty set
 and is linked with nothing, itself its component; a null id is carried and
@@ -45,15 +49,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import saved
+from peerscope.llm.common import saved, small_enough
 from peerscope.llm.components import components
 from peerscope.llm.shingles import digest, shingle_set
 from peerscope.llm.streams import cells, shared_buckets, sorted_groups
 
 GROWTH = 1.25  # of band starts
-BLOCK = 2048  # sets of a bucket that are compared at once
+BLOCK = 1024  # sets of a bucket that are compared at once
 FULL_WORDS = 64  # most positions, and most parity words, that a bucket row carries
-BROADCAST_IDS = 1_000_000
 SALT_PAIRS = 500  # candidates of one set that are verified in one group
 
 
@@ -82,7 +85,7 @@ def _band(t: Threshold, k: int) -> tuple[int, int, int, int, int]:
     d = t.apart(after - 1, t.partner(after - 1))
     empty = 1.1 * (d + 1) * math.exp(-start / (1.1 * (d + 1)))  # as many as the smallest sets are likely to have
     spare = math.ceil(empty + 4 * empty**0.5) + 1
-    return start, after, d + 1 + spare if d else 0, spare, min(FULL_WORDS, max(4, -(-after // 48)))
+    return start, after, d + 1 + spare if d else 0, spare, min(FULL_WORDS, max(6, -(-after // 24)))
 
 
 def bands_of(t: Threshold, n: int) -> list[tuple[int, int, int, int]]:
@@ -139,34 +142,66 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(len(lists), len(flat) // len(lists))
 
 
-def _near(t: Threshold) -> Callable:
-    """Candidate pairs (a < b) of each cell: rows of one block, or of one block against those of another."""
+def _neighbours(t: Threshold, g: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """(x, ys): for each row of a cell the rows after it that pass the bounds (of two blocks, those of the other)."""
+    i, j = g["i"][0].as_py(), g["j"][0].as_py()
+    block, rid, n, parity = g["block"].to_numpy(), g["rid"].to_numpy(), g["n"].to_numpy(), _matrix(g["parity"])
+    left = np.flatnonzero(block == i)
+    right = left if i == j else np.flatnonzero(block == j)
+    for x in left:
+        y = right[right > x] if i == j else right
+        y = y[(t.partner(np.minimum(n[x], n[y])) >= np.maximum(n[x], n[y])) & (rid[y] != rid[x])]
+        y = y[np.bitwise_count(parity[y] ^ parity[x]).sum(1) <= t.apart(n[x], n[y])]
+        if len(y):
+            yield x, y
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def _stars(t: Threshold) -> Callable:
+    """Pairs (a < b) of each cell that join every row with a neighbour to one star."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in sorted_groups(batches, ["key", "i", "j"]):
-            i, j, at = g["i"][0].as_py(), g["j"][0].as_py(), g["at"][0].as_py() & 0xFFFFF
-            block, rid, n = g["block"].to_numpy(), g["rid"].to_numpy(), g["n"].to_numpy()
-            words, parity, spare = _matrix(g["words"]), _matrix(g["parity"]), g["spare_zeros"].to_numpy()
-            left = np.flatnonzero(block == i)
-            right = left if i == j else np.flatnonzero(block == j)
-            out: list[np.ndarray] = []
-            for x in left:
-                y = right[right > x] if i == j else right
-                y = y[(t.partner(np.minimum(n[x], n[y])) >= np.maximum(n[x], n[y])) & (rid[y] != rid[x])]
-                if not len(y):
-                    continue
-                y = y[np.bitwise_count(parity[y] ^ parity[x]).sum(1) <= t.apart(n[x], n[y])]
+            rid = g["rid"].to_numpy()
+            near = np.zeros((len(rid), len(rid)), bool)  # at most 2 * BLOCK rows make a cell
+            for x, ys in _neighbours(t, g):
+                near[x, ys] = near[ys, x] = True
+            degree = near.sum(1)
+            free = degree > 0
+            for x in np.lexsort((rid, -degree))[: int(free.sum())]:
+                if free[x]:
+                    free[x] = False
+                    new = np.flatnonzero(near[x] & free)
+                    if not len(new):
+                        new = np.flatnonzero(near[x])[:1]  # all its neighbours are in other stars
+                    free[new] = False
+                    yield _pairs(rid[new], rid[x])
+
+    return run
+
+
+def _across(t: Threshold) -> Callable:
+    """Neighbours of each cell in different components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in sorted_groups(batches, ["key", "i", "j"]):
+            component = g["component"].to_numpy()
+            if (component == component[0]).all():
+                continue
+            at = g["at"][0].as_py() & 0xFFFFF
+            rid, n, words, spare = g["rid"].to_numpy(), g["n"].to_numpy(), _matrix(g["words"]), g["spare_zeros"].to_numpy()
+            for x, y in _neighbours(t, g):
+                y = y[component[y] != component[x]]
                 if len(y) and words.shape[1]:
                     equal = words[y] == words[x]
                     differ = words.shape[1] - equal.sum(1)
                     equal &= (words[x] != 0) | (~spare[x] & ~spare[y])[:, None]
                     y = y[(equal.argmax(1) == at) & (differ <= t.apart(n[x], n[y]))]
                 if len(y):
-                    z = rid[y]
-                    out.append(np.stack([np.minimum(z, rid[x]), np.maximum(z, rid[x])], 1))
-            if out:
-                p = np.concatenate(out)
-                yield pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], names=["a", "b"])
+                    yield _pairs(rid[y], rid[x])
 
     return run
 
@@ -210,9 +245,8 @@ def _verify(t: Threshold) -> Callable:
 
 
 def _chosen(df: DataFrame, ids: DataFrame, on: list[str]) -> DataFrame:
-    """Inner join with ``ids``: broadcast below BROADCAST_IDS rows (a few longs each), shuffled beyond."""
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    """Inner join with ``ids``, which are broadcast only if few."""
+    ids = small_enough(ids)
     matched = F.lit(True)
     for c in on:
         matched = matched & df[c].eqNullSafe(ids[c])
@@ -225,22 +259,43 @@ def shingled(docs: DataFrame, t: Threshold, id_col: str = "doc_id", text_col: st
     return saved(rows.mapInArrow(_sets(t), _SETS).withColumn("rid", F.monotonically_increasing_id()), "jaccard-sets")
 
 
-def candidate_pairs(sets: DataFrame, t: Threshold) -> DataFrame:
-    """(a, b) rids of class representatives that pass the sketch bounds; no linked pair of classes is missing."""
-    lead = sets.filter("n > 0").groupBy("d1", "d2").agg(F.min(F.when(F.col("bands").isNotNull(), F.col("rid"))).alias("rid"))
-    spare = saved(sets.filter("bands is not null").select("d1", "d2", "rid").join(lead.withColumnRenamed("rid", "lead"), ["d1", "d2"]).filter("rid <> lead").select("rid"), "jaccard-copies")
-    leaders = sets.filter("bands is not null").select("rid", "n", "bands")
-    leaders = leaders.join(F.broadcast(spare) if spare.count() <= BROADCAST_IDS else spare, "rid", "left_anti")
+def shared_positions(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(met, folds): the class representatives' rows in buckets with two sets or more, and their sketches by band."""
+    carrying = sets.filter("bands is not null")
+    lead = sets.filter("n > 0").groupBy("d1", "d2").agg(F.min(F.when(F.col("bands").isNotNull(), F.col("rid"))).alias("lead"))
+    copies = saved(carrying.select("d1", "d2", "rid").join(lead, ["d1", "d2"]).filter("rid <> lead").select("rid"), "jaccard-copies")
+    leaders = carrying.select("rid", "n", "bands").join(small_enough(copies), "rid", "left_anti")
     by_band = leaders.select("rid", F.explode("bands").alias("s"))
     by_word = by_band.select("rid", F.col("s.band").alias("band"), F.col("s.spare_zeros").alias("spare_zeros"), F.posexplode("s.words").alias("place", "word"))
     rows = by_word.filter("word <> 0 or not spare_zeros").select(F.xxhash64("band", "place", "word").alias("key"), "rid", F.expr("shiftleft(band, 20) | place").alias("at"))
     met = rows.repartition("key").sortWithinPartitions("key", "rid").mapInArrow(shared_buckets(BLOCK), "key long, rid long, at int, block int")
     met = saved(met, "jaccard-buckets")
-    folds = _chosen(sets.filter("bands is not null").select("rid", "n", "bands"), saved(met.select("rid").distinct(), "jaccard-met"), ["rid"])
-    folds = folds.select("rid", "n", F.explode("bands").alias("s")).select("rid", "n", F.col("s.band").alias("band"), "s.spare_zeros", F.when(F.size("s.words") <= FULL_WORDS, F.col("s.words")).otherwise(F.array().cast("array<bigint>")).alias("words"), "s.parity")
-    rich = cells(met).withColumn("band", F.expr("shiftright(at, 20)")).join(folds, ["rid", "band"])
-    rich = rich.select("key", "i", "j", "block", "at", "rid", "n", "spare_zeros", "words", "parity").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return saved(rich.mapInArrow(_near(t), "a long, b long").distinct(), "jaccard-candidates")
+    folds = _chosen(carrying.select("rid", "n", "bands"), saved(met.select("rid").distinct(), "jaccard-met"), ["rid"])
+    folds = folds.select("rid", "n", F.explode("bands").alias("s")).select(
+        "rid", "n", F.col("s.band").alias("band"), "s.spare_zeros", F.when(F.size("s.words") <= FULL_WORDS, F.col("s.words")).otherwise(F.array().cast("array<bigint>")).alias("words"), "s.parity"
+    )
+    return met, saved(folds, "jaccard-sketches")
+
+
+def _compared(met: DataFrame, folds: DataFrame, columns: list[str], compare: Callable, name: str) -> DataFrame:
+    """Distinct pairs that ``compare`` finds in the cells of ``met``, whose rows get ``columns`` of ``folds``."""
+    dealt = cells(met).withColumn("band", F.expr("shiftright(at, 20)"))
+    rich = dealt.join(folds.select("rid", "band", *columns), ["rid", "band"]).select("key", "i", "j", "block", "at", "rid", *columns)
+    rich = rich.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return saved(rich.mapInArrow(compare, "a long, b long").distinct(), name)
+
+
+def linked_pairs(docs: DataFrame, sets: DataFrame, t: Threshold, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(a, b): verified links of class representatives, enough to connect every linked pair."""
+    met, folds = shared_positions(sets)
+    stars = _compared(met, folds, ["n", "parity"], _stars(t), "jaccard-stars")
+    links = saved(verified(docs, sets, stars, t, id_col, text_col), "jaccard-star-links")
+    label = components(links).withColumnRenamed("node", "rid")
+    label = saved(folds.select("rid").distinct().join(label, "rid", "left").withColumn("component", F.coalesce("component", "rid")), "jaccard-labels")
+    mixed = met.join(label, "rid").groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
+    open_cells = saved(met.join(mixed, "key", "left_semi"), "jaccard-open")
+    across = _compared(open_cells, folds.join(label, "rid"), ["n", "parity", "words", "spare_zeros", "component"], _across(t), "jaccard-across")
+    return saved(links.unionByName(verified(docs, sets, across, t, id_col, text_col)), "jaccard-links")
 
 
 def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, t: Threshold, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -257,25 +312,17 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, t: Threshold, i
 
 
 def link_components(docs: DataFrame, t: Threshold = Threshold(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, n_links, component_id) of every row of ``docs``.
-
-    component_id is the smallest id reachable by links; n_links counts linked
-    rows with other sets plus the other rows with the same set.
-    """
+    """(doc_id, n_shingles, component_id) of every row of ``docs``: component_id is the smallest id reachable by links."""
     sets = shingled(docs, t, id_col, text_col)
-    links = saved(verified(docs, sets, candidate_pairs(sets, t), t, id_col, text_col), "jaccard-links")
-    classes = sets.filter("n > 0").groupBy("d1", "d2").agg(F.min(F.when(F.col("bands").isNotNull(), F.col("rid"))).alias("rid"), F.min("doc_id").alias("first_id"), F.count("*").alias("size"))
-    found = components(links).withColumnRenamed("node", "rid")
+    found = components(linked_pairs(docs, sets, t, id_col, text_col)).withColumnRenamed("node", "rid")
+    classes = sets.filter("n > 0").groupBy("d1", "d2").agg(F.min(F.when(F.col("bands").isNotNull(), F.col("rid"))).alias("rid"), F.min("doc_id").alias("first_id"))
     classes = saved(classes.join(found, "rid", "left").withColumn("component", F.coalesce("component", "rid")), "jaccard-classes")
-    both = links.select("a", "b").union(links.select("b", "a"))
-    partners = both.join(classes.select(F.col("rid").alias("b"), F.col("size").alias("partners")), "b").groupBy(F.col("a").alias("rid")).agg(F.sum("partners").alias("partners"))
     least = classes.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    classes = classes.join(least, "component").join(partners, "rid", "left")
-    classes = classes.select("d1", "d2", "component_id", (F.coalesce("partners", F.lit(0)) + F.col("size") - 1).alias("n_links"))
+    classes = classes.join(least, "component").select("d1", "d2", "component_id")
+    classes = saved(classes, "jaccard-components")  # so that both sides of the join below are plain exchanges, which AQE may split
     rows = sets.select("doc_id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left")
     return rows.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )

@@ -36,8 +36,7 @@ def op2_bpe(spark: SparkSession, d: str) -> DataFrame:
 
 def op3_jaccard(spark: SparkSession, d: str) -> DataFrame:
     """Shingle set size and link component of every whole text (3 words, similarity 0.9)."""
-    found = ngram_jaccard.link_components(table(spark, d, "documents"), ngram_jaccard.Threshold(90, 100, 3))
-    return found.select("doc_id", "n_shingles", "component_id", "n_links")
+    return ngram_jaccard.link_components(table(spark, d, "documents"), ngram_jaccard.Threshold(90, 100, 3))
 
 
 def op4_leaks(spark: SparkSession, d: str) -> DataFrame:
