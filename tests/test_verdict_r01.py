@@ -139,3 +139,12 @@ def test_named_table(spark):
 def test_private_checkpoint_folder_is_for_local_masters_only():
     assert is_local("local") and is_local("local[8]")
     assert not is_local("local-cluster[3,2,1000]") and not is_local("spark://host:7077")
+
+
+def test_repeated_dimension_keys_are_noticed(spark):
+    from peerscope.dims import Dimensions
+
+    once = spark.createDataFrame([(2018, 1.0), (2019, 1.1)], "year int, cpi double")
+    Dimensions(cpi=once).check_unique()
+    with pytest.raises(ValueError, match="not unique"):
+        Dimensions(cpi=once.unionByName(once)).check_unique()
