@@ -40,7 +40,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.decode(bpe.encode(docs)).withColumn("n_tokens", F.expr("cast(length(ids) div 4 as bigint)"))
+    return bpe.round_trip(docs).withColumn("n_tokens", F.expr("cast(length(ids) div 4 as bigint)"))
 
 
 STAGES = [

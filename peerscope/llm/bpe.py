@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, types as T
 
 # fixed values: the pre-tokenizer's pattern of byte-level BPE files that state use_regex
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-FRAGMENT_TABLE = 700_000  # entries a worker keeps before it starts its table anew
+FRAGMENT_TABLE = 300_000  # entries a worker keeps before it starts its table anew
 
 NONE = 1 << 30
 SHORT = 32  # bytes; shorter pre-tokens are merged without looking for cuts inside
@@ -185,21 +185,24 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _with(path: str | None, out: str, source: str, arrow_type: pa.DataType, f: Callable[[ByteBPE], Callable]) -> Callable:
+def _with(path: str | None, source: str, out: dict[str, pa.DataType], f: Callable[[ByteBPE, object], tuple]) -> Callable:
+    """Batches with the columns ``out``, which ``f`` makes of each value of ``source``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = f(load(path or default_vocabulary()))
+        vocabulary = load(path or default_vocabulary())
         for batch in batches:
             step = 256  # bounds the lists that are held at once
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
-                made = pa.array([one(x.as_py()) for x in part.column(part.schema.get_field_index(source))], arrow_type)
-                yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*part.schema.names, out])
+                made = [f(vocabulary, x.as_py()) for x in part.column(part.schema.get_field_index(source))]
+                columns = [pa.array([m[i] for m in made], kind) for i, kind in enumerate(out.values())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *out])
 
     return run
 
 
-def _added(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    return T.StructType([*df.schema.fields, T.StructField(name, kind)])
+def _added(df: DataFrame, **kinds: T.DataType) -> T.StructType:
+    return T.StructType([*df.schema.fields, *(T.StructField(n, k) for n, k in kinds.items())])
 
 
 def encode(docs: DataFrame, text_col: str = "text", out: str = "ids", vocabulary: str | None = None) -> DataFrame:
@@ -209,13 +212,24 @@ def encode(docs: DataFrame, text_col: str = "text", out: str = "ids", vocabulary
     50k byte-level file that each of them has installed.
     """
     docs = docs.drop(out)
-    return docs.mapInArrow(_with(vocabulary, out, text_col, pa.binary(), lambda v: v.encode), _added(docs, out, T.BinaryType()))
+    return docs.mapInArrow(_with(vocabulary, text_col, {out: pa.binary()}, lambda v, x: (v.encode(x),)), _added(docs, **{out: T.BinaryType()}))
 
 
 def decode(encoded: DataFrame, ids_col: str = "ids", out: str = "decoded", vocabulary: str | None = None) -> DataFrame:
     """``encoded`` with ``out``: the text of the packed ids.  A column of that name is replaced."""
     encoded = encoded.drop(out)
-    return encoded.mapInArrow(_with(vocabulary, out, ids_col, pa.string(), lambda v: v.decode), _added(encoded, out, T.StringType()))
+    return encoded.mapInArrow(_with(vocabulary, ids_col, {out: pa.string()}, lambda v, x: (v.decode(x),)), _added(encoded, **{out: T.StringType()}))
+
+
+def _both(vocabulary: ByteBPE, text: str | None) -> tuple[bytes, str]:
+    ids = vocabulary.encode(text)
+    return ids, vocabulary.decode(ids)
+
+
+def round_trip(docs: DataFrame, text_col: str = "text", out: str = "ids", decoded: str = "decoded", vocabulary: str | None = None) -> DataFrame:
+    """``decode(encode(docs))`` in one pass, so that a task needs one worker."""
+    docs = docs.drop(out, decoded)
+    return docs.mapInArrow(_with(vocabulary, text_col, {out: pa.binary(), decoded: pa.string()}, _both), _added(docs, **{out: T.BinaryType(), decoded: T.StringType()}))
 
 
 def unpack(packed: bytes | None) -> list[int]:

@@ -42,7 +42,7 @@ LITERALS = 3  # least literal tokens of a window
 COVERAGE = 0.8
 DRIFT = 3  # diagonals next to the strongest one that count with it
 BLOCK_WINDOWS = 500_000
-WORD_TABLE = 500_000
+WORD_TABLE = 200_000
 _MAYBE = 1 << 20
 
 # fixed values: units that may follow a number
@@ -235,11 +235,13 @@ def leaks(text: str | None, items: Items, coverage: float = COVERAGE) -> list[tu
 def _find(items_of, coverage: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(items_of.value)
+        _packed.clear()  # a worker that is used again starts small
         for batch in batches:
             rows = [(doc, text_hash, *x) for doc, text, text_hash in zip(*(c.to_pylist() for c in batch.columns)) for x in leaks(text, items, coverage)]
             names = ["doc_id", "text_hash", "item_id", "start", "stop", "coverage", "kind"]
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+        _packed.clear()
 
     return run
 

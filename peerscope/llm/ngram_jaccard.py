@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 
 from peerscope.llm.common import saved, small_enough
 from peerscope.llm.components import components
-from peerscope.llm.shingles import digest, shingle_set
+from peerscope.llm.shingles import digest, forget, shingle_set
 from peerscope.llm.streams import cells, shared_buckets, sorted_groups
 
 GROWTH = 1.25  # of band starts
@@ -131,6 +131,7 @@ def _sets(t: Threshold) -> Callable:
                     for column, x in zip(rows, (len(h), *d, bands)):
                         column.append(x)
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, pa.int64()) for x in rows[:3]), pa.array(rows[3], _BANDS)], names=["doc_id", "n", "d1", "d2", "bands"])
+        forget()
 
     return run
 
@@ -218,6 +219,7 @@ def _hashes(width: int) -> Callable:
                     rid.append(r.as_py())
                     out.append(h.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(rid, pa.int64()), pa.array(out, pa.binary())], names=["rid", "hashes"])
+        forget()
 
     return run
 

@@ -25,7 +25,7 @@ def op1_url_rules(spark: SparkSession, d: str) -> DataFrame:
 def op2_bpe(spark: SparkSession, d: str) -> DataFrame:
     """Every whole text encoded and decoded; digests of the ids and of the decoded text."""
     docs = table(spark, d, "documents").select("doc_id", "text")
-    done = bpe.decode(bpe.encode(docs).drop("text"))
+    done = bpe.round_trip(docs)
     return done.select(
         "doc_id",
         F.expr("cast(length(ids) div 4 as bigint)").alias("n_tokens"),

@@ -21,6 +21,11 @@ class _WordHashes(dict):
 _hash_of = _WordHashes()
 
 
+def forget() -> None:
+    """Empty the worker's table; tasks call it at their end, for workers go on to other stages."""
+    _hash_of.clear()
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased."""
     return text.lower().split() if text else []

@@ -49,7 +49,8 @@ def test_whole_table_and_edges(spark, edge, nothing):
     assert len(rows) == edge.count()
     for r in rows:
         assert bpe.unpack(r.ids) == THEIRS.encode(r.text or "", add_special_tokens=False).ids and r.decoded == (r.text or "")
-    assert bpe.decode(bpe.encode(nothing)).count() == 0
+    assert bpe.decode(bpe.encode(nothing)).count() == 0 and bpe.round_trip(nothing).count() == 0
+    assert bpe.round_trip(edge).exceptAll(coded.select(*edge.columns, "ids", "decoded")).count() == 0
 
 
 def test_query(spark):
