@@ -50,8 +50,8 @@ def op5_quality(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op6_substrings(spark: SparkSession, d: str) -> DataFrame:
-    """Spans of every text that repeat an earlier ranked occurrence (runs of 20 words or more)."""
-    return substring_dedup.repeated_spans(table(spark, d, "documents"))
+    """Spans of every text that repeat an earlier ranked occurrence: whole units and passages of 50 words or more."""
+    return substring_dedup.repeated_passages(table(spark, d, "documents"))
 
 
 def op7_lines(spark: SparkSession, d: str) -> DataFrame:

@@ -57,6 +57,72 @@ def test_passage_pasted_inside_lines(docs_of):
         assert "Own start" in left and "Own end" in left and len(left) == len(text) - (r.stop - r.start)
 
 
+def repeated_words(rows, passage=S.PASSAGE):
+    """Words of each row in a repeating unit or in a window that an earlier text holds, or its own text a window before."""
+    whole = brute(rows, 1)
+    first = {}
+    for doc, text in sorted(rows, key=lambda r: r[0]):
+        w = text.lower().split()
+        for p in range(len(w) - passage + 1):
+            first.setdefault(tuple(w[p : p + passage]), (doc, p))
+    out = set()
+    for doc, text in rows:
+        at, spots = 0, []
+        for word in text.split():
+            at = text.index(word, at)
+            spots.append((at, at + len(word)))
+            at += len(word)
+        w = text.lower().split()
+        for p in range(len(w) - passage + 1):
+            d, q = first[tuple(w[p : p + passage])]
+            if d != doc or p >= q + passage:
+                out |= {(doc, x) for x in range(p, p + passage)}
+        out |= {(doc, x) for x, (a, b) in enumerate(spots) for i, c, d in whole if i == str(doc) and c <= a and b <= d}
+    return out
+
+
+def removed_words(rows, got):
+    text_of = dict(rows)
+    out = set()
+    for r in got:
+        before = len(text_of[r.doc_id][: r.start].split())
+        n = len(text_of[r.doc_id][r.start : r.stop].split())
+        assert n == r.n_words
+        out |= {(r.doc_id, before + x) for x in range(n)}
+    return out
+
+
+def test_short_passages_pasted_inside_lines(docs_of):
+    one = "the one long sentence " + " ".join(f"a{i}" for i in range(51))
+    two = " ".join(f"b{i}" for i in range(26)) + ". Then " + " ".join(f"c{i}" for i in range(27))
+    short = "A licence line stands here."
+    rows = [(i, f"Own{i} x{i} {one} z{i} end{i}.\nNext{i} y{i} {two} v{i} more{i}. {short}") for i in range(5)]
+    got = S.repeated_passages(docs_of(rows)).collect()
+    assert {r.doc_id for r in got} == {1, 2, 3, 4} and {r.first_doc_id for r in got} == {0}
+    for i, text in rows[1:]:
+        left = S.without_spans(text, sorted((r.start, r.stop) for r in got if r.doc_id == i))
+        assert left.split() == f"Own{i} x{i} z{i} end{i}. Next{i} y{i} v{i} more{i}.".split()
+
+
+def test_passages_against_all_windows(docs_of, edge, nothing):
+    rnd = random.Random(8)
+    word = lambda: rnd.choice("abcdefghijklmnopqrstuvwxyz") * rnd.randint(1, 4)
+    stock = [[word() + rnd.choice(["", "", "", "", "."]) for _ in range(rnd.randint(45, 130))] for _ in range(6)]
+    rows = [(900, "flood " * 300), (901, " ".join(stock[0]) + " own " + " ".join(stock[0]))]
+    for i in range(50):
+        words = [word() for _ in range(rnd.randint(0, 40))]
+        for _ in range(rnd.randint(0, 3)):
+            s = rnd.choice(stock)
+            a = rnd.randint(0, 30)
+            words += s[a : rnd.randint(a + 40, len(s) + 20)] + [word() for _ in range(rnd.randint(0, 9))]
+        rows.append((500 - i, " ".join(words)))
+    got = S.repeated_passages(docs_of(rows)).collect()
+    assert removed_words(rows, got) == repeated_words(rows) and len(got) > 20
+    twice = docs_of([(1, " ".join(stock[0])), (1, " ".join(stock[0])), (2, "own " + " ".join(stock[0]) + " words")])
+    assert {r.doc_id for r in S.repeated_passages(twice).collect()} <= {2}
+    assert S.repeated_passages(nothing).count() == 0 and S.repeated_passages(edge).columns == S.repeated_spans(edge).columns
+
+
 def test_normalisation_and_offsets():
     a, b = S.units("  The  CAT sat.\tOn it"), S.units("the cat\xa0sat. on IT")
     assert [u[:2] for u in a] == [u[:2] for u in b] and [(u[2], u[3]) for u in a] == [(2, 15), (16, 21)]
