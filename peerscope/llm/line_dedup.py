@@ -1,7 +1,10 @@
 """Line dedup: exact copies by digest, near copies by a segment-partition edit join.
 
-A line is a ``\\n``-separated piece without the white space around it; lines of
-fewer than ``min_chars`` code points are left alone.  Equal lines are one
+A line is a ``\\n``-separated piece without the white space around it.  Lines of
+fewer than ``min_chars`` code points are left alone unless ``short`` is given:
+then every line with a character counts, and a pair is near within one edit
+for each ``min_chars // edits`` code points of its shorter line, ``edits`` at
+most (2 from 32, 1 from 16, exact copies below).  Equal lines are one
 class, ranked by their first place (document id, line number); the first place
 stays and the others go.  A class within ``edits`` edits of an earlier ranked
 class goes as a whole.
@@ -66,11 +69,19 @@ def segments(length: int, edits: int) -> list[tuple[int, int]]:
     return [(sum(sizes[:i]), s) for i, s in enumerate(sizes)]
 
 
-def places(length: int, edits: int) -> tuple[list[tuple[int, int, int]], int]:
-    """(seed, start, size) of each substring under which a line of this length meets others; the first edits + 1 are its own segments."""
+def allowed(shorter: int, edits: int, per: int) -> int:
+    """Edits between a line of this length and one as long or longer: one for each ``per`` code points, ``edits`` at most (all if per is 0)."""
+    return min(edits, shorter // per) if per else edits
+
+
+def places(length: int, edits: int, per: int = 0) -> tuple[list[tuple[int, int, int]], int]:
+    """(seed, start, size) of each substring under which a line of this length meets others; the first (its edits + 1) are its own segments."""
     own, probes = [], []
-    for shorter in range(length, max(edits, length - edits - 1), -1):
-        extra = length - shorter
+    most = edits
+    for shorter in range(length, max(0 if per else most, length - most - 1), -1):
+        extra, edits = length - shorter, allowed(shorter, most, per)
+        if extra > edits or not edits and per:
+            continue
         for i, (p, size) in enumerate(segments(shorter, edits)):
             seed = shorter << 8 | i
             low = max(0, p - i, p + extra - (edits - i))
@@ -124,7 +135,7 @@ def within(a: str, b: str, edits: int) -> bool:
 _LINES = "doc_id long, text_hash long, n_lines long, number array<int>, start array<int>, stop array<int>, h1 array<bigint>, h2 array<bigint>, keys array<array<bigint>>"
 
 
-def _split(edits: int, min_chars: int) -> Callable:
+def _split(edits: int, min_chars: int, per: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # a task's repeated lines carry their keys once
         memo: dict[int, list[tuple[int, int, int]]] = {}
@@ -151,7 +162,7 @@ def _split(edits: int, min_chars: int) -> Callable:
                         if (where := memo.get(len(x))) is None:
                             if len(memo) > 10_000:
                                 memo.clear()
-                            where = memo[len(x)] = places(len(x), edits)[0]
+                            where = memo[len(x)] = places(len(x), edits, per)[0]
                         of_row.append([digest(x[p : p + size], seed) - (1 << 63) for seed, p, size in where])
                     keys.append(of_row)
                 ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
@@ -179,7 +190,7 @@ def _texts(min_chars: int) -> Callable:
     return run
 
 
-def _partners(edits: int) -> Callable:
+def _partners(edits: int, per: int) -> Callable:
     """For each line of a cell the earliest ranked line within the edits, if it is earlier: (h1, h2, partner's place)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +206,7 @@ def _partners(edits: int) -> Callable:
                     a = rows[x]
                     if (a[3], a[4]) == (b[3], b[4]) or not (a[6] or b[6]) or (i != j and a[5] == b[5]) or abs(len(a[7]) - len(b[7])) > edits:
                         continue
-                    if within(a[7], b[7], edits):
+                    if within(a[7], b[7], allowed(min(len(a[7]), len(b[7])), edits, per)):
                         out.append((b[3], b[4], a[1], a[2]))
                         break
             if out:
@@ -209,7 +220,7 @@ def _text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
-def repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, n_lines, n_exact, n_near, removed) per row of ``docs``.
 
     ``removed`` lists the lines to remove in order: number, start, stop (code
@@ -218,8 +229,9 @@ def repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_
     """
     if min_chars <= edits:
         raise ValueError("min_chars must exceed edits")
+    least, per = (1, min_chars // edits if edits else 0) if short else (min_chars, 0)
     texts = _text_rows(docs, id_col, text_col)
-    split = saved(texts.mapInArrow(_split(edits, min_chars), _LINES).withColumn("row", F.monotonically_increasing_id()), "line-sets")
+    split = saved(texts.mapInArrow(_split(edits, least, per), _LINES).withColumn("row", F.monotonically_increasing_id()), "line-sets")
     each = split.select("row", "doc_id", F.inline(F.arrays_zip("number", "start", "stop", "h1", "h2")))
     place: Column = F.struct(F.col("doc_id").isNull().alias("later_null"), F.col("doc_id").alias("first_doc"), F.col("number").alias("first_line"))
     classes = saved(each.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("p")).select("h1", "h2", "n", "p.*"), "line-classes")
@@ -235,10 +247,10 @@ def repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_
     wanted = saved(wanted, "line-wanted")
     from_docs = small_enough(saved(wanted.groupBy("first_doc").agg(F.collect_set("rid").alias("rids")), "line-documents"), wanted.count())
     lines = texts.join(from_docs, texts["doc_id"].eqNullSafe(from_docs["first_doc"])).select("text", "rids")
-    lines = lines.mapInArrow(_texts(min_chars), "rid long, h1 long, h2 long, line string").dropDuplicates(["h1", "h2"])
+    lines = lines.mapInArrow(_texts(least), "rid long, h1 long, h2 long, line string").dropDuplicates(["h1", "h2"])
     known = saved(wanted.drop("n").join(lines.drop("rid"), ["h1", "h2"]), "line-texts")
     rich = cells(met).withColumns({"own": F.expr("rid & 1 = 1"), "rid": F.expr("shiftright(rid, 1)")}).join(known, "rid").drop("at", "rid")
-    near = rich.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_partners(edits), "h1 long, h2 long, near_doc long, near_line long")
+    near = rich.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_partners(edits, per), "h1 long, h2 long, near_doc long, near_line long")
     near = near.groupBy("h1", "h2").agg(F.min(F.struct(F.col("near_doc").isNull().alias("later_null"), "near_doc", "near_line"))["near_doc"].alias("near_doc"), F.lit(True).alias("near"))
 
     gone = classes.join(near, ["h1", "h2"], "left").filter("n > 1 or near").select("h1", "h2", "first_doc", "first_line", "near", "near_doc")
@@ -269,9 +281,9 @@ def _cut(text_index: int, spans_index: int) -> Callable:
     return run
 
 
-def without_repeats(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the repeated lines cut from ``text_col``; rows whose lines have all gone are dropped."""
-    spans = repeated_lines(docs, edits=edits, min_chars=min_chars, id_col=id_col, text_col=text_col).filter("size(removed) > 0")
+    spans = repeated_lines(docs, edits=edits, min_chars=min_chars, short=short, id_col=id_col, text_col=text_col).filter("size(removed) > 0")
     name = free_name(docs, "removed")
     spans = spans.select(F.col("doc_id").alias(f"{name}_id"), F.col("text_hash").alias(f"{name}_hash"), F.col("removed").alias(name)).dropDuplicates([f"{name}_id", f"{name}_hash"])
     same = (F.xxhash64(docs[text_col].cast("string")) == spans[f"{name}_hash"]) & docs[id_col].cast("long").eqNullSafe(spans[f"{name}_id"])

@@ -55,8 +55,8 @@ def op6_substrings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op7_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Lines of every text that repeat an earlier ranked line, exactly or within two edits."""
-    found = line_dedup.repeated_lines(table(spark, d, "documents"))
+    """Lines of every text that repeat an earlier ranked line, exactly or within two edits (short lines within fewer)."""
+    found = line_dedup.repeated_lines(table(spark, d, "documents"), short=True)
     span = lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["stop"].cast("string"))
     return found.select("doc_id", "n_lines", "n_exact", "n_near", F.array_join(F.transform("removed", span), ",").alias("removed"))
 

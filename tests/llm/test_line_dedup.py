@@ -92,6 +92,43 @@ def test_mutual_near_copies_over_many_blocks(docs_of, monkeypatch):
     assert found(L.repeated_lines(docs_of(rows))) == brute(rows, 2, L.MIN_CHARS)
 
 
+def brute_short(rows):
+    at = defaultdict(list)
+    for doc, text in rows:
+        for number, _, line in L.lines_of(text, 1):
+            at[line].append((doc is None, doc or 0, number))
+    rank = {x: min(v) for x, v in at.items()}
+    bound = lambda x, y: min(2, min(len(x), len(y)) // 16)
+    near = {x for x in rank for y in rank if rank[y] < rank[x] and abs(len(x) - len(y)) <= bound(x, y) and distance(x, y) <= bound(x, y)}
+    out = Counter()
+    for doc, text in rows:
+        lines = [(n, (doc is None, doc or 0, n) != rank[x], x in near) for n, _, x in L.lines_of(text, 1)]
+        out[doc, tuple((n, "exact" if again else "near") for n, again, close in lines if again or close)] += 1
+    return out
+
+
+def test_short_lines(docs_of, edge_rows):
+    rnd = random.Random(12)
+    pool = ["".join(rnd.choice("abcdefgh ") for _ in range(n)).strip() for n in (1, 2, 3, 8, 14, 15, 16, 17, 18, 24, 30, 31, 32, 33, 34, 35, 40)]
+    rows = list(edge_rows)
+    for i in range(80):
+        rows.append((rnd.randrange(500), "\n".join(changed(rnd, rnd.choice(pool), rnd.choice([0, 0, 1, 2, 3]), "abcdefgh") for _ in range(rnd.randint(0, 6)))))
+    got = L.repeated_lines(docs_of(rows), short=True)
+    assert found(got) == brute_short(rows)
+    kinds = Counter((x.kind, x.stop - x.start < L.MIN_CHARS) for r in got.collect() for x in r.removed)
+    assert kinds["exact", True] > 20 and kinds["near", True] > 5 and kinds["near", False] > 5
+
+
+def test_short_lines_of_the_query_and_the_pipeline(spark, docs_of, tmp_dir):
+    from corpus_pipeline import lines
+    from peerscope.llm.queries import op7_lines
+
+    docs = docs_of([(1, "And ornd.\nown line one"), (2, "own line two\nAnd ornd."), (3, "Les.\nAnd ornd."), (4, "Les.")])
+    docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    assert {r.doc_id: r.n_exact for r in op7_lines(spark, tmp_dir).collect()} == {1: 0, 2: 1, 3: 1, 4: 1}
+    assert {r.doc_id: r.text for r in lines(spark, docs, tmp_dir).collect()} == {1: "And ornd.\nown line one", 2: "own line two", 3: "Les."}
+
+
 def test_cut_texts(docs_of, nothing):
     line, other = "a line that is long enough to be looked at", "another line that is long enough as well"
     rows = [(1, f"{line}\nshort"), (2, f"  {line}  \n{other}"), (3, line), (4, ""), (5, None), (6, f"{other}.\nshort"), (6, f"{other}.\nshort")]
