@@ -5,10 +5,10 @@ dropped and letters lower-cased, and numbers, units after a number and names
 (capitalised words inside a sentence) become typed placeholders.  Windows of
 ``window`` template tokens are hash-joined.  The windows that a text and an
 item share are lined up by diagonal (position in the text less position in
-the item); on the strongest diagonal and its near neighbours the slot values
-must correspond one to one (one value of the item always becomes the same
-value of the text, and back), else the disagreeing windows are dropped.  The
-item is a leak if the remaining windows cover ``coverage`` of its tokens:
+the item); on each diagonal and its near neighbours, the strongest first, until
+one covers the whole item, the slot values must correspond one to one (one
+value of the item always becomes the same value of the text, and back), else the disagreeing windows are dropped.  The item is a
+leak if the remaining windows cover ``coverage`` of its tokens:
 ``verbatim`` if all slots hold the item's own values, else ``reparameterised``.
 
 Scale: a text is one row of one narrow pass.  The items' window hashes are the
@@ -221,12 +221,16 @@ def leaks(text: str | None, items: Items, coverage: float = COVERAGE) -> list[tu
         for w in sorted(windows):
             on[w[0] - w[1]].append(w)
         best: tuple | None = None
-        for diagonal in sorted(on, key=lambda x: (-len(on[x]), x))[:8]:
+        for diagonal in sorted(on, key=lambda x: (-len(on[x]), x)):
             near = sorted(w for x in range(diagonal - DRIFT, diagonal + DRIFT + 1) for w in on.get(x, ()))
+            if sum(w for _, _, w in near) < coverage * size:
+                continue  # cannot cover enough
             kept, same = _consistent(near, diagonal, items.templates[item], (tokens, values))
             covered = len({p + i for _, p, w in kept for i in range(w)}) / size
             if kept and (best is None or covered > best[2]):
                 best = (starts[kept[0][0]], stops[max(a + w for a, _, w in kept) - 1], covered, "verbatim" if same else "reparameterised")
+                if covered == 1:
+                    break
         if best and best[2] >= coverage:
             out.append((item, *best))
     return out

@@ -40,6 +40,14 @@ def test_edits_and_short_items():
     assert kinds("anything at all", "a b", "", "1 2 3 4 5 6") == []  # too few literal tokens
 
 
+def test_leak_behind_many_variants():
+    variant = "Yesterday Anna Smith bought {} kg of apples at the market and sold {} kg, how much did Carl Meyer keep? "
+    bank = "".join(variant.format(20 + i, 5 + i) for i in range(12))
+    (item, start, stop, coverage, kind), = D.leaks(bank + QUESTION + " Done.", D.Items([(0, QUESTION)]))
+    assert (item, kind) == (0, "verbatim") and coverage >= 0.8 and start >= len(bank)
+    assert kinds(bank) == []
+
+
 def test_hashes_follow_the_template():
     for text in (QUESTION, "In May 3 km north. Then Al saw 4% of it , and £5 \n U.S. forces", "", "— … --"):
         tokens = D.template(text)[0]
