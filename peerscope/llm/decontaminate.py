@@ -15,12 +15,15 @@ Scale: a text is one row of one narrow pass.  The items' window hashes are the
 stated query set: they are collected and broadcast in blocks of at most
 ``BLOCK_WINDOWS`` windows (12 bytes each and their items' templates), one pass
 over the texts for each block.  A window that many texts share is looked up in
-place, so no hash is a hot key.  Windows with fewer than ``literals`` literal
-tokens join nothing.
+place, so no hash is a hot key.  Windows with fewer than ``LITERALS`` literal
+tokens, and an item's first (whose first word is no name in the item but may be
+one in a text), are looked up by their own words instead and fit only with
+the item's own values, so verbatim copies of every item are found.
 
 Defined results: a null or empty text has no leaks; an item of fewer tokens
-than a window is one window of its own length if it has ``literals`` literal
-tokens, else it is ignored, as are items with a null id or text; repeated
+than a window is one window of its own length; an item without a token is
+ignored, as are items with a null id or text; marks by themselves (``+``, ``*``)
+are no tokens, so they are not compared; repeated
 item rows count once and repeated texts give repeated rows; a null document id
 is carried; other columns are not read.
 """
@@ -99,7 +102,7 @@ class _Packed(dict):
         if len(self) >= WORD_TABLE:
             self.clear()
         token, value, capital, ends = _plain(word)
-        h = xxhash.xxh3_64_intdigest(token) & ~_FLAGS
+        h = xxhash.xxh3_64_intdigest(token if value is None else value) & ~_FLAGS
         h |= (_IS_NUMBER * (token == NUMBER)) | (_IS_UNIT * (value is None and token in UNITS)) | (_IS_CAPITAL * (value is None and capital)) | (_ENDS * ends) | (_EMPTY * (not token))
         self[word] = h
         return h
@@ -111,6 +114,11 @@ _SLOT = {t: np.uint64(xxhash.xxh3_64_intdigest(t) & ~_FLAGS) for t in (NUMBER, U
 
 def template_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each template token of ``template(text)``, and whether it is a placeholder."""
+    return _hashes(text)[:2]
+
+
+def _hashes(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``template_hashes`` and the hash of each token's own word."""
     words = (text or "").split()
     packed = np.fromiter(map(_packed.__getitem__, words), np.uint64, len(words))
     flags = (packed & np.uint64(_FLAGS)).astype(np.uint8)
@@ -124,11 +132,12 @@ def template_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     unit[:1] = False
     unit[1:] &= number[:-1]
     name = ((flags & _IS_CAPITAL) > 0) & ~opens & ~unit
-    h = packed & ~np.uint64(_FLAGS)
+    own = packed & ~np.uint64(_FLAGS)
+    h = own.copy()
     for which, token in ((number, NUMBER), (unit, UNIT), (name, NAME)):
         if which.any():
             h[which] = _SLOT[token]
-    return h, number | unit | name
+    return h, number | unit | name, own
 
 
 def window_hashes(h: np.ndarray, slot: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,25 +152,34 @@ def window_hashes(h: np.ndarray, slot: np.ndarray, width: int) -> tuple[np.ndarr
     return out, width - slots >= min(LITERALS, width)
 
 
+def _word_windows(own: np.ndarray, width: int) -> np.ndarray:
+    """Hash of the window of own words at each position, unlike the template's."""
+    return ~window_hashes(own, np.zeros(len(own), np.int8), width)[0] * np.uint64(0xD6E8FEB86659FD93)
+
+
 class Items:
     """The windows of a block of benchmark items, sorted by hash, with the items' templates."""
 
     def __init__(self, rows: list[tuple[int, str]], window: int = WINDOW):
         self.window = window
         self.templates = {i: template(t)[:2] for i, t in rows}
-        hashed = {i: template_hashes(t) for i, t in rows}
+        hashed = {i: _hashes(t) for i, t in rows}
         # an item shorter than a window is one window of its own width
-        self.widths = sorted({min(window, len(t)) for t, _ in self.templates.values() if len(t) >= LITERALS})
+        self.widths = sorted({min(window, len(t)) for t, _ in self.templates.values() if t})
+        # by width: windows of template tokens and, with hashes apart from theirs, windows of own words
         self.index: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         self.maybe: dict[int, np.ndarray] = {}  # by the hash's top bits: whether any window has them
         for width in self.widths:
             hashes, items, places = [], [], []
             for i, token_hashes in hashed.items():
                 if min(window, len(token_hashes[0])) == width:
-                    h, ok = window_hashes(*token_hashes, width)
-                    hashes.append(h[ok])
-                    places.append(np.flatnonzero(ok))
-                    items.append(np.full(int(ok.sum()), i, np.int64))
+                    h, ok = window_hashes(*token_hashes[:2], width)
+                    ok &= width >= LITERALS
+                    by_words = ~ok
+                    by_words[0] = True
+                    hashes += [h[ok], _word_windows(token_hashes[2], width)[by_words]]
+                    places += [np.flatnonzero(ok), np.flatnonzero(by_words)]
+                    items.append(np.full(int(ok.sum() + by_words.sum()), i, np.int64))
             h, i, p = (np.concatenate(x) for x in (hashes, items, places))
             order = np.argsort(h, kind="stable")
             self.index[width] = h[order], i[order], p[order]
@@ -171,16 +189,17 @@ class Items:
     def shared(self, text: str | None) -> dict[int, list[tuple[int, int, int]]]:
         """Item -> (place in the text, place in the item, width) of each shared window."""
         found: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-        h, slot = template_hashes(text)
+        h, slot, own = _hashes(text)
         for width, (hashes, items, places) in self.index.items():
-            w, ok = window_hashes(h, slot, width)
-            at = np.flatnonzero(ok & self.maybe[width][w >> np.uint64(44)])
-            if not len(at):
-                continue
-            low, high = np.searchsorted(hashes, w[at]), np.searchsorted(hashes, w[at], "right")
-            for x, a, b in zip(at.tolist(), low.tolist(), high.tolist()):
-                for k in range(a, b):
-                    found[int(items[k])].append((x, int(places[k]), width))
+            templates, ok = window_hashes(h, slot, width)
+            for w, which in ((templates, ok), (_word_windows(own, width), True)):
+                at = np.flatnonzero(which & self.maybe[width][w >> np.uint64(44)])
+                if not len(at):
+                    continue
+                low, high = np.searchsorted(hashes, w[at]), np.searchsorted(hashes, w[at], "right")
+                for x, a, b in zip(at.tolist(), low.tolist(), high.tolist()):
+                    for k in range(a, b):
+                        found[int(items[k])].append((x, int(places[k]), width))
         return found
 
 
@@ -200,8 +219,10 @@ def _consistent(windows: list[tuple[int, int, int]], diagonal: int, item: tuple,
     fits = _one_to_one(line)
     kept, same = [], True
     for at, place, width in windows:
-        own = all(theirs[place + i] == ours[at + i] for i in range(width))
-        if own or (fits and at - place == diagonal):
+        # the own words: slot values, or the tokens where there is no slot
+        own = all((theirs[p] or their_tokens[p]) == (ours[a] or our_tokens[a]) for p, a in zip(range(place, place + width), range(at, at + width)))
+        alike = own or their_tokens[place : place + width] == our_tokens[at : at + width]
+        if own or (alike and fits and at - place == diagonal):
             kept.append((at, place, width))
             same &= own
     return kept, same
@@ -218,7 +239,7 @@ def leaks(text: str | None, items: Items, coverage: float = COVERAGE) -> list[tu
         if tokens is None:
             tokens, values, starts, stops = template(text)
         on: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-        for w in sorted(windows):
+        for w in sorted(set(windows)):
             on[w[0] - w[1]].append(w)
         best: tuple | None = None
         for diagonal in sorted(on, key=lambda x: (-len(on[x]), x)):

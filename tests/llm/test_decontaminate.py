@@ -48,6 +48,20 @@ def test_leak_behind_many_variants():
     assert kinds(bank) == []
 
 
+NAMES = "Did Barack Obama meet Angela Merkel in Berlin in July 2015 or in Paris in May 2016?"
+
+
+@pytest.mark.parametrize("item", [NAMES, "12 + 7 * 3", "1 2 3 4 5 6", "What is 12 + 7?", "Barack met Angela", "Add 3 kg, 4 lb, 5 kg, 6 lb and 7 kg"])
+def test_verbatim_copies_of_items_poor_in_literals(item):
+    for text in (item, f"some words before {item} and some after", f"A sentence ends. {item} Next."):
+        assert kinds(text, item) == [(0, "verbatim")]
+
+
+def test_items_poor_in_literals_fit_with_their_own_values_only():
+    assert kinds("Did Emmanuel Macron meet Boris Johnson in Rome in June 2019 or in Madrid in March 2020?", NAMES) == []
+    assert kinds("we count 1 2 3 4 5 7 here and 13 + 7 * 3", "1 2 3 4 5 6 7 8 9", "12 + 7 * 3") == []
+
+
 def test_hashes_follow_the_template():
     for text in (QUESTION, "In May 3 km north. Then Al saw 4% of it , and £5 \n U.S. forces", "", "— … --"):
         tokens = D.template(text)[0]
