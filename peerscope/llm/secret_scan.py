@@ -3,9 +3,12 @@
 Three plain kinds are matched by pattern.  Two further kinds are reported only
 after their bytes have been decoded and parsed:
 
-* ``der``: a base64 or hex run that decodes to an ASN.1 SEQUENCE whose length
-  fills the decoded bytes exactly and whose nested elements (at least two)
-  tile it, as key encodings do;
+* ``der``: a key encoding by nested lengths.  Base64 or hex that decodes to an
+  ASN.1 SEQUENCE whose nested elements (at least two) tile it; base64 is read
+  from the start of a run on a line, over line ends, for exactly as many
+  characters as the SEQUENCE's length states, and must end there.  Also the
+  length-prefixed ssh formats: a public key (``ssh-rsa AAAA...``: its fields
+  tile the run) and an ``openssh-key-v1`` file (its lengths state its end);
 * ``jwt``: ``header.payload[.signature]`` whose header decodes from base64url
   to a JSON object with an ``alg`` member and whose payload is a JSON object.
 
@@ -36,7 +39,12 @@ _ASSIGN = re.compile(
 # a maximal run shorter than the least length can hold no reported match, so the bound may stand in the pattern
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_BASE64_RUN = re.compile(r"[A-Za-z0-9+/]{24,}(?:\r?\n[A-Za-z0-9+/]{24,})*(?:\r?\n[A-Za-z0-9+/]+)?={0,2}")
+# a SEQUENCE tag, 0x30, gives M and a letter to P; the length of an ssh name AAAA; the name openssh-key-v1 b3BlbnNzaC1rZXktdjEA
+_BASE64_START = re.compile(r"(?<![A-Za-z0-9+/])(?:M[A-P]|AAAA|b3BlbnNzaC1rZXktdjEA)[A-Za-z0-9+/]{6,}")
+_BASE64_LINE = re.compile(r"[A-Za-z0-9+/]+")
+_LINE_END = re.compile(r"\r?\n(?=[A-Za-z0-9+/])")
+_SSH_MAGIC = b"openssh-key-v1\0"
+_SSH_NAME = re.compile(rb"(?:ssh|ecdsa-sha2|sk-ssh|sk-ecdsa-sha2)-[a-z0-9@.-]+")
 _HEX_RUN = re.compile(r"30[0-9a-fA-F]{46,}")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]*)?")
 
@@ -82,6 +90,87 @@ def _base64(text: str, alphabet: bytes | None = None) -> bytes | None:
         return None
 
 
+def _strings(data: bytes, at: int, most: int) -> tuple[int, list[bytes]] | None:
+    """End and values of up to ``most`` ssh strings (a 4-byte length, then as many bytes) from ``at``."""
+    out = []
+    while at < len(data) and len(out) < most:
+        n = int.from_bytes(data[at : at + 4], "big")
+        if at + 4 + n > len(data):
+            return None
+        out.append(data[at + 4 : at + 4 + n])
+        at += 4 + n
+    return at, out
+
+
+def is_ssh_public_key(data: bytes) -> bool:
+    """Two ssh strings or more, the first a key type's name, that fill ``data``."""
+    found = _strings(data, 0, 16)
+    return found is not None and found[0] == len(data) and len(found[1]) >= 2 and bool(_SSH_NAME.fullmatch(found[1][0]))
+
+
+def _ssh_file_end(data: bytes) -> int | None:
+    """Where an openssh-key-v1 file at the beginning of ``data`` ends by its lengths."""
+    if not data.startswith(_SSH_MAGIC):
+        return None
+    head = _strings(data, len(_SSH_MAGIC), 3)  # cipher, key derivation and its options
+    if head is None or len(head[1]) < 3:
+        return None
+    n = int.from_bytes(data[head[0] : head[0] + 4], "big")
+    keys = _strings(data, head[0] + 4, n + 1)  # n public keys and the private part
+    if not 1 <= n < len(data) or keys is None or len(keys[1]) < n + 1 or not all(is_ssh_public_key(k) for k in keys[1][:n]):
+        return None
+    return keys[0]
+
+
+def _run(text: str, at: int, most: int) -> tuple[str, int]:
+    """Up to ``most`` base64 characters from ``at`` on, over line ends, and where they end."""
+    parts, n = [], 0
+    while m := _BASE64_LINE.match(text, at, min(len(text), at + most - n)):
+        parts.append(m.group())
+        n, at = n + len(parts[-1]), m.end()
+        if n == most or not (m := _LINE_END.match(text, at)):
+            break
+        at = m.end()
+    return "".join(parts), at
+
+
+def _encoded(text: str, at: int, size: int) -> tuple[bytes, int] | None:
+    """``size`` bytes of base64 at ``at`` and where their padding ends, if the line's run ends with them."""
+    n = (size * 4 + 2) // 3
+    run, end = _run(text, at, n)
+    if len(run) < n or _BASE64_LINE.match(text, end):
+        return None
+    data = _base64(run)
+    if data is None:
+        return None
+    for _ in range(-n % 4):
+        end += text.startswith("=", end)
+    return data, end
+
+
+def _key_encoding(text: str, at: int, line_end: int) -> int | None:
+    """End of the key encoding whose base64 begins at ``at``, if there is one."""
+    if text.startswith("M", at):
+        head = _base64(_run(text, at, 8)[0]) or b""
+        width = head[1] & 0x7F if len(head) > 1 and head[1] >= 0x80 else 0
+        if len(head) < 2 + width or head[0] != 0x30 or width > 4 or head[1] == 0x80:
+            return None
+        size = 2 + width + int.from_bytes(head[2 : 2 + width], "big") if width else 2 + head[1]
+        if size > len(text):
+            return None
+        found = _encoded(text, at, size)
+        return found[1] if found and is_key_encoding(found[0]) else None
+    if text.startswith("AAAA", at):
+        data = _base64(text[at:line_end])
+        if data is None or not is_ssh_public_key(data):
+            return None
+        return _encoded(text, at, len(data))[1]
+    run = _run(text, at, len(text))[0]
+    size = _ssh_file_end(base64.b64decode(run[: len(run) // 4 * 4]) + (_base64(run[len(run) // 4 * 4 :]) or b""))
+    found = _encoded(text, at, size) if size else None
+    return found[1] if found else None
+
+
 def is_signed_token(text: str) -> bool:
     parts = text.split(".")
     try:
@@ -98,9 +187,11 @@ def find_secrets(text: str | None) -> list[tuple[str, int, int]]:
     found = [("assign", *m.span()) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
     found += [("access", *m.span()) for m in _ACCESS.finditer(text)]
     found += [("hex", *m.span()) for m in _HEX.finditer(text)]
-    for m in _BASE64_RUN.finditer(text):
-        if m.group().startswith("M") and (data := _base64(m.group())) and is_key_encoding(data):  # a SEQUENCE tag, 0x30, gives M
-            found.append(("der", *m.span()))
+    upto = 0
+    for m in _BASE64_START.finditer(text):
+        if m.start() >= upto and (end := _key_encoding(text, m.start(), m.end())):
+            found.append(("der", m.start(), end))
+            upto = end
     for m in _HEX_RUN.finditer(text):
         if len(m.group()) % 2 == 0 and is_key_encoding(bytes.fromhex(m.group())):
             found.append(("der", *m.span()))

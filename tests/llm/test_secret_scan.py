@@ -53,6 +53,41 @@ def test_key_encodings_are_parsed():
     assert "der" not in [k for k, *_ in S.find_secrets("M" * 400)]
 
 
+def keys_in(text):
+    return [text[a:b] for k, a, b in S.find_secrets(text) if k == "der"]
+
+
+@pytest.mark.parametrize("size", [15, 16, 17, 18, 19, 20, 60, 61, 62])
+def test_keys_before_other_lines(size):
+    key = base64.b64encode(der(b"\x02\x01\x00", b"\x04" + bytes([size]) + bytes(range(size)))).decode()
+    bare = key.rstrip("=")
+    assert keys_in(f"{key}\nNext") == [key] and keys_in(f"x {bare}\r\nNext line") == [bare]
+    assert keys_in(f"{bare}\n{bare}\nand") == [bare, bare]
+    folded = re.sub("(.{20})(?=.)", r"\1\n", bare)
+    assert keys_in(f"{folded}\nNext") == [folded]
+    assert keys_in(f"{bare}Next") == [] and keys_in(f"{bare[:-4]}\n--") == []
+
+
+def string(*parts):
+    return b"".join(len(p).to_bytes(4, "big") + p for p in parts)
+
+
+@pytest.mark.parametrize("comment", [b"", b"a", b"ab"])
+def test_ssh_formats(comment):
+    public = string(b"ssh-rsa", b"\x01\x00\x01", b"\x00" + bytes(range(1, 200)) + comment)
+    line = base64.b64encode(public).decode()
+    for key in (line, line.rstrip("=")):
+        assert keys_in(f"ssh-rsa {key} me@host\nNext") == [key] and keys_in(f"ssh-rsa {key}\nNext") == [key]
+    file = b"openssh-key-v1\0" + string(b"none", b"none", b"") + (1).to_bytes(4, "big") + string(public, bytes(range(120)) + comment)
+    lines = re.sub("(.{70})(?=.)", r"\1\n", base64.b64encode(file).decode())
+    for key in (lines, lines.rstrip("=")):
+        assert keys_in(f"-----BEGIN OPENSSH PRIVATE KEY-----\n{key}\n-----END OPENSSH PRIVATE KEY-----") == [key]
+        assert keys_in(f"{key}\nNext") == [key]
+    for bad in (public[:-1], public + b"\0", string(b"rsa", b"x" * 40), file[:-1], b"openssh-key-v1\0" + bytes(60)):
+        assert keys_in(base64.b64encode(bad).decode()) == []
+    assert keys_in("A" * 100) == []
+
+
 def test_signed_tokens_are_parsed():
     part = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
     good = f"{part({'alg': 'HS256', 'typ': 'JWT'})}.{part({'sub': '1'})}.c2ln"
