@@ -7,8 +7,8 @@
 4. benchmark decontamination (4): documents with a leak go;
 5. BPE encoding and decoding (2): packed ids, their number, and the decoded text.
 
-Rows that share an id are judged one by one (by id and text) in stages 1 and
-4; stage 3 keeps every row of the id that stays.  A null id is an id.
+Rows that share an id are judged one by one (by id and text) in stages 1, 3
+and 4; stage 3 keeps every linked row of the id that stays.  A null id is an id.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = ngram_jaccard.link_components(docs, ngram_jaccard.Threshold(80, 100, 5))
-    return keyed_rows(docs, found.filter("not doc_id <=> component_id").select("doc_id"), keep=False)
+    found = ngram_jaccard.link_components(docs, ngram_jaccard.Threshold(80, 100, 5), with_hash=True)
+    return keyed_rows(docs, found.filter("not doc_id <=> component_id").select("doc_id", "text_hash"), keep=False)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

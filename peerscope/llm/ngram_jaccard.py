@@ -130,7 +130,7 @@ def _sets(t: Threshold) -> Callable:
                             bands.append({"band": k, "spare_zeros": int((w == 0).sum()) <= spare, "words": w.view(np.int64), "parity": parity.view(np.int64)})
                     for column, x in zip(rows, (len(h), *d, bands)):
                         column.append(x)
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, pa.int64()) for x in rows[:3]), pa.array(rows[3], _BANDS)], names=["doc_id", "n", "d1", "d2", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, pa.int64()) for x in rows[:3]), pa.array(rows[3], _BANDS), *part.columns[2:]], names=["doc_id", "n", "d1", "d2", "bands", *part.schema.names[2:]])
         forget()
 
     return run
@@ -255,10 +255,10 @@ def _chosen(df: DataFrame, ids: DataFrame, on: list[str]) -> DataFrame:
     return df.join(ids, matched).select(*(df[c] for c in df.columns), *(ids[c] for c in ids.columns if c not in df.columns))
 
 
-def shingled(docs: DataFrame, t: Threshold, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(rid, doc_id, n, d1, d2, bands): one row per row of ``docs``, written once; rid numbers the rows."""
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").cast("binary").alias("text"))
-    return saved(rows.mapInArrow(_sets(t), _SETS).withColumn("rid", F.monotonically_increasing_id()), "jaccard-sets")
+def shingled(docs: DataFrame, t: Threshold, id_col: str = "doc_id", text_col: str = "text", with_hash: bool = False) -> DataFrame:
+    """(rid, doc_id, n, d1, d2, bands, and text_hash if asked for): one row per row of ``docs``, written once; rid numbers the rows."""
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").cast("binary").alias("text"), *([F.xxhash64(docs[text_col].cast("string")).alias("text_hash")] if with_hash else []))
+    return saved(rows.mapInArrow(_sets(t), _SETS + (", text_hash long" if with_hash else "")).withColumn("rid", F.monotonically_increasing_id()), "jaccard-sets")
 
 
 def shared_positions(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -313,18 +313,23 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, t: Threshold, i
     return roles.join(texts, "rid").repartition("a", "salt").sortWithinPartitions("a", "salt", "role").select("a", "role", "rid", "hashes").mapInArrow(_verify(t), "a long, b long")
 
 
-def link_components(docs: DataFrame, t: Threshold = Threshold(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``: component_id is the smallest id reachable by links."""
-    sets = shingled(docs, t, id_col, text_col)
+def link_components(docs: DataFrame, t: Threshold = Threshold(), id_col: str = "doc_id", text_col: str = "text", with_hash: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs``: component_id is the smallest id reachable by links.
+
+    ``with_hash`` adds ``text_hash`` (xxhash64 of the text), which tells rows that share an id apart.
+    """
+    sets = shingled(docs, t, id_col, text_col, with_hash)
+    names = ["text_hash"] if with_hash else []
     found = components(linked_pairs(docs, sets, t, id_col, text_col)).withColumnRenamed("node", "rid")
     classes = sets.filter("n > 0").groupBy("d1", "d2").agg(F.min(F.when(F.col("bands").isNotNull(), F.col("rid"))).alias("rid"), F.min("doc_id").alias("first_id"))
     classes = saved(classes.join(found, "rid", "left").withColumn("component", F.coalesce("component", "rid")), "jaccard-classes")
     least = classes.groupBy("component").agg(F.min("first_id").alias("component_id"))
     classes = classes.join(least, "component").select("d1", "d2", "component_id")
     classes = saved(classes, "jaccard-components")  # so that both sides of the join below are plain exchanges, which AQE may split
-    rows = sets.select("doc_id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left")
+    rows = sets.select("doc_id", "n", "d1", "d2", *names).join(classes, ["d1", "d2"], "left")
     return rows.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        *names,
     )

@@ -99,6 +99,13 @@ def test_against_plain_stages(spark, folder):
     assert all(r.decoded == r.text and r.n_tokens == len(r.ids) // 4 for r in got)
 
 
+def test_near_duplicates_go_by_id_and_text(spark, docs_of):
+    words = " ".join(f"w{i}" for i in range(60))
+    docs = docs_of([(1, words), (5, words + " more"), (5, "a text of its own that no other row of the table holds"), (6, None)])
+    left = P.near_duplicates(spark, docs, "").collect()
+    assert sorted((r.doc_id, (r.text or "")[:4]) for r in left) == [(1, "w0 w"), (5, "a te"), (6, "")]
+
+
 def test_stages_keep_the_columns(spark, folder):
     docs = P.table(spark, folder, "documents")
     assert [name for name, _ in P.STAGES] == ["quality", "lines", "near_duplicates", "decontamination", "encoding"]
