@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.llm import bpe, decontaminate, line_dedup, ngram_jaccard, quality_rules, secret_scan, substring_dedup, toxicity, url_filter, warc_archive
+from peerscope.llm import (
+    bpe,
+    conversation_repair,
+    decontaminate,
+    line_dedup,
+    merkle_manifest,
+    ngram_jaccard,
+    quality_rules,
+    secret_scan,
+    sharding,
+    substring_dedup,
+    toxicity,
+    url_filter,
+    warc_archive,
+)
 from peerscope.llm.common import table
 from peerscope.session import scratch_path
 
@@ -81,6 +95,33 @@ def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, d, "labels")))
 
 
+def op11_repair(spark: SparkSession, d: str) -> DataFrame:
+    """Faults, cheapest repair and digest of every damaged conversation."""
+    conversations = table(spark, d, "conversations")
+    out = conversation_repair.repair(conversation_repair.damaged(conversations), ids=conversations)
+    return out.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+def op12_merkle(spark: SparkSession, d: str) -> DataFrame:
+    """Leaf, proof and verdict of every document; rows whose id's crc32 7 divides are checked with a tampered leaf."""
+    docs = table(spark, d, "documents")
+    doc_id, fields = docs["doc_id"], ["doc_id", "source", "lang", "n_chars", "text"]
+    more = (docs["n_chars"].cast("decimal(20,0)") + 1).cast("decimal(20,0)")
+    tampered = merkle_manifest.leaf_digest(*[more if f == "n_chars" else docs[f] for f in fields])
+    hit = F.crc32(doc_id.cast("string").cast("binary")) % 7 == 0
+    rows = merkle_manifest.manifest(docs, fields, group_col="lang", order_col="doc_id", carry={"tampered": F.when(hit, tampered)})
+    rows = rows.withColumn("folded_root", merkle_manifest.folded_root(F.coalesce("tampered", "leaf"), F.col("proof")))
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+
+def op13_shards(spark: SparkSession, d: str) -> DataFrame:
+    """Every document in one of 40 shards of equal row counts, equal texts together."""
+    rows = sharding.shard_rows(table(spark, d, "documents"), 40).rows
+    return rows.select("doc_id", "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_bpe": op2_bpe,
@@ -92,4 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_warc": op9_warc,
     "op10_toxicity": op10_toxicity,
+    "op11_repair": op11_repair,
+    "op12_merkle": op12_merkle,
+    "op13_shards": op13_shards,
 }
