@@ -106,7 +106,9 @@ def _wishes(linked: DataFrame, closed: set[int], spare: list[int], biggest: int)
     if spare:  # a split key that only full shards hold moves to one with room, all of it
         other = F.get(F.array(*[F.lit(s) for s in spare]), F.pmod(F.xxhash64("key"), F.lit(len(spare))).cast("int"))
         targets = F.when((F.size("holders") > 0) | (need > 1), targets).otherwise(F.array(F.struct(F.lit(0).alias("rank"), other.alias("shard"))))
-    rows = linked.join(key_rows.select("key", "copies", "ranks", targets.alias("targets")).filter(F.size("ranks") > 1), "key", "left")
+    # written before the join, so that it is a plain exchange and a hot key may be split
+    key_rows = saved(key_rows.select("key", "copies", "ranks", targets.alias("targets")).filter(F.size("ranks") > 1), "shards-targets")
+    rows = linked.join(key_rows, "key", "left")
     pick = F.get("targets", F.pmod(F.xxhash64("doc_id", "key"), F.greatest(F.size("targets"), F.lit(1))).cast("int"))
     stays = F.exists("targets", lambda t: t["shard"] == F.col("shard")) | (F.element_at("ranks", F.col("shard")) <= pick["rank"])
     return rows.select(*linked.columns, "copies", F.when(~stays, pick["shard"]).alias("target"))
@@ -155,6 +157,7 @@ def shard_rows(docs: DataFrame, shards: int = 40, *, id_col: str = "doc_id", tex
     n = base.count()
     quotas = _quotas(n, shards)
     repeated = base.filter(F.col("key").isNotNull()).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key", F.lit(True).alias("linked"))
+    repeated = saved(repeated, "shards-keys")  # written before the join, so that it is a plain exchange and a hot key may be split
     marked = saved(base.join(repeated, "key", "left"), "shards-marked")
 
     linked = numbered(marked.filter("linked").drop("linked"), [], ["doc_id", "text_crc32"], "shards-dealt")
