@@ -14,13 +14,14 @@ parse is null; no row is dropped.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peerscope.functions.text import parse_number
+from peerscope.sources.records import read_records, spans_lines
 
 #: Texts that stand for a missing value.
 NULL_VALUES = ("", "NA")
@@ -30,7 +31,7 @@ _CASTS = {"d": "double", "i": "int", "D": "date", "T": "timestamp", "l": "boolea
 
 def header_names(spark: SparkSession, path: str | Sequence[str], sep: str = ",") -> list[str]:
     """Column names from the header line (reads one line, no inference)."""
-    return spark.read.option("header", True).option("sep", sep).csv(path).columns
+    return spark.read.options(header=True, sep=sep, escape='"', recursiveFileLookup=True).csv(path).columns
 
 
 def null_texts(c: Column, null_values: Sequence[str] = NULL_VALUES) -> Column:
@@ -40,7 +41,7 @@ def null_texts(c: Column, null_values: Sequence[str] = NULL_VALUES) -> Column:
 def _typed(name: str, kind: str, null_values: Sequence[str], date_format: str | None) -> Column:
     text = null_texts(F.col(f"`{name}`"), null_values)
     if kind == "c":
-        return text
+        return F.trim(text, F.lit(" \t"))
     if kind == "n":
         return parse_number(text)
     if date_format and kind in "DT":
@@ -81,45 +82,73 @@ def read_delimited(
     header) are passed over by their position; ``date_format`` is the pattern
     of date and time columns.  Names that come from the header are checked
     against the header of every file.
+
+    Quoted fields may hold line breaks: one job looks for lines that end inside
+    a quoted field, and if there are any, records are put together in parallel
+    (``records.read_records``); text fields lose blanks at their ends.
     """
     col_types = col_types.replace(" ", "")
-    if skip:
-        lines = lines_after(spark, path, skip + (1 if header else 0))
-        if names is None:
-            names = _header_after(spark, path, skip, sep)
-    own_header = names is None
-    col_types, all_names = _all_names(col_types, names if names is not None else header_names(spark, path, sep))
-    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in all_names])
-    if skip:
-        ddl = ", ".join(f"`{n}` string" for n in all_names)
-        df = lines.select(F.from_csv("value", ddl, {"sep": sep, "mode": "PERMISSIVE"}).alias("r")).select("r.*")
-    else:
-        reader = spark.read.schema(schema).option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
-        df = reader.option("enforceSchema", not own_header).csv(path)
-    kept = [(n, t) for n, t in zip(all_names, col_types) if t not in "_-"]
+    df = read_text_columns(spark, path, sep, skip, header, lambda found: _all_names(col_types, names if names is not None else found)[1], check=names is None)
+    kept = [(n, t) for n, t in zip(df.columns, _all_names(col_types, df.columns)[0]) if t not in "_-"]
     return df.select(*[_typed(n, t, null_values, date_format).alias(n) for n, t in kept])
 
 
-def lines_after(spark: SparkSession, path: str | Sequence[str], n: int) -> DataFrame:
-    """The lines (``value``) of text files without the first ``n`` of each file.
+def read_text_columns(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    sep: str = ",",
+    skip: int = 0,
+    header: bool = True,
+    name: Callable[[list[str]], list[str]] | None = None,
+    check: bool = True,
+) -> DataFrame:
+    """All columns of delimited files as text.
 
-    A file's first lines stand in its first block, where row ids count up in
-    file order; ``n`` lines must be shorter than a block.  One value must not
-    span lines.
+    ``name`` makes the column names from those of the header (by default they
+    are taken as they are); ``check``: every file must have this header.
     """
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id")
-    )
-    lines = lines.withColumn("value", F.regexp_replace("value", "\r$", ""))
-    first = lines.filter("block = 0").groupBy("file").agg(F.min("id").alias("first"))
-    rest = lines.join(first, "file", "left").filter((F.col("block") > 0) | (F.col("id") - F.col("first") >= n))
-    return rest.select("value").filter(F.col("value") != "")
+    name = name or list
+    if skip or spans_lines(spark, path, sep):
+        records = read_records(spark, path, skip, sep)
+        return parse_records(records, name(_first_names(records, sep) if check else []), sep, header, check)
+    return read_lines(spark, path, name(header_names(spark, path, sep) if check else []), sep, header, check)
+
+
+def _text_schema(names: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+
+
+def read_lines(spark: SparkSession, path: str | Sequence[str], names: Sequence[str], sep: str = ",", header: bool = True, check: bool = True) -> DataFrame:
+    """Files whose records are lines, as text columns; ``check``: every file must have these names in its header."""
+    reader = spark.read.schema(_text_schema(names)).options(header=header, sep=sep, escape='"', mode="PERMISSIVE", recursiveFileLookup=True)
+    return reader.option("enforceSchema", not check).csv(path if isinstance(path, str) else list(path))
+
+
+def parse_records(records: DataFrame, names: Sequence[str], sep: str = ",", header: bool = True, check: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """The records of ``read_records`` as text columns, by the same rules as ``read_lines``; ``keep``: columns besides."""
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+    fields = F.from_csv("value", schema, {"sep": sep, "escape": '"', "mode": "PERMISSIVE"})
+    if header and check:
+        same = F.lit(True)
+        for n in names:
+            same = same & F.coalesce(F.trim(fields[n]), F.lit("")).eqNullSafe(F.lit("" if n.startswith("_c") else n))
+        other = F.raise_error(F.concat(F.lit(f"the header is not {list(names)} in "), F.col("file"))).cast("array<string>")
+        # an array to explode, not a condition: the planner may take conditions apart and evaluate the error by itself
+        kept = F.when(~F.col("head"), F.array("value")).when(same, F.array().cast("array<string>")).otherwise(other)
+        records = records.select("file", F.explode(kept).alias("value"))
+    elif header:
+        records = records.filter(~F.col("head"))
+    return records.select(*keep, fields.alias("r")).select(*keep, "r.*")
+
+
+def names_in(header: str, sep: str = ",") -> list[str]:
+    """Column names in the text of a header record; blank ones by their place."""
+    import csv
+    import io
 
+    return [n.strip() or f"_c{i}" for i, n in enumerate(next(csv.reader(io.StringIO(header, newline=""), delimiter=sep)))]
 
-def _header_after(spark: SparkSession, path: str | Sequence[str], skip: int, sep: str) -> list[str]:
-    """Names in line ``skip`` (counted from 0) of the first file in name order."""
-    import csv
 
-    first = spark.read.text(path).select(F.min("_metadata.file_path").alias("f")).first()["f"]
-    lines = [r.value for r in spark.read.text(first).limit(skip + 1).collect()]
-    return [c.strip() for c in next(csv.reader([lines[skip]], delimiter=sep))]
+def _first_names(records: DataFrame, sep: str) -> list[str]:
+    """Names in the first record of the first file in name order."""
+    return names_in(records.filter("head").select(F.min_by("value", "file").alias("value")).first()["value"], sep)
