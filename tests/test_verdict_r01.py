@@ -14,7 +14,7 @@ from peerscope.plans import cdfi, cra, sba, venture
 from peerscope.session import is_local
 from peerscope.sources.delimited import read_delimited
 from peerscope.sources.fixed_width import layout_by_length, layout_by_year
-from peerscope.sources.sinks import read_table, write_csv_na, write_table
+from peerscope.sources.sinks import drop_table, read_table, write_csv_na, write_table
 
 
 @pytest.mark.parametrize(
@@ -133,7 +133,8 @@ def test_named_table(spark):
     write_table(spark.range(3), name="peerscope_named_table")
     write_table(spark.range(2), name="peerscope_named_table")
     assert read_table(spark, name="peerscope_named_table").count() == 2
-    spark.sql("DROP TABLE peerscope_named_table")
+    drop_table(spark, "peerscope_named_table")
+    assert not spark.catalog.tableExists("peerscope_named_table")
 
 
 def test_private_checkpoint_folder_is_for_local_masters_only():
