@@ -15,18 +15,19 @@ def _java_quote(text: str) -> str:
     return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 
-def _repl_escape(text: str) -> str:
-    return text.replace("\\", "\\\\").replace("$", "\\$")
-
-
 def replace_first(c, pattern: str, replacement: str, literal: bool = False) -> Column:
-    """Replace the first match of a regex (``regexp_replace`` replaces all).
+    """Replace the first match of a regex (``regexp_replace`` replaces all) by a plain text.
 
     ``literal=True`` treats ``pattern`` as plain text, e.g. a real ``ST.``
-    instead of ``ST`` followed by any character.
+    instead of ``ST`` followed by any character.  The pattern is taken as the
+    caller wrote it: its groups keep their numbers and ``.`` is no line break.
     """
+    c = _c(c)
     pat = _java_quote(pattern) if literal else pattern
-    return F.regexp_replace(_c(c), f"(?s)^(.*?)(?:{pat})", "$1" + _repl_escape(replacement))
+    match = F.coalesce(F.regexp_substr(c, F.lit(pat)), F.lit(""))  # null for an empty match as well
+    upto = F.regexp_extract(c, rf"^[\s\S]*?(?:{pat})", 0)  # the text up to the end of the first match
+    before = F.left(upto, F.length(upto) - F.length(match))
+    return F.when(~c.rlike(pat), c).otherwise(F.concat(before, F.lit(replacement), F.substr(c, F.length(upto) + 1)))
 
 
 def remove_first(c, pattern: str, literal: bool = False) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peerscope.dims import Dimensions
@@ -141,6 +141,53 @@ def process_map(
     return out
 
 
+def check_shares(crosswalk: DataFrame, unit: str = "tract") -> DataFrame:
+    """The crosswalk, whose read stops at a unit and layer with shares that don't sum to one or a repeated area."""
+    one = Window.partitionBy(unit, "layer")
+    total = F.sum(F.col("share").cast("decimal(18,6)")).over(one)
+    wrong = F.raise_error(F.concat(F.lit("shares do not sum to one: "), F.coalesce(F.col(unit).cast("string"), F.lit("null")), F.lit(" "), F.col("layer")))
+    repeat = F.raise_error(F.concat(F.lit("area stands twice: "), F.coalesce(F.col(unit).cast("string"), F.lit("null")), F.lit(" "), F.col("layer")))
+    twice = F.count("*").over(Window.partitionBy(unit, "layer", "neighborhood"))
+    share = F.when(total != 1, wrong.cast("decimal(18,6)")).when(twice > 1, repeat.cast("decimal(18,6)")).otherwise(F.col("share").cast("decimal(18,6)"))
+    return crosswalk.withColumn("share", share)
+
+
+def allocate(
+    df: DataFrame,
+    crosswalk: DataFrame,
+    measures: Sequence[str],
+    unit: str = "tract",
+    keys: Sequence[str] = ("year",),
+    layers: Sequence[str] = ("nh", "muw"),
+    scale: int = 4,
+) -> DataFrame:
+    """Units that lie in several areas, divided by their shares: (layer, neighborhood, keys, measures).
+
+    ``crosswalk`` has (unit, layer, neighborhood, share), the shares of a unit
+    in a layer summing to one.  A value is a decimal of ``scale`` places and is
+    cut where its cumulative shares, areas in name order, fall: the part of an
+    area is the rounded value at its upper cut less that at its lower one, so
+    the parts of a unit add up to it exactly and a layer's total is the units'
+    total to the last place.  A null value makes the areas it touches null
+    (strict); units that a layer lacks make up its area null, whole.
+
+    A join on the unit (its areas are few) and one aggregation of decimals.
+    """
+    keys, measures = list(keys), list(measures)
+    xw = check_shares(crosswalk.select(unit, "layer", "neighborhood", "share"), unit)
+    in_unit = Window.partitionBy(unit, "layer").orderBy("neighborhood")  # the areas of one unit
+    upper = F.sum("share").over(in_unit.rowsBetween(Window.unboundedPreceding, 0)).cast("decimal(9,6)")
+    lower = F.coalesce(F.sum("share").over(in_unit.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("decimal(9,6)")
+    xw = xw.select(unit, "layer", "neighborhood", upper.alias("__upper"), lower.alias("__lower"))
+    each = df.select(unit, *keys, *measures).withColumn("layer", F.explode(F.array(*[F.lit(x) for x in layers])))
+    joined = each.join(xw, [unit, "layer"], "left")
+    cut = lambda v, at: F.round(v.cast(f"decimal(20,{scale})") * at, scale).cast(f"decimal(22,{scale})")
+    part = lambda m: F.when(F.col("__upper").isNull(), F.col(m).cast(f"decimal(22,{scale})")).otherwise(cut(F.col(m), F.col("__upper")) - cut(F.col(m), F.col("__lower")))
+    parts = joined.select("layer", "neighborhood", *keys, *[part(m).alias(m) for m in measures])
+    total = lambda m: F.when(F.count(m) == F.count(F.lit(1)), F.sum(m)).cast("double")
+    return parts.groupBy("layer", "neighborhood", *keys).agg(*[total(m).alias(m) for m in measures])
+
+
 def stack_layers(layers: dict[str, DataFrame], unit: str = "tract") -> DataFrame:
     """Union the layers of ``process_map`` with ``layer`` and ``area`` columns."""
     frames = []

@@ -15,8 +15,9 @@ ordering work is split across tasks instead:
    adds the offset of earlier values inside the partition.
 
 The result is, for every distinct value, the number of rows of its group that
-come strictly before it in the chosen order.  Ranks and medians follow from
-that without ever holding a whole group in one task.
+come strictly before it in the chosen order.  Ranks follow from that without
+ever holding a whole group in one task; the exact median puts only the values
+near the middle in order.
 """
 
 from __future__ import annotations
@@ -126,6 +127,10 @@ def rank_all(
     return ranked.drop(key)
 
 
+#: Quantile brackets of the exact median; the rows of one or two of them are put in order.
+BRACKETS = 64
+
+
 def exact_median(
     df: DataFrame,
     groups: Sequence[str],
@@ -136,11 +141,39 @@ def exact_median(
     """Exact median per group, nulls skipped: the middle value, or the mean of
     the two middle values for an even count.  Groups whose values are all
     null are absent from the result (join back with ``how='left'``).
+    ``weight`` names a column holding how many rows each input row stands for;
+    such an input is read more than once (write it first).
+
+    No sort of all values: a quantile sketch (a mergeable aggregate) cuts each
+    group's distinct values into ``BRACKETS`` brackets, counting rows by bracket
+    tells which one or two hold the middle, and only the values of those are
+    put in order (``prefix_counts``).  The sketch decides where the cuts are,
+    not what the median is, so the result is exact whatever its error.
     """
     groups = list(groups)
-    pc = prefix_counts(df, groups, value, weight=weight)
-    lo = F.floor((F.col(_TOTAL) + 1) / 2)
-    hi = F.floor(F.col(_TOTAL) / 2) + 1
-    hit = lambda k: (F.col(_BEFORE) < k) & (k <= F.col(_BEFORE) + F.col(_N))
-    picked = pc.filter(hit(lo) | hit(hi))
-    return picked.groupBy(*groups).agg(((F.min(value) + F.max(value)) / 2).alias(out))
+    rows = df.filter(F.col(value).isNotNull()).withColumn(_N, F.col(weight).cast("long") if weight else F.lit(1).cast("long"))
+    if weight:  # collapsed and written by the caller
+        rows = rows.select(*groups, value, _N)
+    else:
+        rows = materialize(rows.groupBy(*groups, value).agg(F.sum(_N).alias(_N)))
+    cuts = F.percentile_approx(value, [i / BRACKETS for i in range(1, BRACKETS)], F.lit(1000))
+    bounds = rows.groupBy(*groups).agg(cuts.alias("__cuts"))
+    bracket = F.size(F.filter("__cuts", lambda b: b <= F.col(value)))
+    placed = join_null_safe(rows, bounds, groups, "inner").withColumn("__bracket", bracket).drop("__cuts")
+
+    in_group = Window.partitionBy(*groups)  # at most BRACKETS rows
+    counts = placed.groupBy(*groups, "__bracket").agg(F.sum(_N).alias("__in"))
+    counts = counts.withColumns({
+        "__low": F.coalesce(F.sum("__in").over(in_group.orderBy("__bracket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "__all": F.sum("__in").over(in_group),
+    })
+    first, second = F.floor((F.col("__all") + 1) / 2), F.floor(F.col("__all") / 2) + 1
+    holds = lambda k: (F.col("__low") < k) & (k <= F.col("__low") + F.col("__in"))
+    middle = counts.filter(holds(first) | holds(second)).drop("__in")
+
+    # the facts of a bracket go along as parts of its key
+    keys = [*groups, "__bracket", "__low", "__all"]
+    inside = prefix_counts(join_null_safe(placed, middle, [*groups, "__bracket"], "inner"), keys, value, weight=_N)
+    before = F.col("__low") + F.col(_BEFORE)
+    hit = lambda k: (before < k) & (k <= before + F.col(_N))
+    return inside.filter(hit(first) | hit(second)).groupBy(*groups).agg(((F.min(value) + F.max(value)) / 2).alias(out))

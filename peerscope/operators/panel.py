@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from peerscope.functions.nulls import exact, ratio, strict_sum
 from peerscope.operators.joins import join_null_safe
-from peerscope.operators.order_stats import rank_all, rank_within
+from peerscope.operators.order_stats import prefix_counts, rank_all
 from peerscope.operators.materialize import materialize
 
 
@@ -160,15 +160,37 @@ def rank_table(
     return rank_all(df.filter(F.col(time) == latest), metric, out, descending, checkpoint_input=False)
 
 
+def _metric_ranks(df: DataFrame, groups: Sequence[str], metrics: Sequence[str], descending: bool) -> tuple[DataFrame, DataFrame]:
+    """``df`` written once, and (groups, __metric, __value, __rank): all metrics ranked by one range sort and one checkpoint."""
+    df = materialize(df)
+    kinds = {df.schema[m].dataType.simpleString() for m in metrics}
+    value = lambda m: F.col(m) if len(kinds) == 1 else F.col(m).cast("double")
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("__metric"), value(m).alias("__value")) for m in metrics])).alias("__m")
+    long = df.select(*groups, each).select(*groups, "__m.__metric", "__m.__value")
+    counts = prefix_counts(long, [*groups, "__metric"], "__value", descending)
+    return df, counts.select(*groups, "__metric", "__value", (F.col("__before") + 1).cast("int").alias("__rank"))
+
+
+def rank_long(df: DataFrame, groups: Sequence[str], metrics: Sequence[str], ids: Sequence[str], variable: str = "variable", rank: str = "rank", descending: bool = True) -> DataFrame:
+    """(ids, variable, rank): one row per row and metric, ranked within the groups; one join brings all ranks back."""
+    df, ranks = _metric_ranks(df, groups, metrics, descending)
+    kind = ranks.schema["__value"].dataType
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("__metric"), F.col(m).cast(kind).alias("__value")) for m in metrics])).alias("__m")
+    cols = list(dict.fromkeys([*groups, *ids]))
+    long = df.select(*cols, each).select(*cols, "__m.__metric", "__m.__value")
+    out = join_null_safe(long, ranks, [*groups, "__metric", "__value"], "left")
+    return out.select(*ids, F.col("__metric").alias(variable), F.col("__rank").alias(rank))
+
+
 def rank_by(
     df: DataFrame, groups: Sequence[str], metrics: Sequence[str], suffix: str = "", descending: bool = True
 ) -> DataFrame:
     """Rank several metrics within each group; ``<metric><suffix>`` columns."""
-    out = df
-    for i, m in enumerate(metrics):
-        out = rank_within(
-            out, list(groups), m, out=f"{m}{suffix}" if suffix else f"{m}__rank", descending=descending, checkpoint_input=i == 0
-        )
+    out, ranks = _metric_ranks(df, groups, metrics, descending)
+    kind = ranks.schema["__value"].dataType
+    for m in metrics:
+        own = ranks.filter(F.col("__metric") == m).select(*groups, "__value", F.col("__rank").alias(f"{m}{suffix or '__rank'}"))
+        out = join_null_safe(out.withColumn("__value", F.col(m).cast(kind)), own, [*groups, "__value"], "left").drop("__value")
     if not suffix:
         out = out.drop(*metrics).withColumnsRenamed({f"{m}__rank": m for m in metrics})
     return out

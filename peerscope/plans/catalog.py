@@ -19,15 +19,17 @@ from pyspark.sql import types as T
 from peerscope.functions.format import dollar_text, label, percent_text, signif
 from peerscope.functions.nulls import if_else, strict_mean, strict_sum, sum0
 from peerscope.functions.text import pad_left, remove_first, replace_first
-from peerscope.operators.geo import stack_layers
-from peerscope.operators.joins import bind_panels, join_dim
+from peerscope.operators.geo import allocate, stack_layers
+from peerscope.operators.joins import JoinChecks, bind_panels, join_dim
+from peerscope.operators.materialize import materialize
 from peerscope.operators.panel import rank_table, trend
 from peerscope.plans import cdfi, cra, giving, sba, spending, venture
 from peerscope.plans import standins as S
 from peerscope.plans.reports import map_layers, real_series
 from peerscope.session import scratch_path
 from peerscope.sources.delimited import read_delimited
-from peerscope.sources.fixed_width import layout_by_year
+from peerscope.sources.fixed_width import Layout, layout_by_year, read_fixed_width
+from peerscope.sources.infer import read_inferred
 from peerscope.sources.sinks import read_csv_na, read_table, write_csv_na, write_many, write_table
 
 MIN_YEAR = 1996
@@ -155,6 +157,55 @@ def q09_crosswalk_sum(spark: SparkSession, d: str) -> DataFrame:
     return stack_layers(layers).select("layer", "area", "year", "cdfi", "cdfi_pp")
 
 
+def q09_split_crosswalk(spark: SparkSession, d: str) -> DataFrame:
+    """Tract sums divided over the areas that share a tract; ``whole``: the layer's total equals the tracts'."""
+    dims = S.dimensions(spark, d)
+    tx = _transactions(spark, d, dims).filter(F.col("tract_10").startswith(S.HOME))
+    tracts = tx.groupBy(F.col("tract_10").alias("tract"), "year").agg(strict_sum("originalamount", 4).alias("cdfi"))
+    areas = materialize(allocate(tracts, S.split_crosswalk(spark, d), ["cdfi"]))
+    exact4 = lambda c: F.sum(F.col(c).cast("decimal(22,4)"))
+    totals = areas.groupBy("layer", "year").agg(exact4("cdfi").alias("area_total"))
+    totals = totals.join(tracts.groupBy("year").agg(exact4("cdfi").alias("tract_total")), "year")
+    whole = totals.select("layer", "year", (F.col("area_total") == F.col("tract_total")).alias("whole"))
+    return areas.join(whole, ["layer", "year"]).select("layer", "neighborhood", "year", "cdfi", "whole")
+
+
+def q08_checked_join(spark: SparkSession, d: str) -> DataFrame:
+    """Lender dollars by metro, published only if the join to the metro map kept every row and met no null key."""
+    dims, checks = S.dimensions(spark, d), JoinChecks()
+    joined = checks.join(_transactions(spark, d, dims), dims.msa_counties, "FIPS", nulls=False)
+    out = joined.groupBy("MSA").agg(F.count(F.lit(1)).alias("transactions"), strict_sum("originalamount", 4).alias("cdfi"))
+    path = scratch_path(spark, "checked")
+    write_table(out, path, checks=checks)
+    rows = checks.verify()[0]
+    return read_table(spark, path).withColumns({"fact_rows": F.lit(rows["rows"]).cast("bigint"), "joined_rows": F.lit(rows["joined"]).cast("bigint")})
+
+
+def q09_cdfi_results(spark: SparkSession, d: str) -> DataFrame:
+    """The five lender results written under their names and read back."""
+    dims = S.dimensions(spark, d)
+    tx = materialize(_transactions(spark, d, dims))  # read by all five
+    results = {
+        "cdfi_county": cdfi.county_panel(tx, dims, S.BASE_YEAR, S.MERGED_PAIR),
+        "cdfi_msa": cdfi.msa_panel(tx, dims, S.BASE_YEAR),
+        **cdfi.map_layers(tx, dims, S.HOME, TX_MIN_YEAR, S.BASE_YEAR),
+    }
+    return _published(spark, "cdfi_results", results, ["cdfi", "cdfi_pp"])
+
+
+def _published(spark: SparkSession, name: str, results: dict[str, DataFrame], measures: list[str]) -> DataFrame:
+    """Named results written, read back and stacked: (result, place, year, measures)."""
+    path = scratch_path(spark, name)
+    write_many(results, path, fmt="parquet")
+    out = None
+    for result in results:
+        back = read_table(spark, f"{path}/{result}")
+        place = next(c for c in ("FIPS", "MSA", "tract", "neighborhood") if c in back.columns)
+        back = back.select(F.lit(result).alias("result"), F.col(place).alias("place"), "year", *[m for m in measures if m in back.columns])
+        out = back if out is None else out.unionByName(back, allowMissingColumns=True)
+    return out
+
+
 # ------------------------------------------------------------- bank loans
 
 
@@ -196,6 +247,25 @@ def q13_crosswalk_weighted_mean(spark: SparkSession, d: str) -> DataFrame:
     return stack_layers(layers).select("layer", "area", "year", *cols, *[f"{c}_pp" for c in cols])
 
 
+def q13_cra_results(spark: SparkSession, d: str) -> DataFrame:
+    """The five bank-loan results from one pass over the records, written under their names and read back."""
+    results = cra.results(_cra(spark, d), S.dimensions(spark, d), S.HOME, MIN_YEAR, S.BASE_YEAR, S.MERGED_PAIR)
+    return _published(spark, "cra_results", results, CRA_MEASURES + [f"{m}_pp" for m in CRA_MEASURES])
+
+
+def q10_byte_exact(spark: SparkSession, d: str) -> DataFrame:
+    """Fixed-width records whose names take several bytes a letter, read by byte positions."""
+    c = S.table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    n = S.table(spark, d, "nation").select("n_nationkey", "n_name")
+    rows = join_dim(c.withColumnRenamed("c_nationkey", "n_nationkey"), n, "n_nationkey", how="inner")
+    name = F.translate(F.upper(F.left("n_name", F.lit(5))), "AEIO", "ÄÉÏØ")
+    amount = F.lpad(F.format_string("%.2f", "c_acctbal"), 12, " ")
+    line = F.concat(name, F.repeat(F.lit(" "), 14 - F.octet_length(name)), F.lpad(F.col("c_custkey").cast("string"), 10, " "), amount)
+    path = S._once(spark, d, "bytes", lambda p: rows.select(line.alias("value")).write.mode("overwrite").text(p))
+    layout = Layout.of([("name", 1, 14, "c"), ("custkey", 15, 24, "l"), ("acctbal", 25, 36, "d")])
+    return read_fixed_width(spark, path, layout)
+
+
 # ---------------------------------------------------------------- venture
 
 
@@ -315,6 +385,8 @@ def q24_first_match_replace(spark: SparkSession, d: str) -> DataFrame:
         replace_first(text, "ST.", "SAINT", literal=True).alias("literal"),
         remove_first(dotted, ".", literal=True).alias("undotted"),
         pad_left(F.col("p_partkey").cast("string"), 3).alias("padded"),
+        replace_first(text, r"(.)\1", "Q").alias("doubled"),
+        replace_first(F.concat(F.lit("ST\n"), F.col("p_brand"), F.lit(" ST9 ST8")), "ST.", "SAINT").alias("one_line"),
     )
 
 
@@ -350,6 +422,61 @@ def q26_table_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, name=name).select("FIPS", "year", "sba_loan", "total_loan", "sba_loan_pp", "total_loan_pp")
 
 
+def q26_self_overwrite(spark: SparkSession, d: str) -> DataFrame:
+    """A stored panel rewritten from itself, by path and by name."""
+    path, name = scratch_path(spark, "rewritten"), f"peerscope_rewritten_{uuid.uuid4().hex}"
+    write_table(q01_county_panel(spark, d).select("FIPS", "year", "total_loan"), path)
+    write_table(read_table(spark, path), name=name)
+    for where in ({"path": path}, {"name": name}):
+        for _ in range(2):
+            kept = read_table(spark, **where).filter("year >= 1998").withColumn("total_loan", F.col("total_loan") * 2)
+            write_table(kept, **where)
+    by_path = read_table(spark, path).withColumn("by", F.lit("path"))
+    return by_path.unionByName(read_table(spark, name=name).withColumn("by", F.lit("name")))
+
+
+def q26_inferred(spark: SparkSession, d: str) -> DataFrame:
+    """Files read without declared types: codes keep their zeros, mixtures are text; ``kinds`` lists the types found."""
+    k = F.col("o_orderkey")
+    data = S.table(spark, d, "orders").select(
+        k.cast("string").alias("key"),
+        S.code(F.col("o_custkey") % 97).alias("code"),
+        F.when(k % 5 == 0, "NA").when(F.col("o_orderstatus") == "F", "TRUE").otherwise("FALSE").alias("done"),
+        F.when(k % 11 == 0, "").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day"),
+        F.when(k % 3 == 0, F.col("o_totalprice").cast("bigint").cast("string")).otherwise(F.col("o_totalprice").cast("string")).alias("price"),
+        F.when(k % 3 == 0, "12").otherwise(F.col("o_orderpriority")).alias("mixed"),
+        F.lit("NA").alias("nothing"),
+    )
+    path = S._once(spark, d, "untyped", lambda p: data.write.mode("overwrite").option("header", True).csv(p))
+    back = read_inferred(spark, path)
+    return back.withColumn("kinds", F.lit(" ".join(kind for _, kind in back.dtypes))).withColumn("nothing", F.col("nothing").cast("int"))
+
+
+def q27_quoted_records(spark: SparkSession, d: str) -> DataFrame:
+    """Files whose quoted fields hold line breaks, separators and quotes, with inch marks in plain fields; with and
+    without title lines (one of them with an open quote) above the header."""
+    o, k = S.table(spark, d, "orders"), F.col("o_orderkey")
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    note = F.when(k % 5 == 0, quoted(F.concat(F.lit("one,\n"), F.col("o_orderstatus"), F.lit('\n\n"two" '), F.col("o_orderpriority"))))
+    note = note.when(k % 5 == 1, F.concat(F.lit('5" pipe '), k.cast("string"))).otherwise(F.col("o_orderpriority"))
+    last = F.when(k % 7 == 0, quoted(F.concat(F.lit("end\n"), k.cast("string")))).otherwise(F.lit('6"'))
+    data = o.select((k % 3).alias("k"), F.lit(4).alias("place"), F.concat_ws(",", k.cast("string"), note, F.col("o_custkey").cast("string"), last).alias("value"))
+
+    def write(tops: list[str]) -> Callable[[str], None]:
+        top = F.explode(F.array(*[F.struct(F.lit(i).alias("place"), F.lit(t).alias("value")) for i, t in enumerate(tops)])).alias("t")
+        head = o.select((k % 3).alias("k")).distinct().select("k", top).select("k", "t.place", "t.value")
+        sheet = data.unionByName(head).repartition("k").sortWithinPartitions("k", "place")
+        return lambda path: sheet.select("k", "value").write.mode("overwrite").partitionBy("k").text(path)
+
+    titles, header = ['Orders, "all of them', "Amounts: none"], "order,note,customer,last"
+    out = None
+    for skip in (0, 2):
+        path = S._once(spark, d, f"quoted-{skip}", write(titles[:skip] + [header]))
+        back = read_delimited(spark, path, "ncnc", skip=skip).withColumn("skip", F.lit(skip))
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
 def _sheet_columns() -> list:
     return [
         F.col("l_orderkey").cast("string").alias("l_orderkey"),

@@ -12,6 +12,9 @@ from peerscope.functions.columns import col_range, cols_containing, map_columns
 from peerscope.functions.nulls import strict_sum
 from peerscope.functions.text import remove_first
 from peerscope.operators.geo import process_map, pull_peers, relabel_entity, roll_up
+from peerscope.operators.grains import grain_of, sum_by_grain
+from peerscope.operators.joins import join_dim
+from peerscope.operators.materialize import materialize
 from peerscope.operators.metrics import deflate, per_capita
 from peerscope.plans.sba import HOME, MERGED_PAIR
 from peerscope.sources.fixed_width import Layout, parse_layouts, read_fixed_width
@@ -123,3 +126,34 @@ def map_layers(
     layers = process_map(tracts, dims.crosswalk, cols, "cra", method="mean", pop_adjust=True, exact_scale=4)
     money = cols + [f"{c}_pp" for c in cols]
     return {k: deflate(v, money, dims.cpi, base_year) for k, v in layers.items()}
+
+
+def results(
+    cra: DataFrame, dims: Dimensions, home: str = HOME, min_year: int = 2012, base_year: int = 2018, members=MERGED_PAIR
+) -> dict[str, DataFrame]:
+    """The five published results (county, metro, tract, two neighborhood layers) from one pass over the records.
+
+    Every row is expanded to the county, metros and tract that it counts for
+    and summed once (``sum_by_grain``); the sums, a row per place and year, are
+    written once and all results are made from them.
+    """
+    peers = dims.peers_for("FIPS").select("FIPS").distinct().withColumn("__peer", F.lit(True))
+    metro = pull_peers(dims.msa_counties.select("FIPS", "MSA"), dims, "MSA", entity="FIPS").groupBy("FIPS").agg(F.collect_set("MSA").alias("__metros"))
+    df = cra.drop("MSA") if "MSA" in cra.columns else cra
+    df = df.filter((F.col("geog_level") == 200) | (F.col("geog_level").isNull() & (F.col("FIPS") == home) & (F.col("year") >= min_year)))
+    df = join_dim(join_dim(df, peers, "FIPS"), metro, "FIPS")
+    level = F.col("geog_level") == 200
+    measures, money, cols = _measures(df), _money(df), col_range(df, "amount_business_1m", "all_sb_loans")
+    df = relabel_entity(df.withColumn("__county", F.col("FIPS")), "__county", members)
+    tract = F.concat(F.lit(home), remove_first("tract", ".", literal=True))
+    sums = sum_by_grain(
+        df,
+        {"county": F.when(level & F.col("__peer"), F.array("__county")), "metro": F.when(level, F.col("__metros")), "tract": F.when(~F.coalesce(level, F.lit(False)), F.array(tract))},
+        measures,
+        exact_scale=4,
+    )
+    sums = materialize(sums)
+    panel = lambda grain, entity: per_capita(deflate(grain_of(sums, grain, entity), money, dims.cpi, base_year), measures, dims.pop_for(entity), entity)
+    layers = process_map(grain_of(sums, "tract", "tract").select("tract", "year", *cols), dims.crosswalk, cols, "cra", method="mean", pop_adjust=True, exact_scale=4)
+    layered = {k: deflate(v, cols + [f"{c}_pp" for c in cols], dims.cpi, base_year) for k, v in layers.items()}
+    return {"cra_county": panel("county", "FIPS"), "cra_msa": panel("metro", "MSA"), **layered}

@@ -13,7 +13,7 @@ from peerscope.functions.nulls import if_else, ratio, strict_sum
 from peerscope.functions.text import recode_by_position
 from peerscope.operators.geo import pull_peers, relabel_entity
 from peerscope.operators.metrics import peer_gap
-from peerscope.operators.panel import group_total, home_vs_peers, rank_by
+from peerscope.operators.panel import group_total, home_vs_peers, rank_long
 from peerscope.plans.sba import HOME, MERGED_PAIR
 from peerscope.sources.files import read_yearly
 
@@ -111,9 +111,8 @@ def ranks_long(
     (city, year, metric), with the home city highlighted.  The label joins
     ``label_parts`` (the other chart puts the rank first)."""
     metrics = list(METRIC_LABELS)
-    ranked = rank_by(panel.filter(F.col("agi") == agi), ["year"], metrics)
-    ranked = pull_peers(ranked, dims, "FIPS", add_info=True).select("city", "year", *metrics)
-    long = ranked.unpivot(["city", "year"], metrics, "variable", "rank")
+    long = rank_long(panel.filter(F.col("agi") == agi), ["year"], metrics, ["FIPS", "year"])
+    long = pull_peers(long, dims, "FIPS", add_info=True).select("city", "year", "variable", "rank")
     is_home = F.col("city") == home_city
     variable = F.coalesce(*[F.when(F.col("variable") == k, F.lit(v)) for k, v in METRIC_LABELS.items()])
     return long.select(

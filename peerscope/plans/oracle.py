@@ -349,8 +349,11 @@ SELECT p_partkey,
        regexp_replace(upper(concat_ws(' ', p_type, p_name, 'ST.', p_brand)), 'ST.', 'SAINT') AS wildcard,
        regexp_replace(upper(concat_ws(' ', p_type, p_name, 'ST.', p_brand)), 'ST\\.', 'SAINT') AS literal,
        regexp_replace(concat_ws('.', p_type, CAST(p_size AS VARCHAR), p_brand), '\\.', '') AS undotted,
-       lpad(CAST(p_partkey AS VARCHAR), CAST(greatest(length(CAST(p_partkey AS VARCHAR)), 3) AS INTEGER), '0') AS padded
-FROM part"""
+       lpad(CAST(p_partkey AS VARCHAR), CAST(greatest(length(CAST(p_partkey AS VARCHAR)), 3) AS INTEGER), '0') AS padded,
+       CASE WHEN spot IS NULL THEN t ELSE substr(t, 1, spot - 1) || 'Q' || substr(t, spot + 2) END AS doubled,
+       'ST' || chr(10) || p_brand || ' SAINT ST8' AS one_line
+FROM (SELECT *, list_filter(range(1, length(t)), lambda i: substr(t, CAST(i AS INTEGER), 1) = substr(t, CAST(i AS INTEGER) + 1, 1))[1] AS spot
+      FROM (SELECT *, upper(concat_ws(' ', p_type, p_name, 'ST.', p_brand)) AS t FROM part))"""
 SQL["q25_strict_vs_skipping_sum"] = f"""
 WITH j AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, l_linenumber,
            CASE WHEN l_linenumber <> 7 AND l_quantity <= 45 THEN l_extendedprice END AS x
@@ -383,3 +386,53 @@ _named = "sba_loan AS sba_loan_7a, total_loan AS total_loan_7a, total_504 AS tot
 SQL["q05_combined_results"] = f"""
 SELECT 'sba_county' AS result, FIPS AS place, year, {_named} FROM ({SQL["q05_bind_panels"]})
 UNION ALL SELECT 'sba_zip' AS result, zip AS place, year, {_named} FROM ({SQL["q05_bind_inferred_keys"]})"""
+_xs = ", ".join(f"('{layer}', '{name}', {n}, {shift}, {part})" for layer, name, n, shift, part in [("nh", "NH", 7, 0, 1), ("nh", "NH", 7, 1, 2), ("nh", "NH", 7, 3, 3), ("muw", "MUW", 5, 0, 2), ("muw", "MUW", 5, 2, 4)])
+SQL["q09_split_crosswalk"] = w(DIMS, TX, f"""
+tr AS (SELECT tract_10 AS tract, year, {ssum('originalamount')} AS cdfi FROM tx WHERE starts_with(tract_10, {HOME}) GROUP BY tract_10, year),
+kt AS (SELECT DISTINCT '00011' || {code('c_custkey % 1000000', 6)} AS tract, c_custkey % 1000000 AS k FROM customer WHERE c_nationkey = 11),
+sx AS (SELECT tract, s.layer, s.name || CAST((k + s.shift) % s.n AS VARCHAR) AS neighborhood,
+       CAST(CASE s.part WHEN 1 THEN k % 600 + 100 WHEN 2 THEN k % 250 + 1 WHEN 3 THEN 1000 - (k % 600 + 100) - (k % 250 + 1) ELSE 1000 - (k % 250 + 1) END AS DECIMAL(9,3)) AS share
+       FROM kt, (VALUES {_xs}) s(layer, name, n, shift, part)),
+cx AS (SELECT *, CAST(sum(share) OVER (PARTITION BY tract, layer ORDER BY neighborhood) AS DECIMAL(9,3)) AS hi FROM sx),
+ax AS (SELECT lay.layer, cx.neighborhood, tr.year, CASE WHEN cx.tract IS NULL THEN CAST(tr.cdfi AS DECIMAL(20,4))
+         ELSE round(CAST(tr.cdfi AS DECIMAL(20,4)) * cx.hi * CAST(0.001 AS DECIMAL(4,3)), 4) END AS hi_v,
+         CASE WHEN cx.tract IS NULL THEN 0 ELSE round(CAST(tr.cdfi AS DECIMAL(20,4)) * CAST(cx.hi - cx.share AS DECIMAL(9,3)) * CAST(0.001 AS DECIMAL(4,3)), 4) END AS lo_v, tr.cdfi
+       FROM tr CROSS JOIN (VALUES ('nh'), ('muw')) lay(layer) LEFT JOIN cx ON tr.tract = cx.tract AND cx.layer = lay.layer)""") + """
+SELECT layer, neighborhood, year, CASE WHEN count(cdfi) = count(*) THEN CAST(sum(CAST(hi_v AS DECIMAL(22,4)) - CAST(lo_v AS DECIMAL(22,4))) AS DOUBLE) END AS cdfi, true AS whole
+FROM ax GROUP BY layer, neighborhood, year"""
+SQL["q08_checked_join"] = w(DIMS, TX) + f"""
+SELECT mc.MSA, count(*) AS transactions, {ssum('tx.originalamount')} AS cdfi, (SELECT count(*) FROM tx) AS fact_rows, (SELECT count(*) FROM tx) AS joined_rows
+FROM tx LEFT JOIN msa_counties mc ON tx.FIPS = mc.FIPS GROUP BY mc.MSA"""
+_stack = lambda layer, name, cols: f"SELECT '{name}' AS result, area AS place, year, {cols} FROM l WHERE layer = '{layer}'"
+SQL["q09_cdfi_results"] = f"""
+WITH l AS ({SQL["q09_crosswalk_sum"]})
+SELECT 'cdfi_county' AS result, FIPS AS place, year, cdfi, cdfi_pp FROM ({SQL["q07_cdfi_county"]})
+UNION ALL SELECT 'cdfi_msa' AS result, MSA AS place, year, cdfi, cdfi_pp FROM ({SQL["q08_msa_rollup"]})
+UNION ALL {" UNION ALL ".join(_stack(x, f"cdfi_{x}", "cdfi, cdfi_pp") for x in ("tract", "nh", "muw"))}"""
+_cra_cols = ", ".join([*CRA_ALL, *[f"{m}_pp" for m in CRA_ALL]])
+_layered = ["amount_business_1m", "all_sb_loans", "amount_business_1m_pp", "all_sb_loans_pp"]
+_layer_cols = ", ".join(m if m in _layered else f"CAST(NULL AS DOUBLE) AS {m}" for m in [*CRA_ALL, *[f"{m}_pp" for m in CRA_ALL]])
+SQL["q13_cra_results"] = f"""
+WITH l AS ({SQL["q13_crosswalk_weighted_mean"]})
+SELECT 'cra_county' AS result, FIPS AS place, year, {_cra_cols} FROM ({SQL["q11_cra_county"]})
+UNION ALL SELECT 'cra_msa' AS result, MSA AS place, year, {_cra_cols} FROM ({SQL["q12_cra_msa"]})
+UNION ALL {" UNION ALL ".join(_stack(x, f"cra_{x}", _layer_cols) for x in ("tract", "nh", "muw"))}"""
+SQL["q10_byte_exact"] = """
+SELECT translate(upper(substr(n_name, 1, 5)), 'AEIO', 'ÄÉÏØ') AS name, CAST(c_custkey AS BIGINT) AS custkey, round(c_acctbal, 2) AS acctbal
+FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+SQL["q26_self_overwrite"] = f"""
+SELECT FIPS, year, total_loan * 2 * 2 AS total_loan, "by" FROM ({SQL["q01_county_panel"]}), (VALUES ('path'), ('name')) v("by") WHERE year >= 1998"""
+SQL["q26_inferred"] = f"""
+SELECT CAST(o_orderkey AS BIGINT) AS key, {code('o_custkey % 97')} AS code, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus = 'F' END AS done,
+       CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_orderdate AS DATE) END AS day,
+       CASE WHEN o_orderkey % 3 = 0 THEN CAST(CAST(floor(o_totalprice) AS BIGINT) AS DOUBLE) ELSE o_totalprice END AS price,
+       CASE WHEN o_orderkey % 3 = 0 THEN '12' ELSE o_orderpriority END AS mixed, CAST(NULL AS INTEGER) AS nothing,
+       'bigint string boolean date double string boolean' AS kinds
+FROM orders"""
+SQL["q27_quoted_records"] = """
+SELECT CAST(o_orderkey AS DOUBLE) AS "order",
+       CASE WHEN o_orderkey % 5 = 0 THEN 'one,' || chr(10) || o_orderstatus || chr(10) || chr(10) || '"two" ' || o_orderpriority
+            WHEN o_orderkey % 5 = 1 THEN '5" pipe ' || CAST(o_orderkey AS VARCHAR) ELSE o_orderpriority END AS note,
+       CAST(o_custkey AS DOUBLE) AS customer,
+       CASE WHEN o_orderkey % 7 = 0 THEN 'end' || chr(10) || CAST(o_orderkey AS VARCHAR) ELSE '6"' END AS last, CAST(s.skip AS INTEGER) AS skip
+FROM orders, (VALUES (0), (2)) s(skip)"""

@@ -133,6 +133,20 @@ def _build_dimensions(spark: SparkSession, d: str) -> Dimensions:
     )
 
 
+def split_crosswalk(spark: SparkSession, d: str) -> DataFrame:
+    """Tracts that lie in up to three areas of a layer: shares in thousandths that sum to one."""
+    k = F.col("c_custkey") % 1000000
+    tracts = table(spark, d, "customer").filter(F.col("c_nationkey") == int(HOME)).select(F.concat(F.lit(HOME), code(k, 6)).alias("tract"), k.alias("k")).distinct()
+    area = lambda name, n, shift: F.concat(F.lit(name), ((F.col("k") + shift) % n).cast("string"))
+    share = lambda c: c.cast("decimal(9,6)") / F.lit(1000)
+    a, b = F.col("k") % 600 + 100, F.col("k") % 250 + 1
+    part = lambda layer, place, s: F.struct(F.lit(layer).alias("layer"), place.alias("neighborhood"), share(s).cast("decimal(9,6)").alias("share"))
+    parts = F.array(
+        part("nh", area("NH", 7, 0), a), part("nh", area("NH", 7, 1), b), part("nh", area("NH", 7, 3), 1000 - a - b), part("muw", area("MUW", 5, 0), b), part("muw", area("MUW", 5, 2), 1000 - b)
+    )
+    return tracts.select("tract", F.explode(parts).alias("p")).select("tract", "p.layer", "p.neighborhood", "p.share")
+
+
 def _orders_customers(spark: SparkSession, d: str, with_nation: bool = True) -> DataFrame:
     """orders x customer (x nation): the smaller join done first so that
     ``lineitem`` is shuffled once when it is joined on."""

@@ -36,8 +36,8 @@ def test_few_jobs_for_checkpoints(spark, name):
     assert jobs_while_building(spark, name) <= BOUNDED[name]
 
 
-def scans(spark, table, run):
-    """Scan nodes of ``table`` in the plans that ran, from the event log."""
+def plans_of(spark, run):
+    """The plans of the queries that ``run`` executes, as they ran, from the event log."""
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
     folder = spark.conf.get("spark.eventLog.dir").removeprefix("file:")
     files = [os.path.join(d, f) for d, _, fs in os.walk(folder) for f in fs if not f.endswith(".crc")]
@@ -56,14 +56,51 @@ def scans(spark, table, run):
                 if "sparkPlanInfo" in e:
                     plans[e["executionId"]] = e["sparkPlanInfo"]  # the last one is the one that ran
 
-    def count(node):
-        own = node["nodeName"].startswith("Scan") and f"/{table}.parquet" in json.dumps(node.get("metadata", {}))
-        return own + sum(map(count, node["children"]))
+    return list(plans.values())
+
+
+def nodes(plan):
+    yield plan
+    for child in plan["children"]:
+        yield from nodes(child)
+
 
-    return sum(map(count, plans.values()))
+def scans_of(spark, run, kind=""):
+    """File scans of a kind (text, csv, parquet) in the plans that ``run`` executes."""
+    return sum(n["nodeName"].startswith(f"Scan {kind}") and "ExistingRDD" not in n["nodeName"] and "OneRow" not in n["nodeName"] for p in plans_of(spark, run) for n in nodes(p))
+
+
+def scans(spark, table, run):
+    """Scan nodes of ``table`` in the plans that ran."""
+    return sum(n["nodeName"].startswith("Scan") and f"/{table}.parquet" in json.dumps(n.get("metadata", {})) for p in plans_of(spark, run) for n in nodes(p))
 
 
 @pytest.mark.parametrize("name,table", [("q21_rank_latest", "lineitem"), ("q28_label_text", "lineitem"), ("q14_count_per_home_pop", "supplier"), ("q15_deal_stats", "orders"), ("q01_county_panel", "lineitem")])
 def test_one_scan(spark, name, table):
     standins.dimensions(spark, SF)
     assert scans(spark, table, lambda: QUERIES[name](spark, SF).collect()) == 1
+
+
+def test_bank_results_read_their_records_once(spark):
+    standins.write_cra_files(spark, SF)
+    standins.dimensions(spark, SF)
+    assert scans_of(spark, lambda: QUERIES["q13_cra_results"](spark, SF).collect(), "text") == 1
+
+
+def test_two_metrics_are_put_in_order_once(spark):
+    standins.write_giving_files(spark, SF)
+    plans = plans_of(spark, lambda: QUERIES["q17_rank_two_metrics_long"](spark, SF).collect())
+    ranges = [n for p in plans for n in nodes(p) if "rangepartitioning" in n["simpleString"]]
+    assert len(ranges) == 1
+
+
+def test_median_sorts_no_whole_table(spark):
+    """The one range exchange of the median takes the values near the middle only."""
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    from peerscope.operators.order_stats import exact_median
+
+    plans = plans_of(spark, lambda: exact_median(orders, ["o_orderstatus"], "o_totalprice").collect())
+    for p in plans:
+        for n in nodes(p):
+            if "rangepartitioning" in n["simpleString"]:
+                assert any("__bracket" in m["simpleString"] and "Join" in m["nodeName"] for m in nodes(n))
