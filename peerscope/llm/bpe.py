@@ -2,17 +2,22 @@
 
 A byte pair that occurs inside no token of the vocabulary can never be merged
 across, so a text may be cut between its two bytes, the fragments encoded
-independently and the ids concatenated.  Two uses of that table:
-
-* a text is cut before every run of blanks and newlines that follows another
-  character, and between a letter and a mark (if the vocabulary has no token
-  with a blank after another character); such fragments also keep the
-  pre-tokenizer's matches, because only white space looks ahead and a
-  fragment's white space is followed by what followed it in the text.  A text
-  with any other white space takes the whole-text pattern instead;
-* a longer pre-token is cut at every forced byte pair before merging.
-
-Fragments recur, so each worker keeps a bounded table of encoded fragments.
+independently and the ids concatenated.  One table over byte pairs, looked up
+for all bytes of a text at once, gives the cuts of the whole text before
+anything else is done:
+
+* pairs that no token holds, and pairs that the pre-tokenizer always parts
+  (ASCII letter, digit and mark next to each other);
+* not after white space, not before or after an apostrophe that could belong to
+  a contraction, and not inside a character: there a fragment could be
+  pre-tokenized otherwise than the text.  Elsewhere the pre-tokenizer's matches
+  in a fragment are those of the text, for nothing but white space looks ahead
+  and nothing looks back.  A text with white space other than blanks and line
+  feeds is pre-tokenized whole instead.
+
+Fragments are pre-tokenized, and pre-tokens cut at every forced pair again
+(there the exceptions do not hold), before merging.  Fragments recur, so each
+task keeps a bounded table of encoded fragments, emptied at its end.
 
 One narrow pass, no shuffle; memory is bounded by one text and the fragment
 table.  A null text is empty (no ids, decoded to the empty text); repeated
@@ -34,14 +39,14 @@ from pyspark.sql import DataFrame, types as T
 
 # fixed values: the pre-tokenizer's pattern of byte-level BPE files that state use_regex
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-FRAGMENT_TABLE = 300_000  # entries a worker keeps before it starts its table anew
+FRAGMENT_TABLE = 200_000  # entries a task keeps before it starts its table anew
 
 NONE = 1 << 30
-SHORT = 32  # bytes; shorter pre-tokens are merged without looking for cuts inside
+LONG = 64  # bytes of a fragment that the table does not keep
 
-# letters up to a blank or mark that no pre-token shares with them, else all up to the next blank
-_FRAGMENT = re.compile(r"[ \n]*(?:[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+(?=[ \n.,;:!?%$#*|&]|\Z)|[^ \n]+)|[ \n]+")
 _OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
+#: Contractions of the pattern: no cut between their bytes.
+_CONTRACTIONS = (b"'s", b"'t", b"'re", b"'ve", b"'m", b"'ll", b"'d")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -51,12 +56,22 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def _joins_blank(token: bytes) -> bool:
-    """Whether the token holds a blank or newline after the last byte of another character than white space."""
-    try:
-        return bool(re.search(r"\S[ \n]", token.decode()))
-    except UnicodeDecodeError:
-        return bool(re.search(rb"[^\t-\r ][ \n]", token))
+def _cuts(inside: np.ndarray) -> np.ndarray:
+    """Byte pairs (first * 256 + second) at which a whole text may be cut, from the pairs that occur inside a token."""
+    byte = np.arange(256)
+    kind = np.zeros(256, np.int8)  # 1 letter, 2 digit, 3 mark of ASCII
+    for k, test in ((1, bytes.isalpha), (2, bytes.isdigit)):
+        kind[[b for b in range(128) if test(bytes([b]))]] = k
+    kind[[b for b in range(0x21, 0x7F) if not bytes([b]).isalnum()]] = 3
+    parted = (kind[:, None] != kind[None, :]) & (kind[:, None] > 0) & (kind[None, :] > 0) & (byte != 0x27)[:, None]
+    cut = ~inside | parted
+    cut[[0x20, 0x0A], :] = False  # white space before it
+    cut[:, 0x27] = False
+    cut[:, (byte & 0xC0) == 0x80] = False  # inside a character
+    for word in _CONTRACTIONS:
+        for pair in zip(word, word[1:]):
+            cut[pair] = False
+    return cut.ravel()
 
 
 class ByteBPE:
@@ -74,11 +89,11 @@ class ByteBPE:
         as_bytes = lambda s: bytes(letters[c] for c in s)
         ids = {as_bytes(t): i for t, i in model["vocab"].items()}
         self.byte_id = [ids[bytes([b])] for b in range(256)]
-        self.rank: dict[int, int] = {}  # left id << 20 | right id -> rank of the merge
+        self.rank: dict[int, int] = {}  # left id << 32 | right id -> rank of the merge
         self.made: list[int] = []  # rank -> id of what the merge makes
         for r, m in enumerate(model["merges"]):
             a, b = (as_bytes(x) for x in (m if isinstance(m, list) else m.split(" ")))
-            self.rank[ids[a] << 20 | ids[b]] = r
+            self.rank[ids[a] << 32 | ids[b]] = r
             self.made.append(ids[a + b])
         added = {t["content"]: t for t in spec.get("added_tokens", [])}
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added.values()):
@@ -91,30 +106,31 @@ class ByteBPE:
         for t in ids:
             b = np.frombuffer(t, np.uint8)
             self.inside[b[:-1], b[1:]] = True
-        self.cut_at_blanks = not any(_joins_blank(t) for t in ids)
-        self.table: dict[str, bytes] = {}
+        self.joined = self.inside.tobytes()
+        self.cut = _cuts(self.inside)
+        self.table: dict[bytes, bytes] = {}
 
     def _merge(self, piece: bytes) -> list[int]:
         """Ids of a piece: the pair of lowest rank, leftmost first, until no pair has one."""
         parts, rank = [self.byte_id[b] for b in piece], self.rank.get
         if len(parts) > 256:
             return self._merge_long(parts)
-        ranks = [rank(a << 20 | b, NONE) for a, b in zip(parts, parts[1:])]
+        ranks = [rank(a << 32 | b, NONE) for a, b in zip(parts, parts[1:])]
         while ranks and (least := min(ranks)) != NONE:
             i = ranks.index(least)
             parts[i] = made = self.made[least]
             del parts[i + 1], ranks[i]
             if i:
-                ranks[i - 1] = rank(parts[i - 1] << 20 | made, NONE)
+                ranks[i - 1] = rank(parts[i - 1] << 32 | made, NONE)
             if i < len(ranks):
-                ranks[i] = rank(made << 20 | parts[i + 1], NONE)
+                ranks[i] = rank(made << 32 | parts[i + 1], NONE)
         return parts
 
     def _merge_long(self, parts: list[int]) -> list[int]:
         """The same merges through a heap and links, for a piece of hundreds of bytes or more."""
         n, rank = len(parts), self.rank.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := rank(parts[i] << 20 | parts[i + 1], NONE)) != NONE]
+        heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := rank(parts[i] << 32 | parts[i + 1], NONE)) != NONE]
         heapq.heapify(heap)
         while heap:
             least, i, a, b = heapq.heappop(heap)
@@ -126,25 +142,41 @@ class ByteBPE:
             for x, y in ((before[i], i), (i, k)):
                 if x >= 0 and y < n:
                     before[y] = x
-                    if (r := rank(parts[x] << 20 | parts[y], NONE)) != NONE:
+                    if (r := rank(parts[x] << 32 | parts[y], NONE)) != NONE:
                         heapq.heappush(heap, (r, x, parts[x], parts[y]))
         return [p for p in parts if p >= 0]
 
-    def _fragment(self, fragment: str) -> bytes:
+    def _word(self, data: bytes) -> list[int]:
+        """Ids of a pre-token, cut at every byte pair that no token holds."""
+        joined = self.joined
+        cuts = [i for i, (a, b) in enumerate(zip(data, data[1:]), 1) if not joined[a << 8 | b]]
+        if not cuts:
+            return self._merge(data)
         out: list[int] = []
-        for word in self.pattern.findall(fragment):
-            data = word.encode("utf-8", "replace")
-            if len(data) <= SHORT:
-                out += self._merge(data)
-                continue
-            b = np.frombuffer(data, np.uint8)
-            cuts = [0, *(np.flatnonzero(~self.inside[b[:-1], b[1:]]) + 1).tolist(), len(data)]
-            for x, y in zip(cuts, cuts[1:]):
-                out += self._merge(data[x:y])
+        for x, y in zip([0, *cuts], [*cuts, len(data)]):
+            out += self._merge(data[x:y])
+        return out
+
+    def _fragment(self, fragment: bytes) -> bytes:
+        out: list[int] = []
+        for word in self.pattern.findall(fragment.decode()):
+            out += self._word(word.encode())
         return struct.pack(f"<{len(out)}I", *out)
 
+    def fragments(self, text: str) -> list[bytes]:
+        """The text cut at every certain byte pair (or its pre-tokens, if it holds uncommon white space)."""
+        if _OTHER_SPACE.search(text):
+            return [w.encode("utf-8", "replace") for w in self.pattern.findall(text)]
+        data = text.encode("utf-8", "replace")
+        b = np.frombuffer(data, np.uint8)
+        pairs = b[:-1].astype(np.uint16)
+        pairs <<= 8
+        pairs |= b[1:]
+        at = (np.flatnonzero(self.cut[pairs]) + 1).tolist()
+        return [data[x:y] for x, y in zip([0, *at], [*at, len(data)])]
+
     def _plain(self, text: str) -> bytes:
-        fragments = _FRAGMENT.findall(text) if self.cut_at_blanks and not _OTHER_SPACE.search(text) else self.pattern.findall(text)
+        fragments = self.fragments(text)
         table, get = self.table, self.table.get
         found = list(map(get, fragments))
         if None in found:
@@ -153,7 +185,7 @@ class ByteBPE:
                     f = fragments[i]
                     if (ids := get(f)) is None:
                         ids = self._fragment(f)
-                        if len(f) <= 64:
+                        if len(f) <= LONG:
                             if len(table) >= FRAGMENT_TABLE:
                                 table.clear()
                             table[f] = ids
@@ -197,6 +229,8 @@ def _with(path: str | None, source: str, out: dict[str, pa.DataType], f: Callabl
                 made = [f(vocabulary, x.as_py()) for x in part.column(part.schema.get_field_index(source))]
                 columns = [pa.array([m[i] for m in made], kind) for i, kind in enumerate(out.values())]
                 yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *out])
+        vocabulary.table.clear()  # the worker goes on to other stages
+        pa.default_memory_pool().release_unused()
 
     return run
 

@@ -62,3 +62,35 @@ def test_query(spark):
         ids = THEIRS.encode(texts[r.doc_id], add_special_tokens=False).ids
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in ids)).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_every_forced_pair_of_a_text_is_a_cut():
+    """Cuts are where the table says, in texts of any length; no fragment holds a pair that no token holds, but at the exceptions."""
+    for text in ("zq xkj vw.Qz 5a", "日本語 text, été.", "a?'s b", "x" * 40 + "\u0142q" * 30):
+        fragments = OURS.fragments(text)
+        assert b"".join(fragments) == text.encode()
+        for f in fragments:
+            for a, b in zip(f, f[1:]):
+                assert OURS.inside[a, b] or a in b" \n" or b == 0x27 or b & 0xC0 == 0x80
+    assert len(OURS.fragments("zq")) == (1 if OURS.inside[ord("z"), ord("q")] else 2)
+
+
+def test_cuts_are_made_on_the_corpus(spark):
+    """The table cuts texts of the corpus more often than blanks do."""
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(50).collect()]
+    assert sum(len(OURS.fragments(t)) for t in texts) > sum(len(t.split()) for t in texts)
+
+
+def test_ids_beyond_twenty_bits(tmp_path):
+    """Pairs of large ids don't clash."""
+    import json
+
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    vocab, far = spec["model"]["vocab"], 1 << 20
+    spec["model"]["vocab"] = {t: i + far for t, i in vocab.items()}
+    path = tmp_path / "far.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    theirs, ours = tokenizers.Tokenizer.from_file(str(path)), bpe.ByteBPE(str(path))
+    for text in ("the quick brown fox", "don't we'll  \xa0 x", "a\n\nB c 12345"):
+        assert bpe.unpack(ours.encode(text)) == theirs.encode(text, add_special_tokens=False).ids
