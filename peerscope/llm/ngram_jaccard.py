@@ -57,6 +57,7 @@ from peerscope.llm.streams import cells, shared_buckets, sorted_groups
 GROWTH = 1.25  # of band starts
 BLOCK = 1024  # sets of a bucket that are compared at once
 FULL_WORDS = 64  # most positions, and most parity words, that a bucket row carries
+SEEN = 200_000  # sets a task remembers
 SALT_PAIRS = 500  # candidates of one set that are verified in one group
 
 
@@ -123,6 +124,8 @@ def _sets(t: Threshold) -> Callable:
                     d = digest(h)
                     bands = None
                     if len(h) and d not in seen:
+                        if len(seen) >= SEEN:
+                            seen.clear()  # a copy that comes again carries its sketch again
                         seen.add(d)
                         bands = []
                         for k, m, spare, bits in bands_of(t, len(h)):
@@ -192,7 +195,7 @@ def _across(t: Threshold) -> Callable:
             component = g["component"].to_numpy()
             if (component == component[0]).all():
                 continue
-            at = g["at"][0].as_py() & 0xFFFFF
+            at = g["at"][0].as_py() & 0xFFFFFFFF
             rid, n, words, spare = g["rid"].to_numpy(), g["n"].to_numpy(), _matrix(g["words"]), g["spare_zeros"].to_numpy()
             for x, y in _neighbours(t, g):
                 y = y[component[y] != component[x]]
@@ -269,8 +272,8 @@ def shared_positions(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     leaders = carrying.select("rid", "n", "bands").join(small_enough(copies), "rid", "left_anti")
     by_band = leaders.select("rid", F.explode("bands").alias("s"))
     by_word = by_band.select("rid", F.col("s.band").alias("band"), F.col("s.spare_zeros").alias("spare_zeros"), F.posexplode("s.words").alias("place", "word"))
-    rows = by_word.filter("word <> 0 or not spare_zeros").select(F.xxhash64("band", "place", "word").alias("key"), "rid", F.expr("shiftleft(band, 20) | place").alias("at"))
-    met = rows.repartition("key").sortWithinPartitions("key", "rid").mapInArrow(shared_buckets(BLOCK), "key long, rid long, at int, block int")
+    rows = by_word.filter("word <> 0 or not spare_zeros").select(F.xxhash64("band", "place", "word").alias("key"), "rid", F.expr("shiftleft(cast(band as bigint), 32) | place").alias("at"))
+    met = rows.repartition("key").sortWithinPartitions("key", "rid").mapInArrow(shared_buckets(BLOCK), "key long, rid long, at long, block int")
     met = saved(met, "jaccard-buckets")
     folds = _chosen(carrying.select("rid", "n", "bands"), saved(met.select("rid").distinct(), "jaccard-met"), ["rid"])
     folds = folds.select("rid", "n", F.explode("bands").alias("s")).select(
@@ -281,7 +284,7 @@ def shared_positions(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _compared(met: DataFrame, folds: DataFrame, columns: list[str], compare: Callable, name: str) -> DataFrame:
     """Distinct pairs that ``compare`` finds in the cells of ``met``, whose rows get ``columns`` of ``folds``."""
-    dealt = cells(met).withColumn("band", F.expr("shiftright(at, 20)"))
+    dealt = cells(met).withColumn("band", F.expr("cast(shiftright(at, 32) as int)"))
     rich = dealt.join(folds.select("rid", "band", *columns), ["rid", "band"]).select("key", "i", "j", "block", "at", "rid", *columns)
     rich = rich.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return saved(rich.mapInArrow(compare, "a long, b long").distinct(), name)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
-WORD_TABLE = 200_000  # word hashes a worker keeps before it starts its table anew
+WORD_TABLE = 100_000  # word hashes a worker keeps before it starts its table anew
 # fixed values: odd multipliers of the mixing steps
 _K1, _K2, _K3, _K4 = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
 
@@ -24,6 +25,7 @@ _hash_of = _WordHashes()
 def forget() -> None:
     """Empty the worker's table; tasks call it at their end, for workers go on to other stages."""
     _hash_of.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def words_of(text: bytes | None) -> list[bytes]:

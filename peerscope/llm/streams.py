@@ -45,7 +45,7 @@ def shared_buckets(block_rows: int) -> Callable:
                 out = [np.concatenate([[h], o]) for h, o in zip((*held, 0), out)]
             last, count = end, int(total[-1])
             held = (key[-1], rid[-1], at[-1]) if count == 1 else None
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["key", "rid", "at", "block"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.int32()))], names=["key", "rid", "at", "block"])
 
     return run
 

@@ -100,3 +100,17 @@ def test_components_of_paths_stars_and_rings(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(80)}, **{200 + i: 200 for i in range(30)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_positions_beyond_twenty_bits(spark):
+    """Sets of very long texts have over a million positions; band and place keep apart."""
+    last = 1_100_000
+    words = f"transform(sequence(0, {last}), i -> if(i = {last}, 77L, 0L))"
+    sets = spark.range(2).selectExpr(
+        "id as rid", "9000000L as n", "id as d1", "id as d2",
+        f"array(named_struct('band', 70, 'spare_zeros', true, 'words', {words}, 'parity', array(1L))) as bands",
+    )
+    met, folds = J.shared_positions(sets)
+    assert {(r["at"] >> 32, r["at"] & 0xFFFFFFFF) for r in met.collect()} == {(70, last)}
+    found = J._compared(met, folds, ["n", "parity"], J._stars(J.Threshold(80, 100, 5)), "test-stars")
+    assert [tuple(r) for r in found.collect()] == [(0, 1)]
