@@ -33,6 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -44,6 +45,7 @@ from peerscope.llm.streams import cells, shared_buckets, sorted_groups
 EDITS = 2
 MIN_CHARS = 32
 BLOCK = 1024
+SEEN = 500_000  # lines a task remembers
 
 
 def lines_of(text: str | None, min_chars: int) -> Iterator[tuple[int, int, str]]:
@@ -158,6 +160,8 @@ def _split(edits: int, min_chars: int, per: int) -> Callable:
                         if d in seen:
                             of_row.append(None)
                             continue
+                        if len(seen) >= SEEN:
+                            seen.clear()  # a line that comes again carries its keys again
                         seen.add(d)
                         if (where := memo.get(len(x))) is None:
                             if len(memo) > 10_000:
@@ -190,6 +194,11 @@ def _texts(min_chars: int) -> Callable:
     return run
 
 
+def _letters(line: str) -> np.ndarray:
+    """How often the code points of each of 32 kinds occur."""
+    return np.bincount(np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32) & 31, minlength=32).astype(np.int32)
+
+
 def _partners(edits: int, per: int) -> Callable:
     """For each line of a cell the earliest ranked line within the edits, if it is earlier: (h1, h2, partner's place)."""
 
@@ -199,14 +208,19 @@ def _partners(edits: int, per: int) -> Callable:
             # nulls rank last; the digest breaks ties of rows that share an id
             rows = sorted(set(rows), key=lambda r: (r[0], r[1] or 0, r[2], r[3], r[4]))
             i, j = g["i"][0].as_py(), g["j"][0].as_py()
+            block, own = np.array([r[5] for r in rows]), np.array([r[6] for r in rows])
+            length, letters = np.array([len(r[7]) for r in rows]), np.array([_letters(r[7]) for r in rows])
             out = []
             for y in range(1, len(rows)):
                 b = rows[y]
-                for x in range(y):
-                    a = rows[x]
-                    if (a[3], a[4]) == (b[3], b[4]) or not (a[6] or b[6]) or (i != j and a[5] == b[5]) or abs(len(a[7]) - len(b[7])) > edits:
-                        continue
-                    if within(a[7], b[7], allowed(min(len(a[7]), len(b[7])), edits, per)):
+                may = (np.abs(length[:y] - length[y]) <= edits) & (own[:y] | own[y])
+                if i != j:
+                    may &= block[:y] != block[y]
+                x = np.flatnonzero(may)
+                # an edit changes the counts of two letters by one at most
+                x = x[np.abs(letters[x] - letters[y]).sum(1) <= 2 * edits]
+                for a in map(rows.__getitem__, x.tolist()):
+                    if (a[3], a[4]) != (b[3], b[4]) and within(a[7], b[7], allowed(min(len(a[7]), len(b[7])), edits, per)):
                         out.append((b[3], b[4], a[1], a[2]))
                         break
             if out:
@@ -239,8 +253,8 @@ def repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_
     keyed = split.select(F.explode(F.arrays_zip("h1", "keys")).alias("x")).filter("x.keys is not null")
     keyed = keyed.select("x.h1", F.posexplode("x.keys").alias("at", "key"))
     # rid: 63 bits of the digest and, as the last bit, whether the key is one of the line's own segments
-    rows = keyed.select("key", F.expr(f"shiftleft(shiftright(h1, 1), 1) | if(at <= {edits}, 1, 0)").alias("rid"), F.lit(0).alias("at"))
-    met = rows.repartition("key").sortWithinPartitions("key", "rid").mapInArrow(shared_buckets(BLOCK), "key long, rid long, at int, block int")
+    rows = keyed.select("key", F.expr(f"shiftleft(shiftright(h1, 1), 1) | if(at <= {edits}, 1, 0)").alias("rid"), F.lit(0).cast("long").alias("at"))
+    met = rows.repartition("key").sortWithinPartitions("key", "rid").mapInArrow(shared_buckets(BLOCK), "key long, rid long, at long, block int")
     met = saved(met, "line-buckets")
     ids = met.select(F.expr("shiftright(rid, 1)").alias("rid")).distinct()
     wanted = classes.withColumn("rid", F.expr("shiftright(h1, 1)")).join(ids, "rid")

@@ -138,3 +138,20 @@ def test_cut_texts(docs_of, nothing):
     assert L.without_repeats(nothing).count() == 0
     with pytest.raises(ValueError):
         L.repeated_lines(docs_of(rows), edits=2, min_chars=2)
+
+
+def test_many_lines_with_a_common_segment(docs_of):
+    """A bucket of two thousand different lines: each is compared by letter counts, few by distance."""
+    rnd = random.Random(21)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(24))
+    own = [word() for _ in range(2000)]
+    rows = [(i, f"2024-01-01 12:00:00 error {w}") for i, w in enumerate(own)] + [(5000 + i, f"2024-01-01 12:00:00 error {own[i][:-1]}#") for i in range(0, 2000, 100)]
+    got = {r.doc_id for r in L.repeated_lines(docs_of(rows)).collect() if r.n_near}
+    assert got == {5000 + i for i in range(0, 2000, 100)}
+
+
+def test_memory_of_a_task_is_bounded(docs_of, monkeypatch):
+    """Lines that carry their keys twice change nothing."""
+    monkeypatch.setattr(L, "SEEN", 1)
+    rows = [(i, "one line that stands in many texts\nand another line that does so too\n" + f"own line of text number {chr(97 + i)}") for i in range(12)]
+    assert found(L.repeated_lines(docs_of(rows))) == brute(rows, 2, L.MIN_CHARS)
