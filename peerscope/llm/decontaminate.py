@@ -2,7 +2,8 @@
 
 Texts and benchmark items become token templates: marks around a word are
 dropped and letters lower-cased, and numbers, units after a number and names
-(capitalised words inside a sentence) become typed placeholders.  Windows of
+(capitalised words inside a sentence, and at its beginning if the same text
+has them inside a sentence and nowhere in small letters) become typed placeholders.  Windows of
 ``window`` template tokens are hash-joined.  The windows that a text and an
 item share are lined up by diagonal (position in the text less position in
 the item); on each diagonal and its near neighbours, the strongest first, until
@@ -16,15 +17,16 @@ stated query set: they are collected and broadcast in blocks of at most
 ``BLOCK_WINDOWS`` windows (12 bytes each and their items' templates), one pass
 over the texts for each block.  A window that many texts share is looked up in
 place, so no hash is a hot key.  Windows with fewer than ``LITERALS`` literal
-tokens, and an item's first (whose first word is no name in the item but may be
-one in a text), are looked up by their own words instead and fit only with
-the item's own values, so verbatim copies of every item are found.
+tokens, and those with the first word of a sentence (which may be a name in the
+text and none in the item), are looked up by their own words as well and fit
+only with the item's own values, so verbatim copies of every item are found.
 
 Defined results: a null or empty text has no leaks; an item of fewer tokens
 than a window is one window of its own length; an item without a token is
 ignored, as are items with a null id or text; marks by themselves (``+``, ``*``)
 are no tokens, so they are not compared; repeated
-item rows count once and repeated texts give repeated rows; a null document id
+item rows count once, an item id on several texts is as many items, and repeated
+texts give repeated rows; a null document id
 is carried; other columns are not read.
 """
 
@@ -70,10 +72,7 @@ def _plain(word: str) -> tuple[str, str | None, bool, bool]:
 
 def template(text: str | None) -> tuple[list[str], list[str | None], list[int], list[int]]:
     """Template tokens, their slot values (null for literals), and their spans' starts and ends in code points."""
-    tokens: list[str] = []
-    values: list[str | None] = []
-    starts: list[int] = []
-    stops: list[int] = []
+    words: list[tuple[str, str | None, bool, bool, int, int]] = []
     new_sentence, after_number, at = True, False, 0
     for word in (text or "").split():
         at = text.index(word, at)
@@ -82,15 +81,19 @@ def template(text: str | None) -> tuple[list[str], list[str | None], list[int],
         if token:
             if value is None and after_number and token in UNITS:
                 token, value = UNIT, token
-            elif value is None and capital and not new_sentence:
-                token, value = NAME, token
-            tokens.append(token)
-            values.append(value)
-            starts.append(start)
-            stops.append(at)
+            words.append((token, value, capital, new_sentence, start, at))
             after_number = token == NUMBER
         new_sentence = ends
-    return tokens, values, starts, stops
+    literal = [w for w in words if w[1] is None]
+    names = {w[0] for w in literal if w[2] and not w[3]} - {w[0] for w in literal if not w[2]}
+    tokens: list[str] = []
+    values: list[str | None] = []
+    for token, value, capital, opens, _, _ in words:
+        if value is None and capital and (not opens or token in names):
+            token, value = NAME, token
+        tokens.append(token)
+        values.append(value)
+    return tokens, values, [w[4] for w in words], [w[5] for w in words]
 
 
 # a word's packed form: its literal token's hash above, these flags in the low bits
@@ -117,8 +120,8 @@ def template_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return _hashes(text)[:2]
 
 
-def _hashes(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``template_hashes`` and the hash of each token's own word."""
+def _hashes(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``template_hashes``, the hash of each token's own word, and whether it is a capitalised word that opens a sentence."""
     words = (text or "").split()
     packed = np.fromiter(map(_packed.__getitem__, words), np.uint64, len(words))
     flags = (packed & np.uint64(_FLAGS)).astype(np.uint8)
@@ -131,13 +134,20 @@ def _hashes(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     unit = (flags & _IS_UNIT) > 0
     unit[:1] = False
     unit[1:] &= number[:-1]
-    name = ((flags & _IS_CAPITAL) > 0) & ~opens & ~unit
+    capital = ((flags & _IS_CAPITAL) > 0) & ~unit
+    name, first = capital & ~opens, capital & opens
     own = packed & ~np.uint64(_FLAGS)
+    if first.any() and name.any():
+        # a sentence's first word is a name if it is one elsewhere in the text and nowhere without its capital
+        known = np.unique(own[name])
+        known = known[~np.isin(known, own[~capital & ~number & ~unit])]
+        if len(known):
+            name |= first & np.isin(own, known)
     h = own.copy()
     for which, token in ((number, NUMBER), (unit, UNIT), (name, NAME)):
         if which.any():
             h[which] = _SLOT[token]
-    return h, number | unit | name, own
+    return h, number | unit | name, own, first
 
 
 def window_hashes(h: np.ndarray, slot: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -162,8 +172,9 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, str]], window: int = WINDOW):
         self.window = window
-        self.templates = {i: template(t)[:2] for i, t in rows}
-        hashed = {i: _hashes(t) for i, t in rows}
+        self.ids = [i for i, _ in rows]  # an id may stand on several texts: items are numbered
+        self.templates = {k: template(t)[:2] for k, (_, t) in enumerate(rows)}
+        hashed = {k: _hashes(t) for k, (_, t) in enumerate(rows)}
         # an item shorter than a window is one window of its own width
         self.widths = sorted({min(window, len(t)) for t, _ in self.templates.values() if t})
         # by width: windows of template tokens and, with hashes apart from theirs, windows of own words
@@ -177,6 +188,8 @@ class Items:
                     ok &= width >= LITERALS
                     by_words = ~ok
                     by_words[0] = True
+                    opening = np.concatenate([[0], np.cumsum(token_hashes[3])])
+                    by_words |= opening[width:] > opening[:-width]  # its first word may be a name in one of the two only
                     hashes += [h[ok], _word_windows(token_hashes[2], width)[by_words]]
                     places += [np.flatnonzero(ok), np.flatnonzero(by_words)]
                     items.append(np.full(int(ok.sum() + by_words.sum()), i, np.int64))
@@ -189,7 +202,7 @@ class Items:
     def shared(self, text: str | None) -> dict[int, list[tuple[int, int, int]]]:
         """Item -> (place in the text, place in the item, width) of each shared window."""
         found: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-        h, slot, own = _hashes(text)
+        h, slot, own, _ = _hashes(text)
         for width, (hashes, items, places) in self.index.items():
             templates, ok = window_hashes(h, slot, width)
             for w, which in ((templates, ok), (_word_windows(own, width), True)):
@@ -253,7 +266,7 @@ def leaks(text: str | None, items: Items, coverage: float = COVERAGE) -> list[tu
                 if covered == 1:
                     break
         if best and best[2] >= coverage:
-            out.append((item, *best))
+            out.append((items.ids[item], *best))
     return out
 
 
@@ -274,10 +287,10 @@ def _find(items_of, coverage: float):
 def item_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> Iterator[list[tuple[int, str]]]:
     """The items, in blocks of at most BLOCK_WINDOWS words (or one item), read through an iterator."""
     rows = benchmark.select(benchmark[item_col].cast("long").alias("i"), benchmark[text_col].cast("string").alias("t")).dropna()
-    rows = rows.groupBy("i").agg(F.min("t").alias("t"))
+    rows = rows.distinct()
     block: list[tuple[int, str]] = []
     size = 0
-    for r in rows.orderBy("i").toLocalIterator():
+    for r in rows.orderBy("i", "t").toLocalIterator():
         n = len(r["t"].split())
         if block and size + n > BLOCK_WINDOWS:
             yield block

@@ -94,3 +94,93 @@ def test_planted_passages(spark):
     expected = {(r.doc_id, i.item_id) for r in docs.collect() for i in texts if i.text in r.text}
     got = {(r.doc_id, r.item_id) for r in D.find_leaks(docs, items).collect()}
     assert expected and expected <= got and len(got - expected) <= len(expected) // 10
+
+
+APPLES = "Tom has 12 apples. Mary has 7 apples. Tom gives Mary 3 apples. How many apples does Tom have now?"
+
+
+@pytest.mark.parametrize(
+    "text,found",
+    [
+        (APPLES, [(0, "verbatim")]),
+        ("Jack has 15 apples. Lucy has 9 apples. Jack gives Lucy 4 apples. How many apples does Jack have now?", [(0, "reparameterised")]),
+        ("Jack has 15 apples. Lucy has 9 apples. Jack gives Lucy 4 apples. How many apples does Lucy have now?", []),
+        ("We met Tom. " + APPLES + " Then tom went home and Mary too.", [(0, "verbatim")]),
+    ],
+)
+def test_names_that_open_sentences(text, found):
+    assert kinds(text, APPLES) == found
+
+
+def test_one_item_with_two_texts(spark, docs_of):
+    other = "Every second summer the old mill by the river is painted in another colour by its owners"
+    items = spark.createDataFrame([(1, QUESTION), (1, other), (1, other)], "item_id long, text string")
+    docs = docs_of([(5, "x " + QUESTION), (6, "so: " + other), (7, QUESTION + " " + other)])
+    assert sorted((r.doc_id, r.item_id) for r in D.find_leaks(docs, items).collect()) == [(5, 1), (6, 1), (7, 1), (7, 1)]
+
+
+def plain_leaks(text, items, coverage=0.8, window=5, drift=3):
+    """Leaks by comparing every window of the text with every window of every item, tokens and not hashes."""
+    ours, values, starts, stops = D.template(text)
+    word = lambda tokens, slots: [v or t for t, v in zip(tokens, slots)]
+    out = []
+    for item, their_text in items:
+        theirs, slots = D.template(their_text)[:2]
+        if not theirs:
+            continue
+        width, mine, his = min(window, len(theirs)), word(ours, values), word(theirs, slots)
+        opens, sentence = [], True
+        for w in their_text.split():
+            if D._plain(w)[0]:
+                opens.append(sentence and D._plain(w)[2])
+            sentence = D._plain(w)[3]
+        shared = set()
+        for p in range(len(theirs) - width + 1):
+            literal = sum(s is None for s in slots[p : p + width])
+            enough = literal >= min(3, width) and width >= 3
+            for a in range(len(ours) - width + 1):
+                rich = sum(v is None for v in values[a : a + width]) >= min(3, width)
+                if enough and rich and theirs[p : p + width] == ours[a : a + width]:
+                    shared.add((a, p))
+                if (not enough or p == 0 or any(opens[p : p + width])) and his[p : p + width] == mine[a : a + width]:
+                    shared.add((a, p))
+        best = 0
+        for diagonal in {a - p for a, p in shared}:
+            line = [(slots[p], values[p + diagonal]) for p in range(len(theirs)) if 0 <= p + diagonal < len(ours) and slots[p] is not None and theirs[p] == ours[p + diagonal]]
+            fits = len({x for x, _ in line}) == len(set(line)) == len({y for _, y in line})
+            covered = set()
+            for a, p in shared:
+                if abs(a - p - diagonal) <= drift:
+                    own = his[p : p + width] == mine[a : a + width]
+                    if own or (fits and a - p == diagonal and theirs[p : p + width] == ours[a : a + width]):
+                        covered |= set(range(p, p + width))
+            best = max(best, len(covered) / len(theirs))
+        if best >= coverage:
+            out.append((item, round(best, 9)))
+    return out
+
+
+def test_against_every_window(spark):
+    import random
+
+    rnd = random.Random(8)
+    items = [(0, QUESTION), (1, APPLES), (2, NAMES), (3, "12 + 7 * 3"), (4, "the red car"), (5, "It takes 5 days to paint the old red house by the sea with 3 people."), (6, "Anna and Bob walk. Anna walks 4 km and Bob walks 9 km each day.")]
+    names, numbers = ["Tom", "Mary", "Bob Jones", "Anna", "Bob", "Zoe", "The"], [str(n) for n in range(1, 20)]
+    texts = []
+    for _ in range(250):
+        words = rnd.choice(items)[1].split()
+        for _ in range(rnd.choice([0, 0, 1, 2, 6])):
+            i = rnd.randrange(len(words))
+            words[i] = rnd.choice([*names, *numbers, "then", words[i].lower(), words[i].title()])
+        swap = dict(zip(rnd.sample(names, 4), rnd.sample(names, 4)))
+        words = [swap.get(w, w) for w in words] if rnd.random() < 0.5 else words
+        pad = lambda: " ".join(rnd.choice(["some", "Words.", "of", "Tom", "3", "the", "Red"]) for _ in range(rnd.randrange(6)))
+        texts.append(" ".join([pad(), *words, pad(), *(rnd.choice(items)[1].split() if rnd.random() < 0.2 else [])]))
+    index = D.Items(items)
+    got = [[(x[0], round(x[3], 9)) for x in D.leaks(t, index)] for t in texts]
+    want = [plain_leaks(t, items) for t in texts]
+    assert [[i for i, _ in g] for g in got] == [[i for i, _ in w] for w in want]
+    assert sum(map(len, got)) > 60 and any(not g for g in got)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = D.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r.doc_id, r.item_id) for r in table.collect()) == sorted((i, k) for i, w in enumerate(want) for k, _ in w)
