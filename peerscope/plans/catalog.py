@@ -279,6 +279,14 @@ def q15_deal_stats(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumn("deals", F.col("deals").cast("bigint"))
 
 
+def q15_venture_results(spark: SparkSession, d: str) -> DataFrame:
+    """Deals by metro under their published name: stored, rewritten from itself and read back."""
+    name = f"venture_msa_{uuid.uuid4().hex}"
+    write_table(q15_deal_stats(spark, d), name=name)
+    write_table(read_table(spark, name=name).filter("deals > 1"), name=name)
+    return read_table(spark, name=name)
+
+
 # ----------------------------------------------------------------- giving
 
 
@@ -295,6 +303,15 @@ def q16_bracket_panel(spark: SparkSession, d: str) -> DataFrame:
     return _giving_panel(spark, d)
 
 
+def q16_giving_results(spark: SparkSession, d: str) -> DataFrame:
+    """The giving panel written as text under its published name and read back with the types that its values give."""
+    path = scratch_path(spark, "giving_results")
+    write_many({"charitable_giving": _giving_panel(spark, d).withColumn("agi", F.col("agi").cast("bigint"))}, path)
+    back = read_inferred(spark, f"{path}/charitable_giving", types={"FIPS": "string"})
+    numbers = [c for c in back.columns if c not in ("FIPS", "year", "agi")]
+    return back.withColumns({c: F.col(c).cast("double") for c in numbers})
+
+
 def q16_schema_drift_union(spark: SparkSession, d: str) -> DataFrame:
     rows = _giving_rows(spark, d)
     return rows.select(*[c for c in giving.GIVING_COLUMNS if c not in giving.GIVING_RENAMES], "year")

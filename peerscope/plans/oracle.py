@@ -436,3 +436,5 @@ SELECT CAST(o_orderkey AS DOUBLE) AS "order",
        CAST(o_custkey AS DOUBLE) AS customer,
        CASE WHEN o_orderkey % 7 = 0 THEN 'end' || chr(10) || CAST(o_orderkey AS VARCHAR) ELSE '6"' END AS last, CAST(s.skip AS INTEGER) AS skip
 FROM orders, (VALUES (0), (2)) s(skip)"""
+SQL["q15_venture_results"] = f"SELECT * FROM ({SQL['q15_deal_stats']}) WHERE deals > 1"
+SQL["q16_giving_results"] = f"SELECT * REPLACE (CAST(year AS BIGINT) AS year, CAST(agi AS BIGINT) AS agi) FROM ({SQL['q16_bracket_panel']})"

@@ -64,10 +64,23 @@ def dimensions(spark: SparkSession, d: str) -> Dimensions:
     """Stand-in dimension tables (built once per session and folder)."""
     key = (session_key(spark), d)
     if key not in _DIMS:
-        _DIMS[key] = _build_dimensions(spark, d)
+        _DIMS[key] = _stored(spark, d, _build_dimensions(spark, d))
     return _DIMS[key]
 
 
+def _stored(spark: SparkSession, d: str, dims: Dimensions) -> Dimensions:
+    """The tables written once as Parquet: later plans scan them with known sizes instead of building them anew."""
+
+    def table_of(name: str, df: DataFrame) -> DataFrame:
+        path = _once(spark, d, f"dimension-{name}", lambda p: df.coalesce(1).write.parquet(p))  # bounded by places and years
+        return spark.read.schema(df.schema).parquet(path)
+
+    one = {f: table_of(f, getattr(dims, f)) for f in ("counties", "zips", "msa_counties", "msa_zips", "cpi")}
+    many = {f: {k: table_of(f"{f}-{k}", t) for k, t in getattr(dims, f).items()} for f in ("peers", "population")}
+    path = _once(spark, d, "dimension-crosswalk", lambda p: dims.crosswalk.write.parquet(p))
+    return Dimensions(**one, **many, crosswalk=spark.read.schema(dims.crosswalk.schema).parquet(path))
+
+
 def _build_dimensions(spark: SparkSession, d: str) -> Dimensions:
     nation = table(spark, d, "nation")
     region = table(spark, d, "region")
