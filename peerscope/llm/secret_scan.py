@@ -5,12 +5,15 @@ after their bytes have been decoded and parsed:
 
 * ``der``: a key encoding by nested lengths.  Base64 or hex that decodes to an
   ASN.1 SEQUENCE whose nested elements (at least two) tile it; base64 is read
-  from the start of a run on a line, over line ends, for exactly as many
-  characters as the SEQUENCE's length states, and must end there.  Also the
+  from the start of a run on a line, over line ends (escaped ones and before
+  indented lines too), for exactly as many characters as the SEQUENCE's length
+  states, and must end there; hex digits from any ``30``, over colons, blanks
+  and line ends, for exactly as many as it states.  Also the
   length-prefixed ssh formats: a public key (``ssh-rsa AAAA...``: its fields
   tile the run) and an ``openssh-key-v1`` file (its lengths state its end);
 * ``jwt``: ``header.payload[.signature]`` whose header decodes from base64url
-  to a JSON object with an ``alg`` member and whose payload is a JSON object.
+  to a JSON object (white space after its brace or not) with an ``alg`` member
+  and whose payload is a JSON object.
 
 One narrow pass per text, no shuffle.  A null text is empty; rows are kept as
 they come (repeated rows give repeated results, a null id stays null); other
@@ -40,13 +43,19 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 # a SEQUENCE tag, 0x30, gives M and a letter to P; the length of an ssh name AAAA; the name openssh-key-v1 b3BlbnNzaC1rZXktdjEA
-_BASE64_START = re.compile(r"(?<![A-Za-z0-9+/])(?:M[A-P]|AAAA|b3BlbnNzaC1rZXktdjEA)[A-Za-z0-9+/]{6,}")
+# the letter n of an escaped line feed may stand before it
+_BASE64_START = re.compile(r"(?:(?<![A-Za-z0-9+/])|(?<=\\n))(?:M[A-P]|AAAA|b3BlbnNzaC1rZXktdjEA)[A-Za-z0-9+/]{6,}")
 _BASE64_LINE = re.compile(r"[A-Za-z0-9+/]+")
-_LINE_END = re.compile(r"\r?\n(?=[A-Za-z0-9+/])")
+# line ends inside an encoding, as they are or escaped, before a line that may be indented
+_LINE_END = re.compile(r"(?:\r?\n|(?:\\r)?\\n)[ \t]*(?=[A-Za-z0-9+/])")
 _SSH_MAGIC = b"openssh-key-v1\0"
 _SSH_NAME = re.compile(rb"(?:ssh|ecdsa-sha2|sk-ssh|sk-ecdsa-sha2)-[a-z0-9@.-]+")
-_HEX_RUN = re.compile(r"30[0-9a-fA-F]{46,}")
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]*)?")
+_HEX_GAP = r"(?::?(?:\r?\n|(?:\\r)?\\n)[ \t]*|:|[ \t]+)"
+_HEX_START = re.compile(rf"30(?={_HEX_GAP}?[0-9a-fA-F])")
+_HEX_LINE = re.compile(r"[0-9a-fA-F]+")
+_HEX_NEXT = re.compile(rf"{_HEX_GAP}(?=[0-9a-fA-F])")
+# a header begins with a brace and a quote, or with a brace and a blank, tab or line end
+_JWT = re.compile(r"(?:eyJ|(?:(?<![A-Za-z0-9_-])|(?<=\\n))e(?:y[ABI]|w[klop01]))[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]*)?")
 
 
 def _element(data: bytes, at: int) -> tuple[int, int] | None:
@@ -122,18 +131,36 @@ def _ssh_file_end(data: bytes) -> int | None:
     return keys[0]
 
 
-def _run(text: str, at: int, most: int) -> tuple[str, int]:
-    """Up to ``most`` base64 characters from ``at`` on, over line ends, and where they end."""
+def _run(text: str, at: int, most: int, line: re.Pattern = _BASE64_LINE, gap: re.Pattern = _LINE_END) -> tuple[str, int]:
+    """Up to ``most`` characters of an alphabet (base64) from ``at`` on, over gaps (line ends), and where they end."""
     parts, n = [], 0
-    while m := _BASE64_LINE.match(text, at, min(len(text), at + most - n)):
+    while m := line.match(text, at, min(len(text), at + most - n)):
         parts.append(m.group())
         n, at = n + len(parts[-1]), m.end()
-        if n == most or not (m := _LINE_END.match(text, at)):
+        if n == most or not (m := gap.match(text, at)):
             break
         at = m.end()
     return "".join(parts), at
 
 
+def _stated(head: bytes) -> int | None:
+    """Size of the SEQUENCE that begins so, by its length."""
+    width = head[1] & 0x7F if len(head) > 1 and head[1] >= 0x80 else 0
+    if len(head) < 2 + width or head[0] != 0x30 or width > 4 or head[1] == 0x80:
+        return None
+    return 2 + width + int.from_bytes(head[2 : 2 + width], "big") if width else 2 + head[1]
+
+
+def _hex_key(text: str, at: int) -> int | None:
+    """End of the key encoding whose hex digits begin at ``at``, if there is one: as many digits as its length states."""
+    head = _run(text, at, 12, _HEX_LINE, _HEX_NEXT)[0]
+    size = _stated(bytes.fromhex(head[: len(head) // 2 * 2]))
+    if size is None or 2 * size > len(text) - at:
+        return None
+    digits, end = _run(text, at, 2 * size, _HEX_LINE, _HEX_NEXT)
+    return end if len(digits) == 2 * size and is_key_encoding(bytes.fromhex(digits)) else None
+
+
 def _encoded(text: str, at: int, size: int) -> tuple[bytes, int] | None:
     """``size`` bytes of base64 at ``at`` and where their padding ends, if the line's run ends with them."""
     n = (size * 4 + 2) // 3
@@ -151,11 +178,9 @@ def _encoded(text: str, at: int, size: int) -> tuple[bytes, int] | None:
 def _key_encoding(text: str, at: int, line_end: int) -> int | None:
     """End of the key encoding whose base64 begins at ``at``, if there is one."""
     if text.startswith("M", at):
-        head = _base64(_run(text, at, 8)[0]) or b""
-        width = head[1] & 0x7F if len(head) > 1 and head[1] >= 0x80 else 0
-        if len(head) < 2 + width or head[0] != 0x30 or width > 4 or head[1] == 0x80:
+        size = _stated(_base64(_run(text, at, 8)[0]) or b"")
+        if size is None:
             return None
-        size = 2 + width + int.from_bytes(head[2 : 2 + width], "big") if width else 2 + head[1]
         if size > len(text):
             return None
         found = _encoded(text, at, size)
@@ -192,11 +217,12 @@ def find_secrets(text: str | None) -> list[tuple[str, int, int]]:
         if m.start() >= upto and (end := _key_encoding(text, m.start(), m.end())):
             found.append(("der", m.start(), end))
             upto = end
-    for m in _HEX_RUN.finditer(text):
-        if len(m.group()) % 2 == 0 and is_key_encoding(bytes.fromhex(m.group())):
-            found.append(("der", *m.span()))
-    if "eyJ" in text:
-        found += [("jwt", *m.span()) for m in _JWT.finditer(text) if is_signed_token(m.group())]
+    upto = 0
+    for m in _HEX_START.finditer(text):
+        if m.start() >= upto and (end := _hex_key(text, m.start())):
+            found.append(("der", m.start(), end))
+            upto = end
+    found += [("jwt", *m.span()) for m in _JWT.finditer(text) if is_signed_token(m.group())]
     return sorted(set(found), key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 

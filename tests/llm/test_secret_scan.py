@@ -115,3 +115,42 @@ def test_query(spark):
     rows = op8_secrets(spark, d).collect()
     assert len(rows) == len(texts)
     assert all(r.base_sha256 == hashlib.sha256(S.joined(plain(texts[r.doc_id])).encode()).hexdigest() for r in rows)
+
+
+def folded(text, width, end):
+    return end.join(text[i : i + width] for i in range(0, len(text), width))
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\\n", "\\r\\n", "\n    ", "\\n  "])
+def test_keys_over_line_ends_of_any_kind(end):
+    """Files as they are, in JSON strings, and indented."""
+    body = folded(base64.b64encode(KEY).decode(), 64, end)
+    text = f'"key": "-----BEGIN RSA PRIVATE KEY-----{end}{body}{end}-----END RSA PRIVATE KEY-----{end}"'
+    assert keys_in(text) == [body]
+    digits = folded(KEY.hex(), 48, end)
+    assert keys_in(f"x{end}{digits}{end}-- y") == [digits]
+
+
+@pytest.mark.parametrize("gap", ["", ":", " ", ":\n    ", "\t"])
+def test_hex_keys_by_their_length(gap):
+    body = KEY.hex().upper() if gap == ":" else KEY.hex()
+    digits = gap.join(body[i : i + 2] for i in range(0, len(body), 2))
+    assert keys_in(f"dump: {digits} and more") == [digits]
+    assert keys_in(f"dump: {digits}") == [digits]
+    assert keys_in(f"dump: {digits[:-1]}") == []
+
+
+def test_hex_keys_after_other_digits():
+    for before in ("00", "0030", "f3", "3"):
+        assert keys_in(f"x {before}{KEY.hex()}") == [KEY.hex()]
+    assert keys_in("30" * 300) == [] and keys_in("30 days, 30:20 of 300 or 3082") == []
+
+
+@pytest.mark.parametrize("header", ['{"alg":"HS256"}', '{ "alg": "HS256"}', '{\n"alg":"HS256"}', '{\r\n  "alg":"none"}', '{\t"alg":"x"}'])
+@pytest.mark.parametrize("before", ["", "token is ", "\\n", "'"])
+def test_headers_of_signed_tokens(header, before):
+    url = lambda s: base64.urlsafe_b64encode(s.encode()).decode().rstrip("=")
+    token = f"{url(header)}.{url(json.dumps({'sub': 'x'}))}.c2ln"
+    text = f"{before}{token} and newly.Then money.And"
+    assert [text[a:b] for k, a, b in S.find_secrets(text) if k == "jwt"] == [token]
+    assert "jwt" not in [k for k, *_ in S.find_secrets(f"{url('{ 1}')}.{url('{}')}.x newly.Then")]
