@@ -7,7 +7,8 @@ their beginnings of ``PREFIXES`` letters; a feature's value is
 min(1, sqrt(GAIN * count / words)), so that a text's length does not matter.
 
 Fitting uses at most ``max_docs`` labelled texts (those with the smallest hash
-of their id): feature counts by grade are added up in Spark, the
+of their id; of an id on several rows the text with the least hash), read from
+the documents once: feature counts by grade are added up in Spark, the
 ``max_features`` features that separate toxic texts best are kept, and the
 regression is solved on the sparse rows of that bounded sample.  Scoring is
 one narrow pass over all whole texts; the model is at most ``max_features``
@@ -16,7 +17,8 @@ weights, and each worker's word table is bounded.
 Defined results: a null or empty text has no features and gets the severity
 of the thresholds alone; without a toxic label every severity is 0; null
 labels are ignored and the highest of an id's grades counts; repeated rows
-give repeated results; other columns are not read.
+give repeated results, and every row of an id on several texts is scored by its
+own text; other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peerscope.llm.common import saved
+
 PREFIXES = (4, 5, 6, 7, 8)
 GAIN = 25.0
 WORD_TABLE = 300_000  # words a worker keeps before it starts its table anew
@@ -154,7 +158,9 @@ def choose_features(counts: DataFrame, toxic: int, clean: int, max_features: int
 def fit(docs: DataFrame, labels: DataFrame, *, max_docs: int = 8_000, max_features: int = 3_000, id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel:
     sample = grades_of(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    texts = texts.join(F.broadcast(sample), "doc_id").select("text", "grade")  # at most max_docs ids
+    # one text an id, so that at most max_docs rows are read again and collected, however many rows an id has
+    texts = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.max("grade").alias("grade"), F.min_by("text", F.xxhash64("text")).alias("text"))
+    texts = saved(texts.select("text", "grade"), "toxicity-sample")
     n = texts.groupBy((F.col("grade") > 0).alias("toxic")).count().collect()
     n = {r["toxic"]: r["count"] for r in n}
     if not n.get(True) or not n.get(False):

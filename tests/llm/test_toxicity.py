@@ -60,3 +60,46 @@ def test_without_toxic_labels(labelled, nothing):
 def test_sample_is_bounded(labelled):
     docs, labels = labelled
     assert X.fit(docs, labels, max_docs=40, max_features=5).weights.size <= 5
+
+
+def test_against_a_plain_version(spark, labelled):
+    """Features, vectors, solution and severities made in plain Python, row by row."""
+    import math
+    import random
+    from collections import Counter
+
+    rnd = random.Random(3)
+    bad, good = ["idiot", "scumbag", "vile."], ["plain", "words,", "of", "the", "story", "Idiomatic", "scum"]
+    rows = [(i, " ".join(rnd.choice(bad if i % 4 == 0 and rnd.random() < 0.3 else good) for _ in range(rnd.randint(5, 40)))) for i in range(160)]
+    marks = [(i, int(i % 5 > 0), int(i % 4 == 0)) for i in range(0, 160, 2)]
+    docs = spark.createDataFrame([*rows, (0, "plain words on a second row of an id")], "doc_id long, text string")
+    model = X.fit(docs, spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
+
+    def features(word):
+        w = word.strip(X._MARKS)
+        return ["=" + w] + [w[:n] for n in (4, 5, 6, 7, 8) if len(w) > n] if w else []
+
+    firsts = {r.doc_id: r.text for r in docs.selectExpr("doc_id", "text", "xxhash64(text) as h").orderBy("h", ascending=False).collect()}
+    sample = [(firsts[i], t * (2 - q)) for i, q, t in marks]
+    with_it = [Counter(f for t, g in sample if (g > 0) == toxic for f in {f for w in set(t.lower().split()) for f in features(w)}) for toxic in (False, True)]
+    sizes = [sum((g > 0) == toxic for _, g in sample) for toxic in (False, True)]
+    z = {}
+    for f in with_it[1]:
+        p, q = (with_it[1][f] + 0.5) / (sizes[1] + 1), (with_it[0][f] + 0.5) / (sizes[0] + 1)
+        score = round((p - q) / math.sqrt(p * (1 - p) / sizes[1] + q * (1 - q) / sizes[0]), 9)
+        if with_it[1][f] >= 3 and score > 2.5:
+            z[f] = score
+    names = sorted(z, key=lambda f: (-z[f], f))
+    assert model.features == names and len(names) >= 5
+
+    def vector(text):
+        words = text.lower().split()
+        n = Counter(f for w in words for f in features(w) if f in z)
+        return {names.index(f): min(1.0, math.sqrt(25 * c / len(words))) for f, c in n.items()}
+
+    w, t = X.solve([vector(x) for x, _ in sample], np.array([g for _, g in sample]), len(names))
+    assert np.allclose(w, model.weights, atol=1e-9) and np.allclose(t, model.thresholds, atol=1e-9)
+    got = {r.doc_id: r.severity for r in X.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    for i, text in rows:
+        dot = sum(w[k] * v for k, v in vector(text).items())
+        assert abs(got[i] - sum(1 / (1 + math.exp(x - dot)) for x in t)) < 2e-6
