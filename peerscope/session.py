@@ -62,13 +62,6 @@ def _context(spark: SparkSession):
         return None
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    sc = _context(spark)
-    if sc is not None:
-        return sc.defaultParallelism
-    return shuffle_partitions(spark)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
