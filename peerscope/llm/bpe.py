@@ -17,7 +17,8 @@ anything else is done:
 
 Fragments are pre-tokenized, and pre-tokens cut at every forced pair again
 (there the exceptions do not hold), before merging.  Fragments recur, so each
-task keeps a bounded table of encoded fragments, emptied at its end.
+worker keeps a bounded table of encoded fragments over its tasks of this
+operator, and empties it when it goes on to another one.
 
 One narrow pass, no shuffle; memory is bounded by one text and the fragment
 table.  A null text is empty (no ids, decoded to the empty text); repeated
@@ -37,9 +38,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
+from peerscope.llm.worker import claim
+
 # fixed values: the pre-tokenizer's pattern of byte-level BPE files that state use_regex
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-FRAGMENT_TABLE = 200_000  # entries a task keeps before it starts its table anew
+FRAGMENT_TABLE = 300_000  # entries a worker keeps before it starts its table anew
 
 NONE = 1 << 30
 LONG = 64  # bytes of a fragment that the table does not keep
@@ -222,6 +225,7 @@ def _with(path: str | None, source: str, out: dict[str, pa.DataType], f: Callabl
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = load(path or default_vocabulary())
+        claim("bpe", vocabulary.table.clear)
         for batch in batches:
             step = 256  # bounds the lists that are held at once
             for at in range(0, batch.num_rows, step):
@@ -229,7 +233,6 @@ def _with(path: str | None, source: str, out: dict[str, pa.DataType], f: Callabl
                 made = [f(vocabulary, x.as_py()) for x in part.column(part.schema.get_field_index(source))]
                 columns = [pa.array([m[i] for m in made], kind) for i, kind in enumerate(out.values())]
                 yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *out])
-        vocabulary.table.clear()  # the worker goes on to other stages
         pa.default_memory_pool().release_unused()
 
     return run

@@ -42,6 +42,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peerscope.llm.worker import claim
+
 WINDOW = 5
 LITERALS = 3  # least literal tokens of a window
 COVERAGE = 0.8
@@ -273,6 +275,7 @@ def leaks(text: str | None, items: Items, coverage: float = COVERAGE) -> list[tu
 def _find(items_of, coverage: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(items_of.value)
+        claim("leaks", _packed.clear)
         _packed.clear()  # a worker that is used again starts small
         for batch in batches:
             rows = [(doc, text_hash, *x) for doc, text, text_hash in zip(*(c.to_pylist() for c in batch.columns)) for x in leaks(text, items, coverage)]

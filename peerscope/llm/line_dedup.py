@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from peerscope.llm.common import free_name, saved, small_enough
 from peerscope.llm.streams import cells, shared_buckets, sorted_groups
+from peerscope.llm.worker import claim
 
 EDITS = 2
 MIN_CHARS = 32
@@ -139,6 +140,7 @@ _LINES = "doc_id long, text_hash long, n_lines long, number array<int>, start ar
 
 def _split(edits: int, min_chars: int, per: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("lines")
         seen: set[int] = set()  # a task's repeated lines carry their keys once
         memo: dict[int, list[tuple[int, int, int]]] = {}
         digest = xxhash.xxh3_64_intdigest

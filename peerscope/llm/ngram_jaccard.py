@@ -53,6 +53,7 @@ from peerscope.llm.common import saved, small_enough
 from peerscope.llm.components import components
 from peerscope.llm.shingles import digest, forget, shingle_set
 from peerscope.llm.streams import cells, shared_buckets, sorted_groups
+from peerscope.llm.worker import claim
 
 GROWTH = 1.25  # of band starts
 BLOCK = 1024  # sets of a bucket that are compared at once
@@ -114,6 +115,7 @@ _BANDS = pa.list_(pa.struct([("band", pa.int32()), ("spare_zeros", pa.bool_()),
 
 def _sets(t: Threshold) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("shingles", forget)
         seen: set[tuple[int, int]] = set()  # a task's copies carry their sketch once
         for batch in batches:
             for at in range(0, batch.num_rows, 512):

@@ -94,3 +94,14 @@ def test_ids_beyond_twenty_bits(tmp_path):
     theirs, ours = tokenizers.Tokenizer.from_file(str(path)), bpe.ByteBPE(str(path))
     for text in ("the quick brown fox", "don't we'll  \xa0 x", "a\n\nB c 12345"):
         assert bpe.unpack(ours.encode(text)) == theirs.encode(text, add_special_tokens=False).ids
+
+
+def test_a_worker_holds_the_tables_of_one_operator():
+    from peerscope.llm import worker
+
+    table = {"a": 1}
+    worker.claim("one", table.clear)
+    worker.claim("one", table.clear)
+    assert table
+    worker.claim("two")
+    assert not table and list(worker._held) == ["two"]
