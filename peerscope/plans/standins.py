@@ -19,7 +19,9 @@ Mapping (all ids are text, zero padded):
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -309,6 +311,18 @@ def _once(spark: SparkSession, d: str, kind: str, write) -> str:
     return _WRITTEN[key]
 
 
+@contextmanager
+def unsorted_folders(spark: SparkSession, most: int = 100) -> Iterator[None]:
+    """Writes in here keep a file open for each folder that a task meets, up to ``most``: its rows are not sorted by folder first."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, most)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def write_cra_files(spark: SparkSession, d: str) -> str:
     """Fixed-width records, one folder per year (``year=YYYY``): in name order
     the first folders hold the old layout, the rest the new.  Read whole (a
@@ -316,7 +330,8 @@ def write_cra_files(spark: SparkSession, d: str) -> str:
 
     def write(path: str) -> None:
         recs = cra_records(spark, d).withColumn("year", F.substring("value", 6, 4))
-        recs.write.mode("overwrite").partitionBy("year").text(path)
+        with unsorted_folders(spark):
+            recs.write.mode("overwrite").partitionBy("year").text(path)
 
     return _once(spark, d, "cra", write)
 
