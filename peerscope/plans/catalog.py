@@ -477,18 +477,11 @@ def q27_quoted_records(spark: SparkSession, d: str) -> DataFrame:
     note = F.when(k % 5 == 0, quoted(F.concat(F.lit("one,\n"), F.col("o_orderstatus"), F.lit('\n\n"two" '), F.col("o_orderpriority"))))
     note = note.when(k % 5 == 1, F.concat(F.lit('5" pipe '), k.cast("string"))).otherwise(F.col("o_orderpriority"))
     last = F.when(k % 7 == 0, quoted(F.concat(F.lit("end\n"), k.cast("string")))).otherwise(F.lit('6"'))
-    data = o.select((k % 3).alias("k"), F.lit(4).alias("place"), F.concat_ws(",", k.cast("string"), note, F.col("o_custkey").cast("string"), last).alias("value"))
-
-    def write(tops: list[str]) -> Callable[[str], None]:
-        top = F.explode(F.array(*[F.struct(F.lit(i).alias("place"), F.lit(t).alias("value")) for i, t in enumerate(tops)])).alias("t")
-        head = o.select((k % 3).alias("k")).distinct().select("k", top).select("k", "t.place", "t.value")
-        sheet = data.unionByName(head).repartition("k").sortWithinPartitions("k", "place")
-        return lambda path: sheet.select("k", "value").write.mode("overwrite").partitionBy("k").text(path)
-
+    data = o.select((k % 3).alias("k"), k.alias("row"), F.concat_ws(",", k.cast("string"), note, F.col("o_custkey").cast("string"), last).alias("value"))
     titles, header = ['Orders, "all of them', "Amounts: none"], "order,note,customer,last"
     out = None
     for skip in (0, 2):
-        path = S._once(spark, d, f"quoted-{skip}", write(titles[:skip] + [header]))
+        path = S._once(spark, d, f"quoted-{skip}", lambda p: S.write_sheets(data, titles[:skip] + [header], p))
         back = read_delimited(spark, path, "ncnc", skip=skip).withColumn("skip", F.lit(skip))
         out = back if out is None else out.unionByName(back)
     return out
@@ -518,9 +511,9 @@ def q27_delimited_pruned_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q27_export_keeps_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Exports with two title lines above the header (one file for each line
-    number), US dates, missing dates, ``NA`` codes and numbers with exponents:
-    every data line is a row."""
+    """Exports with two title lines above the header (a file or more for each
+    line number), US dates, missing dates, ``NA`` codes and numbers with
+    exponents: every data line is a row."""
     li = S.table(spark, d, "lineitem").withColumn("k", F.col("l_linenumber"))
     row = F.struct(
         F.col("l_orderkey").cast("string").alias("a"),
@@ -529,15 +522,9 @@ def q27_export_keeps_rows(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("l_suppkey") % 5 == 0, F.lit("NA")).otherwise(F.col("l_suppkey").cast("string")).alias("d"),
         F.when(F.col("l_linenumber") == 2, F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit("E6"))).otherwise(F.concat(F.lit("."), F.col("l_quantity").cast("int").cast("string"))).alias("e"),
     )
-    data = li.select("k", F.lit(3).alias("place"), F.to_csv(row).alias("value"))
-    tops = F.explode(F.array(*[F.struct(F.lit(i).alias("place"), F.lit(t).alias("value")) for i, t in enumerate(["Line items", "All amounts in dollars", "order,line,shipped,supplier,amount"])]))
-    top = li.select("k").distinct().select("k", tops.alias("t")).select("k", "t.place", "t.value")
-
-    def write(path: str) -> None:
-        sheet = data.unionByName(top).repartition("k").sortWithinPartitions("k", "place")
-        sheet.select("k", "value").write.mode("overwrite").partitionBy("k").text(path)
-
-    path = S._once(spark, d, "exports", write)
+    data = li.select("k", F.col("l_orderkey").alias("row"), F.to_csv(row).alias("value"))
+    tops = ["Line items", "All amounts in dollars", "order,line,shipped,supplier,amount"]
+    path = S._once(spark, d, "exports", lambda p: S.write_sheets(data, tops, p))
     back = read_delimited(spark, path, "niDcn", skip=2, date_format="MM/dd/yyyy")
     return back.select("order", "line", "shipped", "supplier", "amount")
 

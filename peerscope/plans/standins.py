@@ -336,6 +336,20 @@ def write_cra_files(spark: SparkSession, d: str) -> str:
     return _once(spark, d, "cra", write)
 
 
+SHEET_ROWS = 8_000_000  # rows of all kinds together in a round of files
+
+
+def write_sheets(data: DataFrame, tops: list[str], path: str) -> None:
+    """Text files with the lines ``tops`` above the values of ``data`` (k, row, value), apart by ``k`` and, beyond SHEET_ROWS
+    rows, by the hash of ``row``: no file, and no task that writes one, grows with the tables."""
+    rounds = data.count() // SHEET_ROWS + 1
+    data = data.select("k", F.pmod(F.xxhash64("row"), F.lit(rounds)).alias("round"), F.lit(len(tops)).alias("place"), "value")
+    top = F.explode(F.array(*[F.struct(F.lit(i).alias("place"), F.lit(t).alias("value")) for i, t in enumerate(tops)])).alias("t")
+    head = data.select("k", "round").distinct().select("k", "round", top).select("k", "round", "t.place", "t.value")
+    sheet = data.unionByName(head).repartition("k", "round").sortWithinPartitions("k", "round", "place")
+    sheet.select("k", "round", "value").write.mode("overwrite").partitionBy("k", "round").text(path)
+
+
 def giving_records(spark: SparkSession, d: str) -> DataFrame:
     """One tax-statistics row per order, with the source's column names."""
     oc = _orders_customers(spark, d, with_nation=False)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peerscope.functions.text import parse_number
-from peerscope.sources.records import read_records, spans_lines
+from peerscope.sources.records import Records, spans_lines
 
 #: Texts that stand for a missing value.
 NULL_VALUES = ("", "NA")
@@ -85,7 +85,7 @@ def read_delimited(
 
     Quoted fields may hold line breaks: one job looks for lines that end inside
     a quoted field, and if there are any, records are put together in parallel
-    (``records.read_records``); text fields lose blanks at their ends.
+    (``records.Records``); text fields lose blanks at their ends.
     """
     col_types = col_types.replace(" ", "")
     df = read_text_columns(spark, path, sep, skip, header, lambda found: _all_names(col_types, names if names is not None else found)[1], check=names is None)
@@ -109,8 +109,8 @@ def read_text_columns(
     """
     name = name or list
     if skip or spans_lines(spark, path, sep):
-        records = read_records(spark, path, skip, sep)
-        return parse_records(records, name(_first_names(records, sep) if check else []), sep, header, check)
+        records = Records(spark, path, skip, sep)
+        return parse_records(records.all(), name(names_in(records.first_text(), sep) if check else []), sep, header, check)
     return read_lines(spark, path, name(header_names(spark, path, sep) if check else []), sep, header, check)
 
 
@@ -148,7 +148,3 @@ def names_in(header: str, sep: str = ",") -> list[str]:
 
     return [n.strip() or f"_c{i}" for i, n in enumerate(next(csv.reader(io.StringIO(header, newline=""), delimiter=sep)))]
 
-
-def _first_names(records: DataFrame, sep: str) -> list[str]:
-    """Names in the first record of the first file in name order."""
-    return names_in(records.filter("head").select(F.min_by("value", "file").alias("value")).first()["value"], sep)

@@ -77,7 +77,7 @@ class _Run:
 
     def __init__(self, skip: int) -> None:
         self.skip, self.at = skip, 0
-        self.state, self.records = [0, 1], [0, 0]
+        self.state, self.records, self.broken = [0, 1], [0, 0], [False, False]
 
     def lines(self, step: np.ndarray) -> dict[str, np.ndarray]:
         """Per line: kept, and for h in 0, 1 the state before (in), after (end) and the number of its record (rec, -1: begun in a block before)."""
@@ -101,6 +101,7 @@ class _Run:
             out[f"in{h}"], out[f"end{h}"] = before, after
             out[f"rec{h}"] = self.records[h] + np.cumsum(begins) - 1
             self.state[h], self.records[h] = state, self.records[h] + int(begins.sum())
+            self.broken[h] |= bool((kept & ((before == 1) | (after == 1))).any())
         return out
 
 
@@ -120,7 +121,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, _Run, pa.R
             yield key, run, batch.slice(a, b - a)
 
 
-_BLOCKS = "file string, block long, end0 int, end1 int, records0 long, records1 long"
+_BLOCKS = "file string, block long, end0 int, end1 int, records0 long, records1 long, broken0 boolean, broken1 boolean"
 
 
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,15 +129,17 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for key, run, rows in _runs(batches):
         run.lines(rows.column("step").to_numpy())
         done[key] = run
-    names = ["file", "block", "end0", "end1", "records0", "records1"]
-    rows = [dict(zip(names, (*key, *run.state, *run.records))) for key, run in done.items()]
+    kinds = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
+    schema = pa.schema(list(zip(["file", "block", "end0", "end1", "records0", "records1", "broken0", "broken1"], kinds)))
+    rows = [dict(zip(schema.names, (*key, *run.state, *run.records, *run.broken))) for key, run in done.items()]
     if rows:
-        yield pa.RecordBatch.from_pylist(rows, pa.schema([("file", pa.string()), ("block", pa.int64()), ("end0", pa.int32()), ("end1", pa.int32()), ("records0", pa.int64()), ("records1", pa.int64())]))
+        yield pa.RecordBatch.from_pylist(rows, schema)
 
 
 def blocks(lines: DataFrame) -> DataFrame:
-    """(file, block, inside, records, owner, number, head) per block: the state it begins in, its records, and the
-    block and number of the record that runs into it; ``head``: the block holds the file's first record."""
+    """(file, block, inside, records, owner, number, head, broken, final) per block: the state it begins in, its records, and the
+    block and number of the record that runs into it; ``head``: the block holds the file's first record; ``broken``: some of
+    its lines are not whole records; ``final``: the state that the file ends in."""
     steps = materialize(lines.select("file", "block", "skip", "step").mapInArrow(_block_rows, _BLOCKS))
     in_file = Window.partitionBy("file").orderBy("block")  # one row per block of one file
     before = in_file.rowsBetween(Window.unboundedPreceding, -1)
@@ -156,7 +159,7 @@ def blocks(lines: DataFrame) -> DataFrame:
         "seen": F.coalesce(F.sum("records").over(before), F.lit(0)),
         "final": F.last(ends).over(in_file.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
     })
-    return rows.select("file", "block", "inside", "records", F.col("owner.block").alias("owner"), F.col("owner.number").alias("number"), ((F.col("seen") == 0) & (F.col("records") > 0)).alias("head"), "final")
+    return rows.select("file", "block", "inside", "records", F.col("owner.block").alias("owner"), F.col("owner.number").alias("number"), ((F.col("seen") == 0) & (F.col("records") > 0)).alias("head"), F.when(F.col("inside") == 1, F.col("broken1")).otherwise(F.col("broken0")).alias("broken"), "final")
 
 
 _LINES = "file string, block long, at long, value string, in0 int, in1 int, end0 int, end1 int, rec0 long, rec1 long"
@@ -180,32 +183,62 @@ def spans_lines(spark: SparkSession, path: str | Sequence[str], sep: str = ",")
     return not lines.filter(F.col("value").contains('"')).filter(_step(value, sep).bitwiseAND(_AFTER_OUT) == 1).isEmpty()
 
 
+class Records:
+    """The lines of delimited files and, from one pass over them, the states and records of their blocks."""
+
+    def __init__(self, spark: SparkSession, path: str | Sequence[str], skip: int = 0, sep: str = ",") -> None:
+        self.lines = file_lines(spark, path, skip, sep)
+        starts = materialize(blocks(self.lines))
+        first, bad = (F.min(F.when(c, F.col("file"))) for c in (F.col("head"), F.col("final") == 1))
+        facts = starts.agg(F.count("*").alias("n"), F.coalesce(F.bool_or("broken"), F.lit(False)).alias("broken"), first.alias("first"), bad.alias("bad")).first()
+        if facts["bad"] is not None:
+            raise ValueError(f"unbalanced quote: {facts['bad']} ends inside a quoted field")
+        self.broken, self.first = facts["broken"], facts["first"]
+        self.starts = starts.drop("final", "broken")
+        self.few = facts["n"] <= BROADCAST_BLOCKS
+
+    def first_text(self) -> str | None:
+        """The first record of the first file in name order; only the blocks that hold it are put together."""
+        of_file = F.col("file") == F.lit(self.first)
+        at = self.starts.filter(of_file & (F.col("records") > 0)).orderBy("block").select("block").limit(2).collect()  # its end may lie in the next block
+        if not at:
+            return None
+        within = of_file & (F.col("block") >= at[0]["block"])
+        lines = self.lines.filter(within & (F.col("block") <= at[1]["block"]) if len(at) > 1 else within)
+        return self._of(lines).filter("head").select("value").collect()[0]["value"]
+
+    def all(self) -> DataFrame:
+        """(file, head, value) of every record."""
+        return self._of(self.lines)
+
+    def _of(self, lines: DataFrame) -> DataFrame:
+        starts = F.broadcast(self.starts) if self.few else self.starts
+        rows = lines.mapInArrow(_line_rows, _LINES).join(starts, ["file", "block"])
+        pick = lambda name: F.when(F.col("inside") == 1, F.col(f"{name}1")).otherwise(F.col(f"{name}0"))
+        value = F.rtrim("value", F.lit("\r"))
+        rows = rows.select("file", "block", "at", "value", "owner", "number", "head", pick("in").alias("in"), pick("end").alias("end"), pick("rec").alias("rec"))
+        whole = rows.filter("in = 0 and end = 0").filter(F.trim(value) != "")
+        whole = whole.select("file", (F.col("head") & (F.col("rec") == 0)).alias("head"), value.alias("value"))
+        if not self.broken:  # every line is a record: the lines are not read again for parts of records
+            return whole
+        parts = rows.filter("in = 1 or end = 1")
+        carried = F.col("rec") < 0
+        parts = parts.select(
+            "file",
+            F.when(carried, F.col("owner")).otherwise(F.col("block")).alias("from"),
+            F.when(carried, F.col("number")).otherwise(F.col("rec")).alias("rec"),
+            F.struct("block", "at", "value").alias("line"),
+            (F.col("head") & (F.col("rec") == 0)).alias("head"),
+        )
+        joined = parts.groupBy("file", "from", "rec").agg(F.array_sort(F.collect_list("line")).alias("lines"), F.bool_or("head").alias("head"))
+        broken = joined.select("file", "head", F.rtrim(F.array_join(F.transform("lines", lambda x: x["value"]), "\n"), F.lit("\r")).alias("value"))
+        return whole.unionByName(broken)
+
+
 def read_records(spark: SparkSession, path: str | Sequence[str], skip: int = 0, sep: str = ",") -> DataFrame:
     """(file, head, value): the records of delimited files, whole quoted fields included, blank lines between records left out.
 
     ``skip`` lines at the top of each file are passed over, whatever they
     hold; ``head`` marks the first record of each file.
     """
-    lines = file_lines(spark, path, skip, sep)
-    starts = materialize(blocks(lines))
-    if bad := starts.filter("final = 1").select("file").limit(1).collect():
-        raise ValueError(f"unbalanced quote: {bad[0].file} ends inside a quoted field")
-    starts = starts.drop("final")
-    rows = lines.mapInArrow(_line_rows, _LINES).join(F.broadcast(starts) if starts.count() <= BROADCAST_BLOCKS else starts, ["file", "block"])
-    pick = lambda name: F.when(F.col("inside") == 1, F.col(f"{name}1")).otherwise(F.col(f"{name}0"))
-    value = F.rtrim("value", F.lit("\r"))
-    rows = rows.select("file", "block", "at", "value", "owner", "number", "head", pick("in").alias("in"), pick("end").alias("end"), pick("rec").alias("rec"))
-    whole = rows.filter("in = 0 and end = 0").filter(F.trim(value) != "")
-    whole = whole.select("file", (F.col("head") & (F.col("rec") == 0)).alias("head"), value.alias("value"))
-    parts = rows.filter("in = 1 or end = 1")
-    carried = F.col("rec") < 0
-    parts = parts.select(
-        "file",
-        F.when(carried, F.col("owner")).otherwise(F.col("block")).alias("from"),
-        F.when(carried, F.col("number")).otherwise(F.col("rec")).alias("rec"),
-        F.struct("block", "at", "value").alias("line"),
-        (F.col("head") & (F.col("rec") == 0)).alias("head"),
-    )
-    joined = parts.groupBy("file", "from", "rec").agg(F.array_sort(F.collect_list("line")).alias("lines"), F.bool_or("head").alias("head"))
-    broken = joined.select("file", "head", F.rtrim(F.array_join(F.transform("lines", lambda x: x["value"]), "\n"), F.lit("\r")).alias("value"))
-    return whole.unionByName(broken)
+    return Records(spark, path, skip, sep).all()
