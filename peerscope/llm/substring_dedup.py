@@ -51,22 +51,51 @@ _UNITS = "doc_id long, h1 array<bigint>, h2 array<bigint>, start array<int>, sto
 _MARKED = _UNITS + ", text_hash long, mark array<bigint>, place array<int>"
 
 
-def units(text: str | None) -> list[tuple[int, int, int, int, int]]:
-    """(digest, digest, start, end, words) of each unit with a word, in order."""
-    out = []
+def _cut(text: str | None, found: tuple[list, list, list, list]) -> list[str]:
+    """The words of a text; ``found`` (digests, starts, ends, counts of words) is extended by its units with a word, in order."""
+    digests, starts, stops, counts = found
+    out: list[str] = []
     if not text:
         return out
     at = 0
     for stop in [*(m.end() for m in _END.finditer(text)), len(text)]:
         piece = text[at:stop]
         if words := piece.lower().split():
-            start = at + len(piece) - len(piece.lstrip())
-            d = xxhash.xxh3_128_digest(" ".join(words))
-            out.append((int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True), start, at + len(piece.rstrip()), len(words)))
+            left = piece.lstrip()
+            start = stop - len(left)
+            digests.append(xxhash.xxh3_128_digest(" ".join(words)))
+            starts.append(start)
+            stops.append(start + len(left.rstrip()))
+            counts.append(len(words))
+            out += words
         at = stop
     return out
 
 
+def _halves(digests: list[bytes]) -> np.ndarray:
+    """Two signed 64-bit integers a digest."""
+    return np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
+
+
+def units(text: str | None) -> list[tuple[int, int, int, int, int]]:
+    """(digest, digest, start, end, words) of each unit with a word, in order."""
+    found: tuple[list, list, list, list] = ([], [], [], [])
+    _cut(text, found)
+    return [(*h, *rest) for h, *rest in zip(_halves(found[0]).tolist(), *found[1:])]
+
+
+_SPACE = np.array([chr(i).isspace() for i in range(0x3002)])  # the last one is U+3000
+
+
+def _spots(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words ``text.split()``, in code points."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = np.zeros(len(codes) + 2, np.int8)
+    inside[1:-1] = ~_SPACE[np.minimum(codes, 0x3001)]
+    edges = np.diff(inside)
+    return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+
+
 class _WordHashes(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= WORD_TABLE:
@@ -100,13 +129,18 @@ def _rolled(h: np.ndarray, width: int, seed: int) -> np.ndarray:
         x, size = mix(x[:-size], x[size:]), 2 * size
 
 
+def _hashes(words: list[str]) -> np.ndarray:
+    return np.fromiter(map(_hash_of.__getitem__, words), np.uint64, len(words))
+
+
 def marks(texts: list[list[str]], passage: int = PASSAGE, gram: int = GRAM) -> list[tuple[np.ndarray, np.ndarray]]:
     """(hashes, places) of the marks of each text, given as words: grams whose hash is the least of all the grams in some ``passage`` words."""
-    counts = np.array([len(t) for t in texts], np.int64)
-    total = int(counts.sum())
-    if total < passage:
-        return [(np.empty(0, np.int64), np.empty(0, np.int32))] * len(texts)
-    h = np.fromiter((_hash_of[w] for t in texts for w in t), np.uint64, total)
+    return _marks(np.concatenate([_hashes(t) for t in texts]), np.array([len(t) for t in texts], np.int64), passage, gram)
+
+
+def _marks(h: np.ndarray, counts: np.ndarray, passage: int = PASSAGE, gram: int = GRAM) -> list[tuple[np.ndarray, np.ndarray]]:
+    if len(h) < passage:
+        return [(np.empty(0, np.int64), np.empty(0, np.int32))] * len(counts)
     x = _rolled(h, gram, gram) | np.uint64(1)
     width = passage - gram + 1
     least = _extreme(x, width, np.minimum)
@@ -118,16 +152,20 @@ def marks(texts: list[list[str]], passage: int = PASSAGE, gram: int = GRAM) -> l
     return [(x[p].view(np.int64), (p - start).astype(np.int32)) for p, start in zip(np.split(at, cuts), ends - counts)]
 
 
-def _word_lists(texts: list[str | None], most: int = 200_000) -> Iterator[list[list[str]]]:
-    """The texts' words, in lists of about ``most`` words (or one text)."""
-    some, n = [], 0
-    for t in texts:
-        some.append((t or "").lower().split())
-        n += len(some[-1])
+def _grouped(hashes: list[np.ndarray], most: int = 200_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The texts' word hashes, joined in lists of about ``most`` words (or one text), and each text's number of words."""
+    some, n = [np.empty(0, np.uint64)], 0
+    for h in hashes:
+        some.append(h)
+        n += len(h)
         if n >= most:
-            yield some
-            some, n = [], 0
-    yield some
+            yield np.concatenate(some), np.array([len(x) for x in some[1:]], np.int64)
+            some, n = some[:1], 0
+    yield np.concatenate(some), np.array([len(x) for x in some[1:]], np.int64)
+
+
+def _lists(values: np.ndarray | list, ends: list[int], kind: pa.DataType) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), pa.array(values, kind))
 
 
 def _split(with_marks: bool):
@@ -135,13 +173,20 @@ def _split(with_marks: bool):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                texts = part.column(1).to_pylist()
-                rows = [units(t) for t in texts]
-                arrays = [part.column(0), *(pa.array([[u[i] for u in r] for r in rows], pa.list_(kind)) for i, kind in enumerate(_LISTS.values()))]
+                found: tuple[list, list, list, list] = ([], [], [], [])
+                hashes, ends = [], []
+                for t in part.column(1).to_pylist():
+                    words = _cut(t, found)
+                    if with_marks:
+                        hashes.append(_hashes(words))
+                    ends.append(len(found[0]))
+                h1, h2 = _halves(found[0]).T
+                arrays = [part.column(0), *(_lists(x, ends, kind) for x, kind in zip((h1, h2, *found[1:]), _LISTS.values()))]
                 names = ["doc_id", *_LISTS]
                 if with_marks:
-                    found = [m for some in _word_lists(texts) for m in marks(some)]
-                    arrays += [part.column(2), pa.array([m for m, _ in found], pa.list_(pa.int64())), pa.array([p for _, p in found], pa.list_(pa.int32()))]
+                    of_text = [m for group in _grouped(hashes) for m in _marks(*group)]
+                    ends = np.cumsum([len(m) for m, _ in of_text]).tolist()
+                    arrays += [part.column(2), *(_lists(np.concatenate(x), ends, kind) for x, kind in zip(zip(*of_text), (pa.int64(), pa.int32())))]
                     names += ["text_hash", "mark", "place"]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
         _hash_of.clear()  # a worker that is used again starts small
@@ -191,29 +236,39 @@ def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            spans, found, levels = [], [], []
-            for row in part.to_pylist():
-                ends = np.cumsum([0, *row["words"]])
-                total = int(ends[-1])
-                bare = np.ones(total, np.int64)
-                mine = []
-                for a, b, _, first in _runs(row, 1):
-                    low, high = int(ends[a]), int(ends[b + 1])
-                    bare[low:high] = 0
-                    mine.append((low, high, row["start"][a], row["stop"][b], b - a + 1, first))
-                spans.append([dict(zip(("word", "end", "start", "stop", "n_units", "first"), x)) for x in mine])
-                before = np.concatenate([[0], np.cumsum(bare)])
-                place = np.array(row["place"], np.int64)
-                bares = before[np.minimum(place + PASSAGE, total)] > before[np.maximum(place + GRAM - PASSAGE, 0)]
-                level: dict[int, int] = {}
-                first_at: dict[int, int] = {}
-                for m, p, bare_there in zip(row["mark"], row["place"], bares.tolist()):
-                    later = p >= first_at.setdefault(m, p) + PASSAGE
-                    level[m] = max(level.get(m, 0), (1 + later) * bare_there)
-                found.append(list(level.keys()))
-                levels.append(list(level.values()))
+            flat, low = {}, {}
+            for c in ("h1", "h2", "start", "stop", "words", "again", "firsts", "mark", "place"):
+                column = part.column(part.schema.get_field_index(c))
+                low[c] = np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy())])
+                flat[c] = column.flatten() if c == "firsts" else column.flatten().to_numpy()
+            docs = part.column(part.schema.get_field_index("doc_id")).to_pylist()
+            ends = np.concatenate([[0], np.cumsum(flat["words"], dtype=np.int64)])  # word numbers over all rows of the part
+            begin = ends[low["words"]]
+            bare = np.ones(int(ends[-1]), np.int64)
+            spans: list[list[dict]] = [[] for _ in docs]
+            for i in np.flatnonzero(np.diff(low["again"])).tolist():
+                row = {c: x[low[c][i] : low[c][i + 1]].tolist() for c, x in flat.items() if c not in ("firsts", "mark", "place")}
+                firsts = flat["firsts"].slice(low["firsts"][i], low["firsts"][i + 1] - low["firsts"][i]).to_pylist()
+                first_unit = int(low["words"][i])
+                for a, b, _, first in _runs({**row, "firsts": firsts, "doc_id": docs[i]}, 1):
+                    word, end = int(ends[first_unit + a]), int(ends[first_unit + b + 1])
+                    bare[word:end] = 0
+                    mine = (word - int(begin[i]), end - int(begin[i]), row["start"][a], row["stop"][b], b - a + 1, first)
+                    spans[i].append(dict(zip(("word", "end", "start", "stop", "n_units", "first"), mine)))
+            before = np.concatenate([[0], np.cumsum(bare)])
+            of_row = np.repeat(np.arange(len(docs)), np.diff(low["mark"]))
+            mark, place = flat["mark"], flat["place"].astype(np.int64)
+            bares = before[np.minimum(begin[of_row] + place + PASSAGE, begin[of_row + 1])] > before[begin[of_row] + np.maximum(place + GRAM - PASSAGE, 0)]
+            order = np.lexsort((place, mark, of_row))
+            of_row, mark, place, bares = of_row[order], mark[order], place[order], bares[order]
+            new = np.ones(len(mark), bool)
+            new[1:] = (of_row[1:] != of_row[:-1]) | (mark[1:] != mark[:-1])
+            heads = np.flatnonzero(new)
+            later = place >= place[heads][np.cumsum(new) - 1] + PASSAGE if len(heads) else place > 0
+            levels = np.maximum.reduceat((1 + later) * bares, heads) if len(heads) else place
+            stops = np.searchsorted(of_row[heads], np.arange(len(docs)), "right").tolist()
             columns = [part.column(part.schema.get_field_index(c)) for c in ("doc_id", "text_hash")]
-            arrays = [pa.array(found, pa.list_(pa.int64())), pa.array(levels, pa.list_(pa.int8())), pa.array(spans, pa.list_(_SPAN))]
+            arrays = [_lists(mark[heads], stops, pa.int64()), _lists(levels.astype(np.int8), stops, pa.int8()), pa.array(spans, pa.list_(_SPAN))]
             yield pa.RecordBatch.from_arrays([*columns, *arrays], names=["doc_id", "text_hash", "mark", "level", "spans"])
 
 
@@ -224,24 +279,30 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows about the wanted marks of each text."""
     names = [x.split()[0] for x in _WINDOW_SQL.split(", ")]
     for batch in batches:
-        for doc, text_hash, text, wanted in (tuple(r.values()) for at in range(0, batch.num_rows, 64) for r in batch.slice(at, 64).to_pylist()):
-            words = text.lower().split()
-            (mark, place), = marks([words])
-            chosen = np.zeros(len(words) - PASSAGE + 1, bool)
-            for p in place[np.isin(mark, np.array(wanted, np.int64))].tolist():
-                chosen[max(0, p + GRAM - PASSAGE) : p + 1] = True
-            at, spots = 0, []
-            for word in text.split():
-                at = text.index(word, at)
-                spots.append((at, at + len(word)))
-                at += len(word)
-            at = np.flatnonzero(chosen)
-            if len(at):
-                h = np.fromiter(map(_hash_of.__getitem__, words), np.uint64, len(words))
-                start, stop = np.array(spots, np.int64).T
-                h1, h2 = (_rolled(h, PASSAGE, seed)[at].view(np.int64) for seed in (1, 2))
-                columns = [np.full(len(at), text_hash), at, start[at], stop[at + PASSAGE - 1], h1, h2]
-                yield pa.RecordBatch.from_arrays([pa.array([doc] * len(at), pa.int64()), *(pa.array(x, pa.int64()) for x in columns)], names=names)
+        for at in range(0, batch.num_rows, 64):
+            docs, text_hashes, texts, wanted = (c.to_pylist() for c in batch.slice(at, 64).columns)
+            done = 0
+            for h, counts in _grouped([_hashes(t.lower().split()) for t in texts]):
+                if len(h) >= PASSAGE:
+                    begin = np.cumsum(counts) - counts
+                    places, of_row, start, stop = [], [], [], []
+                    for i, (mark, place) in enumerate(_marks(h, counts)):
+                        chosen = np.zeros(max(0, counts[i] - PASSAGE + 1), bool)
+                        for p in place[np.isin(mark, np.array(wanted[done + i], np.int64))].tolist():
+                            chosen[max(0, p + GRAM - PASSAGE) : p + 1] = True
+                        word = np.flatnonzero(chosen)
+                        if len(word):
+                            starts, stops = _spots(texts[done + i])
+                            places.append(word)
+                            of_row.append(np.full(len(word), i))
+                            start.append(starts[word])
+                            stop.append(stops[word + PASSAGE - 1])
+                    if places:
+                        word, row = np.concatenate(places), np.concatenate(of_row)
+                        h1, h2 = (_rolled(h, PASSAGE, seed)[begin[row] + word].view(np.int64) for seed in (1, 2))
+                        ids = [pa.array(x[done : done + len(counts)], pa.int64()).take(pa.array(row)) for x in (docs, text_hashes)]
+                        yield pa.RecordBatch.from_arrays([*ids, *(pa.array(x, pa.int64()) for x in (word, np.concatenate(start), np.concatenate(stop), h1, h2))], names=names)
+                done += len(counts)
     _hash_of.clear()
 
 
