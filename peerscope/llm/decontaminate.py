@@ -60,16 +60,19 @@ UNITS = frozenset(
 )
 NUMBER, UNIT, NAME = "\x00number", "\x00unit", "\x00name"
 _NUMBER = re.compile(r"[$€£]?[+-]?\d[\d.,:/]*(%|[A-Za-z]{1,5})?")
+_DIGIT = re.compile(r"\d")  # what the pattern calls a digit
 _MARKS = ".,;:!?\"'()[]{}<>*#&|~`^_+=/\\@%$€£-"
 
 
 def _plain(word: str) -> tuple[str, str | None, bool, bool]:
     """(template token away from its neighbours, slot value, capitalised, ends a sentence) of a word."""
+    if word.isalpha():  # no marks, no digits
+        return word.lower(), None, word[0].isupper() and not word.isupper() and len(word) > 1, False
     bare = word.strip(_MARKS)
-    low = bare.lower()
-    if any(map(str.isdigit, bare)) and _NUMBER.fullmatch(word.strip(".,;:!?\"'()[]{}*#&|")):
-        return NUMBER, low, False, word[-1] in ".!?:"
-    return low, None, bare[:1].isupper() and not bare.isupper() and len(bare) > 1, word[-1] in ".!?:"
+    low, ends = bare.lower(), word[-1] in ".!?:"
+    if _DIGIT.search(bare) and _NUMBER.fullmatch(word.strip(".,;:!?\"'()[]{}*#&|")):
+        return NUMBER, low, False, ends
+    return low, None, bare[:1].isupper() and not bare.isupper() and len(bare) > 1, ends
 
 
 def template(text: str | None) -> tuple[list[str], list[str | None], list[int], list[int]]:
@@ -107,8 +110,20 @@ class _Packed(dict):
         if len(self) >= WORD_TABLE:
             self.clear()
         token, value, capital, ends = _plain(word)
-        h = xxhash.xxh3_64_intdigest(token if value is None else value) & ~_FLAGS
-        h |= (_IS_NUMBER * (token == NUMBER)) | (_IS_UNIT * (value is None and token in UNITS)) | (_IS_CAPITAL * (value is None and capital)) | (_ENDS * ends) | (_EMPTY * (not token))
+        if value is None:
+            h = xxhash.xxh3_64_intdigest(token) & ~_FLAGS
+            if token in UNITS:
+                h |= _IS_UNIT
+            if capital:
+                h |= _IS_CAPITAL
+            if not token:
+                h |= _EMPTY
+        else:
+            h = xxhash.xxh3_64_intdigest(value) & ~_FLAGS
+        if token == NUMBER:
+            h |= _IS_NUMBER
+        if ends:
+            h |= _ENDS
         self[word] = h
         return h
 
@@ -211,7 +226,12 @@ class Items:
                 at = np.flatnonzero(which & self.maybe[width][w >> np.uint64(44)])
                 if not len(at):
                     continue
-                low, high = np.searchsorted(hashes, w[at]), np.searchsorted(hashes, w[at], "right")
+                low = np.searchsorted(hashes, w[at])
+                hit = hashes[np.minimum(low, len(hashes) - 1)] == w[at]
+                at, low = at[hit], low[hit]
+                if not len(at):
+                    continue
+                high = np.searchsorted(hashes, w[at], "right")
                 for x, a, b in zip(at.tolist(), low.tolist(), high.tolist()):
                     for k in range(a, b):
                         found[int(items[k])].append((x, int(places[k]), width))
